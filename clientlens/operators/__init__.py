@@ -7,5 +7,5 @@ from clientlens.operators.groups import (  # noqa: F401
 )
 from clientlens.operators.profile import (  # noqa: F401
     corr, describe_numeric, iqr_fences, null_counts, partition_stats, preview,
-    quartiles, spread_by_group, total_count, winsorize_iqr,
+    spread_by_group, total_count, winsorize_iqr,
 )

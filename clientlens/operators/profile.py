@@ -82,20 +82,19 @@ def accuracy_for(rel_error: float) -> int:
     return max(1, int(round(1.0 / rel_error)))
 
 
-def quartiles(df: DataFrame, col: str, rel_error: float = 0.01) -> Column:
-    """Scalar subquery holding ``[q1, q3]`` of ``col`` (sketch with the given
-    relative rank error, the mergeable form of ``approxQuantile``)."""
-    return df.select(F.percentile_approx(F.col(col).cast("double"), [0.25, 0.75],
-                                         accuracy_for(rel_error))).scalar()
+def _fence_struct(df: DataFrame, col: str, k: float, rel_error: float) -> Column:
+    """One-row aggregate: struct(q1, q3, lower, upper) of ``col``."""
+    q = F.percentile_approx(F.col(col).cast("double"), [0.25, 0.75], accuracy_for(rel_error))
+    q1, q3 = q[0], q[1]
+    return F.struct(q1.alias("q1"), q3.alias("q3"),
+                    (q1 - F.lit(k) * (q3 - q1)).alias("lower"),
+                    (q3 + F.lit(k) * (q3 - q1)).alias("upper"))
 
 
 def iqr_fences(df: DataFrame, col: str, k: float = 1.5, rel_error: float = 0.01) -> DataFrame:
-    """One row: q1, q3, lower = q1 - k*IQR, upper = q3 + k*IQR."""
-    q = F.percentile_approx(F.col(col).cast("double"), [0.25, 0.75], accuracy_for(rel_error))
-    return (df.agg(q.alias("q")).select(
-        F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
-        .withColumns({"lower": F.col("q1") - k * (F.col("q3") - F.col("q1")),
-                      "upper": F.col("q3") + k * (F.col("q3") - F.col("q1"))}))
+    """One row: q1, q3, lower = q1 - k*IQR, upper = q3 + k*IQR (the sketch has
+    relative rank error ``rel_error``, like ``approxQuantile``)."""
+    return df.agg(_fence_struct(df, col, k, rel_error).alias("f")).select("f.*")
 
 
 def winsorize_iqr(df: DataFrame, col: str, out_col: str | None = None, k: float = 1.5,
@@ -103,15 +102,17 @@ def winsorize_iqr(df: DataFrame, col: str, out_col: str | None = None, k: float
     """Clip ``col`` to its IQR fences (result DOUBLE, NULL stays NULL).
 
     The fences come from ``fit_on`` (default: ``df`` itself); pass the training
-    part to keep test rows out of the fit. They are computed by one scalar
-    subquery inside the plan (a one-row aggregate Spark evaluates once and
-    reuses), not pulled to the driver and pasted back as literals.
+    part to keep test rows out of the fit. They are one scalar subquery inside
+    the plan (a one-row sketch aggregate Spark runs once), bound to a struct
+    column so both fences reuse the single evaluation; nothing is pulled to
+    the driver and pasted back as literals, and there is no join.
     """
-    q = quartiles(fit_on if fit_on is not None else df, col, rel_error)
-    q1, q3 = q[0], q[1]
-    lo = q1 - F.lit(k) * (q3 - q1)
-    hi = q3 + F.lit(k) * (q3 - q1)
-    return df.withColumn(out_col or col, winsorized(col, lo, hi))
+    src = fit_on if fit_on is not None else df
+    fences = src.select(_fence_struct(src, col, k, rel_error)).scalar()
+    tmp = "__iqr_fences"
+    return (df.withColumn(tmp, fences)
+            .withColumn(out_col or col, winsorized(col, F.col(f"{tmp}.lower"), F.col(f"{tmp}.upper")))
+            .drop(tmp))
 
 
 def partition_stats(df: DataFrame, num_partitions: int, *keys: str,

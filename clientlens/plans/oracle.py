@@ -172,3 +172,26 @@ BATCH_SQL = {
         FROM lineitem GROUP BY 1 ORDER BY 1""",
     "with_event_time": "SELECT event_id, COALESCE(ts, CAST(now() AS TIMESTAMP)) AS event_time FROM events",
 }
+
+
+def _sliding(window_s: int, slide_s: int, keys: str = "") -> str:
+    n = window_s // slide_s
+    key_sel = f"{keys}, " if keys else ""
+    return f"""
+        WITH w AS (
+            SELECT time_bucket(INTERVAL {slide_s} SECOND, ts, TIMESTAMP '1970-01-01')
+                     - k * INTERVAL {slide_s} SECOND AS window_start,
+                   {key_sel}value
+            FROM events, range({n}) AS r(k))
+        SELECT window_start, window_start + INTERVAL {window_s} SECOND AS window_end,
+               {key_sel}count(*) AS event_count, ROUND(avg(value), 4) AS avg_value
+        FROM w GROUP BY window_start, {key_sel.rstrip(', ') + ', ' if keys else ''}2"""
+
+
+STREAM_SQL = {
+    "stream_group_agg": """
+        SELECT event_type, ROUND(avg(value), 2) AS avg_value, count(*) AS event_count
+        FROM events GROUP BY event_type""",
+    "stream_sliding": _sliding(60, 10),
+    "stream_watermark": _sliding(60, 30, "event_type"),
+}

@@ -6,16 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clientlens.plans import batch
-from clientlens.plans.oracle import BATCH_SQL
+from clientlens.plans import batch, streams
+from clientlens.plans.oracle import BATCH_SQL, STREAM_SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     out.update(batch.QUERIES)
+    out.update(streams.QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    out = dict(BATCH_SQL)
+    out = {**BATCH_SQL, **STREAM_SQL}
     return {k: v for k, v in out.items() if k in queries()}
