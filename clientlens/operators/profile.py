@@ -82,7 +82,7 @@ def accuracy_for(rel_error: float) -> int:
     return max(1, int(round(1.0 / rel_error)))
 
 
-def _fence_struct(df: DataFrame, col: str, k: float, rel_error: float) -> Column:
+def fence_struct(df: DataFrame, col: str, k: float, rel_error: float) -> Column:
     """One-row aggregate: struct(q1, q3, lower, upper) of ``col``."""
     q = F.percentile_approx(F.col(col).cast("double"), [0.25, 0.75], accuracy_for(rel_error))
     q1, q3 = q[0], q[1]
@@ -94,7 +94,7 @@ def _fence_struct(df: DataFrame, col: str, k: float, rel_error: float) -> Column
 def iqr_fences(df: DataFrame, col: str, k: float = 1.5, rel_error: float = 0.01) -> DataFrame:
     """One row: q1, q3, lower = q1 - k*IQR, upper = q3 + k*IQR (the sketch has
     relative rank error ``rel_error``, like ``approxQuantile``)."""
-    return df.agg(_fence_struct(df, col, k, rel_error).alias("f")).select("f.*")
+    return df.agg(fence_struct(df, col, k, rel_error).alias("f")).select("f.*")
 
 
 def winsorize_iqr(df: DataFrame, col: str, out_col: str | None = None, k: float = 1.5,
@@ -108,7 +108,7 @@ def winsorize_iqr(df: DataFrame, col: str, out_col: str | None = None, k: float
     the driver and pasted back as literals, and there is no join.
     """
     src = fit_on if fit_on is not None else df
-    fences = src.select(_fence_struct(src, col, k, rel_error)).scalar()
+    fences = src.select(fence_struct(src, col, k, rel_error)).scalar()
     tmp = "__iqr_fences"
     return (df.withColumn(tmp, fences)
             .withColumn(out_col or col, winsorized(col, F.col(f"{tmp}.lower"), F.col(f"{tmp}.upper")))

@@ -195,3 +195,59 @@ STREAM_SQL = {
     "stream_sliding": _sliding(60, 10),
     "stream_watermark": _sliding(60, 30, "event_type"),
 }
+
+
+_RULES = """
+    SELECT CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS label,
+           CASE WHEN l_discount >= 0.05 THEN 1.0 ELSE 0.0 END AS prediction,
+           l_discount AS score
+    FROM lineitem"""
+
+MODEL_SQL = {
+    "string_index": """
+        WITH c AS (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1),
+             r AS (SELECT o_orderpriority,
+                          CAST(row_number() OVER (ORDER BY n DESC, o_orderpriority) - 1 AS DOUBLE)
+                            AS priority_index
+                   FROM c)
+        SELECT o.o_orderkey, o.o_orderpriority, r.priority_index
+        FROM orders o JOIN r ON o.o_orderpriority = r.o_orderpriority""",
+    "standard_scale": """
+        SELECT l_orderkey, l_linenumber,
+               ROUND(l_quantity / (SELECT stddev_samp(l_quantity) FROM lineitem), 6)
+                 AS quantity_scaled
+        FROM lineitem""",
+    "confusion_matrix": f"""
+        SELECT label, prediction, count(*) AS row_count FROM ({_RULES}) GROUP BY 1, 2""",
+    "class_metrics": f"""
+        WITH p AS ({_RULES}),
+             cls AS (SELECT label AS c FROM p UNION SELECT prediction FROM p),
+             per AS (SELECT c,
+                            (SELECT count(*) FROM p WHERE label = c) AS actual,
+                            (SELECT count(*) FROM p WHERE prediction = c) AS predicted,
+                            (SELECT count(*) FROM p WHERE label = c AND prediction = c) AS tp
+                     FROM cls),
+             m AS (SELECT actual, tp,
+                          CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS pr,
+                          CASE WHEN actual > 0 THEN tp / actual ELSE 0.0 END AS rc
+                   FROM per)
+        SELECT ROUND(sum(tp) / sum(actual), 6) AS accuracy,
+               ROUND(sum(actual * pr) / sum(actual), 6) AS weighted_precision,
+               ROUND(sum(actual * rc) / sum(actual), 6) AS weighted_recall,
+               ROUND(sum(actual * CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END)
+                     / sum(actual), 6) AS weighted_f1
+        FROM m""",
+    "binary_metrics": f"""
+        WITH p AS ({_RULES}),
+             r AS (SELECT label,
+                          (2 * rank() OVER (ORDER BY score)
+                           + count(*) OVER (PARTITION BY score) - 1) / 2.0 AS midrank
+                   FROM p),
+             s AS (SELECT count(*) FILTER (WHERE label = 1.0) AS pos,
+                          count(*) FILTER (WHERE label = 0.0) AS neg,
+                          sum(midrank) FILTER (WHERE label = 1.0) AS rank_sum
+                   FROM r)
+        SELECT ROUND((rank_sum - pos * (pos + 1) / 2.0) / (CAST(pos AS DOUBLE) * neg), 6) AS auc_roc,
+               pos AS positives, neg AS negatives
+        FROM s""",
+}
