@@ -251,3 +251,19 @@ MODEL_SQL = {
                pos AS positives, neg AS negatives
         FROM s""",
 }
+
+
+IO_SQL = {
+    "write_chunks": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, o_orderdate
+        FROM orders""",
+    "clean_rows": """
+        SELECT o_orderpriority, ROUND(avg(o_totalprice), 2) AS avg_totalprice,
+               count(*) AS row_count
+        FROM orders WHERE o_totalprice IS NOT NULL GROUP BY o_orderpriority""",
+    "ingest_table": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
+    "write_tsv": """
+        SELECT c_mktsegment, ROUND(avg(c_acctbal), 2) AS avg_acctbal, count(*) AS client_count
+        FROM customer WHERE c_acctbal IS NOT NULL GROUP BY c_mktsegment""",
+}
