@@ -54,12 +54,9 @@ def client_schema() -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in CLIENT_COLUMNS])
 
 
-def client_text_schema(corrupt_col: str | None = None) -> T.StructType:
+def client_text_schema() -> T.StructType:
     """All-STRING variant for raw ingest where numbers may not parse."""
-    fields = [T.StructField(n, T.StringType(), True) for n, _ in CLIENT_COLUMNS]
-    if corrupt_col:
-        fields.append(T.StructField(corrupt_col, T.StringType(), True))
-    return T.StructType(fields)
+    return T.StructType([T.StructField(n, T.StringType(), True) for n, _ in CLIENT_COLUMNS])
 
 
 def stream_schema() -> T.StructType:

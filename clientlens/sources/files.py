@@ -3,6 +3,8 @@ chunked and tab-separated writers."""
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql import types as T
 from clientlens.functions.columns import parse_double
 from clientlens.schema import client_schema, client_text_schema
 
-CORRUPT_COL = "_corrupt_record"
+FIELD_COUNT_COL = "_n_fields"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,32 +35,38 @@ def load_clients(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.format(fmt).load(path)
 
 
-def read_raw_rows(spark: SparkSession, path: str, n_fields: int = 17,
-                  schema: T.StructType | None = None, header: bool = True) -> DataFrame:
-    """Raw delimited rows, every field as STRING, plus the parser's
-    corrupt-record column (set when a row has too few or too many fields)."""
-    schema = schema or client_text_schema(CORRUPT_COL)
-    if CORRUPT_COL not in schema.fieldNames():
-        schema = T.StructType(schema.fields + [T.StructField(CORRUPT_COL, T.StringType())])
-    return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT_COL).csv(path))
+def read_raw_rows(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                  header: bool = True, sep: str = ",") -> DataFrame:
+    """Raw delimited rows, every field as STRING, plus ``_n_fields``: the
+    number of fields on the line (delimiters inside quotes do not count).
+
+    Lines are read as text and parsed with ``from_csv``, so the field count is
+    known for every line whatever columns a later step prunes.
+    """
+    schema = schema or client_text_schema()
+    lines = spark.read.text(path)
+    if header:
+        lines = lines.where(F.col("value") != sep.join(schema.fieldNames()))
+    unquoted = F.regexp_replace("value", '"[^"]*"', "")
+    n_fields = F.when(F.col("value") == "", 0).otherwise(F.size(F.split(unquoted, re.escape(sep))))
+    ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
+    parsed = F.from_csv(F.col("value"), ddl, {"sep": sep, "mode": "PERMISSIVE"})
+    return lines.select(n_fields.alias(FIELD_COUNT_COL), parsed.alias("r")).select(
+        FIELD_COUNT_COL, "r.*")
 
 
 def clean_rows(raw: DataFrame, n_fields: int | None = None) -> DataFrame:
     """Drop short rows and trim every field (the mappers' ingest rules).
 
-    A short row is one the parser flags as corrupt *and* whose last field is
-    missing; a row with extra fields is kept, like the mappers keep it.
+    A row is short when it has fewer fields than the schema (or
+    ``n_fields``); a row with extra fields is kept, as the mappers keep it.
     Numbers stay text: parse them per metric with ``metric_rows`` so a bad
     balance only removes the row from balance metrics.
     """
-    fields = [c for c in raw.columns if c != CORRUPT_COL]
-    if n_fields is not None:
-        fields = fields[:n_fields]
-    last = fields[-1]
-    keep = ~(F.col(CORRUPT_COL).isNotNull() & F.col(last).isNull()) \
-        if CORRUPT_COL in raw.columns else F.lit(True)
-    return raw.where(keep).select(*[F.trim(F.col(c)).alias(c) for c in fields])
+    fields = [c for c in raw.columns if c != FIELD_COUNT_COL]
+    need = n_fields or len(fields)
+    return (raw.where(F.col(FIELD_COUNT_COL) >= need)
+            .select(*[F.trim(F.col(c)).alias(c) for c in fields]))
 
 
 def metric_rows(clean: DataFrame, numeric: Sequence[str], keep: Sequence[str] = (),

@@ -91,13 +91,15 @@ def stream_watermark(stream: DataFrame, ts: str, key: str, value: str,
                         window, slide, watermark, keys=[key])
 
 
-def versioned_batch_writer(path: str, fmt: str = "parquet",
-                           skip_empty: bool = True) -> Callable[[DataFrame, int], None]:
+def versioned_batch_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing micro-batch N to ``path/batch_id=N``
-    (overwrite, hence idempotent on replay). Empty batches write nothing."""
+    (overwrite, hence idempotent on replay).
+
+    Exactly one action per batch: every action on the batch frame re-runs
+    the stateful plan, so an emptiness check before the write would double
+    the work; an empty batch simply writes no rows.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        if skip_empty and batch.isEmpty():
-            return
         batch.write.mode("overwrite").format(fmt).save(f"{path}/{BATCH_COL}={batch_id}")
     return write
 
