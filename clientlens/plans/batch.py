@@ -217,15 +217,16 @@ def above_avg_by_group(spark, sf_dir):
 
 
 def sql_view_agg(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem").withColumn("age_group", fn.age_group("l_quantity"))
-    li.createOrReplaceTempView("lineitem_by_age_group")
+    """SQL text over a temp view, banding with the registered SQL function."""
+    read_table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem_view")
+    fn.register_sql_functions(spark)
     return spark.sql("""
-        SELECT age_group,
+        SELECT age_group(l_quantity) AS age_group,
                COUNT(*) AS row_count,
                ROUND(AVG(l_extendedprice), 2) AS avg_extendedprice
-        FROM lineitem_by_age_group
-        GROUP BY age_group
-        ORDER BY age_group
+        FROM lineitem_view
+        GROUP BY 1
+        ORDER BY 1
     """)
 
 

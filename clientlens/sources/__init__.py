@@ -1,4 +1,4 @@
 from clientlens.sources.files import (  # noqa: F401
     FIELD_COUNT_COL, clean_rows, ingest_table, load_clients, metric_rows, read_raw_rows,
-    read_table, write_chunks, write_tsv,
+    read_table, register_csv_table, write_chunks, write_tsv,
 )

@@ -81,14 +81,31 @@ def metric_rows(clean: DataFrame, numeric: Sequence[str], keep: Sequence[str] =
     return out.where(cond)
 
 
+def register_csv_table(spark: SparkSession, table: str, path: str,
+                       schema: T.StructType | None = None, header: bool = True,
+                       sep: str = ",") -> DataFrame:
+    """A catalog table over delimited text files with the header line
+    skipped (``CREATE TABLE ... USING csv``); the files stay where they are."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                     for f in (schema or client_schema()).fields)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({cols}) USING csv "
+              f"OPTIONS (path '{path}', header '{str(header).lower()}', sep '{sep}')")
+    return spark.table(table)
+
+
 def ingest_table(df: DataFrame, table: str, database: str | None = None,
-                 mode: str = "append", path: str | None = None) -> DataFrame:
+                 mode: str = "append", path: str | None = None,
+                 use: bool = False) -> DataFrame:
     """Create the database if needed and append ``df`` to a catalog table
-    (the source files stay in place). Returns the table as a DataFrame."""
+    (the source files stay in place). ``use`` makes the database current.
+    Returns the table as a DataFrame."""
     spark = df.sparkSession
     name = table
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        if use:
+            spark.catalog.setCurrentDatabase(database)
         name = f"`{database}`.`{table}`"
     writer = df.write.mode(mode).format("parquet")
     if path:

@@ -104,6 +104,22 @@ def versioned_batch_writer(path: str, fmt: str = "parquet") -> Callable[[DataFra
     return write
 
 
+def nonempty_batches(fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Wrap a ``foreachBatch`` function so empty micro-batches are skipped.
+
+    The batch is persisted first: the emptiness check and ``fn`` then share
+    one evaluation of the micro-batch plan instead of running it twice.
+    """
+    def wrapped(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                fn(batch, batch_id)
+        finally:
+            batch.unpersist()
+    return wrapped
+
+
 def start_stream(df: DataFrame, name: str, output_mode: str = "append",
                  sink: str | Callable[[DataFrame, int], None] = "parquet",
                  path: str | None = None, checkpoint: str | None = None,

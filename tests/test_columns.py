@@ -66,3 +66,17 @@ def test_native_expressions_no_python_udf(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert F is not None
+
+
+def test_sql_functions_equal_column_functions(spark):
+    from clientlens.functions import register_sql_functions
+    register_sql_functions(spark)
+    df = spark.createDataFrame([(a, m) for a, m in
+                                [(29.0, "jan"), (30.0, "may"), (60.0, "xyz"), (61.0, "dec"),
+                                 (None, None), (104.0, "oct")]], "age double, month string")
+    df.createOrReplaceTempView("fn_t")
+    sql = spark.sql("SELECT age_group(age), age_band5(age), decade_band(age), "
+                    "month_quarter(month), month_ordinal(month) FROM fn_t").collect()
+    cols = df.select(fn.age_group("age"), fn.band5("age"), fn.decade("age"),
+                     fn.quarter_of("month"), fn.month_ordinal("month")).collect()
+    assert [tuple(r) for r in sql] == [tuple(r) for r in cols]

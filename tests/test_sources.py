@@ -7,7 +7,8 @@ from clientlens import operators as ops
 from clientlens.functions import parse_int
 from clientlens.schema import client_schema
 from clientlens.sources import (
-    clean_rows, ingest_table, load_clients, metric_rows, read_raw_rows, write_chunks, write_tsv,
+    clean_rows, ingest_table, load_clients, metric_rows, read_raw_rows, register_csv_table,
+    write_chunks, write_tsv,
 )
 
 HEADER = ("age,job,marital,education,default,balance,housing,loan,contact,day,month,"
@@ -83,3 +84,20 @@ def test_ingest_table_appends(spark, tmp_dir):
     ingest_table(df, "clients_t", "bankdb")
     t = ingest_table(df, "clients_t", "bankdb")
     assert t.count() == 4
+
+
+def test_register_csv_table_skips_header(spark, tmp_dir):
+    t = register_csv_table(spark, "bank_csv", _write_csv(tmp_dir))
+    assert t.count() == 5 and t.schema == client_schema()
+    assert spark.sql("SELECT count(*) FROM bank_csv WHERE job = 'admin.'").collect()[0][0] == 3
+
+
+def test_ingest_table_use_database(spark, tmp_dir):
+    df = spark.createDataFrame([(1,)], "x int")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS usedb LOCATION '{tmp_dir}/usedb'")
+    ingest_table(df, "t1", "usedb", use=True)
+    try:
+        assert spark.catalog.currentDatabase() == "usedb"
+        assert spark.table("t1").count() == 1
+    finally:
+        spark.catalog.setCurrentDatabase("default")

@@ -87,3 +87,34 @@ def test_event_time_from_ntz(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 5),)], "ts timestamp_ntz")
     out = st.event_time(df, "ts")
     assert out.schema["event_time"].dataType == T.TimestampType()
+
+
+def test_missing_event_time_column_defaults_to_now(spark, tmp_dir):
+    from clientlens.schema import stream_schema
+    folder = os.path.join(tmp_dir, "noet")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "c1.csv"), "w") as f:
+        f.write("35,admin.,married,secondary,no,1200,yes,no,cellular,5,may,120,1,-1,0,unknown,no\n")
+    stream = st.stream_source(spark, folder, stream_schema(), "csv")
+    with_ts = st.event_time(stream, "event_time")
+    got = st.run_append(with_ts.select("job", "event_time"), "noet")
+    rows = got.collect()
+    assert len(rows) == 1 and rows[0]["event_time"] is not None
+
+
+def test_memory_sink_and_concurrent_queries(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "conc")
+    _write_files(folder, [("2024-01-01 00:00:01", "a", 1), ("2024-01-01 00:00:02", "b", 2)])
+    stream = st.stream_source(spark, folder, LATE_SCHEMA, "csv")
+    q1 = st.start_stream(st.stream_group_agg(stream, "job", {"n": F.count(F.lit(1))}),
+                         "job_counts_mem", "complete", "memory", trigger={"availableNow": True})
+    seen = []
+    q2 = st.start_stream(stream, "batches_cb", "append",
+                         st.nonempty_batches(lambda b, i: seen.append((i, b.count()))),
+                         trigger={"availableNow": True})
+    for q in (q1, q2):
+        q.awaitTermination(120)
+    rows = spark.sql("SELECT * FROM job_counts_mem ORDER BY job").collect()
+    assert [(r["job"], r["n"]) for r in rows] == [("a", 1), ("b", 1)]
+    assert sum(n for _, n in seen) == 2 and all(n > 0 for _, n in seen)
+    q1.stop()
