@@ -205,14 +205,18 @@ def pivot_counts(df: DataFrame, index: str, column: str,
                  values: Sequence | None = None) -> DataFrame:
     """Counts of ``index`` x ``column`` as a wide table, missing cells 0.
 
-    Pass ``values`` for a stable schema and one pass; without them Spark runs
-    a distinct job first (bounded by ``spark.sql.pivotMaxValues``).
+    With ``values`` this is one aggregation of conditional counts (one
+    shuffle, stable schema); ``groupBy().pivot()`` would plan two
+    aggregations. Without them Spark's pivot first runs a distinct job to
+    find the values (bounded by ``spark.sql.pivotMaxValues``).
     """
-    grouped = df.groupBy(index)
-    piv = grouped.pivot(column, list(values)) if values is not None else grouped.pivot(column)
-    out = piv.count()
-    value_cols = [c for c in out.columns if c != index]
-    return out.fillna(0, subset=value_cols).orderBy(index)
+    if values is None:
+        out = df.groupBy(index).pivot(column).count()
+        value_cols = [c for c in out.columns if c != index]
+        return out.fillna(0, subset=value_cols).orderBy(index)
+    return (df.groupBy(index)
+            .agg(*[F.count_if(F.col(column) == F.lit(v)).alias(str(v)) for v in values])
+            .orderBy(index))
 
 
 def band_stats(df: DataFrame, band: Column, value: str, band_name: str = "band",
