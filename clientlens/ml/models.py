@@ -21,15 +21,20 @@ def random_forest(num_trees: int = 100, max_depth: int = 5, seed: int = 42) -> R
                                   numTrees=num_trees, maxDepth=max_depth, seed=seed)
 
 
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Round-robin the rows into ``partitions`` when the input has fewer, so
+    every core computes tree statistics (a large input already has enough
+    partitions and is left as it is: no extra shuffle)."""
+    if partitions and df.rdd.getNumPartitions() < partitions:
+        return df.repartition(partitions)
+    return df
+
+
 def train_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
              label_col: str = "y", num_trees: int = 100, max_depth: int = 5,
              seed: int = 42, partitions: int | None = None) -> tuple[PipelineModel, float]:
-    """Fit the full pipeline; returns the model and the fit wall time (s).
-
-    ``partitions`` spreads the training rows evenly first (round-robin), so
-    every executor core computes tree statistics.
-    """
-    data = train.repartition(partitions) if partitions else train
+    """Fit the full pipeline; returns the model and the fit wall time (s)."""
+    data = spread(train, partitions)
     pipe = feature_pipeline(cat_cols, num_cols, label_col, random_forest(num_trees, max_depth, seed))
     t0 = time.time()
     model = pipe.fit(data)
@@ -45,7 +50,7 @@ def auc_evaluator(raw_col: str = "rawPrediction") -> BinaryClassificationEvaluat
 def tune_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
             label_col: str = "y", num_trees: Sequence[int] = (50, 100),
             max_depth: Sequence[int] = (4, 6), folds: int = 3, seed: int = 42,
-            parallelism: int = 4) -> CrossValidatorModel:
+            parallelism: int = 4, partitions: int | None = None) -> CrossValidatorModel:
     """Grid search with k-fold cross validation on AUC. The whole pipeline
     (indexers, scaler) is refitted inside each fold, so no fold sees
     statistics of its validation rows; grid points train in parallel."""
@@ -55,7 +60,7 @@ def tune_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
             .addGrid(rf.maxDepth, list(max_depth)).build())
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=auc_evaluator(),
                         numFolds=folds, seed=seed, parallelism=parallelism)
-    return cv.fit(train)
+    return cv.fit(spread(train, partitions))
 
 
 def grid_results(spark: SparkSession, cv_model: CrossValidatorModel) -> DataFrame:

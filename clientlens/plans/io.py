@@ -68,7 +68,17 @@ def write_tsv_plan(spark, sf_dir):
     return spark.read.schema(agg.schema).option("sep", "\t").csv(path)
 
 
+def load_clients_plan(spark, sf_dir):
+    """Customers written as headed CSV, read back with an explicit schema
+    (no inference pass over the data)."""
+    cu = read_table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "csv", "customer")
+    cu.write.option("header", True).csv(path)
+    return load_clients(spark, path, cu.schema)
+
+
 QUERIES = {
+    "load_clients": load_clients_plan,
     "write_chunks": write_chunks_plan,
     "clean_rows": clean_rows_plan,
     "ingest_table": ingest_table_plan,

@@ -115,7 +115,8 @@ def score_clients(spark, sf_dir):
 
 def tune_rf(spark, sf_dir):
     train, _ = split_prepared(spark, sf_dir)
-    cv = ml.tune_rf(train, CAT_COLS, NUM_COLS, "y", folds=3, seed=42, parallelism=4)
+    cv = ml.tune_rf(train, CAT_COLS, NUM_COLS, "y", folds=3, seed=42, parallelism=4,
+                    partitions=spark.sparkContext.defaultParallelism)
     return ml.grid_results(spark, cv)
 
 

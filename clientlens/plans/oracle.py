@@ -189,6 +189,7 @@ def _sliding(window_s: int, slide_s: int, keys: str = "") -> str:
 
 
 STREAM_SQL = {
+    "stream_source": "SELECT * FROM events",
     "stream_group_agg": """
         SELECT event_type, ROUND(avg(value), 2) AS avg_value, count(*) AS event_count
         FROM events GROUP BY event_type""",
@@ -254,6 +255,7 @@ MODEL_SQL = {
 
 
 IO_SQL = {
+    "load_clients": "SELECT * FROM customer",
     "write_chunks": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, o_orderdate
         FROM orders""",

@@ -50,7 +50,14 @@ def stream_watermark(spark, sf_dir):
     return _as_ntz(out, "window_start", "window_end")
 
 
+def stream_source(spark, sf_dir):
+    """The events files read as a stream (one file per trigger) and passed
+    through to a file sink unchanged."""
+    return st.run_append(_events_stream(spark, sf_dir), "stream_source")
+
+
 QUERIES = {
+    "stream_source": stream_source,
     "stream_group_agg": stream_group_agg,
     "stream_sliding": stream_sliding,
     "stream_watermark": stream_watermark,

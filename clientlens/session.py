@@ -41,6 +41,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a cluster job over ``input_bytes`` of input.
+
+    Scan splits and post-shuffle partitions aim at ``target_partition_bytes``
+    (fits comfortably in executor memory, no spill for the aggregations here);
+    the initial shuffle partition count is at least two waves of the cores
+    and at least input / target, and AQE then coalesces small partitions and
+    splits skewed ones at runtime. Example: 100 TB (10^14 bytes) on 8,000
+    cores gives 372,530 initial shuffle partitions of 256 MiB.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **SCALE_CONF,
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # keep broadcast decisions to sides whose size Spark has measured
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; only when the session has none
     (local tests) is a scratch folder created and registered."""

@@ -80,3 +80,11 @@ def test_sql_functions_equal_column_functions(spark):
     cols = df.select(fn.age_group("age"), fn.band5("age"), fn.decade("age"),
                      fn.quarter_of("month"), fn.month_ordinal("month")).collect()
     assert [tuple(r) for r in sql] == [tuple(r) for r in cols]
+
+
+def test_cluster_conf_sizes_partitions():
+    from clientlens.session import cluster_conf
+    conf = cluster_conf(100 * 10 ** 12, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == -(-100 * 10 ** 12 // (256 << 20))
+    assert cluster_conf(10 << 20, 64)["spark.sql.shuffle.partitions"] == "128"
+    assert conf["spark.sql.adaptive.enabled"] == "true"
