@@ -123,7 +123,8 @@ def tune_rf(spark, sf_dir):
 def feature_importance(spark, sf_dir):
     model, _ = fitted_model(spark, sf_dir)
     train, _ = split_prepared(spark, sf_dir)
-    return ml.feature_importance(model, model.transform(train.limit(0)), top=10)
+    # transform() is lazy: only the output schema (slot metadata) is used
+    return ml.feature_importance(model, model.transform(train), top=10)
 
 
 def stream_score(spark, sf_dir):

@@ -149,9 +149,10 @@ BATCH_SQL = {
                    FROM events),
              f AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
         SELECT event_id, value,
-               CASE WHEN value < lo THEN lo WHEN value > hi THEN hi ELSE value END
-                 AS value_clipped
-        FROM events, f""",
+               CASE WHEN value < (SELECT lo FROM f) THEN (SELECT lo FROM f)
+                    WHEN value > (SELECT hi FROM f) THEN (SELECT hi FROM f)
+                    ELSE value END AS value_clipped
+        FROM events""",
     "replace_sentinel": """
         SELECT o_orderkey, CAST(CASE WHEN g = -1 THEN 0 ELSE g END AS INTEGER) AS contact_gap
         FROM (SELECT o_orderkey,
