@@ -2,7 +2,8 @@
 
 They are SQL-bodied temporary functions: Catalyst inlines the body into the
 plan like any built-in expression (no Python worker, codegen intact),
-unlike a registered Python UDF.
+unlike a registered Python UDF. Spark does not accept a SQL function
+directly in ``ORDER BY``: select it as a column and sort on that column.
 """
 
 from __future__ import annotations
