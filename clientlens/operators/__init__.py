@@ -9,3 +9,4 @@ from clientlens.operators.profile import (  # noqa: F401
     corr, describe_numeric, iqr_fences, null_counts, partition_stats, preview,
     spread_by_group, total_count, winsorize_iqr,
 )
+from clientlens.operators.quantiles import exact_quantiles  # noqa: F401,E402

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from clientlens.functions.columns import winsorized
 from clientlens.operators.groups import Cols, _keys, _rounded
+from clientlens.operators.quantiles import exact_quantiles
 
 
 def total_count(df: DataFrame, name: str = "total_rows") -> DataFrame:
@@ -91,27 +92,49 @@ def fence_struct(df: DataFrame, col: str, k: float, rel_error: float) -> Column:
                     (q3 + F.lit(k) * (q3 - q1)).alias("upper"))
 
 
-def iqr_fences(df: DataFrame, col: str, k: float = 1.5, rel_error: float = 0.01) -> DataFrame:
-    """One row: q1, q3, lower = q1 - k*IQR, upper = q3 + k*IQR (the sketch has
-    relative rank error ``rel_error``, like ``approxQuantile``)."""
+def iqr_fences(df: DataFrame, col: str, k: float = 1.5, rel_error: float = 0.01,
+               exact: bool = False) -> DataFrame:
+    """One row: q1, q3, lower = q1 - k*IQR, upper = q3 + k*IQR. The quartiles
+    come from a sketch with relative rank error ``rel_error`` (like
+    ``approxQuantile``), or are exact with ``exact=True``."""
+    if exact:
+        q1, q3 = exact_quantiles(df, col, [0.25, 0.75])
+        return df.sparkSession.range(1).select(*[
+            F.lit(x).cast("double").alias(n) for n, x in
+            _fences(q1, q3, k).items()])
     return df.agg(fence_struct(df, col, k, rel_error).alias("f")).select("f.*")
 
 
+def _fences(q1: float | None, q3: float | None, k: float) -> dict[str, float | None]:
+    if q1 is None or q3 is None:
+        return {"q1": None, "q3": None, "lower": None, "upper": None}
+    return {"q1": q1, "q3": q3, "lower": q1 - k * (q3 - q1), "upper": q3 + k * (q3 - q1)}
+
+
 def winsorize_iqr(df: DataFrame, col: str, out_col: str | None = None, k: float = 1.5,
-                  rel_error: float = 0.01, fit_on: DataFrame | None = None) -> DataFrame:
+                  rel_error: float = 0.01, fit_on: DataFrame | None = None,
+                  exact: bool = False) -> DataFrame:
     """Clip ``col`` to its IQR fences (result DOUBLE, NULL stays NULL).
 
     The fences come from ``fit_on`` (default: ``df`` itself); pass the training
-    part to keep test rows out of the fit. They are one scalar subquery inside
-    the plan (a one-row sketch aggregate Spark runs once), bound to a struct
-    column so both fences reuse the single evaluation; nothing is pulled to
-    the driver and pasted back as literals, and there is no join.
+    part to keep test rows out of the fit. By default they are one scalar
+    subquery inside the plan (a one-row sketch aggregate Spark runs once),
+    bound to a struct column so both fences reuse the single evaluation;
+    nothing is pulled to the driver and there is no join. ``exact=True``
+    computes exact quartiles first (``exact_quantiles``: a few aggregate
+    passes, scale-safe) and clips with them as constants.
     """
     src = fit_on if fit_on is not None else df
+    target = out_col or col
+    if exact:
+        f = _fences(*exact_quantiles(src, col, [0.25, 0.75]), k)
+        lo = F.lit(f["lower"]).cast("double")
+        hi = F.lit(f["upper"]).cast("double")
+        return df.withColumn(target, winsorized(col, lo, hi))
     fences = src.select(fence_struct(src, col, k, rel_error)).scalar()
     tmp = "__iqr_fences"
     return (df.withColumn(tmp, fences)
-            .withColumn(out_col or col, winsorized(col, F.col(f"{tmp}.lower"), F.col(f"{tmp}.upper")))
+            .withColumn(target, winsorized(col, F.col(f"{tmp}.lower"), F.col(f"{tmp}.upper")))
             .drop(tmp))
 
 

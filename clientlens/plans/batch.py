@@ -186,14 +186,11 @@ def global_metrics(spark, sf_dir):
 
 
 def winsorize_iqr(spark, sf_dir):
+    """Clip event values to IQR fences from exact quartiles (a few coarse
+    sketch passes, scale-safe); the API default is the reference's sketch
+    with rank error 0.01."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "value")
-    return ops.winsorize_iqr(ev, "value", "value_clipped", rel_error=WINSOR_REL_ERROR)
-
-
-# The fixture clips with a fine sketch (rank error 1e-6) so the fences equal
-# the exact quartiles the SQL oracle computes; the API default is the
-# reference's 0.01.
-WINSOR_REL_ERROR = 1e-6
+    return ops.winsorize_iqr(ev, "value", "value_clipped", exact=True)
 
 
 def replace_sentinel(spark, sf_dir):

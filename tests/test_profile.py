@@ -57,3 +57,39 @@ def test_corr_and_count(spark):
     assert ops.total_count(df).collect()[0][0] == 3
     assert ops.preview(df, 2, ["a"]).count() == 2
     assert F is not None
+
+
+def _brute(values, p):
+    xs = sorted(x for x in values if x is not None and x == x)
+    return xs[max(1, min(len(xs), math.ceil(p * len(xs)))) - 1] if xs else None
+
+
+def test_exact_quantiles_iterative_matches_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    values = [rnd.gauss(0, 1) for _ in range(3000)] + [float(round(rnd.random() * 5)) for _ in range(2000)]
+    values += [1.0] * 1500 + [None] * 10 + [float("nan")]
+    df = spark.createDataFrame([(x,) for x in values], "x double").repartition(5)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = ops.exact_quantiles(df, "x", probs, max_exact=40)  # force the bracketing passes
+    assert got == [_brute(values, p) for p in probs]
+    assert ops.exact_quantiles(df, "x", probs) == got  # small column: one sort
+
+
+def test_exact_quantiles_heavy_ties_and_empty(spark):
+    values = [5.0] * 800 + [7.0] * 700 + [6.0]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    probs = [0.3, 0.5333, 0.534, 0.6, 1.0]
+    assert ops.exact_quantiles(df, "x", probs, max_exact=10) == [_brute(values, p) for p in probs]
+    empty = spark.createDataFrame([(None,)], "x double")
+    assert ops.exact_quantiles(empty, "x", [0.5]) == [None]
+
+
+def test_exact_winsorize_fences(spark):
+    vals = [float(x) for x in range(1, 101)] + [1000.0]
+    df = spark.createDataFrame([(v,) for v in vals], "b double")
+    f = ops.iqr_fences(df, "b", exact=True).collect()[0]
+    q1, q3 = _brute(vals, 0.25), _brute(vals, 0.75)
+    assert (f["q1"], f["q3"]) == (q1, q3) and f["upper"] == q3 + 1.5 * (q3 - q1)
+    out = {r["b"]: r["c"] for r in ops.winsorize_iqr(df, "b", "c", exact=True).collect()}
+    assert out[1000.0] == f["upper"] and out[50.0] == 50.0
