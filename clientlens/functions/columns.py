@@ -86,6 +86,27 @@ def replace_sentinel(c: str | Column, sentinel=PDAYS_NEVER, value=0) -> Column:
     return F.when(x == sentinel, F.lit(value)).otherwise(x)
 
 
+def fixed_point_mean(c: str | Column, scale: int = 2, digits: int = 2) -> Column:
+    """Mean of a column whose values carry ``scale`` decimals (money in
+    cents, integer counts with ``scale=0``), rounded half away from zero to
+    ``digits`` decimals (``digits >= scale``).
+
+    The values are summed exactly as integers, so the result is the same bit
+    pattern whatever order rows are added in: any partition layout, any
+    engine. A float mean differs in its last bits with the summation order,
+    and a decimal tie such as 27.72125 is not representable in binary, so
+    two engines can round it differently. Here the tie becomes an exact
+    binary .5, which every engine rounds the same way. Exact while
+    ``|sum| * 10^(digits - scale) < 2^53``.
+    """
+    if digits < scale:
+        raise ValueError("digits must be >= scale")
+    units = F.round(_col(c) * F.lit(float(10 ** scale))).cast("bigint")
+    shifted = F.sum(units).cast("double") * F.lit(float(10 ** (digits - scale)))
+    q = F.try_divide(shifted, F.count(units).cast("double"))
+    return F.round(q, 0) / F.lit(float(10 ** digits))
+
+
 def indicator(cond: Column) -> Column:
     """1 when ``cond`` holds, else 0 (NULL condition counts as 0)."""
     return F.when(cond, 1).otherwise(0)

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientlens.functions.columns import month_ordinal, percent, quarter_of
+from clientlens.functions.columns import fixed_point_mean, month_ordinal, percent, quarter_of
 from clientlens.schema import MONTHS
 
 Cols = str | Sequence[str]
@@ -32,6 +32,15 @@ def _rounded(c: Column, digits: int | None) -> Column:
     return c if digits is None else F.round(c, digits)
 
 
+def mean(value: str, digits: int | None = 2, scale: int | None = None) -> Column:
+    """Mean of ``value`` rounded to ``digits``. Give ``scale`` (the fixed
+    number of decimals the values carry, e.g. 2 for money) to sum exactly in
+    integer units: the result is then identical in every engine and layout."""
+    if scale is not None and digits is not None:
+        return fixed_point_mean(value, scale, digits)
+    return _rounded(F.avg(value), digits)
+
+
 def count_by(df: DataFrame, keys: Cols, name: str = "count",
              order_by_count: bool = False) -> DataFrame:
     """Row count per group (MR-2 two-key count, counts by derived category)."""
@@ -44,7 +53,8 @@ def count_by(df: DataFrame, keys: Cols, name: str = "count",
 
 def avg_by_group(df: DataFrame, keys: Cols, value: str, name: str | None = None,
                  count_name: str | None = "count", digits: int | None = 2,
-                 descending: bool = True, skip_null: bool = True) -> DataFrame:
+                 descending: bool = True, skip_null: bool = True,
+                 scale: int | None = None) -> DataFrame:
     """Mean of ``value`` per group (+ row count), sorted by the mean.
 
     ``skip_null`` drops rows whose value is NULL before grouping, so the count
@@ -54,7 +64,7 @@ def avg_by_group(df: DataFrame, keys: Cols, value: str, name: str | None = None,
     ks = _keys(keys)
     name = name or f"avg_{value}"
     src = df.where(F.col(value).isNotNull()) if skip_null else df
-    aggs = [_rounded(F.avg(value), digits).alias(name)]
+    aggs = [mean(value, digits, scale).alias(name)]
     if count_name:
         aggs.append(F.count(F.lit(1)).alias(count_name))
     order = F.desc_nulls_last(name) if descending else F.asc_nulls_last(name)
@@ -64,7 +74,7 @@ def avg_by_group(df: DataFrame, keys: Cols, value: str, name: str | None = None,
 def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str,
                         avg_name: str | None = None, median_name: str | None = None,
                         count_name: str | None = None, digits: int | None = 2,
-                        accuracy: int = 10000) -> DataFrame:
+                        accuracy: int = 10000, scale: int | None = None) -> DataFrame:
     """Mean of one column and approximate median of another per group.
 
     The median is ``percentile_approx`` (a mergeable quantile sketch with
@@ -74,7 +84,7 @@ def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str
     ks = _keys(keys)
     avg_name = avg_name or f"avg_{avg_col}"
     median_name = median_name or f"median_{median_col}"
-    aggs = [_rounded(F.avg(avg_col), digits).alias(avg_name),
+    aggs = [mean(avg_col, digits, scale).alias(avg_name),
             F.percentile_approx(median_col, 0.5, accuracy).alias(median_name)]
     if count_name:
         aggs.append(F.count(F.lit(1)).alias(count_name))
@@ -127,13 +137,13 @@ def topk_rate(df: DataFrame, keys: Cols, hit: Column, k: int = 3, **names) -> Da
 
 def topk_avg_with_rate(df: DataFrame, keys: Cols, value: str, hit: Column, k: int = 5,
                        avg_name: str | None = None, rate_name: str = "rate_pct",
-                       digits: int | None = 2) -> DataFrame:
+                       digits: int | None = 2, scale: int | None = None) -> DataFrame:
     """Top-k groups by mean ``value``, each with its hit rate."""
     ks = _keys(keys)
     avg_name = avg_name or f"avg_{value}"
     total = F.count(F.lit(1))
     out = df.groupBy(*ks).agg(
-        _rounded(F.avg(value), digits).alias(avg_name),
+        mean(value, digits, scale).alias(avg_name),
         percent(F.count_if(hit), total, digits).alias(rate_name))
     return top_k(out, k, F.desc_nulls_last(avg_name), *ks)
 
@@ -180,11 +190,11 @@ def month_quarter(df: DataFrame, month: str) -> DataFrame:
 
 
 def avg_by_quarter(df: DataFrame, month: str, value: str, name: str | None = None,
-                   digits: int | None = 2) -> DataFrame:
+                   digits: int | None = 2, scale: int | None = None) -> DataFrame:
     """Mean ``value`` per calendar quarter derived from a month name."""
     name = name or f"avg_{value}"
     return (df.groupBy(quarter_of(month).alias("quarter"))
-            .agg(_rounded(F.avg(value), digits).alias(name))
+            .agg(mean(value, digits, scale).alias(name))
             .orderBy(F.asc_nulls_first("quarter")))
 
 
@@ -222,7 +232,7 @@ def pivot_counts(df: DataFrame, index: str, column: str,
 def band_stats(df: DataFrame, band: Column, value: str, band_name: str = "band",
                avg_name: str | None = None, count_name: str = "count",
                min_name: str | None = None, max_name: str | None = None,
-               digits: int | None = 2) -> DataFrame:
+               digits: int | None = 2, scale: int | None = None) -> DataFrame:
     """Mean, count, min and max of ``value`` per derived band, sorted by band
     label as text (``"100s"`` sorts before ``"20s"``). Rows whose band or
     value is NULL (unparsable input) are skipped."""
@@ -232,7 +242,7 @@ def band_stats(df: DataFrame, band: Column, value: str, band_name: str = "band",
     return (df.select(band.alias(band_name), F.col(value))
             .where(F.col(band_name).isNotNull() & F.col(value).isNotNull())
             .groupBy(band_name)
-            .agg(_rounded(F.avg(value), digits).alias(avg_name),
+            .agg(mean(value, digits, scale).alias(avg_name),
                  F.count(F.lit(1)).alias(count_name),
                  F.min(value).alias(min_name), F.max(value).alias(max_name))
             .orderBy(band_name))
@@ -240,12 +250,13 @@ def band_stats(df: DataFrame, band: Column, value: str, band_name: str = "band",
 
 def topk_band_avg(df: DataFrame, band: Column, value: str, cond: Column | None = None,
                   k: int = 5, band_name: str = "band", avg_name: str | None = None,
-                  count_name: str = "count", digits: int | None = 2) -> DataFrame:
+                  count_name: str = "count", digits: int | None = 2,
+                  scale: int | None = None) -> DataFrame:
     """Top-k bands by mean ``value`` among rows matching ``cond``."""
     avg_name = avg_name or f"avg_{value}"
     src = df.where(cond) if cond is not None else df
     out = (src.groupBy(band.alias(band_name))
-           .agg(_rounded(F.avg(value), digits).alias(avg_name),
+           .agg(mean(value, digits, scale).alias(avg_name),
                 F.count(F.lit(1)).alias(count_name)))
     return top_k(out, k, F.desc_nulls_last(avg_name), F.asc(band_name))
 
@@ -272,10 +283,6 @@ def global_metrics(df: DataFrame, metrics: dict[str, Column]) -> DataFrame:
     return df.agg(*[c.alias(n) for n, c in metrics.items()])
 
 
-def mean(value: str, digits: int | None = 2) -> Column:
-    return _rounded(F.avg(value), digits)
-
-
 def hit_rate(hit: Column, digits: int | None = 2) -> Column:
     return percent(F.count_if(hit), F.count(F.lit(1)), digits)
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientlens.functions.columns import winsorized
-from clientlens.operators.groups import Cols, _keys, _rounded
+from clientlens.operators.groups import Cols, _keys, _rounded, mean
 from clientlens.operators.quantiles import exact_quantiles
 
 
@@ -62,7 +62,8 @@ def corr(df: DataFrame, a: str, b: str, name: str | None = None,
 
 
 def spread_by_group(df: DataFrame, keys: Cols, value: str, sample: bool = False,
-                    digits: int | None = 2, names: dict | None = None) -> DataFrame:
+                    digits: int | None = 2, names: dict | None = None,
+                    scale: int | None = None) -> DataFrame:
     """Mean, standard deviation, min, max of ``value`` per group.
 
     The HiveQL ``STDDEV`` is the *population* deviation, Spark's ``stddev``
@@ -72,7 +73,7 @@ def spread_by_group(df: DataFrame, keys: Cols, value: str, sample: bool = False,
     sd = F.stddev_samp(value) if sample else F.stddev_pop(value)
     ks = _keys(keys)
     return (df.groupBy(*ks)
-            .agg(_rounded(F.avg(value), digits).alias(names["avg"]),
+            .agg(mean(value, digits, scale).alias(names["avg"]),
                  _rounded(sd, digits).alias(names["stddev"]),
                  F.min(value).alias(names["min"]), F.max(value).alias(names["max"]))
             .orderBy(F.desc_nulls_last(names["avg"]), *ks))

@@ -22,6 +22,12 @@ from clientlens import operators as ops
 from clientlens.sources import read_table
 
 
+# Money columns of the fixtures carry exactly 2 decimals: their means are
+# summed exactly in cents (see ``fixed_point_mean``), so results do not
+# depend on summation order and ties round the same in every engine.
+MONEY = 2
+
+
 def finished():
     """The fixture's "subscribed" flag: order status F."""
     return F.col("o_orderstatus") == "F"
@@ -36,7 +42,11 @@ def total_count(spark, sf_dir):
 
 
 def preview(spark, sf_dir):
-    return ops.preview(read_table(spark, sf_dir, "lineitem"), 10, ["l_orderkey", "l_linenumber"])
+    """First 10 line items in a total order (order key and line number repeat
+    in the fixture, so every column takes part in the order)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    first = ["l_orderkey", "l_linenumber"]
+    return ops.preview(li, 10, first + [c for c in li.columns if c not in first])
 
 
 def count_by(spark, sf_dir):
@@ -67,19 +77,19 @@ def topk_frequent(spark, sf_dir):
 
 def avg_by_group(spark, sf_dir):
     return ops.avg_by_group(read_table(spark, sf_dir, "lineitem"), "l_returnflag",
-                            "l_extendedprice", "avg_extendedprice", "row_count")
+                            "l_extendedprice", "avg_extendedprice", "row_count", scale=MONEY)
 
 
 def avg_by_group_two_keys(spark, sf_dir):
     return ops.avg_by_group(read_table(spark, sf_dir, "lineitem"),
                             ["l_returnflag", "l_linestatus"], "l_quantity",
-                            "avg_quantity", "row_count")
+                            "avg_quantity", "row_count", scale=0)
 
 
 def avg_median_by_group(spark, sf_dir):
     return ops.avg_median_by_group(read_table(spark, sf_dir, "lineitem"), "l_returnflag",
                                    "l_extendedprice", "l_quantity", "avg_extendedprice",
-                                   "median_quantity", "row_count")
+                                   "median_quantity", "row_count", scale=MONEY)
 
 
 def filtered_count_by_group(spark, sf_dir):
@@ -101,7 +111,7 @@ def topk_rate(spark, sf_dir):
 def topk_avg_with_rate(spark, sf_dir):
     return ops.topk_avg_with_rate(read_table(spark, sf_dir, "orders"), "o_custkey",
                                   "o_totalprice", finished(), k=5, avg_name="avg_totalprice",
-                                  rate_name="finished_rate_pct")
+                                  rate_name="finished_rate_pct", scale=MONEY)
 
 
 def busiest_month(spark, sf_dir):
@@ -118,7 +128,7 @@ def month_quarter(spark, sf_dir):
 
 def avg_by_quarter(spark, sf_dir):
     return ops.avg_by_quarter(_orders_with_month(spark, sf_dir), "month", "o_totalprice",
-                              "avg_totalprice")
+                              "avg_totalprice", scale=MONEY)
 
 
 def month_status_crosstab(spark, sf_dir):
@@ -140,7 +150,7 @@ def topk_band_avg(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
     return ops.topk_band_avg(li, fn.band5("l_quantity"), "l_extendedprice",
                              F.col("l_returnflag") == "R", k=5, avg_name="avg_extendedprice",
-                             count_name="row_count")
+                             count_name="row_count", scale=MONEY)
 
 
 def age_group(spark, sf_dir):
@@ -152,7 +162,7 @@ def age_group(spark, sf_dir):
 def band_stats(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     return ops.band_stats(ev, fn.decade("user_id"), "value", "band", "avg_value",
-                          "row_count", "min_value", "max_value")
+                          "row_count", "min_value", "max_value", scale=MONEY)
 
 
 def corr(spark, sf_dir):
@@ -164,7 +174,7 @@ def spread_by_group(spark, sf_dir):
     return ops.spread_by_group(read_table(spark, sf_dir, "lineitem"), "l_returnflag",
                                "l_extendedprice",
                                names={"avg": "avg_price", "stddev": "stddev_price",
-                                      "min": "min_price", "max": "max_price"})
+                                      "min": "min_price", "max": "max_price"}, scale=MONEY)
 
 
 def describe_numeric(spark, sf_dir):
@@ -179,7 +189,7 @@ def null_counts(spark, sf_dir):
 
 def global_metrics(spark, sf_dir):
     return ops.global_metrics(read_table(spark, sf_dir, "orders"), {
-        "avg_totalprice": ops.mean("o_totalprice"),
+        "avg_totalprice": ops.mean("o_totalprice", 2, MONEY),
         "finished_pct": ops.hit_rate(finished()),
         "urgent_count": F.count_if(F.col("o_orderpriority") == "1-URGENT"),
     })

@@ -44,7 +44,8 @@ def clean_rows_plan(spark, sf_dir):
     text = T.StructType([T.StructField(c, T.StringType()) for c in ORDER_COLS])
     clean = clean_rows(read_raw_rows(spark, path, schema=text))
     rows = metric_rows(clean, ["o_totalprice"], keep=["o_orderpriority"])
-    return ops.avg_by_group(rows, "o_orderpriority", "o_totalprice", "avg_totalprice", "row_count")
+    return ops.avg_by_group(rows, "o_orderpriority", "o_totalprice", "avg_totalprice", "row_count",
+                            scale=2)
 
 
 def ingest_table_plan(spark, sf_dir):
@@ -62,7 +63,7 @@ def write_tsv_plan(spark, sf_dir):
     """Mean account balance and client count per market segment, written as
     tab-separated lines and read back."""
     agg = ops.avg_by_group(read_table(spark, sf_dir, "customer"), "c_mktsegment", "c_acctbal",
-                           "avg_acctbal", "client_count")
+                           "avg_acctbal", "client_count", scale=2)
     path = scratch_path(spark, "tsv", "segments")
     write_tsv(agg, path)
     return spark.read.schema(agg.schema).option("sep", "\t").csv(path)

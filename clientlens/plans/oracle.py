@@ -6,6 +6,13 @@ from __future__ import annotations
 
 _MONTH = "lower(strftime(o_orderdate, '%b'))"
 
+def _fpm(col: str, digits: int = 2, scale: int = 2) -> str:
+    """Mean summed exactly in integer units, rounded half away from zero."""
+    return (f"ROUND(CAST(SUM(CAST(ROUND({col} * CAST({10 ** scale} AS DOUBLE)) AS BIGINT))"
+            f" AS DOUBLE) * CAST({10 ** (digits - scale)} AS DOUBLE)"
+            f" / CAST(COUNT({col}) AS DOUBLE)) / CAST({10 ** digits} AS DOUBLE)")
+
+
 _RATE_F = ("ROUND(CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) * 100.0"
            " / count(*), 2)")
 
@@ -40,7 +47,11 @@ def _nulls(cols: list[str], table: str) -> str:
 
 BATCH_SQL = {
     "total_count": "SELECT count(*) AS total_rows FROM lineitem",
-    "preview": "SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 10",
+    "preview": """
+        SELECT * FROM lineitem
+        ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                 l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
+        LIMIT 10""",
     "count_by": """
         SELECT l_returnflag, l_linestatus, count(*) AS row_count
         FROM lineitem GROUP BY l_returnflag, l_linestatus
@@ -53,16 +64,16 @@ BATCH_SQL = {
     "topk_frequent": """
         SELECT l_partkey, count(*) AS row_count FROM lineitem GROUP BY l_partkey
         ORDER BY row_count DESC, l_partkey LIMIT 5""",
-    "avg_by_group": """
-        SELECT l_returnflag, ROUND(avg(l_extendedprice), 2) AS avg_extendedprice,
+    "avg_by_group": f"""
+        SELECT l_returnflag, {_fpm('l_extendedprice')} AS avg_extendedprice,
                count(*) AS row_count
         FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY l_returnflag""",
-    "avg_by_group_two_keys": """
-        SELECT l_returnflag, l_linestatus, ROUND(avg(l_quantity), 2) AS avg_quantity,
+    "avg_by_group_two_keys": f"""
+        SELECT l_returnflag, l_linestatus, {_fpm('l_quantity', 2, 0)} AS avg_quantity,
                count(*) AS row_count
         FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY l_returnflag, l_linestatus""",
-    "avg_median_by_group": """
-        SELECT l_returnflag, ROUND(avg(l_extendedprice), 2) AS avg_extendedprice,
+    "avg_median_by_group": f"""
+        SELECT l_returnflag, {_fpm('l_extendedprice')} AS avg_extendedprice,
                quantile_disc(l_quantity, 0.5) AS median_quantity, count(*) AS row_count
         FROM lineitem GROUP BY l_returnflag""",
     "filtered_count_by_group": """
@@ -81,7 +92,7 @@ BATCH_SQL = {
         FROM customer GROUP BY c_nationkey
         ORDER BY rich_rate_pct DESC, c_nationkey LIMIT 3""",
     "topk_avg_with_rate": f"""
-        SELECT o_custkey, ROUND(avg(o_totalprice), 2) AS avg_totalprice,
+        SELECT o_custkey, {_fpm('o_totalprice')} AS avg_totalprice,
                {_RATE_F} AS finished_rate_pct
         FROM orders GROUP BY o_custkey
         ORDER BY avg_totalprice DESC, o_custkey LIMIT 5""",
@@ -99,7 +110,7 @@ BATCH_SQL = {
         SELECT DISTINCT month, {_QUARTER} AS quarter
         FROM (SELECT {_MONTH} AS month FROM orders) ORDER BY month""",
     "avg_by_quarter": f"""
-        SELECT {_QUARTER} AS quarter, ROUND(avg(o_totalprice), 2) AS avg_totalprice
+        SELECT {_QUARTER} AS quarter, {_fpm('o_totalprice')} AS avg_totalprice
         FROM (SELECT {_MONTH} AS month, o_totalprice FROM orders)
         GROUP BY 1 ORDER BY 1""",
     "month_status_crosstab": f"""
@@ -117,22 +128,22 @@ BATCH_SQL = {
         SELECT {_BAND5} AS band, count(*) AS row_count FROM lineitem
         GROUP BY 1 ORDER BY 1""",
     "topk_band_avg": f"""
-        SELECT {_BAND5} AS band, ROUND(avg(l_extendedprice), 2) AS avg_extendedprice,
+        SELECT {_BAND5} AS band, {_fpm('l_extendedprice')} AS avg_extendedprice,
                count(*) AS row_count
         FROM lineitem WHERE l_returnflag = 'R'
         GROUP BY 1 ORDER BY avg_extendedprice DESC, band LIMIT 5""",
     "age_group": f"""
         SELECT {_AGE_GROUP.format(c='user_id')} AS age_group, count(*) AS row_count
         FROM events GROUP BY 1""",
-    "band_stats": """
+    "band_stats": f"""
         SELECT CAST(CAST(floor(user_id / 10) * 10 AS BIGINT) AS VARCHAR) || 's' AS band,
-               ROUND(avg(value), 2) AS avg_value, count(*) AS row_count,
+               {_fpm('value')} AS avg_value, count(*) AS row_count,
                min(value) AS min_value, max(value) AS max_value
         FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL
         GROUP BY 1 ORDER BY 1""",
     "corr": "SELECT ROUND(corr(l_quantity, l_extendedprice), 6) AS corr_quantity_price FROM lineitem",
-    "spread_by_group": """
-        SELECT l_returnflag, ROUND(avg(l_extendedprice), 2) AS avg_price,
+    "spread_by_group": f"""
+        SELECT l_returnflag, {_fpm('l_extendedprice')} AS avg_price,
                ROUND(stddev_pop(l_extendedprice), 2) AS stddev_price,
                min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price
         FROM lineitem GROUP BY l_returnflag""",
@@ -140,7 +151,7 @@ BATCH_SQL = {
         _describe(c) for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
     "null_counts": _nulls(["event_id", "ts", "user_id", "event_type", "value", "props"], "events"),
     "global_metrics": f"""
-        SELECT ROUND(avg(o_totalprice), 2) AS avg_totalprice,
+        SELECT {_fpm('o_totalprice')} AS avg_totalprice,
                {_RATE_F} AS finished_pct,
                count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS urgent_count
         FROM orders""",
@@ -185,14 +196,14 @@ def _sliding(window_s: int, slide_s: int, keys: str = "") -> str:
                    {key_sel}value
             FROM events, range({n}) AS r(k))
         SELECT window_start, window_start + INTERVAL {window_s} SECOND AS window_end,
-               {key_sel}count(*) AS event_count, ROUND(avg(value), 4) AS avg_value
+               {key_sel}count(*) AS event_count, {_fpm('value', 4, 2)} AS avg_value
         FROM w GROUP BY window_start, {key_sel.rstrip(', ') + ', ' if keys else ''}2"""
 
 
 STREAM_SQL = {
     "stream_source": "SELECT * FROM events",
-    "stream_group_agg": """
-        SELECT event_type, ROUND(avg(value), 2) AS avg_value, count(*) AS event_count
+    "stream_group_agg": f"""
+        SELECT event_type, {_fpm('value')} AS avg_value, count(*) AS event_count
         FROM events GROUP BY event_type""",
     "stream_sliding": _sliding(60, 10),
     "stream_watermark": _sliding(60, 30, "event_type"),
@@ -260,13 +271,13 @@ IO_SQL = {
     "write_chunks": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, o_orderdate
         FROM orders""",
-    "clean_rows": """
-        SELECT o_orderpriority, ROUND(avg(o_totalprice), 2) AS avg_totalprice,
+    "clean_rows": f"""
+        SELECT o_orderpriority, {_fpm('o_totalprice')} AS avg_totalprice,
                count(*) AS row_count
         FROM orders WHERE o_totalprice IS NOT NULL GROUP BY o_orderpriority""",
     "ingest_table": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
-    "write_tsv": """
-        SELECT c_mktsegment, ROUND(avg(c_acctbal), 2) AS avg_acctbal, count(*) AS client_count
+    "write_tsv": f"""
+        SELECT c_mktsegment, {_fpm('c_acctbal')} AS avg_acctbal, count(*) AS client_count
         FROM customer WHERE c_acctbal IS NOT NULL GROUP BY c_mktsegment""",
 }

@@ -3,8 +3,10 @@
 
 The stream reads the events files of the fixture folder (one file, so one
 micro-batch here; on a cluster the same query reads a growing folder).
-Window means are rounded to 4 digits: windows hold one or two events, whose
-2-digit means are exact ties that engines round differently.
+Window means are rounded to 4 digits and summed exactly in cents
+(``fixed_point_mean``): windows hold only a few events, so decimal ties such
+as 27.72125 are common, and a float mean would round them differently from
+engine to engine.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientlens import streaming as st
+from clientlens.functions.columns import fixed_point_mean
 from clientlens.sources import read_table
 
 
@@ -28,7 +31,7 @@ def _as_ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 def stream_group_agg(spark, sf_dir):
     agg = st.stream_group_agg(_events_stream(spark, sf_dir), "event_type", {
-        "avg_value": F.round(F.avg("value"), 2),
+        "avg_value": fixed_point_mean("value", 2, 2),
         "event_count": F.count(F.lit(1)),
     })
     return st.run_available(agg, "stream_group_agg", ["event_type"], "complete")
@@ -37,7 +40,7 @@ def stream_group_agg(spark, sf_dir):
 def stream_sliding(spark, sf_dir):
     ev = st.event_time(_events_stream(spark, sf_dir), "ts")
     agg = st.stream_sliding(ev, "event_time", "value", "1 minute", "10 seconds",
-                            watermark="30 seconds", digits=4)
+                            watermark="30 seconds", digits=4, scale=2)
     out = st.run_available(agg, "stream_sliding", ["window_start"], "update")
     return _as_ntz(out, "window_start", "window_end")
 
@@ -45,7 +48,7 @@ def stream_sliding(spark, sf_dir):
 def stream_watermark(spark, sf_dir):
     ev = st.event_time(_events_stream(spark, sf_dir), "ts")
     agg = st.stream_watermark(ev, "event_time", "event_type", "value", "1 minute",
-                              "30 seconds", "30 seconds", digits=4)
+                              "30 seconds", "30 seconds", digits=4, scale=2)
     out = st.run_available(agg, "stream_watermark", ["window_start", "event_type"], "update")
     return _as_ntz(out, "window_start", "window_end")
 

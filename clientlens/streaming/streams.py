@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.errors import AnalysisException
 
+from clientlens.functions.columns import fixed_point_mean
 from clientlens.session import scratch_path
 
 BATCH_COL = "batch_id"
@@ -72,21 +73,28 @@ def windowed_agg(stream: DataFrame, ts: str, metrics: dict[str, Column],
                       F.col("window.end").alias("window_end"), *keys, *metrics)
 
 
+def _mean(value: str, digits: int | None, scale: int | None) -> Column:
+    if scale is not None and digits is not None:
+        return fixed_point_mean(value, scale, digits)
+    return F.avg(value) if digits is None else F.round(F.avg(value), digits)
+
+
 def stream_sliding(stream: DataFrame, ts: str, value: str, window: str = "1 minute",
                    slide: str = "10 seconds", watermark: str | None = "30 seconds",
-                   digits: int | None = 2) -> DataFrame:
+                   digits: int | None = 2, scale: int | None = None) -> DataFrame:
     """Event count and mean ``value`` per sliding window (every event lands in
-    window/slide windows)."""
-    avg = F.avg(value) if digits is None else F.round(F.avg(value), digits)
+    window/slide windows). ``scale``: see ``fixed_point_mean``."""
+    avg = _mean(value, digits, scale)
     return windowed_agg(stream, ts, {"event_count": F.count(F.lit(1)), f"avg_{value}": avg},
                         window, slide, watermark)
 
 
 def stream_watermark(stream: DataFrame, ts: str, key: str, value: str,
                      window: str = "1 minute", slide: str = "30 seconds",
-                     watermark: str = "30 seconds", digits: int | None = 2) -> DataFrame:
+                     watermark: str = "30 seconds", digits: int | None = 2,
+                     scale: int | None = None) -> DataFrame:
     """Watermarked sliding window per key: count and mean ``value``."""
-    avg = F.avg(value) if digits is None else F.round(F.avg(value), digits)
+    avg = _mean(value, digits, scale)
     return windowed_agg(stream, ts, {"event_count": F.count(F.lit(1)), f"avg_{value}": avg},
                         window, slide, watermark, keys=[key])
 

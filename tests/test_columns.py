@@ -88,3 +88,15 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == -(-100 * 10 ** 12 // (256 << 20))
     assert cluster_conf(10 << 20, 64)["spark.sql.shuffle.partitions"] == "128"
     assert conf["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_fixed_point_mean_ties_and_layout_independence(spark):
+    # mean 27.72125 is a decimal tie at 4 digits: half away from zero
+    vals = [27.70, 27.71, 27.72, 27.73, 27.74, 27.75, 27.72, 27.70]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = {df.repartition(n).agg(fn.fixed_point_mean("v", 2, 4)).collect()[0][0] for n in (1, 3, 8)}
+    assert got == {27.7213}
+    neg = spark.createDataFrame([(-0.01,), (-0.02,)], "v double")
+    assert neg.agg(fn.fixed_point_mean("v", 2, 2)).collect()[0][0] == -0.02  # -0.015 -> -0.02
+    ints = spark.createDataFrame([(1.0,), (2.0,)], "v double")
+    assert ints.agg(fn.fixed_point_mean("v", 0, 0)).collect()[0][0] == 2.0  # 1.5 -> 2
