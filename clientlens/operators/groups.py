@@ -170,16 +170,18 @@ def monthly_trend(df: DataFrame, month: str, name: str = "contact_volume",
 
     ``align=True`` reindexes onto the full 12-month list: an absent month is
     a row with NULL count and names outside the list are dropped. The
-    dimension has a fixed 12 rows, so it is broadcast; the data side is only
-    the already-aggregated counts. ``align=False`` is the plain SQL form:
-    every month seen, unknown names ordered last.
+    12-row dimension is the preserved side of a left join, so it cannot be
+    the build side; the counts side is already aggregated (one row per
+    distinct month), and AQE broadcasts it after measuring its size.
+    ``align=False`` is the plain SQL form: every month seen, unknown names
+    ordered last.
     """
     counts = df.groupBy(F.col(month).alias("month")).agg(F.count(F.lit(1)).alias(name))
     if not align:
         return (counts.withColumn("month_num", month_ordinal("month"))
                 .orderBy("month_num", "month"))
     dim = months_dim(df, "month")
-    return (F.broadcast(dim).join(counts, "month", "left")
+    return (dim.join(counts, "month", "left")
             .select("month", "month_num", name).orderBy("month_num"))
 
 

@@ -145,13 +145,13 @@ def partition_stats(df: DataFrame, num_partitions: int, *keys: str,
     none) and count rows per physical partition, empty partitions included.
 
     A bare group-by on ``spark_partition_id()`` loses empty partitions, so the
-    counts are right-joined onto ``range(num_partitions)``; both sides have at
-    most ``num_partitions`` rows.
+    counts are left-joined from ``range(num_partitions)``; both sides have at
+    most ``num_partitions`` rows (AQE broadcasts the measured counts side).
     """
     parts = df.repartition(num_partitions, *keys) if keys else df.repartition(num_partitions)
     counts = parts.groupBy(F.spark_partition_id().alias("partition_id")).agg(
         F.count(F.lit(1)).alias(count_name))
     ids = df.sparkSession.range(num_partitions).select(F.col("id").cast("int").alias("partition_id"))
-    return (F.broadcast(ids).join(counts, "partition_id", "left")
+    return (ids.join(counts, "partition_id", "left")
             .select("partition_id", F.coalesce(count_name, F.lit(0)).alias(count_name))
             .orderBy("partition_id"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -162,9 +162,13 @@ def latest_versions(spark: SparkSession, path: str, keys: Sequence[str],
         log = spark.read.format("parquet").load(path)
     except AnalysisException:  # no batch written yet: the folder does not exist
         return spark.createDataFrame([], schema)
-    w = Window.partitionBy(*keys).orderBy(F.col(BATCH_COL).desc())
-    return (log.withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
-            .select(*schema.fieldNames()))
+    # max_by is a hash aggregate with a partial step: no sort, and a key's
+    # versions are reduced before the shuffle
+    values = [c for c in schema.fieldNames() if c not in keys]
+    latest = log.groupBy(*keys).agg(
+        F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("__v"))
+    return latest.select(*keys, *[F.col(f"__v.{c}").alias(c) for c in values]) \
+        .select(*schema.fieldNames())
 
 
 def run_available(df: DataFrame, name: str, keys: Sequence[str],
