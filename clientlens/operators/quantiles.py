@@ -2,19 +2,21 @@
 
 A fine quantile sketch is not a scale-safe way to get an exact answer: when
 the rank error drops below one row per partition, every partial buffer keeps
-almost every value and all of them meet in one final task. Instead:
-
-1. one aggregate job computes, for each wanted quantile, a coarse sketch of
-   the values still inside its bracket (the whole column at first), plus
-   how many values lie below the bracket and how many sit on its bounds;
-2. the sketch's grid narrows each bracket around the target rank (the
-   sketch's rank error is smaller than the grid step, so the true value
-   stays inside); ties on a bound resolve the answer directly;
-3. once a bracket holds at most ``max_exact`` values, those are sorted and
-   the target rank is read off.
+almost every value. Instead, each pass:
+
+1. runs one aggregate job with plain conditional counts: for each wanted
+   quantile, how many values lie below its bracket, inside it, and on its
+   bounds (the bracket is the whole column at first);
+2. resolves a quantile directly when its target rank falls on a bound's
+   ties, or sorts the bracket when it holds at most ``max_exact`` values;
+3. otherwise narrows the bracket with ``approxQuantile`` over the bracket's
+   values at just two fractions around the target rank. The sketch's rank
+   error is smaller than the margin, so the true value stays inside, and
+   ``approxQuantile`` merges its per-partition sketches with a tree
+   aggregate (no single task receives them all).
 
 Each pass shrinks a bracket about 200-fold, so a column of 10^12 values
-needs about five scans; no task and not the driver ever holds more than
+needs about five passes; no task and not the driver ever holds more than
 ``max_exact`` values or a coarse sketch. The rank convention is the
 ``k = ceil(p * n)``-th smallest non-null value, as ``percentile_approx``
 and SQL ``quantile_disc`` define it.
@@ -26,12 +28,13 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GRID = 1000          # sketch grid points per pass (fractions j / GRID)
-ACCURACY = 2 * GRID  # sketch rank error 1/2000: below half a grid step
-MARGIN = 2           # grid steps kept on each side of the target rank
+SKETCH_ERROR = 5e-4  # relative rank error of each narrowing sketch
+MARGIN = 2e-3        # fraction of the bracket kept on each side of the target
 
 
 @dataclass
@@ -59,7 +62,7 @@ class _Bracket:
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    max_exact: int = 100_000, max_passes: int = 40) -> list[float | None]:
+                    max_exact: int = 20_000, max_passes: int = 40) -> list[float | None]:
     """Exact ``probs`` quantiles of ``col`` (NULL and NaN ignored); ``None``
     for an empty column. Runs a few aggregate jobs; returns plain floats."""
     v = F.col("__v")
@@ -68,26 +71,21 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     if n == 0:
         return [None] * len(probs)
     brackets = [_Bracket(k=max(1, min(n, math.ceil(p * n)))) for p in probs]
-    grid = [j / GRID for j in range(GRID + 1)]
     for _ in range(max_passes):
         open_ = [b for b in brackets if not b.done]
         if not open_:
             break
-        aggs = []
-        for i, b in enumerate(open_):
-            inside = b.inside(v)
-            aggs += [F.count_if(b.below(v)).alias(f"below{i}"),
-                     F.count_if(inside).alias(f"m{i}"),
-                     F.count_if(inside & (v == F.lit(b.lo))).alias(f"tlo{i}")
-                     if b.lo is not None and b.lo_incl else F.lit(0).alias(f"tlo{i}"),
-                     F.count_if(inside & (v == F.lit(b.hi))).alias(f"thi{i}")
-                     if b.hi is not None and b.hi_incl else F.lit(0).alias(f"thi{i}"),
-                     F.percentile_approx(F.when(inside, v), grid, ACCURACY).alias(f"g{i}")]
-        row = vals.agg(*aggs).first()
+        if all(b.lo is None and b.hi is None for b in open_):
+            # first pass: every bracket is the whole column, its counts are known
+            row = {}
+            for i in range(len(open_)):
+                row.update({f"below{i}": 0, f"m{i}": n, f"tlo{i}": 0, f"thi{i}": 0})
+        else:
+            row = vals.agg(*_count_aggs(open_, v)).first()
         to_sort = []
         for i, b in enumerate(open_):
             r = b.k - row[f"below{i}"]
-            m, tlo, thi, g = row[f"m{i}"], row[f"tlo{i}"], row[f"thi{i}"], row[f"g{i}"]
+            m, tlo, thi = row[f"m{i}"], row[f"tlo{i}"], row[f"thi{i}"]
             if r <= tlo:
                 b.answer, b.done = b.lo, True
             elif r > m - thi:
@@ -95,7 +93,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
             elif m <= max_exact:
                 to_sort.append((b, r))
             else:
-                _narrow(b, r, m, g)
+                _narrow(vals, b, r, m)
         if to_sort:
             _sort_small(vals, v, to_sort)
     if not all(b.done for b in brackets):
@@ -103,12 +101,25 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     return [b.answer for b in brackets]
 
 
-def _narrow(b: _Bracket, r: int, m: int, g: list[float]) -> None:
+def _count_aggs(open_: list[_Bracket], v: Column) -> list[Column]:
+    aggs = []
+    for i, b in enumerate(open_):
+        inside = b.inside(v)
+        aggs += [F.count_if(b.below(v)).alias(f"below{i}"),
+                 F.count_if(inside).alias(f"m{i}"),
+                 F.count_if(inside & (v == F.lit(b.lo))).alias(f"tlo{i}")
+                 if b.lo is not None and b.lo_incl else F.lit(0).alias(f"tlo{i}"),
+                 F.count_if(inside & (v == F.lit(b.hi))).alias(f"thi{i}")
+                 if b.hi is not None and b.hi_incl else F.lit(0).alias(f"thi{i}")]
+    return aggs
+
+
+def _narrow(vals: DataFrame, b: _Bracket, r: int, m: int) -> None:
     """New bracket around rank ``r`` of the ``m`` values inside ``b``; the
     answer is known to lie strictly between the current bounds."""
-    pos = r / m * GRID
-    new_lo = g[max(0, math.floor(pos) - MARGIN)]
-    new_hi = g[min(GRID, math.ceil(pos) + MARGIN)]
+    f = r / m
+    new_lo, new_hi = vals.where(b.inside(F.col("__v"))).approxQuantile(
+        "__v", [max(0.0, f - MARGIN), min(1.0, f + MARGIN)], SKETCH_ERROR)
     if b.lo is None or new_lo > b.lo:
         b.lo, b.lo_incl = new_lo, True
     else:
@@ -121,19 +132,15 @@ def _narrow(b: _Bracket, r: int, m: int, g: list[float]) -> None:
 
 def _sort_small(vals: DataFrame, v: Column, work: list[tuple[_Bracket, int]]) -> None:
     """Read the target rank from brackets small enough to sort (each holds
-    at most ``max_exact`` values; only those values are fetched)."""
+    at most ``max_exact`` values; only those values are fetched, as Arrow)."""
     cond = F.lit(False)
     for b, _ in work:
         cond = cond | b.inside(v)
-    fetched = [x[0] for x in vals.where(cond).collect()]
+    fetched = np.sort(vals.where(cond).toArrow().column("__v").to_numpy())
     for b, r in work:
-        inside = sorted(x for x in fetched if _in(b, x))
-        b.answer, b.done = inside[r - 1], True
+        lo = 0 if b.lo is None else np.searchsorted(fetched, b.lo, "left" if b.lo_incl else "right")
+        hi = len(fetched) if b.hi is None else np.searchsorted(
+            fetched, b.hi, "right" if b.hi_incl else "left")
+        b.answer, b.done = float(fetched[lo:hi][r - 1]), True
 
 
-def _in(b: _Bracket, x: float) -> bool:
-    if b.lo is not None and (x < b.lo or (x == b.lo and not b.lo_incl)):
-        return False
-    if b.hi is not None and (x > b.hi or (x == b.hi and not b.hi_incl)):
-        return False
-    return True
