@@ -16,18 +16,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientlens.functions.columns import replace_sentinel, winsorized
-from clientlens.operators.profile import fence_struct
 
 
 def fit_fences(train: DataFrame, cols: Sequence[str], k: float = 1.5,
                rel_error: float = 0.01) -> dict[str, tuple[float, float]]:
-    """IQR fences of each column, fitted on the training part in one
-    aggregate job (a quantile sketch per column; two numbers come back per
-    column, like any fitted model parameter)."""
+    """IQR fences of each column, fitted on the training part with one
+    ``approxQuantile`` job for all columns (per-partition sketches merged by
+    a tree aggregate); two numbers come back per column, like any fitted
+    model parameter."""
     if not cols:
         return {}
-    row = train.agg(*[fence_struct(train, c, k, rel_error).alias(c) for c in cols]).first()
-    return {c: (row[c]["lower"], row[c]["upper"]) for c in cols}
+    data = train.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    quartiles = data.approxQuantile(list(cols), [0.25, 0.75], rel_error)
+    fences = {}
+    for c, q in zip(cols, quartiles):
+        q1, q3 = (q[0], q[1]) if len(q) == 2 else (None, None)
+        fences[c] = (None, None) if q1 is None else (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+    return fences
 
 
 def prepare(df: DataFrame, sentinel_cols: Sequence[str] = (),
@@ -39,7 +44,7 @@ def prepare(df: DataFrame, sentinel_cols: Sequence[str] = (),
     out = df.withColumns({c: replace_sentinel(c, sentinel, replacement) for c in sentinel_cols}) \
         if sentinel_cols else df
     if fences:
-        out = out.withColumns({c: winsorized(c, F.lit(lo), F.lit(hi))
+        out = out.withColumns({c: winsorized(c, F.lit(lo).cast("double"), F.lit(hi).cast("double"))
                                for c, (lo, hi) in fences.items()})
     return out
 

@@ -126,13 +126,13 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def topk_rate(df: DataFrame, keys: Cols, hit: Column, k: int = 3, **names) -> DataFrame:
-    """Top-k groups by hit rate."""
-    rate_name = names.get("rate_name", "rate_pct")
-    rated = df.groupBy(*_keys(keys)).agg(*rate_agg(
-        hit, names.get("total_name", "total"), names.get("hits_name", "hits"),
-        rate_name, names.get("digits", 2)))
-    return top_k(rated, k, F.desc_nulls_last(rate_name), *_keys(keys))
+def topk_rate(df: DataFrame, keys: Cols, hit: Column, k: int = 3, total_name: str = "total",
+              hits_name: str | None = "hits", rate_name: str = "rate_pct",
+              digits: int | None = 2) -> DataFrame:
+    """Top-k groups by hit rate (ties by key)."""
+    ks = _keys(keys)
+    rated = df.groupBy(*ks).agg(*rate_agg(hit, total_name, hits_name, rate_name, digits))
+    return top_k(rated, k, F.desc_nulls_last(rate_name), *ks)
 
 
 def topk_avg_with_rate(df: DataFrame, keys: Cols, value: str, hit: Column, k: int = 5,
