@@ -24,15 +24,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_clients(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                 fmt: str = "csv", header: bool = True) -> DataFrame:
+                 fmt: str = "csv", header: bool = True,
+                 renames: dict[str, str] | None = None) -> DataFrame:
     """Client-contact rows with an explicit schema (no inference pass).
 
     Rows whose numbers do not parse become NULL in those fields (PERMISSIVE).
+    ``renames`` renames columns, e.g. ``{"default": "default_credit"}`` for
+    engines where ``default`` is a keyword.
     """
     reader = spark.read.schema(schema or client_schema())
     if fmt == "csv":
-        return reader.option("header", header).option("mode", "PERMISSIVE").csv(path)
-    return reader.format(fmt).load(path)
+        df = reader.option("header", header).option("mode", "PERMISSIVE").csv(path)
+    else:
+        df = reader.format(fmt).load(path)
+    return df.withColumnsRenamed(renames) if renames else df
 
 
 def read_raw_rows(spark: SparkSession, path: str, schema: T.StructType | None = None,

@@ -101,3 +101,8 @@ def test_ingest_table_use_database(spark, tmp_dir):
         assert spark.table("t1").count() == 1
     finally:
         spark.catalog.setCurrentDatabase("default")
+
+
+def test_load_clients_rename(spark, tmp_dir):
+    df = load_clients(spark, _write_csv(tmp_dir), renames={"default": "default_credit"})
+    assert "default_credit" in df.columns and "default" not in df.columns
