@@ -65,7 +65,9 @@ def fitted_model(spark: SparkSession, sf_dir: str, num_trees: int = 100, max_dep
     return _MODELS[key]
 
 
-def feature_pipeline(spark, sf_dir):
+def feature_vectors(spark, sf_dir):
+    """Fitted feature stages (indexers, one-hot, assembler, scaler) applied
+    to every order: key, label and the scaled feature vector."""
     train, test = split_prepared(spark, sf_dir)
     model = ml.feature_pipeline(CAT_COLS, NUM_COLS, "y").fit(train)
     return model.transform(train.unionByName(test)).select(
@@ -167,7 +169,7 @@ QUERIES = {
     "class_metrics": class_metrics,
     "binary_metrics": binary_metrics,
     "hash_split": hash_split,
-    "feature_pipeline": feature_pipeline,
+    "feature_vectors": feature_vectors,
     "train_rf": train_rf,
     "score_clients": score_clients,
     "feature_importance": feature_importance,
