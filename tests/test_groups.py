@@ -110,3 +110,18 @@ def test_sql_and_dataframe_agree(spark):
 def test_month_quarter_distinct(spark):
     rows = _rows(ops.month_quarter(_df(spark), "month"))
     assert rows == [("jun", "Q2"), ("may", "Q2"), ("xyz", None)]
+
+
+def test_partition_stats_expression_equals_real_repartition(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["A", "N", "R", "x", "yy"]), rnd.randint(0, 50)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "flag string, q int")
+    for keys in (("flag",), ("flag", "q")):
+        computed = [tuple(r) for r in ops.partition_stats(df, 8, *keys).collect()]
+        real = [tuple(r) for r in ops.partition_stats(df, 8, *keys, materialize=True).collect()]
+        assert computed == real
+    plan = ops.partition_stats(df, 8, "flag")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan
+    rr = ops.partition_stats(df, 4).collect()  # round-robin: materialized
+    assert sum(r["row_count"] for r in rr) == 3000 and len(rr) == 4
