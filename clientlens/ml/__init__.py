@@ -2,8 +2,8 @@ from clientlens.ml.features import (  # noqa: F401
     feature_pipeline, fit_fences, hash_split, prepare, slot_names, split_column, string_indexer,
 )
 from clientlens.ml.metrics import (  # noqa: F401
-    auc_roc, binary_metrics, class_metrics, confusion_matrix, per_class,
+    binary_metrics, class_metrics, confusion_matrix, per_class,
 )
 from clientlens.ml.models import (  # noqa: F401
-    auc_evaluator, feature_importance, grid_results, random_forest, score, train_rf, tune_rf,
+    auc_evaluator, auc_roc, feature_importance, grid_results, random_forest, score, train_rf, tune_rf,
 )

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientlens.ml.models import auc_evaluator
+from clientlens.ml.models import auc_roc
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -58,11 +58,6 @@ def class_metrics(df: DataFrame, label: str = "label", prediction: str = "predic
         out(F.sum(F.col("actual") * f1) / n, "weighted_f1"))
 
 
-def auc_roc(df: DataFrame, score: str = "rawPrediction") -> float:
-    """Exact area under the ROC curve (ties count one half)."""
-    return auc_evaluator(score).evaluate(df)
-
-
 def binary_metrics(df: DataFrame, score: str = "rawPrediction", digits: int | None = 6) -> DataFrame:
     """One row: exact AUC-ROC, with the positive and negative counts."""
     auc = auc_roc(df, score)

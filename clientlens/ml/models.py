@@ -63,16 +63,26 @@ def tune_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
     return cv.fit(spread(train, partitions))
 
 
-def grid_results(spark: SparkSession, cv_model: CrossValidatorModel) -> DataFrame:
-    """One row per grid point: parameters, mean CV AUC, and the winner flag
-    (as many rows as grid points)."""
-    rows = []
+def grid_results(spark: SparkSession, cv_model: CrossValidatorModel,
+                 test: DataFrame | None = None) -> DataFrame:
+    """One row per grid point: parameters, mean CV AUC, the winner flag and,
+    given a held-out ``test`` part, the winner's test AUC (NULL on the other
+    rows). As many rows as grid points."""
     best = max(cv_model.avgMetrics)
+    test_auc = auc_roc(cv_model.bestModel.transform(test)) if test is not None else None
+    rows = []
     for params, metric in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics):
         named = {p.name: v for p, v in params.items()}
-        rows.append((int(named["numTrees"]), int(named["maxDepth"]), float(metric),
-                     bool(metric == best)))
-    return spark.createDataFrame(rows, "num_trees int, max_depth int, avg_auc double, is_best boolean")
+        is_best = bool(metric == best)
+        rows.append((int(named["numTrees"]), int(named["maxDepth"]), float(metric), is_best,
+                     float(test_auc) if is_best and test_auc is not None else None))
+    return spark.createDataFrame(
+        rows, "num_trees int, max_depth int, avg_auc double, is_best boolean, test_auc double")
+
+
+def auc_roc(df: DataFrame, score: str = "rawPrediction") -> float:
+    """Exact area under the ROC curve (ties count one half)."""
+    return auc_evaluator(score).evaluate(df)
 
 
 def feature_importance(model: PipelineModel, transformed: DataFrame, top: int = 10,

@@ -116,10 +116,12 @@ def score_clients(spark, sf_dir):
 
 
 def tune_rf(spark, sf_dir):
-    train, _ = split_prepared(spark, sf_dir)
+    """Grid search with 3-fold CV on the training part; the best model is
+    also scored on the held-out test part."""
+    train, test = split_prepared(spark, sf_dir)
     cv = ml.tune_rf(train, CAT_COLS, NUM_COLS, "y", folds=3, seed=42, parallelism=4,
                     partitions=spark.sparkContext.defaultParallelism)
-    return ml.grid_results(spark, cv)
+    return ml.grid_results(spark, cv, test)
 
 
 def feature_importance(spark, sf_dir):

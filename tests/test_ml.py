@@ -92,3 +92,13 @@ def test_tune_rf_grid(spark, clients):
                     folds=2, parallelism=2)
     res = ml.grid_results(spark, cv).collect()
     assert len(res) == 2 and sum(r["is_best"] for r in res) >= 1
+
+
+def test_tune_rf_best_model_test_auc(spark, clients):
+    train, test = ml.hash_split(clients, "id")
+    cv = ml.tune_rf(train, ["job"], ["balance"], "y", num_trees=(5,), max_depth=(2, 3),
+                    folds=2, parallelism=2)
+    res = ml.grid_results(spark, cv, test).collect()
+    best = [r for r in res if r["is_best"]]
+    assert best and all(0.0 <= r["test_auc"] <= 1.0 for r in best)
+    assert all(r["test_auc"] is None for r in res if not r["is_best"])
