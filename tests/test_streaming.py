@@ -153,3 +153,17 @@ def test_replayed_batch_overwrites(spark, tmp_dir):
     write(batch, 0)
     write(batch, 0)  # the same micro-batch re-executed after a failure
     assert spark.read.parquet(out).count() == 1
+
+
+def test_append_mode_emits_only_closed_windows(spark, tmp_dir):
+    """Same six late-data files in append mode: only the windows the
+    watermark closed are written (the two windows of 00:00:05)."""
+    day = "2024-01-01"
+    times = ["00:00:05", "00:05:00", "00:05:10", "00:00:10", "00:04:05", "00:05:20"]
+    folder = os.path.join(tmp_dir, "late_append")
+    _write_files(folder, [(f"{day} {t}", "admin.", 100) for t in times])
+    stream = st.stream_source(spark, folder, LATE_SCHEMA, "csv", max_files_per_trigger=1)
+    agg = st.stream_watermark(stream, "event_time", "job", "balance")
+    rows = st.run_append(agg, "late_append").collect()
+    assert sorted((r["window_start"].strftime("%H:%M:%S"), r["event_count"]) for r in rows) == \
+        [("00:00:00", 1), ("23:59:30", 1)]
