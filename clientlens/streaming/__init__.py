@@ -3,3 +3,4 @@ from clientlens.streaming.streams import (  # noqa: F401
     stream_group_agg, stream_sliding, stream_source, stream_watermark,
     versioned_batch_writer, windowed_agg,
 )
+from clientlens.streaming.jobs import start_contact_streams  # noqa: F401,E402

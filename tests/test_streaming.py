@@ -167,3 +167,31 @@ def test_append_mode_emits_only_closed_windows(spark, tmp_dir):
     rows = st.run_append(agg, "late_append").collect()
     assert sorted((r["window_start"].strftime("%H:%M:%S"), r["event_count"]) for r in rows) == \
         [("00:00:00", 1), ("23:59:30", 1)]
+
+
+def test_contact_streams_four_queries(spark, tmp_dir):
+    """The four queries of the streaming job on one client-chunk source
+    (files without event_time: it falls back to processing time)."""
+    from clientlens import ml
+    from clientlens.schema import CATEGORICAL_COLS, NUMERIC_COLS, client_schema, stream_schema
+    from test_sql_equivalence import _client
+
+    clients = spark.createDataFrame([_client(i) for i in range(300)], client_schema())
+    model, _ = ml.train_rf(clients, CATEGORICAL_COLS, NUMERIC_COLS, "y", num_trees=5, max_depth=3)
+    folder = os.path.join(tmp_dir, "chunks")
+    clients.repartition(3).write.option("header", False).csv(folder)  # 3 chunk files
+    stream = st.stream_source(spark, folder, stream_schema(), "csv")
+    root = os.path.join(tmp_dir, "job")
+    qs = st.start_contact_streams(stream, root, model, trigger={"availableNow": True})
+    assert set(qs) == {"job_aggregation", "ml_predictions", "window_analysis", "watermark_query"}
+    for q in qs.values():
+        q.awaitTermination(180)
+        assert q.exception() is None
+    jobs = spark.read.parquet(os.path.join(root, "job_aggregation"))
+    final = st.latest_versions(spark, os.path.join(root, "job_aggregation"), ["job"],
+                               jobs.drop("batch_id").schema)
+    assert final.agg(F.sum("transaction_count")).collect()[0][0] == 300
+    preds = spark.read.parquet(os.path.join(root, "ml_predictions"))
+    assert preds.count() == 300 and set(preds.columns) >= {"prediction", "confidence"}
+    windows = spark.read.parquet(os.path.join(root, "window_analysis"))
+    assert windows.count() > 0
