@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from clientlens import functions as fn
 from clientlens import operators as ops
-from clientlens.reports.common import add_io_args, session_from_args, write_report
+from clientlens.reports.common import (
+    add_io_args, session_from_args, stage, stage_root, write_report,
+)
 from clientlens.sources import clean_rows, load_clients, metric_rows, read_raw_rows
 
 
@@ -80,8 +82,8 @@ def sql_analyses(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def mapreduce_analyses(raw: DataFrame) -> dict[str, DataFrame]:
-    clean = clean_rows(raw)
+def mapreduce_analyses(clean: DataFrame) -> dict[str, DataFrame]:
+    """The five map/reduce jobs over cleaned text rows (``clean_rows``)."""
     balance = metric_rows(clean, ["balance"], keep=["job"])
     duration = metric_rows(clean, ["duration"], keep=["poutcome"])
     ages = metric_rows(clean, ["age", "balance"], cast={"age": fn.parse_int("age")})
@@ -97,11 +99,19 @@ def mapreduce_analyses(raw: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def batch_report(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Every batch analysis of the client CSV at ``path``."""
+def batch_report(spark: SparkSession, path: str, staged: bool = True,
+                 stage_dir: str | None = None) -> dict[str, DataFrame]:
+    """Every batch analysis of the client CSV at ``path``. With ``staged``
+    the typed table and the cleaned text rows are first written once as
+    Parquet (see ``stage``)."""
     df = load_clients(spark, path)
+    clean = clean_rows(read_raw_rows(spark, path))
+    if staged:
+        root = stage_root(spark, stage_dir)
+        df = stage(df, f"{root}/typed")
+        clean = stage(clean, f"{root}/clean_text")
     out = {**dataframe_analyses(df), **sql_analyses(df)}
-    out.update(mapreduce_analyses(read_raw_rows(spark, path)))
+    out.update(mapreduce_analyses(clean))
     return out
 
 
@@ -109,7 +119,8 @@ def main(argv: list[str] | None = None) -> None:
     parser = add_io_args(argparse.ArgumentParser(description=__doc__.splitlines()[0]))
     args = parser.parse_args(argv)
     spark = session_from_args(args)
-    write_report(batch_report(spark, args.input), args.out, args.format)
+    write_report(batch_report(spark, args.input, not args.no_stage, args.stage_dir),
+                 args.out, args.format)
 
 
 if __name__ == "__main__":

@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clientlens.session import SCALE_CONF
+from clientlens.session import SCALE_CONF, scratch_path
 
 
 def add_io_args(parser: argparse.ArgumentParser) -> argparse.ArgumentParser:
@@ -15,9 +15,27 @@ def add_io_args(parser: argparse.ArgumentParser) -> argparse.ArgumentParser:
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     parser.add_argument("--master", default=None,
                         help="Spark master (default: what spark-submit provides)")
+    parser.add_argument("--stage-dir", default=None,
+                        help="where the input is staged as Parquet (default: under the "
+                             "session's checkpoint folder)")
+    parser.add_argument("--no-stage", action="store_true",
+                        help="read the CSV directly for every analysis")
     return parser
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once as Parquet and read it back: later analyses read only
+    the columns they need instead of re-parsing every byte of the text, and
+    their lineage starts at the written table (a lost executor recomputes
+    from it, not from the text)."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def stage_root(spark: SparkSession, stage_dir: str | None) -> str:
+    return stage_dir.rstrip("/") if stage_dir else scratch_path(spark, "stage", "clients")
+
+
 def session_from_args(args: argparse.Namespace) -> SparkSession:
     builder = SparkSession.builder.appName("clientlens-report")
     if args.master:

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from clientlens import ml
 from clientlens import operators as ops
-from clientlens.reports.common import add_io_args, session_from_args, write_report
+from clientlens.reports.common import (
+    add_io_args, session_from_args, stage, stage_root, write_report,
+)
 from clientlens.schema import CATEGORICAL_COLS, NUMERIC_COLS, TARGET_COL
 from clientlens.sources import load_clients
 
@@ -29,9 +31,11 @@ def with_key(df: DataFrame) -> DataFrame:
 
 
 def model_report(spark: SparkSession, path: str, num_trees: int = 100, max_depth: int = 5,
-                 tune: bool = False, partitions: int | None = None
-                 ) -> tuple[dict[str, DataFrame], PipelineModel]:
+                 tune: bool = False, partitions: int | None = None, staged: bool = True,
+                 stage_dir: str | None = None) -> tuple[dict[str, DataFrame], PipelineModel]:
     df = with_key(load_clients(spark, path))
+    if staged:  # the fit scans the data many times: read Parquet, not text
+        df = stage(df, f"{stage_root(spark, stage_dir)}/keyed")
     train_raw, test_raw = ml.hash_split(df, "client_key")
     fences = ml.fit_fences(train_raw, ["balance"])
     train = ml.prepare(train_raw, ["pdays"], fences)
@@ -66,7 +70,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = session_from_args(args)
     results, model = model_report(spark, args.input, tune=args.tune,
-                                  partitions=spark.sparkContext.defaultParallelism)
+                                  partitions=spark.sparkContext.defaultParallelism,
+                                  staged=not args.no_stage, stage_dir=args.stage_dir)
     write_report(results, args.out, args.format)
     if args.model_out:
         model.write().overwrite().save(args.model_out)

@@ -14,12 +14,17 @@ from pyspark.sql import functions as F
 
 from clientlens import functions as fn
 from clientlens import operators as ops
-from clientlens.reports.common import add_io_args, session_from_args, write_report
+from clientlens.reports.common import (
+    add_io_args, session_from_args, stage, stage_root, write_report,
+)
 from clientlens.sources import load_clients
 
 
-def partition_report(spark: SparkSession, path: str, num_partitions: int = 8) -> dict[str, DataFrame]:
+def partition_report(spark: SparkSession, path: str, num_partitions: int = 8,
+                     staged: bool = True, stage_dir: str | None = None) -> dict[str, DataFrame]:
     df = load_clients(spark, path)
+    if staged:
+        df = stage(df, f"{stage_root(spark, stage_dir)}/typed")
     return {
         "rows_per_partition": ops.partition_stats(df, num_partitions, "job"),
         "avg_balance_by_job": ops.avg_by_group(df, "job", "balance", "avg_balance",
@@ -41,7 +46,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--partitions", type=int, default=8)
     args = parser.parse_args(argv)
     spark = session_from_args(args)
-    write_report(partition_report(spark, args.input, args.partitions), args.out, args.format)
+    write_report(partition_report(spark, args.input, args.partitions, not args.no_stage,
+                                  args.stage_dir), args.out, args.format)
 
 
 if __name__ == "__main__":

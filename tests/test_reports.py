@@ -63,3 +63,12 @@ def test_partition_report_cli(spark, client_csv, tmp_dir):
     rows = spark.read.option("header", True).csv(os.path.join(out, "rows_per_partition"))
     assert rows.count() == 8
     assert sum(int(r["row_count"]) for r in rows.collect()) == 2000
+
+
+def test_batch_report_staged_equals_direct(spark, client_csv, tmp_dir):
+    staged = batch.batch_report(spark, client_csv, staged=True, stage_dir=os.path.join(tmp_dir, "st"))
+    direct = batch.batch_report(spark, client_csv, staged=False)
+    for name in ["subscription_rate_by_education", "mr5_balance_by_age_decade", "busiest_month"]:
+        assert sorted(map(tuple, staged[name].collect())) == sorted(map(tuple, direct[name].collect()))
+    plan = staged["subscription_rate_by_education"]._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "education" in plan
