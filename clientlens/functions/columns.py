@@ -113,9 +113,20 @@ def indicator(cond: Column) -> Column:
 
 
 def percent(part: str | Column, whole: str | Column, digits: int | None = 2) -> Column:
-    """``part * 100.0 / whole`` in DOUBLE; NULL when ``whole`` is 0."""
-    r = F.try_divide(_col(part).cast("double") * 100.0, _col(whole).cast("double"))
-    return r if digits is None else F.round(r, digits)
+    """``part * 100 / whole`` in DOUBLE, rounded half away from zero to
+    ``digits``; NULL when ``whole`` is 0.
+
+    For counts the rounding is exact: the percentage is computed in units of
+    ``10^-digits`` (``part * 10^(digits+2) / whole``), where a decimal tie
+    such as 1.005 % becomes the exact binary value 100.5. It is therefore
+    rounded the same way in every engine, whereas ``round(1.005, 2)`` on a
+    double depends on the engine's rounding of a value binary cannot hold.
+    """
+    w = _col(whole).cast("double")
+    if digits is None:
+        return F.try_divide(_col(part).cast("double") * 100.0, w)
+    units = F.try_divide(_col(part).cast("double") * F.lit(float(10 ** (digits + 2))), w)
+    return F.round(units, 0) / F.lit(float(10 ** digits))
 
 
 def joined(sep: str, *cols: str | Column) -> Column:

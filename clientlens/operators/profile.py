@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientlens.functions.columns import winsorized
+from clientlens.functions.columns import fixed_point_mean, winsorized
 from clientlens.operators.groups import Cols, _keys, _rounded, mean
 from clientlens.operators.quantiles import exact_quantiles
 
@@ -28,11 +28,20 @@ def preview(df: DataFrame, n: int = 10, order: Sequence[str] | None = None) -> D
     return (df.orderBy(*order) if order else df).limit(n)
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = None,
+                     scale: dict[str, int] | None = None) -> DataFrame:
     """count, mean, sample stddev, min and max of each column, one row per
     column, as DOUBLE (``describe()`` returns strings; this stays typed).
-    ``digits`` rounds mean and stddev."""
-    stats = {"count": F.count, "mean": F.avg, "stddev": F.stddev_samp,
+    ``digits`` rounds mean and stddev; ``scale`` gives columns with a fixed
+    number of decimals an exact mean (see ``fixed_point_mean``)."""
+    scale = scale or {}
+
+    def mean_of(c: str) -> Column:
+        if c in scale and digits is not None:
+            return fixed_point_mean(c, scale[c], digits)
+        return F.avg(c)
+
+    stats = {"count": F.count, "mean": mean_of, "stddev": F.stddev_samp,
              "min": F.min, "max": F.max}
     wide = df.agg(*[fn(c).alias(f"{c}__{s}") for c in cols for s, fn in stats.items()])
     rows = F.array(*[

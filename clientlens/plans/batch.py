@@ -180,7 +180,8 @@ def spread_by_group(spark, sf_dir):
 def describe_numeric(spark, sf_dir):
     return ops.describe_numeric(read_table(spark, sf_dir, "lineitem"),
                                 ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
-                                digits=4)
+                                digits=4, scale={"l_quantity": 0, "l_extendedprice": MONEY,
+                                                 "l_discount": MONEY, "l_tax": MONEY})
 
 
 def null_counts(spark, sf_dir):

@@ -13,8 +13,13 @@ def _fpm(col: str, digits: int = 2, scale: int = 2) -> str:
             f" / CAST(COUNT({col}) AS DOUBLE)) / CAST({10 ** digits} AS DOUBLE)")
 
 
-_RATE_F = ("ROUND(CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) * 100.0"
-           " / count(*), 2)")
+def _pct(hits: str, total: str = "count(*)", digits: int = 2) -> str:
+    """Percentage rounded half away from zero, computed in 10^-digits units."""
+    return (f"ROUND(CAST({hits} AS DOUBLE) * CAST({10 ** (digits + 2)} AS DOUBLE)"
+            f" / CAST({total} AS DOUBLE)) / CAST({10 ** digits} AS DOUBLE)")
+
+
+_RATE_F = _pct("count(*) FILTER (WHERE o_orderstatus = 'F')")
 
 _AGE_GROUP = ("CASE WHEN {c} IS NULL THEN 'unknown' WHEN {c} < 30 THEN '<30'"
               " WHEN {c} <= 60 THEN '30-60' ELSE '>60' END")
@@ -32,9 +37,9 @@ _MONTHS_VALUES = ("(VALUES ('jan', 1), ('feb', 2), ('mar', 3), ('apr', 4), ('may
                   " ('nov', 11), ('dec', 12)) AS m(month, month_num)")
 
 
-def _describe(col: str) -> str:
+def _describe(col: str, scale: int) -> str:
     return (f"SELECT '{col}' AS column_name, count({col}) AS count,"
-            f" ROUND(avg({col}), 4) AS mean, ROUND(stddev_samp({col}), 4) AS stddev,"
+            f" {_fpm(col, 4, scale)} AS mean, ROUND(stddev_samp({col}), 4) AS stddev,"
             f" CAST(min({col}) AS DOUBLE) AS min, CAST(max({col}) AS DOUBLE) AS max"
             " FROM lineitem")
 
@@ -84,11 +89,10 @@ BATCH_SQL = {
                count(*) FILTER (WHERE o_orderstatus = 'F') AS finished_orders,
                {_RATE_F} AS finished_rate_pct
         FROM orders GROUP BY o_orderpriority""",
-    "topk_rate": """
+    "topk_rate": f"""
         SELECT c_nationkey, count(*) AS total_customers,
                count(*) FILTER (WHERE c_acctbal > 5000) AS rich_customers,
-               ROUND(CAST(count(*) FILTER (WHERE c_acctbal > 5000) AS DOUBLE) * 100.0
-                     / count(*), 2) AS rich_rate_pct
+               {_pct("count(*) FILTER (WHERE c_acctbal > 5000)")} AS rich_rate_pct
         FROM customer GROUP BY c_nationkey
         ORDER BY rich_rate_pct DESC, c_nationkey LIMIT 3""",
     "topk_avg_with_rate": f"""
@@ -148,7 +152,8 @@ BATCH_SQL = {
                min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price
         FROM lineitem GROUP BY l_returnflag""",
     "describe_numeric": " UNION ALL ".join(
-        _describe(c) for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
+        _describe(c, sc) for c, sc in
+        [("l_quantity", 0), ("l_extendedprice", 2), ("l_discount", 2), ("l_tax", 2)]),
     "null_counts": _nulls(["event_id", "ts", "user_id", "event_type", "value", "props"], "events"),
     "global_metrics": f"""
         SELECT {_fpm('o_totalprice')} AS avg_totalprice,

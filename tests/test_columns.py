@@ -100,3 +100,9 @@ def test_fixed_point_mean_ties_and_layout_independence(spark):
     assert neg.agg(fn.fixed_point_mean("v", 2, 2)).collect()[0][0] == -0.02  # -0.015 -> -0.02
     ints = spark.createDataFrame([(1.0,), (2.0,)], "v double")
     assert ints.agg(fn.fixed_point_mean("v", 0, 0)).collect()[0][0] == 2.0  # 1.5 -> 2
+
+
+def test_percent_decimal_tie_rounds_half_up(spark):
+    # 201 / 20000 = 1.005 %: a decimal tie that a double cannot hold exactly
+    df = spark.createDataFrame([(201, 20000), (1, 8), (2, 3)], "h long, t long")
+    assert [r[0] for r in df.select(fn.percent("h", "t")).collect()] == [1.01, 12.5, 66.67]
