@@ -216,8 +216,8 @@ STREAM_SQL = {
 
 
 _RULES = """
-    SELECT CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS label,
-           CASE WHEN l_discount >= 0.05 THEN 1.0 ELSE 0.0 END AS prediction,
+    SELECT CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS DOUBLE) AS label,
+           CAST(CASE WHEN l_discount >= 0.05 THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
            l_discount AS score
     FROM lineitem"""
 
