@@ -1,6 +1,7 @@
 """The driver contract: entry smoke, registered queries, oracle parity."""
 import math
 import os
+import sys
 
 import duckdb
 import pytest
@@ -9,6 +10,10 @@ import __spark_entry__ as E
 
 from conftest import SF_SMALL
 
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                                "tools"))
+from oracle_check import type_diff  # noqa: E402
+
 SLOW = {"tune_rf"}
 
 
@@ -43,13 +48,15 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - SLOW))
 def test_query_against_oracle(spark, duck, name):
-    pdf = E.queries()[name](spark, SF_SMALL).toPandas()
+    df = E.queries()[name](spark, SF_SMALL)
+    pdf = df.toPandas()
     sql = E.oracle_sql().get(name)
     if sql is None:
         assert len(pdf.columns) > 0
         return
     opdf = duck.execute(sql).df()
     assert sorted(pdf.columns) == sorted(opdf.columns)
+    assert type_diff(df, duck, sql) == {}
     assert len(pdf) == len(opdf)
     assert _rows(pdf) == _rows(opdf)
 
