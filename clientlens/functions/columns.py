@@ -40,12 +40,17 @@ def month_ordinal(month: str | Column, unknown: int | None = UNKNOWN_MONTH_ORDIN
     return ordinal if unknown is None else F.coalesce(ordinal, F.lit(unknown))
 
 
+# Age-group edges and labels.
+AGE_YOUNG_BELOW = 30
+AGE_SENIOR_ABOVE = 60
+
+
 def age_group(age: str | Column) -> Column:
     """NULL -> ``unknown``, below 30 -> ``<30``, 30..60 inclusive -> ``30-60``,
     above -> ``>60``."""
     a = _col(age)
-    return (F.when(a.isNull(), "unknown").when(a < 30, "<30")
-            .when(a <= 60, "30-60").otherwise(">60"))
+    return (F.when(a.isNull(), "unknown").when(a < AGE_YOUNG_BELOW, "<30")
+            .when(a <= AGE_SENIOR_ABOVE, "30-60").otherwise(">60"))
 
 
 def _floor_to(a: Column, width: int) -> Column:

@@ -4,6 +4,9 @@ rates are DOUBLE, counts BIGINT."""
 
 from __future__ import annotations
 
+# Fixed values restated in SQL for the independent oracle: month names and
+# their quarters (as in clientlens.schema), the age-group edges 30 and 60,
+# 5-year and 10-year band widths.
 _MONTH = "lower(strftime(o_orderdate, '%b'))"
 
 def _fpm(col: str, digits: int = 2, scale: int = 2) -> str:
