@@ -9,4 +9,6 @@ from clientlens.operators.profile import (  # noqa: F401
     corr, describe_numeric, hash_partition_id, iqr_fences, null_counts, partition_stats, preview,
     spread_by_group, total_count, winsorize_iqr,
 )
-from clientlens.operators.quantiles import exact_quantiles  # noqa: F401,E402
+from clientlens.operators.quantiles import (  # noqa: F401,E402
+    exact_quantiles, quantile_by_group_discrete,
+)

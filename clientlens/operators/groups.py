@@ -74,21 +74,34 @@ def avg_by_group(df: DataFrame, keys: Cols, value: str, name: str | None = None,
 def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str,
                         avg_name: str | None = None, median_name: str | None = None,
                         count_name: str | None = None, digits: int | None = 2,
-                        accuracy: int = 10000, scale: int | None = None) -> DataFrame:
-    """Mean of one column and approximate median of another per group.
-
-    The median is ``percentile_approx`` (a mergeable quantile sketch with
-    relative rank error ``1/accuracy``), so it aggregates partially like the
-    mean and never gathers a group's values in one place.
+                        accuracy: int = 10000, scale: int | None = None,
+                        median: str = "sketch") -> DataFrame:
+    """Mean of one column and median of another per group.
+
+    ``median="sketch"`` (default) is ``percentile_approx``: a mergeable
+    quantile sketch with relative rank error ``1/accuracy``, aggregated
+    partially like the mean. ``median="histogram"`` is exact for columns with
+    few distinct values (see ``quantile_by_group_discrete``) and stays cheap
+    for hot groups; it is joined to the means on the group key (both sides
+    have one row per group).
     """
     ks = _keys(keys)
     avg_name = avg_name or f"avg_{avg_col}"
     median_name = median_name or f"median_{median_col}"
-    aggs = [mean(avg_col, digits, scale).alias(avg_name),
-            F.percentile_approx(median_col, 0.5, accuracy).alias(median_name)]
+    aggs = [mean(avg_col, digits, scale).alias(avg_name)]
+    if median == "sketch":
+        aggs.append(F.percentile_approx(median_col, 0.5, accuracy).alias(median_name))
     if count_name:
         aggs.append(F.count(F.lit(1)).alias(count_name))
-    return df.groupBy(*ks).agg(*aggs).orderBy(F.desc_nulls_last(avg_name), *ks)
+    out = df.groupBy(*ks).agg(*aggs)
+    if median == "histogram":
+        from clientlens.operators.quantiles import quantile_by_group_discrete
+        med = quantile_by_group_discrete(df, ks, median_col, 0.5, median_name)
+        out = out.join(med, ks, "left")
+    elif median != "sketch":
+        raise ValueError("median must be 'sketch' or 'histogram'")
+    cols = ks + [avg_name, median_name] + ([count_name] if count_name else [])
+    return out.select(*cols).orderBy(F.desc_nulls_last(avg_name), *ks)
 
 
 def filtered_count_by_group(df: DataFrame, cond: Column, keys: Cols,

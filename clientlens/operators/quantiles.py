@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCH_ERROR = 5e-4  # relative rank error of each narrowing sketch
@@ -144,3 +144,29 @@ def _sort_small(vals: DataFrame, v: Column, work: list[tuple[_Bracket, int]]) ->
         b.answer, b.done = float(fetched[lo:hi][r - 1]), True
 
 
+
+
+def quantile_by_group_discrete(df: DataFrame, keys: Sequence[str], value: str, p: float = 0.5,
+                               name: str | None = None) -> DataFrame:
+    """Exact ``p``-quantile of ``value`` per group, for columns with few
+    distinct values (ages, quantities, ratings).
+
+    Values are first counted per (group, value) with a partial aggregate, so
+    even a group holding a third of the table becomes at most one row per
+    distinct value before anything is shuffled; the quantile is the smallest
+    value whose cumulative count reaches ``ceil(p * n)``. A per-group sketch
+    would instead merge one partial sketch per task for every hot group in a
+    single reducer. With many distinct values per group use
+    ``percentile_approx`` instead.
+    """
+    name = name or f"q{int(round(p * 100))}_{value}"
+    ks = list(keys)
+    counts = (df.where(F.col(value).isNotNull())
+              .groupBy(*ks, value).agg(F.count(F.lit(1)).alias("__c")))
+    upto = Window.partitionBy(*ks).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*ks)
+    ranked = counts.withColumns({"__cum": F.sum("__c").over(upto),
+                                 "__n": F.sum("__c").over(whole)})
+    target = F.greatest(F.lit(1), F.ceil(F.col("__n") * F.lit(p)))
+    return (ranked.where(F.col("__cum") >= target)
+            .groupBy(*ks).agg(F.min(value).alias(name)))

@@ -93,3 +93,18 @@ def test_exact_winsorize_fences(spark):
     assert (f["q1"], f["q3"]) == (q1, q3) and f["upper"] == q3 + 1.5 * (q3 - q1)
     out = {r["b"]: r["c"] for r in ops.winsorize_iqr(df, "b", "c", exact=True).collect()}
     assert out[1000.0] == f["upper"] and out[50.0] == 50.0
+
+
+def test_quantile_by_group_discrete_matches_brute_force(spark):
+    import random
+    rnd = random.Random(11)
+    rows = [(rnd.choice("abc"), float(rnd.randint(1, 9)) if rnd.random() > 0.05 else None)
+            for _ in range(3000)] + [("a", 5.0)] * 2000  # a hot group
+    df = spark.createDataFrame(rows, "k string, v double")
+    for p in (0.25, 0.5, 0.9):
+        got = {r["k"]: r["q"] for r in ops.quantile_by_group_discrete(df, ["k"], "v", p, "q").collect()}
+        want = {k: _brute([v for kk, v in rows if kk == k], p) for k in "abc"}
+        assert got == want
+    both = ops.avg_median_by_group(df, "k", "v", "v", "a", "m", "n", median="histogram")
+    sketch = ops.avg_median_by_group(df, "k", "v", "v", "a", "m", "n")
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, sketch.collect()))
