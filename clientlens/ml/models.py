@@ -25,9 +25,13 @@ def spread(df: DataFrame, partitions: int | None) -> DataFrame:
     """Round-robin the rows into ``partitions`` when the input has fewer, so
     every core computes tree statistics (a large input already has enough
     partitions and is left as it is: no extra shuffle)."""
-    if partitions and df.rdd.getNumPartitions() < partitions:
+    if not partitions:
+        return df
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD view: Spark Connect)
         return df.repartition(partitions)
-    return df
+    return df.repartition(partitions) if current < partitions else df
 
 
 def train_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],

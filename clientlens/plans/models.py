@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from clientlens import ml
 from clientlens import streaming as st
 from clientlens.functions.columns import month_name
+from clientlens.session import app_id, parallelism
 from clientlens.sources import read_table
 
 CAT_COLS = ["o_orderpriority", "month"]
@@ -43,7 +44,7 @@ def split_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def fences(spark: SparkSession, sf_dir: str) -> dict:
     """IQR fences of the clipped columns, fitted on the training part."""
-    key = (spark.sparkContext.applicationId, sf_dir, "fences")
+    key = (app_id(spark), sf_dir, "fences")
     if key not in _MODELS:
         _MODELS[key] = ml.fit_fences(split_raw(spark, sf_dir)[0], ["o_totalprice"])
     return _MODELS[key]
@@ -57,11 +58,11 @@ def split_prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 def fitted_model(spark: SparkSession, sf_dir: str, num_trees: int = 100, max_depth: int = 5):
     """The trained pipeline for this fixture (fitted once per application)."""
-    key = (spark.sparkContext.applicationId, sf_dir, num_trees, max_depth)
+    key = (app_id(spark), sf_dir, num_trees, max_depth)
     if key not in _MODELS:
         train, _ = split_prepared(spark, sf_dir)
         _MODELS[key] = ml.train_rf(train, CAT_COLS, NUM_COLS, "y", num_trees, max_depth,
-                                   seed=42, partitions=spark.sparkContext.defaultParallelism)
+                                   seed=42, partitions=parallelism(spark))
     return _MODELS[key]
 
 
@@ -120,7 +121,7 @@ def tune_rf(spark, sf_dir):
     also scored on the held-out test part."""
     train, test = split_prepared(spark, sf_dir)
     cv = ml.tune_rf(train, CAT_COLS, NUM_COLS, "y", folds=3, seed=42, parallelism=4,
-                    partitions=spark.sparkContext.defaultParallelism)
+                    partitions=parallelism(spark))
     return ml.grid_results(spark, cv, test)
 
 

@@ -21,6 +21,7 @@ from clientlens.reports.common import (
     add_io_args, session_from_args, stage, stage_root, write_report,
 )
 from clientlens.schema import CATEGORICAL_COLS, NUMERIC_COLS, TARGET_COL
+from clientlens.session import parallelism
 from clientlens.sources import load_clients
 
 
@@ -70,7 +71,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = session_from_args(args)
     results, model = model_report(spark, args.input, tune=args.tune,
-                                  partitions=spark.sparkContext.defaultParallelism,
+                                  partitions=parallelism(spark),
                                   staged=not args.no_stage, stage_dir=args.stage_dir)
     write_report(results, args.out, args.format)
     if args.model_out:

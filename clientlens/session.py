@@ -69,14 +69,39 @@ def cluster_conf(input_bytes: int, total_cores: int,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; only when the session has none
     (local tests) is a scratch folder created and registered."""
-    root = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    root = sc.getCheckpointDir() if sc is not None else None
     if root:
         return root
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="clientlens-ckpt-")
-    spark.sparkContext.setCheckpointDir(conf)
-    return spark.sparkContext.getCheckpointDir() or conf
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", conf)
+    if sc is not None:
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir() or conf
+    return conf
+
+
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001  (Connect sessions raise here)
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
+
+
+def parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "8"))
 
 
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
