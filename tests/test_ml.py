@@ -102,3 +102,15 @@ def test_tune_rf_best_model_test_auc(spark, clients):
     best = [r for r in res if r["is_best"]]
     assert best and all(0.0 <= r["test_auc"] <= 1.0 for r in best)
     assert all(r["test_auc"] is None for r in res if not r["is_best"])
+
+
+def test_seeded_training_is_repeatable(spark, clients):
+    train, test = ml.hash_split(clients, "id")
+    train = train.repartition(3).cache()
+    runs = []
+    for _ in range(2):
+        model, _ = ml.train_rf(train, ["job", "month"], ["balance", "pdays"], "y",
+                               num_trees=8, max_depth=3, seed=7)
+        runs.append(model.stages[-1].featureImportances.toArray().tolist())
+    assert runs[0] == runs[1]
+    train.unpersist()
