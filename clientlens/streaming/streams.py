@@ -171,6 +171,17 @@ def latest_versions(spark: SparkSession, path: str, keys: Sequence[str],
         .select(*schema.fieldNames())
 
 
+def compact_versions(spark: SparkSession, path: str, keys: Sequence[str],
+                     schema: T.StructType, out: str) -> DataFrame:
+    """Write the final row per key of a versioned output log to ``out`` (a
+    new Parquet table) and return it. A long-running query's log grows by
+    one folder per micro-batch; readers can use the compacted table plus
+    the batches written after it instead of re-reducing the whole log. The
+    log itself is left untouched."""
+    latest_versions(spark, path, keys, schema).write.mode("errorifexists").parquet(out)
+    return spark.read.parquet(out)
+
+
 def run_available(df: DataFrame, name: str, keys: Sequence[str],
                   output_mode: str = "update", timeout_s: float | None = None) -> DataFrame:
     """Run a streaming aggregate over all input available now, through the

@@ -195,3 +195,13 @@ def test_contact_streams_four_queries(spark, tmp_dir):
     assert preds.count() == 300 and set(preds.columns) >= {"prediction", "confidence"}
     windows = spark.read.parquet(os.path.join(root, "window_analysis"))
     assert windows.count() > 0
+
+
+def test_compact_versions(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "log")
+    write = st.versioned_batch_writer(out)
+    write(spark.createDataFrame([("a", 1), ("b", 1)], "job string, n long"), 0)
+    write(spark.createDataFrame([("a", 3)], "job string, n long"), 1)
+    schema = spark.createDataFrame([], "job string, n long").schema
+    compact = st.compact_versions(spark, out, ["job"], schema, os.path.join(tmp_dir, "compact"))
+    assert sorted(map(tuple, compact.collect())) == [("a", 3), ("b", 1)]
