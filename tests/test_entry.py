@@ -65,3 +65,17 @@ def test_partition_stats_fixture(spark):
     rows = E.queries()["partition_stats"](spark, SF_SMALL).collect()
     total = spark.read.parquet(os.path.join(SF_SMALL, "lineitem.parquet")).count()
     assert len(rows) == 8 and sum(r["row_count"] for r in rows) == total
+
+
+EXECUTING = {"tune_rf", "train_rf", "score_clients", "feature_importance", "feature_vectors",
+             "stream_score", "write_chunks", "clean_rows", "ingest_table", "write_tsv",
+             "load_clients", "stream_source", "stream_group_agg", "stream_sliding",
+             "stream_watermark", "winsorize_iqr", "binary_metrics", "string_index",
+             "standard_scale"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - EXECUTING))
+def test_no_python_evaluation_in_plans(spark, name):
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
