@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientlens.functions.columns import fixed_point_mean, month_ordinal, percent, quarter_of
@@ -80,28 +80,56 @@ def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str
 
     ``median="sketch"`` (default) is ``percentile_approx``: a mergeable
     quantile sketch with relative rank error ``1/accuracy``, aggregated
-    partially like the mean. ``median="histogram"`` is exact for columns with
-    few distinct values (see ``quantile_by_group_discrete``) and stays cheap
-    for hot groups; it is joined to the means on the group key (both sides
-    have one row per group).
+    partially like the mean. ``median="histogram"`` is exact for a median
+    column with few distinct values and stays cheap for hot groups: one scan
+    counts rows per (group, value) and carries the partial sums of the mean
+    along, so the median is read off the cumulative counts and the mean off
+    the summed parts (see ``quantile_by_group_discrete``).
     """
     ks = _keys(keys)
     avg_name = avg_name or f"avg_{avg_col}"
     median_name = median_name or f"median_{median_col}"
-    aggs = [mean(avg_col, digits, scale).alias(avg_name)]
-    if median == "sketch":
-        aggs.append(F.percentile_approx(median_col, 0.5, accuracy).alias(median_name))
-    if count_name:
-        aggs.append(F.count(F.lit(1)).alias(count_name))
-    out = df.groupBy(*ks).agg(*aggs)
     if median == "histogram":
-        from clientlens.operators.quantiles import quantile_by_group_discrete
-        med = quantile_by_group_discrete(df, ks, median_col, 0.5, median_name)
-        out = out.join(med, ks, "left")
-    elif median != "sketch":
+        out = _avg_median_histogram(df, ks, avg_col, median_col, avg_name, median_name,
+                                    count_name, digits, scale)
+    elif median == "sketch":
+        aggs = [mean(avg_col, digits, scale).alias(avg_name),
+                F.percentile_approx(median_col, 0.5, accuracy).alias(median_name)]
+        if count_name:
+            aggs.append(F.count(F.lit(1)).alias(count_name))
+        out = df.groupBy(*ks).agg(*aggs)
+    else:
         raise ValueError("median must be 'sketch' or 'histogram'")
-    cols = ks + [avg_name, median_name] + ([count_name] if count_name else [])
-    return out.select(*cols).orderBy(F.desc_nulls_last(avg_name), *ks)
+    return out.orderBy(F.desc_nulls_last(avg_name), *ks)
+
+
+def _avg_median_histogram(df, ks, avg_col, median_col, avg_name, median_name, count_name,
+                          digits, scale) -> DataFrame:
+    v = F.col(median_col)
+    if scale is not None and digits is not None:
+        part = F.round(F.col(avg_col) * F.lit(float(10 ** scale))).cast("bigint")
+    else:
+        part = F.col(avg_col).cast("double")
+    hist = df.groupBy(*ks, median_col).agg(
+        F.count(F.lit(1)).alias("__rows"), F.sum(part).alias("__sum"),
+        F.count(part).alias("__n"))
+    upto = Window.partitionBy(*ks).orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*ks)
+    counted = F.when(v.isNotNull(), F.col("__rows")).otherwise(0)
+    ranked = hist.withColumns({"__cum": F.sum(counted).over(upto),
+                               "__nv": F.sum(counted).over(whole)})
+    target = F.greatest(F.lit(1), F.ceil(F.col("__nv") * F.lit(0.5)))
+    total, n = F.sum("__sum"), F.sum("__n")
+    if scale is not None and digits is not None:
+        avg = F.round(F.try_divide(total.cast("double") * F.lit(float(10 ** (digits - scale))),
+                                   n.cast("double")), 0) / F.lit(float(10 ** digits))
+    else:
+        avg = _rounded(F.try_divide(total, n.cast("double")), digits)
+    aggs = [avg.alias(avg_name),
+            F.min(F.when(v.isNotNull() & (F.col("__cum") >= target), v)).alias(median_name)]
+    if count_name:
+        aggs.append(F.sum("__rows").alias(count_name))
+    return ranked.groupBy(*ks).agg(*aggs)
 
 
 def filtered_count_by_group(df: DataFrame, cond: Column, keys: Cols,
