@@ -227,13 +227,13 @@ def above_avg_by_group(spark, sf_dir):
 
 def sql_view_agg(spark, sf_dir):
     """SQL text over a temp view, banding with the registered SQL function."""
-    read_table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem_view")
+    read_table(spark, sf_dir, "lineitem").createOrReplaceTempView("clientlens_lineitem")
     fn.register_sql_functions(spark)
     return spark.sql("""
         SELECT age_group(l_quantity) AS age_group,
                COUNT(*) AS row_count,
                ROUND(AVG(l_extendedprice), 2) AS avg_extendedprice
-        FROM lineitem_view
+        FROM clientlens_lineitem
         GROUP BY 1
         ORDER BY 1
     """)
