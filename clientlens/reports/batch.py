@@ -120,7 +120,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = session_from_args(args)
     write_report(batch_report(spark, args.input, not args.no_stage, args.stage_dir),
-                 args.out, args.format)
+                 args.out, args.format,
+                 args.parallel_writes)
 
 
 if __name__ == "__main__":

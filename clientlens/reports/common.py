@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,8 @@ def add_io_args(parser: argparse.ArgumentParser) -> argparse.ArgumentParser:
                              "session's checkpoint folder)")
     parser.add_argument("--no-stage", action="store_true",
                         help="read the CSV directly for every analysis")
+    parser.add_argument("--parallel-writes", type=int, default=4,
+                        help="results written concurrently")
     return parser
 
 
@@ -45,15 +48,22 @@ def session_from_args(args: argparse.Namespace) -> SparkSession:
     return builder.getOrCreate()
 
 
-def write_report(results: dict[str, DataFrame], out: str, fmt: str = "parquet") -> list[str]:
-    """Write each result to ``out/<name>`` (one Spark job per result; the
-    results are aggregates, so writing them is cheap next to the scans)."""
-    written = []
-    for name, df in results.items():
+def write_report(results: dict[str, DataFrame], out: str, fmt: str = "parquet",
+                 parallelism: int = 4) -> list[str]:
+    """Write each result to ``out/<name>``. The results are small aggregates
+    whose jobs each leave most of the cluster idle, so up to ``parallelism``
+    of them are submitted at once from driver threads (Spark schedules
+    concurrent jobs side by side)."""
+    def write(item: tuple[str, DataFrame]) -> str:
+        name, df = item
         target = f"{out.rstrip('/')}/{name}"
         writer = df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
             writer = writer.option("header", True)
         writer.save(target)
-        written.append(target)
-    return written
+        return target
+
+    if parallelism <= 1:
+        return [write(item) for item in results.items()]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(write, results.items()))

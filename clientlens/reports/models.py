@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     results, model = model_report(spark, args.input, tune=args.tune,
                                   partitions=parallelism(spark),
                                   staged=not args.no_stage, stage_dir=args.stage_dir)
-    write_report(results, args.out, args.format)
+    write_report(results, args.out, args.format, args.parallel_writes)
     if args.model_out:
         model.write().overwrite().save(args.model_out)
 

@@ -47,7 +47,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = session_from_args(args)
     write_report(partition_report(spark, args.input, args.partitions, not args.no_stage,
-                                  args.stage_dir), args.out, args.format)
+                                  args.stage_dir), args.out, args.format,
+                 args.parallel_writes)
 
 
 if __name__ == "__main__":
