@@ -49,9 +49,12 @@ def read_raw_rows(spark: SparkSession, path: str, schema: T.StructType | None =
     known for every line whatever columns a later step prunes.
     """
     schema = schema or client_text_schema()
-    lines = spark.read.text(path)
-    if header:
-        lines = lines.where(F.col("value") != sep.join(schema.fieldNames()))
+    # Each line as one raw string; the CSV reader drops the first line of
+    # every file when ``header`` is set (by position, whatever it says).
+    lines = (spark.read.schema("value STRING").option("header", header)
+             .option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+             .csv(path).where(F.col("value").isNotNull()))
     unquoted = F.regexp_replace("value", '"[^"]*"', "")
     n_fields = F.when(F.col("value") == "", 0).otherwise(F.size(F.split(unquoted, re.escape(sep))))
     ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields)

@@ -106,3 +106,21 @@ def test_ingest_table_use_database(spark, tmp_dir):
 def test_load_clients_rename(spark, tmp_dir):
     df = load_clients(spark, _write_csv(tmp_dir), renames={"default": "default_credit"})
     assert "default_credit" in df.columns and "default" not in df.columns
+
+
+def test_raw_rows_skip_any_header_per_file(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "two")
+    os.makedirs(folder)
+    other_header = HEADER.replace("default", "default_")
+    for i, head in enumerate([HEADER, other_header]):
+        with open(os.path.join(folder, f"part-{i}.csv"), "w") as f:
+            f.write("\n".join([head] + LINES[:2]) + "\n")
+    clean = clean_rows(read_raw_rows(spark, folder))
+    assert clean.count() == 4 and clean.where(F.col("job") == "job").count() == 0
+    quoted = os.path.join(tmp_dir, "quoted")
+    os.makedirs(quoted)
+    with open(os.path.join(quoted, "q.csv"), "w") as f:
+        f.write(HEADER + "\n" + '35,"admin., senior",married,secondary,no,1200,yes,no,cellular,'
+                '5,may,120,1,-1,0,unknown,no\n')
+    rows = clean_rows(read_raw_rows(spark, quoted)).collect()
+    assert len(rows) == 1 and rows[0]["job"] == "admin., senior"
