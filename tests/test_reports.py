@@ -72,3 +72,20 @@ def test_batch_report_staged_equals_direct(spark, client_csv, tmp_dir):
         assert sorted(map(tuple, staged[name].collect())) == sorted(map(tuple, direct[name].collect()))
     plan = staged["subscription_rate_by_education"]._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "education" in plan
+
+
+def test_sql_report_matches_dataframe_analyses(spark, client_csv):
+    from clientlens.reports import sql as sql_report
+    from clientlens.sources import load_clients
+    df = load_clients(spark, client_csv)
+    res = sql_report.sql_report(spark, df)
+    assert len(res) == 13
+    dfa = batch.sql_analyses(df)
+    for name in ["top5_jobs_by_balance_with_rate", "busiest_month", "balance_spread_by_education",
+                 "subscription_by_previous_outcome", "defaults_by_education", "total_clients"]:
+        a = sorted(map(tuple, res[name].collect()))
+        b = sorted(map(tuple, dfa[name].collect()))
+        assert a == b, name
+    vol = [(r["month"], r["contact_volume"]) for r in res["monthly_contact_volume"].collect()]
+    assert vol == [(r["month"], r["contact_volume"])
+                   for r in dfa["monthly_contact_volume"].collect()]
