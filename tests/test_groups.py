@@ -125,3 +125,10 @@ def test_partition_stats_expression_equals_real_repartition(spark):
     assert "Repartition" not in plan
     rr = ops.partition_stats(df, 4).collect()  # round-robin: materialized
     assert sum(r["row_count"] for r in rr) == 3000 and len(rr) == 4
+
+
+def test_pivot_counts_discovers_values(spark):
+    out = ops.pivot_counts(_df(spark), "education", "loan")
+    assert out.columns == ["education", "no", "yes"]
+    assert [tuple(r) for r in out.collect()] == [("primary", 1, 1), ("secondary", 0, 2),
+                                                  ("tertiary", 1, 0)]

@@ -205,3 +205,16 @@ def test_compact_versions(spark, tmp_dir):
     schema = spark.createDataFrame([], "job string, n long").schema
     compact = st.compact_versions(spark, out, ["job"], schema, os.path.join(tmp_dir, "compact"))
     assert sorted(map(tuple, compact.collect())) == [("a", 3), ("b", 1)]
+
+
+def test_console_sink_processing_time_trigger_and_stop(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "console")
+    _write_files(folder, [("2024-01-01 00:00:01", "a", 1)])
+    stream = st.stream_source(spark, folder, LATE_SCHEMA, "csv")
+    agg = st.stream_group_agg(stream, "job", {"n": F.count(F.lit(1))})
+    q = st.start_stream(agg, "console_q", "complete", "console",
+                        trigger={"processingTime": "1 second"}, options={"truncate": False})
+    q.processAllAvailable()
+    assert q.isActive and q.lastProgress["numInputRows"] >= 0
+    q.stop()
+    assert not q.isActive
