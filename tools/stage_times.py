@@ -17,14 +17,27 @@ def stage_rows(path: str):
     for f in files:
         if os.path.isdir(f):
             continue
-        with open(f, errors="replace") as fh:
-            for line in fh:
-                if '"SparkListenerStageCompleted"' not in line:
-                    continue
-                info = json.loads(line)["Stage Info"]
-                if "Completion Time" in info and "Submission Time" in info:
-                    yield (info["Completion Time"] - info["Submission Time"], info["Stage ID"],
-                           info["Number of Tasks"], info["Stage Name"])
+        for line in _lines(f):
+            if '"SparkListenerStageCompleted"' not in line:
+                continue
+            info = json.loads(line)["Stage Info"]
+            if "Completion Time" in info and "Submission Time" in info:
+                yield (info["Completion Time"] - info["Submission Time"], info["Stage ID"],
+                       info["Number of Tasks"], info["Stage Name"])
+
+
+def _lines(path: str):
+    """Lines of a plain or zstd-compressed event log file."""
+    if path.endswith(".zstd"):
+        import io
+
+        import zstandard
+        with open(path, "rb") as raw:
+            reader = zstandard.ZstdDecompressor().stream_reader(raw)
+            yield from io.TextIOWrapper(reader, errors="replace")
+    else:
+        with open(path, errors="replace") as fh:
+            yield from fh
 
 
 def main() -> None:
