@@ -32,7 +32,7 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     their lineage starts at the written table (a lost executor recomputes
     from it, not from the text)."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage_root(spark: SparkSession, stage_dir: str | None) -> str:

@@ -17,10 +17,24 @@ from clientlens.schema import client_schema, client_text_schema
 FIELD_COUNT_COL = "_n_fields"
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture table (``{sf_dir}/{name}.parquet``); column pruning and
-    filters reach the Parquet scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    filters reach the Parquet scan.
+
+    The first read of a path infers its schema (Spark runs a small job to
+    read the footer); later reads pass that schema explicitly and skip the
+    inference job.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def load_clients(spark: SparkSession, path: str, schema: T.StructType | None = None,

@@ -158,8 +158,11 @@ def latest_versions(spark: SparkSession, path: str, keys: Sequence[str],
                     schema: T.StructType) -> DataFrame:
     """Final row per key from a versioned output log (the highest batch id
     wins); an empty log gives an empty frame with ``schema``."""
+    # the log's schema is known: the stream's output plus the batch_id folder
+    # column, so no inference job is needed
+    log_schema = T.StructType(schema.fields + [T.StructField(BATCH_COL, T.IntegerType())])
     try:
-        log = spark.read.format("parquet").load(path)
+        log = spark.read.schema(log_schema).format("parquet").load(path)
     except AnalysisException:  # no batch written yet: the folder does not exist
         return spark.createDataFrame([], schema)
     # max_by is a hash aggregate with a partial step: no sort, and a key's
