@@ -10,10 +10,10 @@ almost every value. Instead, each pass:
 2. resolves a quantile directly when its target rank falls on a bound's
    ties, or sorts the bracket when it holds at most ``max_exact`` values;
 3. otherwise narrows the bracket with ``approxQuantile`` over the bracket's
-   values at just two fractions around the target rank. The sketch's rank
-   error is smaller than the margin, so the true value stays inside, and
-   ``approxQuantile`` merges its per-partition sketches with a tree
-   aggregate (no single task receives them all).
+   values at two fractions around the target rank (one job for all
+   brackets). The sketch's rank error is smaller than the margin, so the
+   true value stays inside, and ``approxQuantile`` merges its per-partition
+   sketches with a tree aggregate (no single task receives them all).
 
 Each pass shrinks a bracket about 200-fold, so a column of 10^12 values
 needs about five passes; no task and not the driver ever holds more than
@@ -82,7 +82,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                 row.update({f"below{i}": 0, f"m{i}": n, f"tlo{i}": 0, f"thi{i}": 0})
         else:
             row = vals.agg(*_count_aggs(open_, v)).first()
-        to_sort = []
+        to_sort, to_narrow = [], []
         for i, b in enumerate(open_):
             r = b.k - row[f"below{i}"]
             m, tlo, thi = row[f"m{i}"], row[f"tlo{i}"], row[f"thi{i}"]
@@ -93,7 +93,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
             elif m <= max_exact:
                 to_sort.append((b, r))
             else:
-                _narrow(vals, b, r, m)
+                to_narrow.append((b, r, m))
+        if to_narrow:
+            _narrow_all(vals, v, to_narrow)
         if to_sort:
             _sort_small(vals, v, to_sort)
     if not all(b.done for b in brackets):
@@ -114,20 +116,31 @@ def _count_aggs(open_: list[_Bracket], v: Column) -> list[Column]:
     return aggs
 
 
-def _narrow(vals: DataFrame, b: _Bracket, r: int, m: int) -> None:
-    """New bracket around rank ``r`` of the ``m`` values inside ``b``; the
-    answer is known to lie strictly between the current bounds."""
-    f = r / m
-    new_lo, new_hi = vals.where(b.inside(F.col("__v"))).approxQuantile(
-        "__v", [max(0.0, f - MARGIN), min(1.0, f + MARGIN)], SKETCH_ERROR)
-    if b.lo is None or new_lo > b.lo:
-        b.lo, b.lo_incl = new_lo, True
-    else:
-        b.lo_incl = False
-    if b.hi is None or new_hi < b.hi:
-        b.hi, b.hi_incl = new_hi, True
-    else:
-        b.hi_incl = False
+def _narrow_all(vals: DataFrame, v: Column, work: list[tuple[_Bracket, int, int]]) -> None:
+    """New brackets around rank ``r`` of the ``m`` values inside each bracket
+    (the answer is known to lie strictly between its current bounds).
+
+    One ``approxQuantile`` job serves every bracket: each bracket is a
+    column holding the value where it is inside the bracket and NULL
+    elsewhere (NULLs are skipped), and each asks for two fractions around
+    its target."""
+    fracs = sorted({f for _, r, m in work
+                    for f in (max(0.0, r / m - MARGIN), min(1.0, r / m + MARGIN))})
+    cols = [F.when(b.inside(v), v).alias(f"__b{i}") for i, (b, _, _) in enumerate(work)]
+    answers = vals.select(*cols).approxQuantile(
+        [f"__b{i}" for i in range(len(work))], fracs, SKETCH_ERROR)
+    for (b, r, m), qs in zip(work, answers):
+        at = dict(zip(fracs, qs))
+        new_lo = at[max(0.0, r / m - MARGIN)]
+        new_hi = at[min(1.0, r / m + MARGIN)]
+        if b.lo is None or new_lo > b.lo:
+            b.lo, b.lo_incl = new_lo, True
+        else:
+            b.lo_incl = False
+        if b.hi is None or new_hi < b.hi:
+            b.hi, b.hi_incl = new_hi, True
+        else:
+            b.hi_incl = False
 
 
 def _sort_small(vals: DataFrame, v: Column, work: list[tuple[_Bracket, int]]) -> None:

@@ -205,6 +205,19 @@ def winsorize_iqr(spark, sf_dir):
     return ops.winsorize_iqr(ev, "value", "value_clipped", exact=True)
 
 
+QUANTILE_PROBS = [0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+
+
+def exact_quantiles(spark, sf_dir):
+    """Exact quantiles of every line item's extended price (more values than
+    are ever sorted in one place, so the bracketing passes run), one row
+    per probability."""
+    li = read_table(spark, sf_dir, "lineitem")
+    values = ops.exact_quantiles(li, "l_extendedprice", QUANTILE_PROBS)
+    return spark.createDataFrame([(float(p), v) for p, v in zip(QUANTILE_PROBS, values)],
+                                 "p double, value double")
+
+
 def replace_sentinel(spark, sf_dir):
     od = read_table(spark, sf_dir, "orders")
     gap = F.pmod(F.col("o_custkey"), F.lit(10)).cast("int")
@@ -279,6 +292,7 @@ QUERIES = {
     "null_counts": null_counts,
     "global_metrics": global_metrics,
     "winsorize_iqr": winsorize_iqr,
+    "exact_quantiles": exact_quantiles,
     "replace_sentinel": replace_sentinel,
     "string_features": string_features,
     "above_avg_by_group": above_avg_by_group,

@@ -172,6 +172,9 @@ BATCH_SQL = {
                     WHEN value > (SELECT hi FROM f) THEN (SELECT hi FROM f)
                     ELSE value END AS value_clipped
         FROM events""",
+    "exact_quantiles": " UNION ALL ".join(
+        f"SELECT CAST({p} AS DOUBLE) AS p, quantile_disc(l_extendedprice, {p}) AS value"
+        " FROM lineitem" for p in [0.1, 0.25, 0.5, 0.75, 0.9, 0.99]),
     "replace_sentinel": """
         SELECT o_orderkey, CAST(CASE WHEN g = -1 THEN 0 ELSE g END AS INTEGER) AS contact_gap
         FROM (SELECT o_orderkey,
