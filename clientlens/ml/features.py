@@ -16,23 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientlens.functions.columns import replace_sentinel, winsorized
+from clientlens.operators.profile import approx_fences
 
 
 def fit_fences(train: DataFrame, cols: Sequence[str], k: float = 1.5,
                rel_error: float = 0.01) -> dict[str, tuple[float, float]]:
     """IQR fences of each column, fitted on the training part with one
-    ``approxQuantile`` job for all columns (per-partition sketches merged by
-    a tree aggregate); two numbers come back per column, like any fitted
-    model parameter."""
-    if not cols:
-        return {}
-    data = train.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    quartiles = data.approxQuantile(list(cols), [0.25, 0.75], rel_error)
-    fences = {}
-    for c, q in zip(cols, quartiles):
-        q1, q3 = (q[0], q[1]) if len(q) == 2 else (None, None)
-        fences[c] = (None, None) if q1 is None else (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
-    return fences
+    tree-aggregated ``approxQuantile`` job (see ``operators.approx_fences``);
+    two numbers per column, like any fitted model parameter."""
+    return approx_fences(train, cols, k, rel_error)
 
 
 def prepare(df: DataFrame, sentinel_cols: Sequence[str] = (),

@@ -6,7 +6,7 @@ from clientlens.operators.groups import (  # noqa: F401
     topk_rate,
 )
 from clientlens.operators.profile import (  # noqa: F401
-    corr, describe_numeric, hash_partition_id, iqr_fences, null_counts, partition_stats, preview,
+    approx_fences, corr, describe_numeric, hash_partition_id, iqr_fences, null_counts, partition_stats, preview,
     spread_by_group, total_count, winsorize_iqr,
 )
 from clientlens.operators.quantiles import (  # noqa: F401,E402

@@ -102,17 +102,38 @@ def fence_struct(df: DataFrame, col: str, k: float, rel_error: float) -> Column:
                     (q3 + F.lit(k) * (q3 - q1)).alias("upper"))
 
 
+def approx_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5,
+                  rel_error: float = 0.01) -> dict[str, tuple[float | None, float | None]]:
+    """IQR fences of each column from one ``approxQuantile`` job (its
+    per-partition sketches are merged by a tree aggregate, so no single task
+    receives one sketch per map task); two numbers come back per column."""
+    if not cols:
+        return {}
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    quartiles = data.approxQuantile(list(cols), [0.25, 0.75], rel_error)
+    out = {}
+    for c, q in zip(cols, quartiles):
+        f = _fences(q[0], q[1], k) if len(q) == 2 else _fences(None, None, k)
+        out[c] = (f["lower"], f["upper"])
+    return out
+
+
 def iqr_fences(df: DataFrame, col: str, k: float = 1.5, rel_error: float = 0.01,
-               exact: bool = False) -> DataFrame:
+               exact: bool = False, in_plan: bool = False) -> DataFrame:
     """One row: q1, q3, lower = q1 - k*IQR, upper = q3 + k*IQR. The quartiles
     come from a sketch with relative rank error ``rel_error`` (like
-    ``approxQuantile``), or are exact with ``exact=True``."""
+    ``approxQuantile``; ``in_plan`` keeps it a lazy one-row aggregate), or
+    are exact with ``exact=True``."""
+    if in_plan and not exact:
+        return df.agg(fence_struct(df, col, k, rel_error).alias("f")).select("f.*")
     if exact:
         q1, q3 = exact_quantiles(df, col, [0.25, 0.75])
-        return df.sparkSession.range(1).select(*[
-            F.lit(x).cast("double").alias(n) for n, x in
-            _fences(q1, q3, k).items()])
-    return df.agg(fence_struct(df, col, k, rel_error).alias("f")).select("f.*")
+    else:
+        data = df.select(F.col(col).cast("double").alias(col))
+        q = data.approxQuantile(col, [0.25, 0.75], rel_error)
+        q1, q3 = (q[0], q[1]) if len(q) == 2 else (None, None)
+    return df.sparkSession.range(1).select(*[
+        F.lit(x).cast("double").alias(n) for n, x in _fences(q1, q3, k).items()])
 
 
 def _fences(q1: float | None, q3: float | None, k: float) -> dict[str, float | None]:
@@ -123,29 +144,32 @@ def _fences(q1: float | None, q3: float | None, k: float) -> dict[str, float | N
 
 def winsorize_iqr(df: DataFrame, col: str, out_col: str | None = None, k: float = 1.5,
                   rel_error: float = 0.01, fit_on: DataFrame | None = None,
-                  exact: bool = False) -> DataFrame:
+                  exact: bool = False, in_plan: bool = False) -> DataFrame:
     """Clip ``col`` to its IQR fences (result DOUBLE, NULL stays NULL).
 
     The fences come from ``fit_on`` (default: ``df`` itself); pass the training
-    part to keep test rows out of the fit. By default they are one scalar
-    subquery inside the plan (a one-row sketch aggregate Spark runs once),
-    bound to a struct column so both fences reuse the single evaluation;
-    nothing is pulled to the driver and there is no join. ``exact=True``
-    computes exact quartiles first (``exact_quantiles``: a few aggregate
-    passes, scale-safe) and clips with them as constants.
+    part to keep test rows out of the fit. By default they are fitted with
+    one tree-aggregated ``approxQuantile`` job (rank error ``rel_error``) and
+    applied as two constants. ``exact=True`` computes exact quartiles
+    (``exact_quantiles``: a few passes, scale-safe). ``in_plan=True`` keeps
+    everything lazy instead: the fences are one scalar subquery bound to a
+    struct column, so the sketch runs once, but every task's sketch is then
+    merged in a single final task.
     """
     src = fit_on if fit_on is not None else df
     target = out_col or col
+    if in_plan and not exact:
+        fences = src.select(fence_struct(src, col, k, rel_error)).scalar()
+        tmp = "__iqr_fences"
+        return (df.withColumn(tmp, fences)
+                .withColumn(target, winsorized(col, F.col(f"{tmp}.lower"), F.col(f"{tmp}.upper")))
+                .drop(tmp))
     if exact:
         f = _fences(*exact_quantiles(src, col, [0.25, 0.75]), k)
-        lo = F.lit(f["lower"]).cast("double")
-        hi = F.lit(f["upper"]).cast("double")
-        return df.withColumn(target, winsorized(col, lo, hi))
-    fences = src.select(fence_struct(src, col, k, rel_error)).scalar()
-    tmp = "__iqr_fences"
-    return (df.withColumn(tmp, fences)
-            .withColumn(target, winsorized(col, F.col(f"{tmp}.lower"), F.col(f"{tmp}.upper")))
-            .drop(tmp))
+        lo, hi = f["lower"], f["upper"]
+    else:
+        lo, hi = approx_fences(src, [col], k, rel_error)[col]
+    return df.withColumn(target, winsorized(col, F.lit(lo).cast("double"), F.lit(hi).cast("double")))
 
 
 def hash_partition_id(num_partitions: int, *keys: str) -> Column:

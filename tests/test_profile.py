@@ -37,6 +37,17 @@ def test_winsorize_clips_to_fences(spark):
     assert got[1000.0] == fences["upper"] and got[5.0] == 5.0 and got[None] is None
 
 
+def test_winsorize_in_plan_equals_tree_fit(spark):
+    vals = [float(x) for x in range(1, 41)] + [500.0, -300.0]
+    df = spark.createDataFrame([(v,) for v in vals], "b double")
+    a = sorted(r[0] for r in ops.winsorize_iqr(df, "b", rel_error=1e-6).collect())
+    b = sorted(r[0] for r in ops.winsorize_iqr(df, "b", rel_error=1e-6, in_plan=True).collect())
+    assert a == b
+    f = ops.iqr_fences(df, "b", rel_error=1e-6, in_plan=True).collect()[0]
+    g = ops.iqr_fences(df, "b", rel_error=1e-6).collect()[0]
+    assert (f["lower"], f["upper"]) == (g["lower"], g["upper"])
+
+
 def test_winsorize_fences_from_training_part(spark):
     train = spark.createDataFrame([(float(x),) for x in range(1, 9)], "b double")
     test = spark.createDataFrame([(100.0,)], "b double")
@@ -46,7 +57,7 @@ def test_winsorize_fences_from_training_part(spark):
 
 def test_winsorize_single_subquery(spark):
     df = spark.createDataFrame([(1.0,), (2.0,)], "b double")
-    plan = ops.winsorize_iqr(df, "b")._jdf.queryExecution().executedPlan().toString()
+    plan = ops.winsorize_iqr(df, "b", in_plan=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_percentile_approx") == 1  # ONE sketch aggregate
 
 
