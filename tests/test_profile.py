@@ -119,3 +119,14 @@ def test_quantile_by_group_discrete_matches_brute_force(spark):
     both = ops.avg_median_by_group(df, "k", "v", "v", "a", "m", "n", median="histogram")
     sketch = ops.avg_median_by_group(df, "k", "v", "v", "a", "m", "n")
     assert sorted(map(tuple, both.collect())) == sorted(map(tuple, sketch.collect()))
+
+
+def test_approx_fences_several_columns_and_all_null(spark):
+    rows = [(float(i), None) for i in range(1, 101)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    f = ops.approx_fences(df, ["a", "b"], rel_error=1e-6)
+    q1, q3 = _brute([r[0] for r in rows], 0.25), _brute([r[0] for r in rows], 0.75)
+    assert f["a"] == (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+    assert f["b"] == (None, None)
+    out = ops.winsorize_iqr(df, "b", "c").collect()  # no fences: values stay as they are
+    assert all(r["c"] is None for r in out)
