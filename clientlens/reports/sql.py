@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +37,8 @@ def named_statements(text: str) -> dict[str, str]:
                     out[name] = body
             name, lines = line.strip()[len(MARKER):].strip(), []
         elif name is not None and not line.strip().startswith("--"):
-            lines.append(line)
+            # a statement-ending semicolon may carry a trailing comment
+            lines.append(re.sub(r";\s*(--.*)?$", "", line))
     return out
 
 

@@ -89,3 +89,19 @@ def test_sql_report_matches_dataframe_analyses(spark, client_csv):
     vol = [(r["month"], r["contact_volume"]) for r in res["monthly_contact_volume"].collect()]
     assert vol == [(r["month"], r["contact_volume"])
                    for r in dfa["monthly_contact_volume"].collect()]
+
+
+def test_named_statements_layout():
+    from clientlens.reports.sql import named_statements
+    text = """-- header comment
+-- name: first
+SELECT 1 AS x;   -- trailing
+-- a comment inside
+-- name: empty
+-- name: second
+SELECT 2
+  AS y;
+"""
+    got = named_statements(text)
+    assert list(got) == ["first", "second"]
+    assert got["first"] == "SELECT 1 AS x" and got["second"] == "SELECT 2\n  AS y"
