@@ -10,5 +10,5 @@ from clientlens.operators.profile import (  # noqa: F401
     spread_by_group, total_count, winsorize_iqr,
 )
 from clientlens.operators.quantiles import (  # noqa: F401,E402
-    exact_quantiles, quantile_by_group_discrete,
+    exact_quantiles, quantile_by_group_discrete, quantile_by_group_exact,
 )

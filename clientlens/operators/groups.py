@@ -84,7 +84,9 @@ def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str
     column with few distinct values and stays cheap for hot groups: one scan
     counts rows per (group, value) and carries the partial sums of the mean
     along, so the median is read off the cumulative counts and the mean off
-    the summed parts (see ``quantile_by_group_discrete``).
+    the summed parts (see ``quantile_by_group_discrete``). ``median="exact"``
+    is exact for any column (``quantile_by_group_exact``: a few passes of
+    per-group binning, then ranking small ranges).
     """
     ks = _keys(keys)
     avg_name = avg_name or f"avg_{avg_col}"
@@ -92,6 +94,13 @@ def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str
     if median == "histogram":
         out = _avg_median_histogram(df, ks, avg_col, median_col, avg_name, median_name,
                                     count_name, digits, scale)
+    elif median == "exact":
+        from clientlens.operators.quantiles import quantile_by_group_exact
+        aggs = [mean(avg_col, digits, scale).alias(avg_name)]
+        if count_name:
+            aggs.append(F.count(F.lit(1)).alias(count_name))
+        med = quantile_by_group_exact(df, ks, median_col, 0.5, median_name)
+        out = df.groupBy(*ks).agg(*aggs).join(med, ks, "left")
     elif median == "sketch":
         aggs = [mean(avg_col, digits, scale).alias(avg_name),
                 F.percentile_approx(median_col, 0.5, accuracy).alias(median_name)]
@@ -99,7 +108,7 @@ def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str
             aggs.append(F.count(F.lit(1)).alias(count_name))
         out = df.groupBy(*ks).agg(*aggs)
     else:
-        raise ValueError("median must be 'sketch' or 'histogram'")
+        raise ValueError("median must be 'sketch', 'histogram' or 'exact'")
     return out.orderBy(F.desc_nulls_last(avg_name), *ks)
 
 

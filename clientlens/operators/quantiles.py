@@ -183,3 +183,80 @@ def quantile_by_group_discrete(df: DataFrame, keys: Sequence[str], value: str, p
     target = F.greatest(F.lit(1), F.ceil(F.col("__n") * F.lit(p)))
     return (ranked.where(F.col("__cum") >= target)
             .groupBy(*ks).agg(F.min(value).alias(name)))
+
+
+
+def quantile_by_group_exact(df: DataFrame, keys: Sequence[str], value: str, p: float = 0.5,
+                            name: str | None = None, bins: int = 1024, max_exact: int = 10_000,
+                            max_passes: int = 64) -> DataFrame:
+    """Exact ``p``-quantile of ``value`` per group, for continuous columns.
+
+    Each group keeps a value range known to hold its answer, plus how many
+    of its values lie below the range. A pass joins this one-row-per-group
+    state to the data (AQE splits a hot group on the large side of the
+    join), counts rows per (group, equi-width bin) with a partial aggregate
+    that also keeps each bin's min and max, and narrows every group to the
+    bin holding its target rank. Bins are monotone in the value, so the new
+    range is exactly that bin's min..max; both ends of a range are real
+    values, so every pass splits it into at least two non-empty bins.
+    Groups whose range holds at most ``max_exact`` rows are finished by
+    ranking just those rows. The state is checkpointed each pass (shared
+    checkpoint folder), so lineage does not grow. Rank convention: the
+    ``ceil(p * n)``-th smallest non-null value of the group.
+    """
+    from clientlens.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    name = name or f"q{int(round(p * 100))}_{value}"
+    ks = list(keys)
+    v = F.col("__v")
+    data = df.select(*ks, F.col(value).cast("double").alias("__v")).where(v.isNotNull() & ~F.isnan(v))
+    state = (data.groupBy(*ks)
+             .agg(F.count(F.lit(1)).alias("__m"), F.min(v).alias("__lo"), F.max(v).alias("__hi"))
+             .withColumns({"__r": F.greatest(F.lit(1), F.ceil(F.col("__m") * F.lit(p))).cast("long")})
+             .select(*ks, "__r", "__m", "__lo", "__hi")
+             .checkpoint(eager=True))
+    finished: list[DataFrame] = []
+    for _ in range(max_passes):
+        # equal bounds: every value in range is the answer
+        finished.append(state.where(F.col("__lo") == F.col("__hi"))
+                        .select(*ks, F.col("__lo").alias(name)))
+        small = state.where((F.col("__lo") < F.col("__hi")) & (F.col("__m") <= max_exact))
+        finished.append(_rank_in_range(data, small, ks, name))
+        active = state.where((F.col("__lo") < F.col("__hi")) & (F.col("__m") > max_exact))
+        if active.isEmpty():
+            break
+        state = _narrow_groups(data, active, ks, bins).checkpoint(eager=True)
+    else:
+        raise RuntimeError("quantile_by_group_exact did not converge")
+    out = finished[0]
+    for part in finished[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _narrow_groups(data: DataFrame, active: DataFrame, ks: list[str], bins: int) -> DataFrame:
+    v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
+    joined = data.join(active, ks).where((v >= lo) & (v <= hi))
+    b = F.least(F.floor((v - lo) / (hi - lo) * F.lit(bins)), F.lit(bins - 1)).cast("int")
+    counts = (joined.groupBy(*ks, b.alias("__bin"), "__r")
+              .agg(F.count(F.lit(1)).alias("__c"), F.min(v).alias("__blo"),
+                   F.max(v).alias("__bhi")))
+    upto = Window.partitionBy(*ks).orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.withColumn("__cum", F.sum("__c").over(upto))
+    hit = cum.where(F.col("__cum") >= F.col("__r"))
+    first = (hit.groupBy(*ks).agg(F.min_by(F.struct("__r", "__c", "__cum", "__blo", "__bhi"),
+                                           F.col("__bin")).alias("__h")))
+    return first.select(*ks,
+                        (F.col("__h.__r") - (F.col("__h.__cum") - F.col("__h.__c"))).alias("__r"),
+                        F.col("__h.__c").alias("__m"), F.col("__h.__blo").alias("__lo"),
+                        F.col("__h.__bhi").alias("__hi"))
+
+
+def _rank_in_range(data: DataFrame, small: DataFrame, ks: list[str], name: str) -> DataFrame:
+    v = F.col("__v")
+    rows = data.join(small, ks).where((v >= F.col("__lo")) & (v <= F.col("__hi")))
+    w = Window.partitionBy(*ks).orderBy(v)  # at most max_exact rows per group
+    return (rows.withColumn("__rn", F.row_number().over(w))
+            .where(F.col("__rn") == F.col("__r")).select(*ks, v.alias(name)))

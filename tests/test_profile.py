@@ -130,3 +130,31 @@ def test_approx_fences_several_columns_and_all_null(spark):
     assert f["b"] == (None, None)
     out = ops.winsorize_iqr(df, "b", "c").collect()  # no fences: values stay as they are
     assert all(r["c"] is None for r in out)
+
+
+def test_quantile_by_group_exact_continuous(spark):
+    import random
+    from clientlens.operators.quantiles import quantile_by_group_exact
+    rnd = random.Random(5)
+    rows = [("hot", rnd.lognormvariate(0, 2)) for _ in range(4000)]
+    rows += [(k, rnd.gauss(0, 1)) for k in "abc" for _ in range(300)]
+    rows += [("ties", 3.0)] * 500 + [("ties", 1.0)] * 10 + [("one", 7.5), ("n", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    for p in (0.5, 0.9):
+        got = {r["k"]: r["q"] for r in
+               quantile_by_group_exact(df, ["k"], "v", p, "q", bins=16, max_exact=50).collect()}
+        keys = {k for k, x in rows if x is not None}
+        want = {k: _brute([x for kk, x in rows if kk == k], p) for k in keys}
+        assert got == want
+
+
+def test_avg_median_exact_mode_matches_histogram(spark):
+    import random
+    rnd = random.Random(9)
+    rows = [(rnd.choice("ab"), float(rnd.randint(1, 40)), rnd.random()) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "k string, q double, x double")
+    h = ops.avg_median_by_group(df, "k", "x", "q", "a", "m", "n", median="histogram", digits=None)
+    e = ops.avg_median_by_group(df, "k", "x", "q", "a", "m", "n", median="exact", digits=None)
+    hm = {r["k"]: (r["m"], r["n"]) for r in h.collect()}
+    em = {r["k"]: (r["m"], r["n"]) for r in e.collect()}
+    assert hm == em
