@@ -175,6 +175,9 @@ BATCH_SQL = {
     "exact_quantiles": " UNION ALL ".join(
         f"SELECT CAST({p} AS DOUBLE) AS p, quantile_disc(l_extendedprice, {p}) AS value"
         " FROM lineitem" for p in [0.1, 0.25, 0.5, 0.75, 0.9, 0.99]),
+    "exact_median_by_group": """
+        SELECT l_returnflag, quantile_disc(l_extendedprice, 0.5) AS median_extendedprice
+        FROM lineitem GROUP BY l_returnflag""",
     "replace_sentinel": """
         SELECT o_orderkey, CAST(CASE WHEN g = -1 THEN 0 ELSE g END AS INTEGER) AS contact_gap
         FROM (SELECT o_orderkey,
