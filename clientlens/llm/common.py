@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 
 from clientlens.session import ensure_checkpoint_dir
@@ -38,17 +39,22 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def pieces(batch: pa.RecordBatch, column: int, most: int = PIECE) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def pieces(batch: pa.RecordBatch, column: int, most: int = PIECE, field: str | None = None) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of a batch of about ``most`` bytes of text (one row at least),
-    each with its texts."""
-    lengths = [n or 0 for n in pa.compute.binary_length(batch.column(column)).to_pylist()]
+    each with its texts; ``field``: the text's name in a struct column."""
+
+    def text(part: pa.RecordBatch) -> pa.Array:
+        found = part.column(column)
+        return found if field is None else found.field(found.type.get_field_index(field))
+
+    lengths = [n or 0 for n in pa.compute.binary_length(text(batch)).to_pylist()]
     start, size = 0, 0
     for i, n in enumerate(lengths):
         if i > start and size + n > most:
             part = batch.slice(start, i - start)
-            yield part, utf8(part.column(column))
+            yield part, utf8(text(part))
             start, size = i, 0
         size += n
     if start < len(lengths):
         part = batch.slice(start)
-        yield part, utf8(part.column(column))
+        yield part, utf8(text(part))

@@ -5,26 +5,75 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientlens.llm import simhash, substring
+from clientlens.llm import (
+    decontaminate, html_text, licenses, minhash, mixing, quality, simhash, substring, toxicity, urls,
+)
 from clientlens.llm.common import read
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs).select(F.col("row.doc_id").alias("doc_id"), "votes", "posterior", "score", "keep")
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("tid")
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(read(spark, sf_dir, "pages"))
+
+
 def op7_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    sizes = mixing.word_counts(docs).select(F.col("row.doc_id").alias("id"), F.col("row.source").alias("source"), "size")
+    return mixing.mix(sizes).select(F.col("id").alias("doc_id"), "size", "source_size", "target",
+                                    (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op9_minhash_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.neighbour_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {
-    "op7_simhash_neardup": op7_simhash_neardup,
-    "op10_substring_dedup": op10_substring_dedup,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_toxicity, op3_quality, op4_html_text, op5_decontaminate, op6_url_filter,
+    op7_simhash_neardup, op8_mix_sources, op9_minhash_fingerprint, op10_substring_dedup)}
 
 SQL: dict[str, str] = {
+    "op6_url_filter": r"""
+        WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+                   FROM pages),
+        p AS (SELECT row_number() OVER () AS n, page_id,
+                     translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        r(h, s, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                              ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        f AS (SELECT n, h || s AS rule, v FROM p JOIN r
+                  ON (p.host = r.h OR suffix(p.host, '.' || r.h)) AND starts_with(p.path, r.s)
+              QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(h || s) DESC) = 1)
+        SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM p LEFT JOIN f USING (n)""",
     "op10_substring_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         wins AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS k
