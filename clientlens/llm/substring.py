@@ -6,6 +6,8 @@ same offset, so only the suffixes that start at anchors (about one word in
 seven) need to meet, with the words before and after them that their windows
 cover:
 
+0. a document whose whole text an earlier one has is a copy: all its windows
+   repeat, so it takes no part;
 1. anchors are dealt by the hash of their prefix words; those whose prefix is
    alone are dropped, since nothing repeats around them;
 2. the others bring their words along. Rows with one prefix form a subtree
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientlens.llm.common import pieces
+from clientlens.llm.common import cut, pieces
 
 WINDOW = 20
 PREFIX = 8
@@ -95,10 +97,10 @@ def _batch(names: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names.split())
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """(did, tid, text) -> (key, did, tid, place)."""
+def _anchor_rows(batches: Iterator[pa.RecordBatch], window: int, text_col: str) -> Iterator[pa.RecordBatch]:
+    """(did, tid, row) -> (key, did, tid, place)."""
     for batch in batches:
-        for part, texts in pieces(batch, 2):
+        for part, texts in pieces(batch, 2, field=text_col):
             owner, key, place = anchors(texts, window)
             did, tid = (part.column(i).to_numpy(zero_copy_only=False)[owner] for i in (0, 1))
             yield _batch("key did tid place", key, did, tid, place)
@@ -130,11 +132,11 @@ def _shared_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield _batch("key grp did tid place", key[out], ordinal[out] // GROUP, *(r[out] for r in rows[1:]))
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """(did, tid, text, anchors) -> a row for each anchor with the words that
+def _contexts(batches: Iterator[pa.RecordBatch], window: int, text_col: str) -> Iterator[pa.RecordBatch]:
+    """(did, tid, row, anchors) -> a row for each anchor with the words that
     its windows cover."""
     for batch in batches:
-        for part, texts in pieces(batch, 2):
+        for part, texts in pieces(batch, 2, field=text_col):
             lists = part.column(3)
             offsets = lists.offsets.to_numpy().tolist()
             child = lists.values
@@ -199,10 +201,11 @@ def repeated(group: np.ndarray, where: np.ndarray, place: np.ndarray, contexts:
     return again, first
 
 
-def _subtrees(batches: Iterator[pa.RecordBatch], window: int, rest: bool) -> Iterator[pa.RecordBatch]:
+def _subtrees(batches: Iterator[pa.RecordBatch], window: int, last: bool) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, grp, did, tid, place) -> (did, tid, place, mask,
-    ctx): the windows that repeat an earlier one of their group. With ``rest``
-    instead the first ones of prefixes that were cut, each with its words.
+    ctx): the windows that repeat an earlier one of their group and, with
+    their words, the first windows of prefixes that were cut (``last``: none;
+    rows that have a mask already are passed on).
 
     Of a group that goes on in the next batch only the rows that own a window
     are kept, so that many copies of one passage take no memory."""
@@ -210,6 +213,11 @@ def _subtrees(batches: Iterator[pa.RecordBatch], window: int, rest: bool) -> Ite
     held: list | None = None  # columns of the owners of the last group
     held_group, seen = None, 0
     for batch in batches:
+        if last:
+            done = batch.filter(pa.compute.not_equal(batch.column(6), 0))
+            if done.num_rows:
+                yield pa.RecordBatch.from_arrays([done.column(i) for i in (2, 3, 4, 6, 5)], names=names.split())
+            batch = batch.filter(pa.compute.equal(batch.column(6), 0))
         if not batch.num_rows:
             continue
         fresh = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
@@ -220,7 +228,7 @@ def _subtrees(batches: Iterator[pa.RecordBatch], window: int, rest: bool) -> Ite
             cols = [np.concatenate([h, f]) for h, f in zip(held[:5], fresh, strict=True)]
             contexts = held[5] + contexts
         else:
-            if held is not None and rest:
+            if held is not None and not last:
                 yield from _owned(held, held_group, seen, window)
             cols, seen = fresh, 0
         key, grp, did, tid, place = cols
@@ -229,13 +237,12 @@ def _subtrees(batches: Iterator[pa.RecordBatch], window: int, rest: bool) -> Ite
         pos = place >> 2 * OFFSET_BITS
         where = np.cumsum(np.concatenate([[True], new[1:] | (did[1:] != did[:-1]) | (tid[1:] != tid[:-1]) | (pos[1:] != pos[:-1])]))
         again, first = repeated(group, where, place, contexts, window)
-        if not rest:
-            hit = np.flatnonzero(again[n:] != 0) + n
-            if len(hit):
-                yield _batch(names, did[hit], tid[hit], place[hit], again[hit], pa.nulls(len(hit), pa.binary()))
+        hit = np.flatnonzero(again[n:] != 0) + n
+        if len(hit):
+            yield _batch(names, did[hit], tid[hit], place[hit], again[hit], pa.nulls(len(hit), pa.binary()))
         starts = np.flatnonzero(new)
         sizes = np.diff(np.concatenate([starts, [len(key)]]))
-        if rest:
+        if not last:
             sized = sizes.copy()
             sized[0] += seen - n
             for i in np.flatnonzero((sized >= GROUP) | (grp[starts] > 0)).tolist():
@@ -248,7 +255,7 @@ def _subtrees(batches: Iterator[pa.RecordBatch], window: int, rest: bool) -> Ite
         rows = tail + np.flatnonzero(first[tail:])
         held = [*(c[rows] for c in cols), [contexts[r] for r in rows], first[rows]]
         held_group = (key[-1], grp[-1])
-    if held is not None and rest:
+    if held is not None and not last:
         yield from _owned(held, held_group, seen, window)
 
 
@@ -268,16 +275,18 @@ def _owned(held: list, group: tuple, seen: int, window: int) -> Iterator[pa.Reco
                          pa.array([b" ".join(words[far[i] - o:far[i] - o + window]) for o in offsets], pa.binary()))
 
 
-def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """(row, text, marks) -> (row, n_words, n_removed, kept)."""
+def _kept(batches: Iterator[pa.RecordBatch], window: int, text_col: str) -> Iterator[pa.RecordBatch]:
+    """(row, copy, marks) -> (row, n_words, n_removed, kept)."""
     for batch in batches:
-        for part, texts in pieces(batch, 1):
+        for part, texts in pieces(batch, 0, field=text_col):
             marks = part.column(2).to_pylist()
             totals, removed, kept = [], [], []
-            for text, of in zip(texts, marks, strict=True):
+            for text, copy, of in zip(texts, part.column(1).to_pylist(), marks, strict=True):
                 words = text.split()
                 totals.append(len(words))
-                if of:
+                if copy and len(words) >= window:
+                    words = []
+                elif of:
                     place = np.array([m["place"] for m in of], np.int64) >> 2 * OFFSET_BITS
                     mask = np.array([m["mask"] for m in of], np.int64)
                     step = np.zeros(len(words) + 1, np.int64)
@@ -293,6 +302,13 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordB
                                               pa.array(kept, pa.binary()).cast(pa.string())], names=["row", "n_words", "n_removed", "kept"])
 
 
+def _copies(base: DataFrame, text_col: str) -> DataFrame:
+    """(did, tid, copy): whether an earlier document has the same text."""
+    ids = base.select("did", "tid", F.sha2(F.coalesce(F.col("row")[text_col], F.lit("")), 256).alias("sha")).distinct()
+    first = ids.groupBy("sha").agg(F.min(F.struct("did", "tid")).alias("first"))
+    return ids.join(first, "sha").select("did", "tid", (F.struct("did", "tid") > F.col("first")).alias("copy"))
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents -> (row: all their columns as a struct, n_words, n_removed,
     kept: the kept words joined by one space).
@@ -304,33 +320,37 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     repeats of a row are one document and all get its result. A null text has
     no words; texts under ``window`` words stay whole; no rows: no rows.
     Words are runs of other characters than space and U+0009 to U+000D.
+
+    The texts are shuffled once, by document; the three joins on (did, tid)
+    read that one exchange, so they all take the whole ``row``.
     """
     if not PREFIX <= window < 50 + PREFIX:
         raise ValueError(f"window must be from {PREFIX} to {49 + PREFIX}")
     null = F.lit(-(1 << 63)).cast("long")
+    of = ["did", "tid"]
     base = docs.select(F.struct("*").alias("row")).select(
         "row", F.coalesce(F.col("row")[id_col].cast("long"), null).alias("did"),
-        F.xxhash64(F.col("row")[text_col]).alias("tid"))
-    found = (base.select("did", "tid", F.col("row")[text_col].alias("text"))
-             .mapInArrow(lambda it: _anchor_rows(it, window), "key long, did long, tid long, place long")
-             .repartition("key").sortWithinPartitions("key", "did", "tid", "place")
-             .mapInArrow(_shared_prefixes, "key long, grp long, did long, tid long, place long"))
-    shared = found.groupBy("did", "tid").agg(F.collect_set(F.struct("key", "grp", "place")).alias("anchors"))
+        F.xxhash64(F.coalesce(F.col("row")[text_col], F.lit(""))).alias("tid"))
+    copies = cut(_copies(base, text_col))
+    anchors_ = (base.join(copies.where("not copy").select(*of), of).select("did", "tid", "row")
+                .mapInArrow(lambda it: _anchor_rows(it, window, text_col), "key long, did long, tid long, place long")
+                .repartition("key").sortWithinPartitions("key", "did", "tid", "place")
+                .mapInArrow(_shared_prefixes, "key long, grp long, did long, tid long, place long"))
+    shared = anchors_.groupBy(*of).agg(F.collect_set(F.struct("key", "grp", "place")).alias("anchors"))
     schema = "key long, grp long, did long, tid long, place long, ctx binary"
-    texts = base.join(shared, ["did", "tid"]).select("did", "tid", F.col("row")[text_col].alias("text"), "anchors")
-    contexts = (texts.mapInArrow(lambda it: _contexts(it, window), schema)
+    contexts = (base.join(shared, of).select("did", "tid", "row", "anchors")
+                .mapInArrow(lambda it: _contexts(it, window, text_col), schema)
                 .repartition("key", "grp").sortWithinPartitions("key", "grp", "did", "tid", "place"))
     marks = "did long, tid long, place long, mask long, ctx binary"
     once = contexts.mapInArrow(lambda it: _subtrees(it, window, False), marks)
-    rest = contexts.mapInArrow(lambda it: _subtrees(it, window, True), marks)
-    longer = (rest.select(F.xxhash64("ctx").alias("key"), F.lit(0).cast("long").alias("grp"), "did", "tid", "place", "ctx")
-              .repartition("key").sortWithinPartitions("key", "grp", "did", "tid", "place")
-              .mapInArrow(lambda it: _subtrees(it, window, False), marks))
-    of = (once.unionByName(longer).groupBy("did", "tid")
-          .agg(F.collect_list(F.struct("place", "mask")).alias("marks")))
-    return (base.join(of, ["did", "tid"], "left").select("row", F.col("row")[text_col].alias("text"), "marks")
-            .mapInArrow(lambda it: _kept(it, window), "row " + docs.select(F.struct("*").alias("r")).schema[0].dataType.simpleString()
-                        + ", n_words long, n_removed long, kept string"))
+    twice = (once.select(F.when(F.col("ctx").isNull(), F.xxhash64("did", "tid")).otherwise(F.xxhash64("ctx")).alias("key"),
+                     F.lit(0).cast("long").alias("grp"), "did", "tid", "place", "ctx", "mask")
+             .repartition("key").sortWithinPartitions("key", "did", "tid", "place")
+             .mapInArrow(lambda it: _subtrees(it, window, True), marks))
+    found = twice.groupBy(*of).agg(F.collect_list(F.struct("place", "mask")).alias("marks"))
+    known = copies.join(found, of, "left").select(*of, "copy", "marks")
+    return (base.join(known, of).select("row", "copy", "marks")
+            .mapInArrow(lambda it: _kept(it, window, text_col), f"row {base.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept string"))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -339,6 +359,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     stay as they are. All rows stay, wholly removed ones with an empty text."""
     done = remove_repeats(docs, window)
     lost = F.col("n_removed") > 0
-    return done.select(*(F.when(lost, F.col("kept")).otherwise(F.col("row")[c]).alias(c) if c == "text"
-                         else F.when(lost, F.length("kept")).otherwise(F.col("row")[c]).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-                         else F.col("row")[c].alias(c) for c in docs.columns))
+    own = {c: F.col("row")[c] for c in docs.columns}
+    own["text"] = F.when(lost, F.col("kept")).otherwise(own["text"])
+    if "n_chars" in own:
+        own["n_chars"] = F.when(lost, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(own["n_chars"])
+    return done.select(*(x.alias(c) for c, x in own.items()))
