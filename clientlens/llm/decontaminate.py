@@ -6,7 +6,7 @@ join documents with benchmark items, so a question that was only given other
 numbers or names still meets its original. Matched windows are held together
 by their offset between document and item; where the item has placeholders,
 the values filled in must map one to one along an offset, or its windows do
-not count. A document is contaminated by an item if it has half of the item's
+not count. A document is contaminated by an item if it has two fifths of its
 windows.
 """
 
@@ -20,7 +20,7 @@ from clientlens.llm.common import cut
 WINDOW = 5
 #: Literal tokens that a benchmark window needs; emptier templates fit anything.
 LITERAL = 3
-SHARE = 0.5
+SHARE = 0.4
 #: Benchmark windows up to which they are broadcast (24 bytes each); more are shuffled.
 BROADCAST_ROWS = 2_000_000
 NUMBER_MARK, NAME_MARK, UNIT_MARK = "\x01", "\x02", "\x03"

@@ -207,14 +207,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
             for part, texts in pieces(batch, 2):
                 found = [doc_features(t) for t in texts]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([i.tobytes() for i, _ in found], pa.binary()),
-                                                  pa.array([s.tobytes() for _, s in found], pa.binary())], names=["id", "pattern", "index", "share"])
+                                                  pa.array([s.tobytes() for _, s in found], pa.binary())], names=["id", "pattern", "at", "shares"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = (texts.join(F.broadcast(picked), "id").select("id", "pattern", "text")
-            .mapInArrow(task, "id long, pattern long, index binary, share binary").collect())
-    rows = sorted(rows, key=lambda r: (r.id, r.index, r.share))[:SAMPLE]
+            .mapInArrow(task, "id long, pattern long, at binary, shares binary").collect())
+    rows = sorted(rows, key=lambda r: (r.id, r.at, r.shares))[:SAMPLE]
     target = model.posterior(np.array([r.pattern for r in rows], np.int64)) if rows else np.zeros(0)
-    return model, fit([(np.frombuffer(r.index, np.int32), np.frombuffer(r.share, float)) for r in rows], target)
+    return model, fit([(np.frombuffer(r.at, np.int32), np.frombuffer(r.shares, float)) for r in rows], target)
 
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

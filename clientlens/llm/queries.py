@@ -61,7 +61,40 @@ QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_toxicity, op3_quality, op4_html_text, op5_decontaminate, op6_url_filter,
     op7_simhash_neardup, op8_mix_sources, op9_minhash_fingerprint, op10_substring_dedup)}
 
+#: Steps from (of, id, text) to the tokens of templates, for documents and items alike.
+_TEMPLATES = r"""
+        raw AS (SELECT 'd' AS side, row_number() OVER () AS n, doc_id AS id, text FROM documents
+                UNION ALL SELECT 'b', row_number() OVER (), item_id, text FROM benchmark),
+        a AS (SELECT side, n, id, translate(coalesce(text, ''), chr(1) || chr(2) || chr(3), '   ') AS text FROM raw),
+        b AS (SELECT *, regexp_replace(text, '{name}', '\1 ' || chr(2) || ' ', 'g') AS named FROM a),
+        c AS (SELECT *, lower(regexp_replace(named, '{number}', ' ' || chr(1) || ' ', 'g')) AS low FROM b),
+        t AS (SELECT side, n, id,
+                     regexp_extract_all(regexp_replace(low, '{unit}', '\1 ' || chr(3) || ' \3', 'g'), '[\p{{L}}\p{{M}}\x01-\x03]+') AS tokens,
+                     regexp_extract_all(named, '{number}') AS numbers,
+                     list_transform(regexp_extract_all(text, '{name}', 2), lambda x: lower(x)) AS names,
+                     regexp_extract_all(low, '{unit}', 2) AS units FROM c)""".format(
+    name=decontaminate.NAME, number=decontaminate.NUMBER, unit=decontaminate.UNIT.replace(decontaminate.NUMBER_MARK, r"\x01"))
+
 SQL: dict[str, str] = {
+    "op5_decontaminate": "WITH" + _TEMPLATES + r""",
+        words AS (SELECT side, n, id, i AS pos, tokens[i] AS tok, numbers, names, units FROM t, unnest(range(1, len(tokens) + 1)) AS u(i)),
+        slots AS (SELECT side, n, pos, ascii(tok) AS kind,
+                         CASE ascii(tok) WHEN 1 THEN numbers[k] WHEN 2 THEN names[k] ELSE units[k] END AS value
+                  FROM (SELECT *, row_number() OVER (PARTITION BY side, n, tok ORDER BY pos) AS k FROM words
+                        WHERE tok IN (chr(1), chr(2), chr(3)))),
+        w AS (SELECT side, n, id, i AS pos, array_to_string(list_slice(tokens, i, i + 4), ' ') AS k,
+                     len(list_filter(list_slice(tokens, i, i + 4), lambda x: x NOT IN (chr(1), chr(2), chr(3)))) AS literal
+              FROM t, unnest(range(1, len(tokens) - 3)) AS u(i)),
+        pairs AS (SELECT d.n AS dn, d.id AS doc_id, b.n AS bn, b.id AS item_id, b.pos AS ipos, d.pos - b.pos AS shift
+                  FROM w d JOIN w b ON d.k = b.k AND d.side = 'd' AND b.side = 'b' AND b.literal >= 3),
+        filled AS (SELECT DISTINCT dn, bn, shift, s.pos, s.kind, s.value, f.value AS other
+                   FROM pairs JOIN slots s ON s.side = 'b' AND s.n = bn AND s.pos BETWEEN ipos AND ipos + 4
+                   JOIN slots f ON f.side = 'd' AND f.n = dn AND f.pos = s.pos + shift),
+        bad AS (SELECT dn, bn, shift FROM filled GROUP BY ALL
+                HAVING count(DISTINCT (kind, value, other)) > least(count(DISTINCT (kind, value)), count(DISTINCT (kind, other)))),
+        found AS (SELECT dn, doc_id, bn, item_id, count(DISTINCT ipos) AS n_windows FROM pairs ANTI JOIN bad USING (dn, bn, shift) GROUP BY ALL),
+        total AS (SELECT n AS bn, count(*) AS total FROM w WHERE side = 'b' AND literal >= 3 GROUP BY n)
+        SELECT doc_id, item_id, n_windows, n_windows / total AS share FROM found JOIN total USING (bn) WHERE n_windows / total >= 0.4""",
     "op6_url_filter": r"""
         WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
                    FROM pages),
