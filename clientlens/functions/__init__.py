@@ -1,5 +1,5 @@
 from clientlens.functions.columns import (  # noqa: F401
-    age_group, band5, decade, fixed_point_mean, indicator, joined, month_name, month_ordinal,
+    age_group, band5, decade, fixed_point_mean, joined, month_name, month_ordinal,
     parse_double, parse_int, percent, quarter_of, replace_sentinel, upper,
     winsorized, with_event_time,
 )

@@ -91,30 +91,43 @@ def replace_sentinel(c: str | Column, sentinel=PDAYS_NEVER, value=0) -> Column:
     return F.when(x == sentinel, F.lit(value)).otherwise(x)
 
 
+def exact_sum(units: Column) -> Column:
+    """Sum of BIGINTs as DECIMAL(38,0), without overflow for 2^39 rows of any
+    size: three parts of up to 24 bits are summed as BIGINT."""
+    part = F.lit((1 << 20) - 1).cast("bigint")
+    low, mid, high = units.bitwiseAND(part), F.shiftright(units, 20).bitwiseAND(part), F.shiftright(units, 40)
+    wide = [F.sum(x).cast("decimal(20,0)") for x in (low, mid, high)]
+    total = wide[0] + wide[1] * F.lit(1 << 20).cast("decimal(8,0)") + wide[2] * F.lit(1 << 40).cast("decimal(14,0)")
+    return total.cast("decimal(38,0)")
+
+
+def rounded_ratio(total: Column, count: Column, scale: int, digits: int) -> Column:
+    """``total / 10^scale / count`` as DOUBLE, rounded half away from zero to
+    ``digits`` decimals by integer arithmetic; NULL for a zero count."""
+    if digits < scale:
+        raise ValueError("digits must be >= scale")
+    t = total.cast("decimal(38,0)") * F.lit(10 ** (digits - scale)).cast("decimal(10,0)")
+    n = F.when(count > 0, count).cast("decimal(20,0)")
+    above = F.abs(t) * F.lit(2).cast("decimal(1,0)") + n
+    twice = n * F.lit(2).cast("decimal(1,0)")
+    units = ((above - above % twice).cast("decimal(38,0)") / twice).cast("double")
+    return F.signum(t) * F.round(units, 0) / F.lit(float(10 ** digits))
+
+
 def fixed_point_mean(c: str | Column, scale: int = 2, digits: int = 2) -> Column:
     """Mean of a column whose values carry ``scale`` decimals (money in
     cents, integer counts with ``scale=0``), rounded half away from zero to
     ``digits`` decimals (``digits >= scale``).
 
-    The values are summed exactly as integers, so the result is the same bit
-    pattern whatever order rows are added in: any partition layout, any
-    engine. A float mean differs in its last bits with the summation order,
-    and a decimal tie such as 27.72125 is not representable in binary, so
-    two engines can round it differently. Here the tie becomes an exact
-    binary .5, which every engine rounds the same way. Exact while
-    ``|sum| * 10^(digits - scale) < 2^53``.
+    The values are summed exactly as integers and the mean is rounded by
+    integer arithmetic, so the result is the same bit pattern whatever order
+    rows are added in: any partition layout, any engine. A float mean differs
+    in its last bits with the summation order, and a decimal tie such as
+    27.72125 is not representable in binary, so two engines can round it
+    differently.
     """
-    if digits < scale:
-        raise ValueError("digits must be >= scale")
     units = F.round(_col(c) * F.lit(float(10 ** scale))).cast("bigint")
-    shifted = F.sum(units).cast("double") * F.lit(float(10 ** (digits - scale)))
-    q = F.try_divide(shifted, F.count(units).cast("double"))
-    return F.round(q, 0) / F.lit(float(10 ** digits))
-
-
-def indicator(cond: Column) -> Column:
-    """1 when ``cond`` holds, else 0 (NULL condition counts as 0)."""
-    return F.when(cond, 1).otherwise(0)
+    return rounded_ratio(exact_sum(units), F.count(units), scale, digits)
 
 
 def percent(part: str | Column, whole: str | Column, digits: int | None = 2) -> Column:

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clientlens.functions.columns import fixed_point_mean, month_ordinal, percent, quarter_of
+from clientlens.functions.columns import exact_sum, fixed_point_mean, month_ordinal, percent, quarter_of, rounded_ratio
 from clientlens.schema import MONTHS
 
 Cols = str | Sequence[str]
@@ -84,9 +84,9 @@ def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str
     column with few distinct values and stays cheap for hot groups: one scan
     counts rows per (group, value) and carries the partial sums of the mean
     along, so the median is read off the cumulative counts and the mean off
-    the summed parts (see ``quantile_by_group_discrete``). ``median="exact"``
-    is exact for any column (``quantile_by_group_exact``: a few passes of
-    per-group binning, then ranking small ranges).
+    the summed parts; with many distinct values per group use another mode.
+    ``median="exact"`` is exact for any column (``quantile_by_group_exact``: a
+    few passes of per-group binning). NULL keys are a group in every mode.
     """
     ks = _keys(keys)
     avg_name = avg_name or f"avg_{avg_col}"
@@ -100,7 +100,12 @@ def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str
         if count_name:
             aggs.append(F.count(F.lit(1)).alias(count_name))
         med = quantile_by_group_exact(df, ks, median_col, 0.5, median_name)
-        out = df.groupBy(*ks).agg(*aggs).join(med, ks, "left")
+        med = med.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(ks)], median_name)
+        agg = df.groupBy(*ks).agg(*aggs)
+        same = F.lit(True)
+        for i, k in enumerate(ks):
+            same = same & agg[k].eqNullSafe(med[f"__k{i}"])
+        out = agg.join(med, same, "left").drop(*[f"__k{i}" for i in range(len(ks))])
     elif median == "sketch":
         aggs = [mean(avg_col, digits, scale).alias(avg_name),
                 F.percentile_approx(median_col, 0.5, accuracy).alias(median_name)]
@@ -117,10 +122,12 @@ def _avg_median_histogram(df, ks, avg_col, median_col, avg_name, median_name, co
     v = F.col(median_col)
     if scale is not None and digits is not None:
         part = F.round(F.col(avg_col) * F.lit(float(10 ** scale))).cast("bigint")
+        summed = exact_sum(part)
     else:
         part = F.col(avg_col).cast("double")
+        summed = F.sum(part)
     hist = df.groupBy(*ks, median_col).agg(
-        F.count(F.lit(1)).alias("__rows"), F.sum(part).alias("__sum"),
+        F.count(F.lit(1)).alias("__rows"), summed.alias("__sum"),
         F.count(part).alias("__n"))
     upto = Window.partitionBy(*ks).orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*ks)
@@ -130,8 +137,7 @@ def _avg_median_histogram(df, ks, avg_col, median_col, avg_name, median_name, co
     target = F.greatest(F.lit(1), F.ceil(F.col("__nv") * F.lit(0.5)))
     total, n = F.sum("__sum"), F.sum("__n")
     if scale is not None and digits is not None:
-        avg = F.round(F.try_divide(total.cast("double") * F.lit(float(10 ** (digits - scale))),
-                                   n.cast("double")), 0) / F.lit(float(10 ** digits))
+        avg = rounded_ratio(total, n, scale, digits)
     else:
         avg = _rounded(F.try_divide(total, n.cast("double")), digits)
     aggs = [avg.alias(avg_name),

@@ -172,38 +172,29 @@ def winsorize_iqr(df: DataFrame, col: str, out_col: str | None = None, k: float
     return df.withColumn(target, winsorized(col, F.lit(lo).cast("double"), F.lit(hi).cast("double")))
 
 
-def hash_partition_id(num_partitions: int, *keys: str) -> Column:
-    """The partition ``repartition(num_partitions, *keys)`` sends a row to:
-    Spark's hash partitioning is ``pmod(murmur3(keys, seed 42), n)``, which
-    is exactly the SQL ``hash`` function."""
-    return F.pmod(F.hash(*keys), F.lit(num_partitions)).cast("int")
-
-
 def partition_stats(df: DataFrame, num_partitions: int, *keys: str,
-                    count_name: str = "row_count", materialize: bool = False) -> DataFrame:
-    """Rows per partition of a hash repartition into ``num_partitions`` by
-    ``keys`` (round-robin when none), empty partitions included.
-
-    With keys, the target partition of each row is computed as an
-    expression and counted with a partial aggregate, so no row is shuffled.
-    A hot key (one partition holding a third of the table) is then a
-    counter, not a task that has to read a third of the data.
-    ``materialize=True`` (always used for round-robin) performs the real
-    repartition and counts ``spark_partition_id()``; both give the same
-    numbers.
-
-    A bare group-by loses empty partitions, so the counts are left-joined
-    from ``range(num_partitions)``. Both sides have at most
-    ``num_partitions`` rows, and AQE broadcasts the measured counts side.
+                    count_name: str = "row_count") -> DataFrame:
+    """Rows per partition of a repartition into ``num_partitions`` by a hash
+    of ``keys`` (round-robin when none), empty partitions included.
+
+    The rows are really repartitioned and counted by the partition they are
+    in; only the key columns travel. Without keys no column does. A
+    bare group-by loses empty partitions, so the counts are left-joined from
+    ``range(num_partitions)``; both sides have at most that many rows.
     """
-    if keys and not materialize:
-        pid = hash_partition_id(num_partitions, *keys)
-        counts = df.groupBy(pid.alias("partition_id")).agg(F.count(F.lit(1)).alias(count_name))
-    else:
-        parts = df.repartition(num_partitions, *keys) if keys else df.repartition(num_partitions)
-        counts = parts.groupBy(F.spark_partition_id().alias("partition_id")).agg(
-            F.count(F.lit(1)).alias(count_name))
+    slim = df.select(*keys)
+    parts = slim.repartition(num_partitions, *keys) if keys else slim.repartition(num_partitions)
+    counts = parts.groupBy(F.spark_partition_id().alias("partition_id")).agg(
+        F.count(F.lit(1)).alias(count_name))
     ids = df.sparkSession.range(num_partitions).select(F.col("id").cast("int").alias("partition_id"))
     return (ids.join(counts, "partition_id", "left")
             .select("partition_id", F.coalesce(count_name, F.lit(0)).alias(count_name))
             .orderBy("partition_id"))
+
+
+def partition_keys(df: DataFrame, num_partitions: int, *keys: str) -> DataFrame:
+    """Per key of a hash repartition: in how many partitions its rows lie (1,
+    if the repartition holds its promise)."""
+    parts = df.select(*keys).repartition(num_partitions, *keys)
+    seen = parts.withColumn("__at", F.spark_partition_id()).groupBy(*keys, "__at").agg(F.count(F.lit(1)).alias("__n"))
+    return seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_partitions"), F.sum("__n").alias("row_count"))

@@ -1,262 +1,154 @@
-"""Exact quantiles at any scale by iterative bracketing.
+"""Exact quantiles at any scale by iterative binning.
 
 A fine quantile sketch is not a scale-safe way to get an exact answer: when
 the rank error drops below one row per partition, every partial buffer keeps
-almost every value. Instead, each pass:
-
-1. runs one aggregate job with plain conditional counts: for each wanted
-   quantile, how many values lie below its bracket, inside it, and on its
-   bounds (the bracket is the whole column at first);
-2. resolves a quantile directly when its target rank falls on a bound's
-   ties, or sorts the bracket when it holds at most ``max_exact`` values;
-3. otherwise narrows the bracket with ``approxQuantile`` over the bracket's
-   values at two fractions around the target rank (one job for all
-   brackets). The sketch's rank error is smaller than the margin, so the
-   true value stays inside, and ``approxQuantile`` merges its per-partition
-   sketches with a tree aggregate (no single task receives them all).
-
-Each pass shrinks a bracket about 200-fold, so a column of 10^12 values
-needs about five passes; no task and not the driver ever holds more than
-``max_exact`` values or a coarse sketch. The rank convention is the
-``k = ceil(p * n)``-th smallest non-null value, as ``percentile_approx``
-and SQL ``quantile_disc`` define it.
+almost every value. Instead each wanted quantile keeps a range of values known
+to hold its answer and its rank within that range. A pass reads only the
+values inside open ranges (a filter that Parquet statistics can use), counts
+them per equi-width bin with a partial aggregate that also keeps each bin's
+least and greatest value, and narrows every range to the bin that holds its
+rank. Bins are monotone in the value, so the new range is exactly that bin's
+least to greatest; both ends are real values, so every pass splits a range
+into two non-empty bins at least, and the passes end when both ends are equal.
+With ``BINS`` bins a column of 10^12 spread-out values takes four passes or
+five, one scan each.
+
+Values are compared in their own type; only the bin number is worked out in
+DOUBLE, which keeps the order, so BIGINT and DECIMAL answers are exact. The
+rank convention is the ``ceil(p * n)``-th smallest non-null value, as
+``percentile_approx`` and SQL ``quantile_disc`` define it.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
-
-import numpy as np
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-SKETCH_ERROR = 5e-4  # relative rank error of each narrowing sketch
-MARGIN = 2e-3        # fraction of the bracket kept on each side of the target
-
-
-@dataclass
-class _Bracket:
-    k: int                       # target rank among all values (1-based)
-    lo: float | None = None      # None = unbounded
-    lo_incl: bool = True
-    hi: float | None = None
-    hi_incl: bool = True
-    answer: float | None = None
-    done: bool = False
-
-    def inside(self, v: Column) -> Column:
-        cond = F.lit(True)
-        if self.lo is not None:
-            cond = cond & ((v >= self.lo) if self.lo_incl else (v > self.lo))
-        if self.hi is not None:
-            cond = cond & ((v <= self.hi) if self.hi_incl else (v < self.hi))
-        return cond
+from clientlens.session import ensure_checkpoint_dir
 
-    def below(self, v: Column) -> Column:
-        if self.lo is None:
-            return F.lit(False)
-        return (v < self.lo) if self.lo_incl else (v <= self.lo)
+BINS = 1024
+#: Shares that a group's rows are dealt into for the join with the group's range.
+SALTS = 16
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    max_exact: int = 20_000, max_passes: int = 40) -> list[float | None]:
-    """Exact ``probs`` quantiles of ``col`` (NULL and NaN ignored); ``None``
-    for an empty column. Runs a few aggregate jobs; returns plain floats."""
-    v = F.col("__v")
-    vals = df.select(F.col(col).cast("double").alias("__v")).where(v.isNotNull() & ~F.isnan(v))
-    n = vals.count()
-    if n == 0:
-        return [None] * len(probs)
-    brackets = [_Bracket(k=max(1, min(n, math.ceil(p * n)))) for p in probs]
-    for _ in range(max_passes):
-        open_ = [b for b in brackets if not b.done]
-        if not open_:
-            break
-        if all(b.lo is None and b.hi is None for b in open_):
-            # first pass: every bracket is the whole column, its counts are known
-            row = {}
-            for i in range(len(open_)):
-                row.update({f"below{i}": 0, f"m{i}": n, f"tlo{i}": 0, f"thi{i}": 0})
-        else:
-            row = vals.agg(*_count_aggs(open_, v)).first()
-        to_sort, to_narrow = [], []
-        for i, b in enumerate(open_):
-            r = b.k - row[f"below{i}"]
-            m, tlo, thi = row[f"m{i}"], row[f"tlo{i}"], row[f"thi{i}"]
-            if r <= tlo:
-                b.answer, b.done = b.lo, True
-            elif r > m - thi:
-                b.answer, b.done = b.hi, True
-            elif m <= max_exact:
-                to_sort.append((b, r))
-            else:
-                to_narrow.append((b, r, m))
-        if to_narrow:
-            _narrow_all(vals, v, to_narrow)
-        if to_sort:
-            _sort_small(vals, v, to_sort)
-    if not all(b.done for b in brackets):
-        raise RuntimeError("exact_quantiles did not converge")
-    return [b.answer for b in brackets]
-
+def _numbers(df: DataFrame, value: str) -> Column:
+    """The column as it is if numeric (FLOAT as DOUBLE), else as DOUBLE."""
+    kind = df.schema[value].dataType
+    keep = isinstance(kind, (T.IntegralType, T.DecimalType, T.DoubleType))
+    return F.col(value) if keep else F.col(value).cast("double")
 
-def _count_aggs(open_: list[_Bracket], v: Column) -> list[Column]:
-    aggs = []
-    for i, b in enumerate(open_):
-        inside = b.inside(v)
-        aggs += [F.count_if(b.below(v)).alias(f"below{i}"),
-                 F.count_if(inside).alias(f"m{i}"),
-                 F.count_if(inside & (v == F.lit(b.lo))).alias(f"tlo{i}")
-                 if b.lo is not None and b.lo_incl else F.lit(0).alias(f"tlo{i}"),
-                 F.count_if(inside & (v == F.lit(b.hi))).alias(f"thi{i}")
-                 if b.hi is not None and b.hi_incl else F.lit(0).alias(f"thi{i}")]
-    return aggs
 
+def _usable(v: Column, kind: T.DataType) -> Column:
+    return v.isNotNull() & ~F.isnan(v) if isinstance(kind, T.DoubleType) else v.isNotNull()
 
-def _narrow_all(vals: DataFrame, v: Column, work: list[tuple[_Bracket, int, int]]) -> None:
-    """New brackets around rank ``r`` of the ``m`` values inside each bracket
-    (the answer is known to lie strictly between its current bounds).
 
-    One ``approxQuantile`` job serves every bracket: each bracket is a
-    column holding the value where it is inside the bracket and NULL
-    elsewhere (NULLs are skipped), and each asks for two fractions around
-    its target."""
-    fracs = sorted({f for _, r, m in work
-                    for f in (max(0.0, r / m - MARGIN), min(1.0, r / m + MARGIN))})
-    cols = [F.when(b.inside(v), v).alias(f"__b{i}") for i, (b, _, _) in enumerate(work)]
-    answers = vals.select(*cols).approxQuantile(
-        [f"__b{i}" for i in range(len(work))], fracs, SKETCH_ERROR)
-    for (b, r, m), qs in zip(work, answers):
-        at = dict(zip(fracs, qs))
-        new_lo = at[max(0.0, r / m - MARGIN)]
-        new_hi = at[min(1.0, r / m + MARGIN)]
-        if b.lo is None or new_lo > b.lo:
-            b.lo, b.lo_incl = new_lo, True
-        else:
-            b.lo_incl = False
-        if b.hi is None or new_hi < b.hi:
-            b.hi, b.hi_incl = new_hi, True
-        else:
-            b.hi_incl = False
+def _bin(v: Column, lo: Column, hi: Column, kind: T.DataType) -> Column:
+    """Number of the equi-width bin of [lo, hi]. Differences are exact for
+    integers and decimals; doubles are halved first, so theirs cannot
+    overflow."""
+    if isinstance(kind, T.DoubleType):
+        x, a, b = (c / 2 for c in (v, lo, hi))
+    else:
+        exact = kind.simpleString() if isinstance(kind, T.DecimalType) else "decimal(20,0)"
+        x, a, b = (c.cast(exact) for c in (v, lo, hi))
+    at = F.floor(F.try_divide((x - a).cast("double"), (b - a).cast("double")) * F.lit(float(BINS)))
+    return F.greatest(F.lit(0), F.least(F.coalesce(at, F.lit(0)), F.lit(BINS - 1))).cast("int")
 
 
-def _sort_small(vals: DataFrame, v: Column, work: list[tuple[_Bracket, int]]) -> None:
-    """Read the target rank from brackets small enough to sort (each holds
-    at most ``max_exact`` values; only those values are fetched, as Arrow)."""
-    cond = F.lit(False)
-    for b, _ in work:
-        cond = cond | b.inside(v)
-    fetched = np.sort(vals.where(cond).toArrow().column("__v").to_numpy())
-    for b, r in work:
-        lo = 0 if b.lo is None else np.searchsorted(fetched, b.lo, "left" if b.lo_incl else "right")
-        hi = len(fetched) if b.hi is None else np.searchsorted(
-            fetched, b.hi, "right" if b.hi_incl else "left")
-        b.answer, b.done = float(fetched[lo:hi][r - 1]), True
+def _split_ends(b: Column, v: Column, lo: Column, hi: Column) -> Column:
+    """The range's two ends get bins of their own, so that a pass always
+    splits a range, even if DOUBLE cannot tell its ends apart."""
+    return F.when(v == lo, F.lit(-1)).when(v == hi, F.lit(BINS)).otherwise(b)
 
 
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list:
+    """Exact ``probs`` quantiles of ``col`` (NULL and NaN ignored); ``None``
+    for an empty column. Two numbers a quantile and ``BINS`` rows an open
+    range reach the driver per pass."""
+    kind = df.select(_numbers(df, col).alias("v")).schema["v"].dataType
+    v = F.col("__v")
+    vals = df.select(_numbers(df, col).alias("__v")).where(_usable(v, kind))
+    n, lo, hi = vals.agg(F.count(v), F.min(v), F.max(v)).first()
+    if not n:
+        return [None] * len(probs)
+    ranges = [(lo, hi, max(1, min(n, math.ceil(p * n)))) for p in probs]  # rank within the range
+    while True:
+        open_ = sorted({(a, b) for a, b, _ in ranges if a != b})
+        if not open_:
+            return [a for a, _, _ in ranges]
 
+        def inside(a, b) -> Column:
+            return (v >= F.lit(a).cast(kind)) & (v <= F.lit(b).cast(kind))
 
-def quantile_by_group_discrete(df: DataFrame, keys: Sequence[str], value: str, p: float = 0.5,
-                               name: str | None = None) -> DataFrame:
-    """Exact ``p``-quantile of ``value`` per group, for columns with few
-    distinct values (ages, quantities, ratings).
+        any_open = F.lit(False)
+        for a, b in open_:
+            any_open = any_open | inside(a, b)
+        in_bins = F.array(*[F.when(inside(a, b), F.struct(
+            F.lit(i).alias("i"), _split_ends(_bin(v, F.lit(a).cast(kind), F.lit(b).cast(kind), kind), v,
+                                             F.lit(a).cast(kind), F.lit(b).cast(kind)).alias("bin")))
+            for i, (a, b) in enumerate(open_)])
+        rows = (vals.where(any_open).select(v, F.explode(F.array_compact(in_bins)).alias("at"))
+                .groupBy("at.i", "at.bin").agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+                .orderBy("i", "bin").collect())
+        bins = {key: [r for r in rows if r.i == i] for i, key in enumerate(open_)}
+        ranges = [_narrowed(bins[a, b], rank) if a != b else (a, b, rank) for a, b, rank in ranges]
 
-    Values are first counted per (group, value) with a partial aggregate, so
-    even a group holding a third of the table becomes at most one row per
-    distinct value before anything is shuffled; the quantile is the smallest
-    value whose cumulative count reaches ``ceil(p * n)``. A per-group sketch
-    would instead merge one partial sketch per task for every hot group in a
-    single reducer. With many distinct values per group use
-    ``percentile_approx`` instead.
-    """
-    name = name or f"q{int(round(p * 100))}_{value}"
-    ks = list(keys)
-    counts = (df.where(F.col(value).isNotNull())
-              .groupBy(*ks, value).agg(F.count(F.lit(1)).alias("__c")))
-    upto = Window.partitionBy(*ks).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*ks)
-    ranked = counts.withColumns({"__cum": F.sum("__c").over(upto),
-                                 "__n": F.sum("__c").over(whole)})
-    target = F.greatest(F.lit(1), F.ceil(F.col("__n") * F.lit(p)))
-    return (ranked.where(F.col("__cum") >= target)
-            .groupBy(*ks).agg(F.min(value).alias(name)))
 
+def _narrowed(bins: list, rank: int) -> tuple:
+    for r in bins:
+        if rank <= r.n:
+            return r.lo, r.hi, rank
+        rank -= r.n
+    raise RuntimeError("the input changed while its quantiles were computed")
 
 
 def quantile_by_group_exact(df: DataFrame, keys: Sequence[str], value: str, p: float = 0.5,
-                            name: str | None = None, bins: int = 1024, max_exact: int = 10_000,
-                            max_passes: int = 64) -> DataFrame:
-    """Exact ``p``-quantile of ``value`` per group, for continuous columns.
-
-    Each group keeps a value range known to hold its answer, plus how many
-    of its values lie below the range. A pass joins this one-row-per-group
-    state to the data (AQE splits a hot group on the large side of the
-    join), counts rows per (group, equi-width bin) with a partial aggregate
-    that also keeps each bin's min and max, and narrows every group to the
-    bin holding its target rank. Bins are monotone in the value, so the new
-    range is exactly that bin's min..max; both ends of a range are real
-    values, so every pass splits it into at least two non-empty bins.
-    Groups whose range holds at most ``max_exact`` rows are finished by
-    ranking just those rows. The state is checkpointed each pass (shared
-    checkpoint folder), so lineage does not grow. Rank convention: the
-    ``ceil(p * n)``-th smallest non-null value of the group.
-    """
-    from clientlens.session import ensure_checkpoint_dir
-
+                            name: str | None = None) -> DataFrame:
+    """Exact ``p``-quantile of ``value`` per group, one row per group that has
+    a value (a NULL key is a group like any other).
+
+    The groups' ranges are a table of one row per group, joined to the rows
+    of groups that are still open. Rows are dealt by key and a salt of their
+    value, with the range copied to each salt, so the rows of a hot group
+    spread over ``SALTS`` tasks; counts per (group, bin) are pre-aggregated
+    there. The state is checkpointed each pass in the shared folder."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     name = name or f"q{int(round(p * 100))}_{value}"
     ks = list(keys)
     v = F.col("__v")
-    data = df.select(*ks, F.col(value).cast("double").alias("__v")).where(v.isNotNull() & ~F.isnan(v))
-    state = (data.groupBy(*ks)
-             .agg(F.count(F.lit(1)).alias("__m"), F.min(v).alias("__lo"), F.max(v).alias("__hi"))
-             .withColumns({"__r": F.greatest(F.lit(1), F.ceil(F.col("__m") * F.lit(p))).cast("long")})
-             .select(*ks, "__r", "__m", "__lo", "__hi")
-             .checkpoint(eager=True))
-    finished: list[DataFrame] = []
-    for _ in range(max_passes):
-        # equal bounds: every value in range is the answer
-        finished.append(state.where(F.col("__lo") == F.col("__hi"))
-                        .select(*ks, F.col("__lo").alias(name)))
-        small = state.where((F.col("__lo") < F.col("__hi")) & (F.col("__m") <= max_exact))
-        finished.append(_rank_in_range(data, small, ks, name))
-        active = state.where((F.col("__lo") < F.col("__hi")) & (F.col("__m") > max_exact))
+    kind = df.select(_numbers(df, value).alias("v")).schema["v"].dataType
+    data = (df.select(*ks, _numbers(df, value).alias("__v")).where(_usable(v, kind))
+            .withColumn("__salt", F.pmod(F.xxhash64(v), F.lit(SALTS)).cast("int")))
+    state = (data.groupBy(*ks).agg(F.count(F.lit(1)).alias("__n"), F.min(v).alias("__lo"), F.max(v).alias("__hi"))
+             .select(*ks, "__lo", "__hi", F.greatest(F.lit(1), F.ceil(F.col("__n") * F.lit(p))).cast("long").alias("__rank"))
+             .checkpoint())
+    closed = F.col("__lo") == F.col("__hi")
+    done = state.where(closed)
+    while True:
+        active = state.where(~closed)
         if active.isEmpty():
-            break
-        state = _narrow_groups(data, active, ks, bins).checkpoint(eager=True)
-    else:
-        raise RuntimeError("quantile_by_group_exact did not converge")
-    out = finished[0]
-    for part in finished[1:]:
-        out = out.unionByName(part)
-    return out
+            return done.select(*ks, F.col("__lo").alias(name))
+        state = _narrow_groups(data, active, ks, kind).checkpoint()
+        done = done.unionByName(state.where(closed))
 
 
-def _narrow_groups(data: DataFrame, active: DataFrame, ks: list[str], bins: int) -> DataFrame:
+def _narrow_groups(data: DataFrame, active: DataFrame, ks: list[str], kind: T.DataType) -> DataFrame:
     v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
-    joined = data.join(active, ks).where((v >= lo) & (v <= hi))
-    b = F.least(F.floor((v - lo) / (hi - lo) * F.lit(bins)), F.lit(bins - 1)).cast("int")
-    counts = (joined.groupBy(*ks, b.alias("__bin"), "__r")
-              .agg(F.count(F.lit(1)).alias("__c"), F.min(v).alias("__blo"),
-                   F.max(v).alias("__bhi")))
+    ranges = active.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(ks)], "__lo", "__hi", "__rank",
+                           F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__at"))
+    same = F.col("__salt") == F.col("__at")
+    for i, k in enumerate(ks):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    joined = data.join(ranges, same).where((v >= lo) & (v <= hi))
+    counts = (joined.groupBy(*ks, _split_ends(_bin(v, lo, hi, kind), v, lo, hi).alias("__bin"), "__rank")
+              .agg(F.count(F.lit(1)).alias("__c"), F.min(v).alias("__blo"), F.max(v).alias("__bhi")))
     upto = Window.partitionBy(*ks).orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.withColumn("__cum", F.sum("__c").over(upto))
-    hit = cum.where(F.col("__cum") >= F.col("__r"))
-    first = (hit.groupBy(*ks).agg(F.min_by(F.struct("__r", "__c", "__cum", "__blo", "__bhi"),
-                                           F.col("__bin")).alias("__h")))
-    return first.select(*ks,
-                        (F.col("__h.__r") - (F.col("__h.__cum") - F.col("__h.__c"))).alias("__r"),
-                        F.col("__h.__c").alias("__m"), F.col("__h.__blo").alias("__lo"),
-                        F.col("__h.__bhi").alias("__hi"))
-
-
-def _rank_in_range(data: DataFrame, small: DataFrame, ks: list[str], name: str) -> DataFrame:
-    v = F.col("__v")
-    rows = data.join(small, ks).where((v >= F.col("__lo")) & (v <= F.col("__hi")))
-    w = Window.partitionBy(*ks).orderBy(v)  # at most max_exact rows per group
-    return (rows.withColumn("__rn", F.row_number().over(w))
-            .where(F.col("__rn") == F.col("__r")).select(*ks, v.alias(name)))
+    cum = counts.withColumn("__cum", F.sum("__c").over(upto)).where(F.col("__cum") >= F.col("__rank"))
+    first = cum.groupBy(*ks).agg(F.min_by(F.struct("__rank", "__c", "__cum", "__blo", "__bhi"), F.col("__bin")).alias("__h"))
+    return first.select(*ks, F.col("__h.__blo").alias("__lo"), F.col("__h.__bhi").alias("__hi"),
+                        (F.col("__h.__rank") - (F.col("__h.__cum") - F.col("__h.__c"))).alias("__rank"))

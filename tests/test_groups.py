@@ -112,19 +112,19 @@ def test_month_quarter_distinct(spark):
     assert rows == [("jun", "Q2"), ("may", "Q2"), ("xyz", None)]
 
 
-def test_partition_stats_expression_equals_real_repartition(spark):
-    import random
-    rnd = random.Random(3)
-    rows = [(rnd.choice(["A", "N", "R", "x", "yy"]), rnd.randint(0, 50)) for _ in range(3000)]
-    df = spark.createDataFrame(rows, "flag string, q int")
-    for keys in (("flag",), ("flag", "q")):
-        computed = [tuple(r) for r in ops.partition_stats(df, 8, *keys).collect()]
-        real = [tuple(r) for r in ops.partition_stats(df, 8, *keys, materialize=True).collect()]
-        assert computed == real
-    plan = ops.partition_stats(df, 8, "flag")._jdf.queryExecution().optimizedPlan().toString()
-    assert "Repartition" not in plan
-    rr = ops.partition_stats(df, 4).collect()  # round-robin: materialized
-    assert sum(r["row_count"] for r in rr) == 3000 and len(rr) == 4
+def test_partition_stats_count_real_partitions(spark):
+    df = spark.createDataFrame([(f"k{i % 5}", i) for i in range(500)], "job string, n int").repartition(7)
+    parts = df.repartition(8, "job").select("job", F.spark_partition_id().alias("p")).collect()
+    want = {}
+    for r in parts:
+        want[r["p"]] = want.get(r["p"], 0) + 1
+    got = {r["partition_id"]: r["row_count"] for r in ops.partition_stats(df, 8, "job").collect()}
+    assert got == {i: want.get(i, 0) for i in range(8)}
+    keys = ops.partition_keys(df, 8, "job").collect()
+    assert len(keys) == 5 and all(r["n_partitions"] == 1 and r["row_count"] == 100 for r in keys)
+    even = ops.partition_stats(df, 4).collect()
+    assert sum(r["row_count"] for r in even) == 500 and len(even) == 4
+
 
 
 def test_pivot_counts_discovers_values(spark):

@@ -82,16 +82,26 @@ def test_exact_quantiles_iterative_matches_brute_force(spark):
     values += [1.0] * 1500 + [None] * 10 + [float("nan")]
     df = spark.createDataFrame([(x,) for x in values], "x double").repartition(5)
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = ops.exact_quantiles(df, "x", probs, max_exact=40)  # force the bracketing passes
-    assert got == [_brute(values, p) for p in probs]
-    assert ops.exact_quantiles(df, "x", probs) == got  # small column: one sort
+    assert ops.exact_quantiles(df, "x", probs) == [_brute(values, p) for p in probs]
+
+
+def test_exact_quantiles_keep_the_type(spark):
+    """Neighbours above 2^53, far-apart doubles and decimals stay exact."""
+    from decimal import Decimal
+    longs = [2 ** 62 + i for i in range(50)] + [-(2 ** 62), 3, 4]
+    doubles = [1e308, -1e308, 5e-324, 0.0] + [10.0 ** -k for k in range(1, 200, 7)]
+    decimals = [Decimal(10 ** 20 + i) / 100 for i in range(40)]
+    probs = [0.1, 0.5, 0.77, 1.0]
+    for values, kind in ((longs, "bigint"), (doubles, "double"), (decimals, "decimal(30,2)")):
+        df = spark.createDataFrame([(x,) for x in values], f"x {kind}").repartition(3)
+        assert ops.exact_quantiles(df, "x", probs) == [_brute(values, p) for p in probs]
 
 
 def test_exact_quantiles_heavy_ties_and_empty(spark):
     values = [5.0] * 800 + [7.0] * 700 + [6.0]
     df = spark.createDataFrame([(x,) for x in values], "x double")
     probs = [0.3, 0.5333, 0.534, 0.6, 1.0]
-    assert ops.exact_quantiles(df, "x", probs, max_exact=10) == [_brute(values, p) for p in probs]
+    assert ops.exact_quantiles(df, "x", probs) == [_brute(values, p) for p in probs]
     empty = spark.createDataFrame([(None,)], "x double")
     assert ops.exact_quantiles(empty, "x", [0.5]) == [None]
 
@@ -106,19 +116,16 @@ def test_exact_winsorize_fences(spark):
     assert out[1000.0] == f["upper"] and out[50.0] == 50.0
 
 
-def test_quantile_by_group_discrete_matches_brute_force(spark):
+def test_avg_median_modes_match_brute_force(spark):
     import random
     rnd = random.Random(11)
-    rows = [(rnd.choice("abc"), float(rnd.randint(1, 9)) if rnd.random() > 0.05 else None)
+    rows = [(rnd.choice(["a", "b", None]), float(rnd.randint(1, 9)) if rnd.random() > 0.05 else None)
             for _ in range(3000)] + [("a", 5.0)] * 2000  # a hot group
     df = spark.createDataFrame(rows, "k string, v double")
-    for p in (0.25, 0.5, 0.9):
-        got = {r["k"]: r["q"] for r in ops.quantile_by_group_discrete(df, ["k"], "v", p, "q").collect()}
-        want = {k: _brute([v for kk, v in rows if kk == k], p) for k in "abc"}
-        assert got == want
-    both = ops.avg_median_by_group(df, "k", "v", "v", "a", "m", "n", median="histogram")
-    sketch = ops.avg_median_by_group(df, "k", "v", "v", "a", "m", "n")
-    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, sketch.collect()))
+    want = {k: (_brute([v for kk, v in rows if kk == k], 0.5), sum(kk == k for kk, _ in rows)) for k in ("a", "b", None)}
+    for mode in ("histogram", "sketch", "exact"):
+        got = ops.avg_median_by_group(df, "k", "v", "v", "a", "m", "n", median=mode).collect()
+        assert {r["k"]: (r["m"], r["n"]) for r in got} == want, mode
 
 
 def test_approx_fences_several_columns_and_all_null(spark):
@@ -132,17 +139,18 @@ def test_approx_fences_several_columns_and_all_null(spark):
     assert all(r["c"] is None for r in out)
 
 
-def test_quantile_by_group_exact_continuous(spark):
+def test_quantile_by_group_exact_continuous(spark, monkeypatch):
     import random
-    from clientlens.operators.quantiles import quantile_by_group_exact
+    from clientlens.operators import quantiles
+    monkeypatch.setattr(quantiles, "BINS", 16)
     rnd = random.Random(5)
     rows = [("hot", rnd.lognormvariate(0, 2)) for _ in range(4000)]
     rows += [(k, rnd.gauss(0, 1)) for k in "abc" for _ in range(300)]
-    rows += [("ties", 3.0)] * 500 + [("ties", 1.0)] * 10 + [("one", 7.5), ("n", None)]
+    rows += [("ties", 3.0)] * 500 + [("ties", 1.0)] * 10 + [("one", 7.5), ("n", None), (None, 2.0), (None, 4.0), (None, 9.0)]
     df = spark.createDataFrame(rows, "k string, v double").repartition(4)
     for p in (0.5, 0.9):
         got = {r["k"]: r["q"] for r in
-               quantile_by_group_exact(df, ["k"], "v", p, "q", bins=16, max_exact=50).collect()}
+               quantiles.quantile_by_group_exact(df, ["k"], "v", p, "q").collect()}
         keys = {k for k, x in rows if x is not None}
         want = {k: _brute([x for kk, x in rows if kk == k], p) for k in keys}
         assert got == want
