@@ -1,57 +1,100 @@
 """Feature preparation shared by batch training, tuning and stream scoring.
 
-One ``prepare`` for every path (the reference let batch and streaming
-training drift apart), a split that does not depend on partitioning, and a
-pipeline whose fitted stages (indexers, encoder, scaler) are all distributed
-aggregates: label counts, one summary pass.
+Sentinels, clipping and missing numbers are a stage of the fitted pipeline, so
+a saved model prepares batch and streaming rows exactly as its training rows.
+The split does not depend on partitioning, and the fitted stages (indexers,
+encoder, scaler) are all distributed aggregates: label counts, one summary
+pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientlens.functions.columns import replace_sentinel, winsorized
-from clientlens.operators.profile import approx_fences
-
-
-def fit_fences(train: DataFrame, cols: Sequence[str], k: float = 1.5,
-               rel_error: float = 0.01) -> dict[str, tuple[float, float]]:
-    """IQR fences of each column, fitted on the training part with one
-    tree-aggregated ``approxQuantile`` job (see ``operators.approx_fences``);
-    two numbers per column, like any fitted model parameter."""
-    return approx_fences(train, cols, k, rel_error)
-
-
-def prepare(df: DataFrame, sentinel_cols: Sequence[str] = (),
-            fences: dict[str, tuple[float, float]] | None = None,
-            sentinel: int = -1, replacement: int = 0) -> DataFrame:
-    """Sentinel ``-1`` -> 0 and clipping to fitted fences (see ``fit_fences``:
-    fit them on the training part so test rows never shape the transform).
-    Works on batch and streaming frames alike."""
-    out = df.withColumns({c: replace_sentinel(c, sentinel, replacement) for c in sentinel_cols}) \
-        if sentinel_cols else df
-    if fences:
-        out = out.withColumns({c: winsorized(c, F.lit(lo).cast("double"), F.lit(hi).cast("double"))
-                               for c, (lo, hi) in fences.items()})
-    return out
+from clientlens.functions.columns import replace_sentinel
+from clientlens.operators.quantiles import exact_quantiles
+
+PREPARED = "_prepared"
+
+
+@dataclass(frozen=True)
+class Preparation:
+    """Fitted preparation of the numeric columns: per column the median that
+    stands in for a missing number, and for clipped columns the IQR fences."""
+
+    medians: dict[str, float]
+    fences: dict[str, tuple[float, float]] = field(default_factory=dict)
+    sentinel_cols: tuple[str, ...] = ()
+    sentinel: int = -1
+    replacement: int = 0
+
+    def stage(self) -> SQLTransformer:
+        """Adds ``<column>_prepared`` for each numeric column: sentinel ->
+        replacement, NULL and NaN -> median, clipped to the fences."""
+        parts = []
+        for c, median in self.medians.items():
+            x = f"CAST(`{c}` AS DOUBLE)"
+            if c in self.sentinel_cols:
+                x = f"IF({x} = {self.sentinel}, {float(self.replacement)!r}D, {x})"
+            x = f"COALESCE(NANVL({x}, CAST(NULL AS DOUBLE)), {median!r}D)"
+            if c in self.fences:
+                low, high = self.fences[c]
+                x = f"LEAST(GREATEST({x}, {low!r}D), {high!r}D)"
+            parts.append(f"{x} AS `{c}{PREPARED}`")
+        return SQLTransformer(statement=f"SELECT *{''.join(', ' + x for x in parts)} FROM __THIS__")
+
+
+def fit_preparation(train: DataFrame, num_cols: Sequence[str], clip_cols: Sequence[str] = (),
+                    sentinel_cols: Sequence[str] = (), k: float = 1.5, rel_error: float = 0.01,
+                    sentinel: int = -1, replacement: int = 0, exact: bool = False) -> Preparation:
+    """Fit the preparation on the training part: one tree-aggregated
+    ``approxQuantile`` job for all columns (``exact``: exact quartiles).
+
+    NULL and NaN do not count; a column without any number gets median 0.
+    Three numbers per column come to the driver."""
+    cols = list(num_cols)
+    values = train.select(*[(replace_sentinel(c, sentinel, replacement) if c in sentinel_cols else F.col(c))
+                            .cast("double").alias(c) for c in cols])
+    probs = [0.25, 0.5, 0.75]
+    if exact:
+        found = [exact_quantiles(values, c, probs) for c in cols]
+    else:
+        found = values.approxQuantile(cols, probs, rel_error) if cols else []
+    medians, fences = {}, {}
+    for c, q in zip(cols, found):
+        q1, median, q3 = q if len(q) == 3 and q[0] is not None else (None, 0.0, None)
+        medians[c] = float(median)
+        if c in clip_cols and q1 is not None:
+            fences[c] = (float(q1 - k * (q3 - q1)), float(q3 + k * (q3 - q1)))
+    return Preparation(medians, fences, tuple(sentinel_cols), sentinel, replacement)
+
+
+def hash_bucket(key: str | Column, buckets: int, salt: str = "") -> Column:
+    """A bucket of the row key from the first 32 bits of its MD5, the same in
+    every engine and for every partitioning."""
+    k = F.col(key) if isinstance(key, str) else key
+    digest = F.md5(F.concat(F.lit(salt), k.cast("string")).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(buckets))
 
 
 def split_column(key: str | Column, train_pct: int = 80, buckets: int = 100) -> Column:
-    """``True`` for the training part: a hash bucket of the row key, so the
-    split is the same whatever the partitioning or the executor count
-    (``randomSplit`` changes with the number of partitions)."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(k), F.lit(buckets)) < F.lit(train_pct * buckets // 100)
+    """``True`` for the training part, by ``hash_bucket`` (``randomSplit``
+    changes with the number of partitions)."""
+    return hash_bucket(key, buckets) < F.lit(train_pct * buckets // 100)
 
 
 def hash_split(df: DataFrame, key: str | Column, train_pct: int = 80,
                buckets: int = 100) -> tuple[DataFrame, DataFrame]:
-    cond = split_column(key, train_pct, buckets)
+    """Training and test part; a row without a key is in the test part."""
+    cond = F.coalesce(split_column(key, train_pct, buckets), F.lit(False))
     return df.where(cond), df.where(~cond)
 
 
@@ -65,24 +108,32 @@ def string_indexer(cols: Sequence[str], out_cols: Sequence[str] | None = None,
 
 
 def feature_pipeline(cat_cols: Sequence[str], num_cols: Sequence[str],
-                     label_col: str | None = "y", classifier=None) -> Pipeline:
-    """Indexers -> one-hot -> label index -> assembler (``features_raw``) ->
-    scaler (``features``, unit sample std, no centring) [-> classifier].
+                     label_col: str | None = "y", classifier=None,
+                     preparation: Preparation | None = None) -> Pipeline:
+    """[preparation ->] indexers -> one-hot -> label index -> assembler
+    (``features_raw``) -> scaler (``features``, unit sample std, no
+    centring) [-> classifier].
 
     The label is indexed alphabetically (``no`` = 0, ``yes`` = 1) so its
-    meaning does not depend on which class is more frequent.
+    meaning does not depend on which class is more frequent. The indexer's
+    slot for unknown values is the last one, which the encoder drops, so a
+    column has one slot per known value and an unknown value is all zeros.
+    Without a preparation a missing number is an error: it would turn into
+    NaN and, through the scaler, wipe the feature of every row.
     """
     idx = [f"{c}_idx" for c in cat_cols]
     ohe = [f"{c}_ohe" for c in cat_cols]
-    stages = [string_indexer(cat_cols, idx),
-              OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep")]
+    numbers = [f"{c}{PREPARED}" if preparation else c for c in num_cols]
+    stages = [preparation.stage()] if preparation else []
+    stages += [string_indexer(cat_cols, idx),
+               OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="error", dropLast=True)]
     if label_col:
         # labels must be known (no extra "unseen" class); scoring drops the
         # label column, so rows without one are still scored
         stages.append(StringIndexer(inputCol=label_col, outputCol="label",
                                     stringOrderType="alphabetAsc", handleInvalid="error"))
-    stages += [VectorAssembler(inputCols=ohe + list(num_cols), outputCol="features_raw",
-                               handleInvalid="keep"),
+    stages += [VectorAssembler(inputCols=ohe + numbers, outputCol="features_raw",
+                               handleInvalid="error"),
                StandardScaler(inputCol="features_raw", outputCol="features",
                               withMean=False, withStd=True)]
     if classifier is not None:
@@ -95,4 +146,4 @@ def slot_names(df: DataFrame, vector_col: str = "features_raw") -> list[str]:
     (``month_ohe_jan`` ..., numeric columns by name), in slot order."""
     attrs = df.schema[vector_col].metadata.get("ml_attr", {}).get("attrs", {})
     named = [(a["idx"], a["name"]) for group in attrs.values() for a in group]
-    return [n for _, n in sorted(named)]
+    return [n.removesuffix(PREPARED) for _, n in sorted(named)]

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clientlens.ml.features import feature_pipeline, slot_names
+from clientlens.ml.features import feature_pipeline, fit_preparation, hash_bucket, slot_names
+
+#: Partitions of the training rows (see ``layout``).
+TREE_PARTITIONS = 8
 
 
 def random_forest(num_trees: int = 100, max_depth: int = 5, seed: int = 42) -> RandomForestClassifier:
@@ -21,26 +25,27 @@ def random_forest(num_trees: int = 100, max_depth: int = 5, seed: int = 42) -> R
                                   numTrees=num_trees, maxDepth=max_depth, seed=seed)
 
 
-def spread(df: DataFrame, partitions: int | None) -> DataFrame:
-    """Round-robin the rows into ``partitions`` when the input has fewer, so
-    every core computes tree statistics (a large input already has enough
-    partitions and is left as it is: no extra shuffle)."""
-    if not partitions:
-        return df
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD view: Spark Connect)
-        return df.repartition(partitions)
-    return df.repartition(partitions) if current < partitions else df
+def layout(df: DataFrame, partitions: int = TREE_PARTITIONS, key: str | None = None) -> DataFrame:
+    """Rows in ``partitions`` partitions by a hash of the key (default: of all
+    columns), sorted within each. Trees sample rows by partition and place,
+    so the same rows give the same forest whatever files, cores or
+    partitions they came from. Set ``partitions`` to a few times the cores of
+    the cluster; it is a parameter of the model."""
+    k = F.col(key) if key else F.xxhash64(*df.columns)
+    return (df.withColumn("__layout", k).repartition(partitions, "__layout")
+            .sortWithinPartitions("__layout").drop("__layout"))
 
 
 def train_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
              label_col: str = "y", num_trees: int = 100, max_depth: int = 5,
-             seed: int = 42, partitions: int | None = None) -> tuple[PipelineModel, float]:
-    """Fit the full pipeline; returns the model and the fit wall time (s)."""
-    data = spread(train, partitions)
-    pipe = feature_pipeline(cat_cols, num_cols, label_col, random_forest(num_trees, max_depth, seed))
+             seed: int = 42, partitions: int = TREE_PARTITIONS, key: str | None = None,
+             clip_cols: Sequence[str] = (), sentinel_cols: Sequence[str] = ()) -> tuple[PipelineModel, float]:
+    """Fit preparation, features and forest; returns the model, which takes
+    raw rows, and the fit wall time (s)."""
+    data = layout(train, partitions, key)
     t0 = time.time()
+    prep = fit_preparation(train, num_cols, clip_cols, sentinel_cols)
+    pipe = feature_pipeline(cat_cols, num_cols, label_col, random_forest(num_trees, max_depth, seed), prep)
     model = pipe.fit(data)
     return model, time.time() - t0
 
@@ -51,35 +56,63 @@ def auc_evaluator(raw_col: str = "rawPrediction") -> BinaryClassificationEvaluat
                                          metricName="areaUnderROC", numBins=0)
 
 
+@dataclass(frozen=True)
+class TunedModel:
+    """Grid points, their mean AUC over the folds, and the winner refitted on
+    all training rows."""
+
+    grid: list[dict[str, int]]
+    avg_metrics: list[float]
+    best_model: PipelineModel
+
+
 def tune_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
             label_col: str = "y", num_trees: Sequence[int] = (50, 100),
             max_depth: Sequence[int] = (4, 6), folds: int = 3, seed: int = 42,
-            parallelism: int = 4, partitions: int | None = None) -> CrossValidatorModel:
-    """Grid search with k-fold cross validation on AUC. The whole pipeline
-    (indexers, scaler) is refitted inside each fold, so no fold sees
-    statistics of its validation rows; grid points train in parallel."""
-    rf = random_forest(seed=seed)
-    pipe = feature_pipeline(cat_cols, num_cols, label_col, rf)
-    grid = (ParamGridBuilder().addGrid(rf.numTrees, list(num_trees))
-            .addGrid(rf.maxDepth, list(max_depth)).build())
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=auc_evaluator(),
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    return cv.fit(spread(train, partitions))
-
-
-def grid_results(spark: SparkSession, cv_model: CrossValidatorModel,
+            parallelism: int = 4, partitions: int = TREE_PARTITIONS, key: str | None = None,
+            clip_cols: Sequence[str] = (), sentinel_cols: Sequence[str] = ()) -> TunedModel:
+    """Grid search with k-fold cross validation on AUC.
+
+    Folds are hash buckets of the row key, so they do not depend on
+    partitioning. Preparation, indexers and scaler are fitted once per fold,
+    on its training rows only; the grid points then train side by side on the
+    fold's cached vectors."""
+    grid = [{"numTrees": t, "maxDepth": d} for t in num_trees for d in max_depth]
+    fold_key = F.col(key) if key else F.xxhash64(*train.columns)
+    data = train.withColumn("__fold", hash_bucket(fold_key, folds, salt="fold:"))
+    aucs: list[list[float]] = []
+    for fold in range(folds):
+        inside = data.where(F.col("__fold") != fold).drop("__fold")
+        outside = data.where(F.col("__fold") == fold).drop("__fold")
+        prep = fit_preparation(inside, num_cols, clip_cols, sentinel_cols)
+        features = feature_pipeline(cat_cols, num_cols, label_col, preparation=prep).fit(inside)
+        fit_on = features.transform(layout(inside, partitions, key)).select("label", "features").persist()
+        check_on = features.transform(outside).select("label", "features").persist()
+
+        def auc(point: dict[str, int], fit_on=fit_on, check_on=check_on) -> float:
+            model = random_forest(point["numTrees"], point["maxDepth"], seed).fit(fit_on)
+            return auc_roc(model.transform(check_on))
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            aucs.append(list(pool.map(auc, grid)))
+        fit_on.unpersist()
+        check_on.unpersist()
+    mean = [sum(a) / folds for a in zip(*aucs)]
+    best = grid[mean.index(max(mean))]
+    model, _ = train_rf(train, cat_cols, num_cols, label_col, best["numTrees"], best["maxDepth"],
+                        seed, partitions, key, clip_cols, sentinel_cols)
+    return TunedModel(grid, mean, model)
+
+
+def grid_results(spark: SparkSession, tuned: TunedModel,
                  test: DataFrame | None = None) -> DataFrame:
     """One row per grid point: parameters, mean CV AUC, the winner flag and,
     given a held-out ``test`` part, the winner's test AUC (NULL on the other
     rows). As many rows as grid points."""
-    best = max(cv_model.avgMetrics)
-    test_auc = auc_roc(cv_model.bestModel.transform(test)) if test is not None else None
-    rows = []
-    for params, metric in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics):
-        named = {p.name: v for p, v in params.items()}
-        is_best = bool(metric == best)
-        rows.append((int(named["numTrees"]), int(named["maxDepth"]), float(metric), is_best,
-                     float(test_auc) if is_best and test_auc is not None else None))
+    best = tuned.avg_metrics.index(max(tuned.avg_metrics))
+    test_auc = auc_roc(tuned.best_model.transform(test)) if test is not None else None
+    rows = [(p["numTrees"], p["maxDepth"], float(m), i == best, test_auc if i == best else None)
+            for i, (p, m) in enumerate(zip(tuned.grid, tuned.avg_metrics))]
     return spark.createDataFrame(
         rows, "num_trees int, max_depth int, avg_auc double, is_best boolean, test_auc double")
 

@@ -2,10 +2,11 @@
 rule-based predictions over ``lineitem``.
 
 Client roles on orders: categorical ``o_orderpriority`` and order ``month``;
-numeric ``o_totalprice`` (clipped to IQR fences fitted on the training part),
-``order_year`` and ``contact_gap`` (``o_custkey mod 10``, 0 written as the
-``-1`` sentinel and mapped back to 0 by ``prepare``); label ``y`` = 'yes'
+numeric ``o_totalprice`` (clipped to IQR fences fitted on the training part;
+missing in every 97th order), ``order_year`` and ``contact_gap``
+(``o_custkey mod 10``, 0 written as the ``-1`` sentinel); label ``y`` = 'yes'
 when ``o_orderstatus = 'F'``. The split is an 80/20 hash of ``o_orderkey``.
+Every key fits what it needs itself; nothing is kept between calls.
 """
 
 from __future__ import annotations
@@ -18,61 +19,44 @@ from pyspark.sql import functions as F
 from clientlens import ml
 from clientlens import streaming as st
 from clientlens.functions.columns import month_name
-from clientlens.session import app_id, parallelism
 from clientlens.sources import read_table
 
 CAT_COLS = ["o_orderpriority", "month"]
 NUM_COLS = ["o_totalprice", "order_year", "contact_gap"]
 KEY = "o_orderkey"
-
-_MODELS: dict = {}
+FIT = {"key": KEY, "clip_cols": ["o_totalprice"], "sentinel_cols": ["contact_gap"]}
 
 
 def clients(df: DataFrame) -> DataFrame:
     """Orders seen as client contacts (works on batch and streaming frames)."""
     gap = F.pmod(F.col("o_custkey"), F.lit(10)).cast("int")
     return df.select(
-        KEY, "o_orderpriority", month_name("o_orderdate").alias("month"), "o_totalprice",
+        KEY, "o_orderpriority", month_name("o_orderdate").alias("month"),
+        F.when(F.col(KEY) % 97 != 0, F.col("o_totalprice")).alias("o_totalprice"),
         F.year("o_orderdate").alias("order_year"),
         F.when(gap == 0, F.lit(-1)).otherwise(gap).alias("contact_gap"),
         F.when(F.col("o_orderstatus") == "F", "yes").otherwise("no").alias("y"))
 
 
-def split_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return ml.hash_split(clients(read_table(spark, sf_dir, "orders")), KEY)
 
 
-def fences(spark: SparkSession, sf_dir: str) -> dict:
-    """IQR fences of the clipped columns, fitted on the training part."""
-    key = (app_id(spark), sf_dir, "fences")
-    if key not in _MODELS:
-        _MODELS[key] = ml.fit_fences(split_raw(spark, sf_dir)[0], ["o_totalprice"])
-    return _MODELS[key]
-
-
-def split_prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    train, test = split_raw(spark, sf_dir)
-    f = fences(spark, sf_dir)
-    return (ml.prepare(train, ["contact_gap"], f), ml.prepare(test, ["contact_gap"], f))
-
-
 def fitted_model(spark: SparkSession, sf_dir: str, num_trees: int = 100, max_depth: int = 5):
-    """The trained pipeline for this fixture (fitted once per application)."""
-    key = (app_id(spark), sf_dir, num_trees, max_depth)
-    if key not in _MODELS:
-        train, _ = split_prepared(spark, sf_dir)
-        _MODELS[key] = ml.train_rf(train, CAT_COLS, NUM_COLS, "y", num_trees, max_depth,
-                                   seed=42, partitions=parallelism(spark))
-    return _MODELS[key]
+    return ml.train_rf(split(spark, sf_dir)[0], CAT_COLS, NUM_COLS, "y", num_trees, max_depth,
+                       seed=42, **FIT)[0]
 
 
 def feature_vectors(spark, sf_dir):
-    """Fitted feature stages (indexers, one-hot, assembler, scaler) applied
-    to every order: key, label and the scaled feature vector."""
-    train, test = split_prepared(spark, sf_dir)
-    model = ml.feature_pipeline(CAT_COLS, NUM_COLS, "y").fit(train)
+    """Fitted feature stages (preparation with exact quartiles, indexers,
+    one-hot, assembler, scaler) applied to every order: key, label and the
+    scaled vector in millionths, slot by slot."""
+    train, test = split(spark, sf_dir)
+    prep = ml.fit_preparation(train, NUM_COLS, FIT["clip_cols"], FIT["sentinel_cols"], exact=True)
+    model = ml.feature_pipeline(CAT_COLS, NUM_COLS, "y", preparation=prep).fit(train)
+    millionths = F.transform(vector_to_array("features"), lambda x: F.round(x * 1e6).cast("bigint").cast("string"))
     return model.transform(train.unionByName(test)).select(
-        KEY, "label", vector_to_array("features").alias("features"))
+        KEY, F.col("label").cast("int").alias("label"), F.array_join(millionths, ",").alias("features"))
 
 
 def string_index(spark, sf_dir):
@@ -97,50 +81,69 @@ def hash_split(spark, sf_dir):
 
 
 def train_rf(spark, sf_dir):
-    model, seconds = fitted_model(spark, sf_dir)
-    train, test = split_prepared(spark, sf_dir)
-    scored = model.transform(test)
-    metrics = ml.class_metrics(scored)
+    train, test = split(spark, sf_dir)
+    model, _ = ml.train_rf(train, CAT_COLS, NUM_COLS, "y", seed=42, **FIT)
+    scored = model.transform(test).select("label", "prediction", "rawPrediction").persist()
+    metrics = ml.class_metrics(scored).first()  # one row
+    auc = ml.auc_roc(scored)
+    scored.unpersist()
     forest = model.stages[-1]
-    return metrics.select(
-        F.lit(forest.getNumTrees).alias("num_trees"), F.lit(forest.getMaxDepth()).alias("max_depth"),
-        F.lit(forest.numFeatures).alias("num_features"),
-        F.lit(round(ml.auc_roc(scored), 6)).alias("test_auc"),
-        "accuracy", "weighted_f1", "weighted_precision", "weighted_recall",
-        F.lit(round(seconds, 3)).alias("fit_seconds"))
+    return spark.createDataFrame(
+        [(forest.getNumTrees, forest.getMaxDepth(), forest.numFeatures, round(auc, 6), *metrics)],
+        "num_trees int, max_depth int, num_features int, test_auc double, accuracy double, "
+        "weighted_precision double, weighted_recall double, weighted_f1 double")
 
 
 def score_clients(spark, sf_dir):
-    model, _ = fitted_model(spark, sf_dir)
-    _, test = split_prepared(spark, sf_dir)
-    return ml.score(model, test.drop("y"), keep=[KEY, "o_orderpriority", "o_totalprice"])
+    """Every order scored with the trained model, summed up per priority:
+    rows, distinct keys, and rows whose prediction and confidence disagree or
+    are out of range."""
+    model = fitted_model(spark, sf_dir)
+    scored = ml.score(model, clients(read_table(spark, sf_dir, "orders")), keep=[KEY, "o_orderpriority"], digits=6)
+    sure = F.col("confidence")
+    bad = (~sure.between(0, 1) | ~F.col("prediction").isin(0, 1) | sure.isNull()
+           | ((F.col("prediction") == 1) & (sure < 0.499999)) | ((F.col("prediction") == 0) & (sure > 0.500001)))
+    return scored.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n_scored"), F.countDistinct(KEY).alias("n_keys"), F.count_if(bad).alias("n_invalid"))
 
 
 def tune_rf(spark, sf_dir):
-    """Grid search with 3-fold CV on the training part; the best model is
-    also scored on the held-out test part."""
-    train, test = split_prepared(spark, sf_dir)
-    cv = ml.tune_rf(train, CAT_COLS, NUM_COLS, "y", folds=3, seed=42, parallelism=4,
-                    partitions=parallelism(spark))
-    return ml.grid_results(spark, cv, test)
+    """Grid search with 3-fold CV on the training part, the winner scored on
+    the test part: the grid's shape and whether its figures are sound."""
+    train, test = split(spark, sf_dir)
+    tuned = ml.tune_rf(train, CAT_COLS, NUM_COLS, "y", folds=3, seed=42, parallelism=4, **FIT)
+    grid = ml.grid_results(spark, tuned, test)
+    return grid.select("num_trees", "max_depth", F.col("avg_auc").between(0, 1).alias("auc_in_range"),
+                       (F.col("is_best") == F.col("test_auc").isNotNull()).alias("best_is_tested"))
 
 
 def feature_importance(spark, sf_dir):
-    model, _ = fitted_model(spark, sf_dir)
-    train, _ = split_prepared(spark, sf_dir)
+    """Importances per source column: slots, whether their share is in range,
+    and the sum over all columns."""
+    model = fitted_model(spark, sf_dir)
+    train, _ = split(spark, sf_dir)
     # transform() is lazy: only the output schema (slot metadata) is used
-    return ml.feature_importance(model, model.transform(train), top=10)
+    slots = ml.feature_importance(model, model.transform(train), top=10_000)
+    source = F.regexp_extract("feature", r"^(.*?)_ohe(_.*)?$", 1)
+    return (slots.groupBy(F.when(source == "", F.col("feature")).otherwise(source).alias("feature"))
+            .agg(F.count(F.lit(1)).alias("n_slots"), F.sum("importance").between(0, 1 + 1e-9).alias("in_range"))
+            .withColumn("total", slots.agg(F.round(F.sum("importance"), 6)).scalar()))
 
 
 def stream_score(spark, sf_dir):
-    """Score orders arriving as a file stream with the batch-trained model;
-    the scored rows go to a file sink (append, exactly-once)."""
-    model, _ = fitted_model(spark, sf_dir)
+    """Orders that arrive as a file stream, scored into a file sink (append,
+    exactly-once), held against batch scoring with the same model."""
+    model = fitted_model(spark, sf_dir)
     path = f"{sf_dir.rstrip('/')}/orders*.parquet"
-    stream = st.stream_source(spark, path, read_table(spark, sf_dir, "orders").schema)
-    prepared = ml.prepare(clients(stream).drop("y"), ["contact_gap"], fences(spark, sf_dir))
-    scored = ml.score(model, prepared, keep=[KEY])
-    return st.run_append(scored, "stream_score")
+    orders = read_table(spark, sf_dir, "orders")
+    stream = st.stream_source(spark, path, orders.schema, max_files_per_trigger=st.FILES_PER_TRIGGER)
+    streamed = st.run_append(ml.score(model, clients(stream).drop("y"), keep=[KEY]), "stream_score")
+    batch = ml.score(model, clients(orders), keep=[KEY]).select(
+        F.col(KEY).alias("key"), F.col("prediction").alias("p"), F.col("confidence").alias("c"))
+    both = streamed.join(batch, F.col(KEY) == F.col("key"), "full_outer")
+    return both.agg(
+        F.count(KEY).alias("n_streamed"), F.count("key").alias("n_batch"), F.countDistinct(KEY).alias("n_keys"),
+        F.count_if(~F.col("prediction").eqNullSafe(F.col("p")) | ~F.col("confidence").eqNullSafe(F.col("c"))).alias("n_different"))
 
 
 # Rule predictions for the metric checks: label 1 for returned items,

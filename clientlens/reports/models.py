@@ -1,8 +1,9 @@
 """The propensity-model report of a client-contact table.
 
-Preparation (sentinel pdays -> 0, balance clipped to IQR fences fitted on
-the training part), an 80/20 hash split, a random forest, its test metrics,
-confusion matrix and feature importances, and optionally the grid search.
+An 80/20 hash split, a random forest whose pipeline also prepares the rows
+(sentinel pdays -> 0, missing numbers -> median, balance clipped to IQR fences,
+all fitted on the training part), its test metrics, confusion matrix and
+feature importances, and optionally the grid search.
 
     python -m clientlens.reports.models --input bank.csv --out report/ [--tune]
 """
@@ -21,7 +22,6 @@ from clientlens.reports.common import (
     add_io_args, session_from_args, stage, stage_root, write_report,
 )
 from clientlens.schema import CATEGORICAL_COLS, NUMERIC_COLS, TARGET_COL
-from clientlens.session import parallelism
 from clientlens.sources import load_clients
 
 
@@ -32,17 +32,15 @@ def with_key(df: DataFrame) -> DataFrame:
 
 
 def model_report(spark: SparkSession, path: str, num_trees: int = 100, max_depth: int = 5,
-                 tune: bool = False, partitions: int | None = None, staged: bool = True,
+                 tune: bool = False, partitions: int = ml.TREE_PARTITIONS, staged: bool = True,
                  stage_dir: str | None = None) -> tuple[dict[str, DataFrame], PipelineModel]:
     df = with_key(load_clients(spark, path))
     if staged:  # the fit scans the data many times: read Parquet, not text
         df = stage(df, f"{stage_root(spark, stage_dir)}/keyed")
-    train_raw, test_raw = ml.hash_split(df, "client_key")
-    fences = ml.fit_fences(train_raw, ["balance"])
-    train = ml.prepare(train_raw, ["pdays"], fences)
-    test = ml.prepare(test_raw, ["pdays"], fences)
+    train, test = ml.hash_split(df, "client_key")
+    args = dict(key="client_key", clip_cols=["balance"], sentinel_cols=["pdays"], partitions=partitions)
     model, seconds = ml.train_rf(train, CATEGORICAL_COLS, NUMERIC_COLS, TARGET_COL, num_trees,
-                                 max_depth, partitions=partitions)
+                                 max_depth, **args)
     scored = model.transform(test)
     metrics = ml.class_metrics(scored).withColumns({
         "auc_roc": F.lit(ml.auc_roc(scored)),
@@ -59,7 +57,7 @@ def model_report(spark: SparkSession, path: str, num_trees: int = 100, max_depth
         "test_predictions": ml.score(model, test, keep=["client_key", "job", "balance"]),
     }
     if tune:
-        cv = ml.tune_rf(train, CATEGORICAL_COLS, NUMERIC_COLS, TARGET_COL, partitions=partitions)
+        cv = ml.tune_rf(train, CATEGORICAL_COLS, NUMERIC_COLS, TARGET_COL, **args)
         out["grid_search"] = ml.grid_results(spark, cv, test)
     return out, model
 
@@ -67,11 +65,13 @@ def model_report(spark: SparkSession, path: str, num_trees: int = 100, max_depth
 def main(argv: list[str] | None = None) -> None:
     parser = add_io_args(argparse.ArgumentParser(description=__doc__.splitlines()[0]))
     parser.add_argument("--tune", action="store_true", help="also run the 2x2 grid, 3-fold CV")
+    parser.add_argument("--tree-partitions", type=int, default=ml.TREE_PARTITIONS,
+                        help="partitions of the training rows; the forest depends on it")
     parser.add_argument("--model-out", default=None, help="save the fitted pipeline here")
     args = parser.parse_args(argv)
     spark = session_from_args(args)
     results, model = model_report(spark, args.input, tune=args.tune,
-                                  partitions=parallelism(spark),
+                                  partitions=args.tree_partitions,
                                   staged=not args.no_stage, stage_dir=args.stage_dir)
     write_report(results, args.out, args.format, args.parallel_writes)
     if args.model_out:

@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clientlens.functions.columns import replace_sentinel
 from clientlens.streaming.streams import (
     event_time, start_stream, stream_group_agg, stream_sliding, stream_watermark,
     versioned_batch_writer,
@@ -54,8 +53,7 @@ def start_contact_streams(stream: DataFrame, root: str, model: PipelineModel | N
     if model is not None:
         from clientlens.ml.models import score
         out, ckpt = paths("ml_predictions")
-        prepared = stream.withColumn("pdays", replace_sentinel("pdays"))
-        scored = score(model, prepared, keep=list(score_cols))
+        scored = score(model, stream, keep=list(score_cols))  # the model prepares its rows
         queries["ml_predictions"] = start_stream(scored, "ml_predictions", "append", "parquet",
                                                  path=out, checkpoint=ckpt, trigger=trigger)
     out, ckpt = paths("window_analysis")

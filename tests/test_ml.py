@@ -39,20 +39,71 @@ def test_hash_split_independent_of_partitioning(clients):
     assert a == b and 0.7 < len(a) / 400 < 0.9
 
 
-def test_prepare_sentinel_and_fences(clients):
+def test_preparation_sentinel_fences_and_missing_numbers(spark, clients):
     train, test = ml.hash_split(clients, "id")
-    f = ml.fit_fences(train, ["balance"], rel_error=1e-6)
-    out = ml.prepare(test, ["pdays"], f)
-    assert out.where(F.col("pdays") == -1).count() == 0
-    lo, hi = f["balance"]
-    assert out.agg(F.max("balance")).collect()[0][0] <= hi
-    assert out.schema["balance"].dataType.simpleString() == "double"
+    prep = ml.fit_preparation(train, ["balance", "pdays"], ["balance"], ["pdays"], exact=True)
+    gaps = test.withColumn("balance", F.when(F.col("id") % 3 != 0, F.col("balance")))
+    out = prep.stage().transform(gaps)
+    assert out.where(F.col("pdays_prepared") == -1).count() == 0
+    lo, hi = prep.fences["balance"]
+    assert out.where(~F.col("balance_prepared").between(lo, hi)).count() == 0
+    missing = out.where(F.col("balance").isNull()).select("balance_prepared").distinct().collect()
+    assert [r[0] for r in missing] == [prep.medians["balance"]]
+
+
+def test_one_missing_number_changes_no_other_row(spark, clients):
+    """No NaN through the scaler: the fitted features of all other rows stay."""
+    from pyspark.ml.functions import vector_to_array
+    prep = ml.fit_preparation(clients, ["balance", "pdays"], ["balance"], ["pdays"])
+    model = ml.feature_pipeline(["job", "month"], ["balance", "pdays"], "y", preparation=prep).fit(clients)
+
+    def vectors(df):
+        return {r["id"]: r["f"] for r in model.transform(df).select("id", vector_to_array("features").alias("f")).collect()}
+
+    gap = clients.withColumn("balance", F.when(F.col("id") != 7, F.col("balance")))
+    before, after = vectors(clients), vectors(gap)
+    assert {i for i in before if before[i] != after[i]} <= {7}
+    refit = ml.feature_pipeline(["job", "month"], ["balance", "pdays"], "y", preparation=prep).fit(gap)
+    values = refit.transform(gap).select(vector_to_array("features").alias("f")).collect()
+    assert all(x == x for r in values for x in r["f"])
+
+
+def test_one_slot_per_known_value(spark, clients):
+    model = ml.feature_pipeline(["job", "month"], ["balance"], "y").fit(clients)
+    assert ml.slot_names(model.transform(clients)) == [
+        *(f"job_ohe_{x}" for x in ("admin.", "retired", "services", "student")), *(f"month_ohe_{x}" for x in ("may", "jul", "jun")), "balance"]
+    unseen = clients.limit(1).withColumn("job", F.lit("astronaut")).withColumn("month", F.lit(None).cast("string"))
+    assert model.transform(unseen).first()["features_raw"].toArray()[:7].tolist() == [0.0] * 7
+
+
+def test_same_forest_from_any_partitions(spark, clients):
+    train, test = ml.hash_split(clients, "id")
+    runs = []
+    for n in (1, 4, 8):
+        model, _ = ml.train_rf(train.repartition(n), ["job", "month"], ["balance", "pdays"], "y", num_trees=8, max_depth=3,
+                               seed=7, key="id", clip_cols=["balance"], sentinel_cols=["pdays"])
+        runs.append((model.stages[-1].toDebugString.split("\n", 1)[1], round(ml.auc_roc(model.transform(test)), 9)))
+    assert runs[0] == runs[1] == runs[2]
+
+
+def test_saved_model_prepares_streamed_rows(spark, clients, tmp_dir):
+    from pyspark.ml import PipelineModel
+    model, _ = ml.train_rf(clients, ["job"], ["balance", "pdays"], "y", num_trees=3, max_depth=2, key="id",
+                           clip_cols=["balance"], sentinel_cols=["pdays"])
+    model.write().save(f"{tmp_dir}/m")
+    loaded = PipelineModel.load(f"{tmp_dir}/m")
+    clients.write.parquet(f"{tmp_dir}/in")
+    from clientlens import streaming as st
+    stream = st.stream_source(spark, f"{tmp_dir}/in", clients.schema)
+    streamed = st.run_append(ml.score(loaded, stream, keep=["id"]), "saved_model").collect()
+    assert sorted(map(tuple, streamed)) == sorted(map(tuple, ml.score(model, clients, keep=["id"]).collect()))
 
 
 def test_train_score_importance_metrics(spark, clients):
     train, test = ml.hash_split(clients, "id")
     model, secs = ml.train_rf(train, ["job", "month"], ["balance", "pdays"], "y",
-                              num_trees=10, max_depth=3, partitions=4)
+                              num_trees=10, max_depth=3, partitions=4, key="id",
+                              clip_cols=["balance"], sentinel_cols=["pdays"])
     assert secs > 0
     scored = model.transform(test)
     auc = ml.auc_roc(scored)
