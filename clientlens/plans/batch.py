@@ -37,6 +37,14 @@ def _orders_with_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "orders").withColumn("month", fn.month_name("o_orderdate"))
 
 
+def _odd_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without February, and with month names nobody knows: 'zzz' for
+    every 89th order key, NULL for every 97th."""
+    key, month = F.col("o_orderkey"), F.col("month")
+    odd = F.when(key % 89 == 0, "zzz").when(key % 97 == 0, None).otherwise(month)
+    return _orders_with_month(spark, sf_dir).where(month != "feb").withColumn("month", odd)
+
+
 def total_count(spark, sf_dir):
     return ops.total_count(read_table(spark, sf_dir, "lineitem"), "total_rows")
 
@@ -45,8 +53,11 @@ def preview(spark, sf_dir):
     """First 10 line items in a total order (order key and line number repeat
     in the fixture, so every column takes part in the order)."""
     li = read_table(spark, sf_dir, "lineitem")
+    # the tenth smallest order key, from one column; the range filter on it then
+    # skips all other row groups, and whole rows are ordered for a few keys only
+    keys = ops.preview(li.select("l_orderkey"), 10, ["l_orderkey"]).agg(F.max("l_orderkey")).first()[0]
     first = ["l_orderkey", "l_linenumber"]
-    return ops.preview(li, 10, first + [c for c in li.columns if c not in first])
+    return ops.preview(li.where(F.col("l_orderkey") <= F.lit(keys)), 10, first + [c for c in li.columns if c not in first])
 
 
 def count_by(spark, sf_dir):
@@ -120,11 +131,12 @@ def busiest_month(spark, sf_dir):
 
 
 def monthly_trend(spark, sf_dir):
-    return ops.monthly_trend(_orders_with_month(spark, sf_dir), "month", "contact_volume")
+    trend = ops.monthly_trend(_odd_months(spark, sf_dir), "month", "contact_volume")
+    return trend.fillna(0, subset=["contact_volume"])  # February is absent
 
 
 def month_quarter(spark, sf_dir):
-    return ops.month_quarter(_orders_with_month(spark, sf_dir), "month")
+    return ops.month_quarter(_odd_months(spark, sf_dir), "month")
 
 
 def avg_by_quarter(spark, sf_dir):
@@ -138,8 +150,10 @@ def month_status_crosstab(spark, sf_dir):
 
 
 def pivot_counts(spark, sf_dir):
-    return ops.pivot_counts(read_table(spark, sf_dir, "lineitem"), "l_returnflag",
-                            "l_linestatus", ["F", "O"])
+    """Returned items have no open lines here, so that cell is empty."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return ops.pivot_counts(li.where((F.col("l_returnflag") != "R") | (F.col("l_linestatus") == "F")),
+                            "l_returnflag", "l_linestatus", ["F", "O"])
 
 
 def age_band5(spark, sf_dir):
@@ -155,8 +169,9 @@ def topk_band_avg(spark, sf_dir):
 
 
 def age_group(spark, sf_dir):
-    ev = read_table(spark, sf_dir, "events")
-    return ops.count_by(ev.withColumn("age_group", fn.age_group("user_id")),
+    ev = read_table(spark, sf_dir, "events")  # every 97th age is missing
+    age = F.when(F.col("event_id") % 97 != 0, F.col("user_id"))
+    return ops.count_by(ev.withColumn("age_group", fn.age_group(age)),
                         "age_group", "row_count")
 
 
@@ -186,7 +201,10 @@ def describe_numeric(spark, sf_dir):
 
 
 def null_counts(spark, sf_dir):
-    return ops.null_counts(read_table(spark, sf_dir, "events"), only_positive=False)
+    """Events with gaps: no value for every 97th, no user for every 89th."""
+    ev, key = read_table(spark, sf_dir, "events"), F.col("event_id")
+    return ops.null_counts(ev.withColumns({"value": F.when(key % 97 != 0, F.col("value")),
+                                           "user_id": F.when(key % 89 != 0, F.col("user_id"))}), only_positive=False)
 
 
 def global_metrics(spark, sf_dir):
@@ -198,20 +216,53 @@ def global_metrics(spark, sf_dir):
 
 
 def winsorize_iqr(spark, sf_dir):
-    """Clip event values to IQR fences from exact quartiles (a few coarse
-    sketch passes, scale-safe); the API default is the reference's sketch
-    with rank error 0.01."""
+    """Clip event values to IQR fences from exact quartiles (a few binning
+    passes, scale-safe)."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "value")
     return ops.winsorize_iqr(ev, "value", "value_clipped", exact=True)
 
 
+def _rank_errors(df: DataFrame, keys: list[str], value: str, found: DataFrame, p: float, quantile: str) -> DataFrame:
+    """Per group: rows and whether the sketch's answer is within 0.01 of the
+    wanted rank (ranks of its ties included), counted in one pass."""
+    v, q = F.col(value), F.col(quantile)
+    joined = df.join(found, keys) if keys else df.crossJoin(F.broadcast(found))  # found: one row
+    out = joined.groupBy(*keys).agg(F.count(v).alias("n"), F.count_if(v < q).alias("below"), F.count_if(v <= q).alias("upto"))
+    near = (F.col("below") <= (p + 0.01) * F.col("n")) & (F.col("upto") >= (p - 0.01) * F.col("n"))
+    return out.select(*keys, F.col("n").alias("row_count"), near.alias("rank_error_ok"))
+
+
+def avg_median_sketch(spark, sf_dir):
+    """The default (sketch) median of a continuous column per group, checked
+    by its rank."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice", "l_quantity")
+    found = ops.avg_median_by_group(li, "l_returnflag", "l_quantity", "l_extendedprice", "avg_quantity", "median_price", scale=0)
+    return _rank_errors(li, ["l_returnflag"], "l_extendedprice", found.select("l_returnflag", "median_price"), 0.5, "median_price")
+
+
+def winsorize_sketch(spark, sf_dir):
+    """IQR fences and clipping from ``approxQuantile`` with rank error 0.01
+    (the default): the quartiles' ranks, and that nothing lies outside."""
+    ev = read_table(spark, sf_dir, "events").select("value")
+    q1, q3, low, high = ops.iqr_fences(ev, "value", rel_error=0.01).first()
+    clipped = ops.winsorize_iqr(ev, "value", "clipped", rel_error=0.01)
+    v, n = F.col("value"), F.col("row_count")
+    out = clipped.agg(
+        F.count(v).alias("row_count"), *[F.count_if(v < q).alias(f"b{i}") for i, q in enumerate((q1, q3))],
+        *[F.count_if(v <= q).alias(f"u{i}") for i, q in enumerate((q1, q3))],
+        F.count_if((F.col("clipped") < low) | (F.col("clipped") > high)).alias("outside"))
+    ok = F.lit(True)
+    for i, p in enumerate((0.25, 0.75)):  # 0.02: the sketch's error on either side of a tie
+        ok = ok & (F.col(f"b{i}") <= (p + 0.02) * n) & (F.col(f"u{i}") >= (p - 0.02) * n)
+    return out.select("row_count", ok.alias("rank_error_ok"), "outside")
+
+
 QUANTILE_PROBS = [0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
 
 
 def exact_quantiles(spark, sf_dir):
-    """Exact quantiles of every line item's extended price (more values than
-    are ever sorted in one place, so the bracketing passes run), one row
-    per probability."""
+    """Exact quantiles of every line item's extended price, one row per
+    probability."""
     li = read_table(spark, sf_dir, "lineitem")
     values = ops.exact_quantiles(li, "l_extendedprice", QUANTILE_PROBS)
     return spark.createDataFrame([(float(p), v) for p, v in zip(QUANTILE_PROBS, values)],
@@ -219,12 +270,12 @@ def exact_quantiles(spark, sf_dir):
 
 
 def exact_median_by_group(spark, sf_dir):
-    """Exact median of a continuous column (extended price) per return flag:
-    groups hold tens of thousands of rows, so the per-group binning passes
-    run before the final ranking."""
+    """Exact median of a continuous column (extended price) per return flag;
+    every 97th order's lines have no flag and form a group of their own."""
     li = read_table(spark, sf_dir, "lineitem")
-    return ops.quantile_by_group_exact(li, ["l_returnflag"], "l_extendedprice", 0.5,
-                                       "median_extendedprice")
+    flag = F.when(F.col("l_orderkey") % 97 != 0, F.col("l_returnflag"))
+    return ops.quantile_by_group_exact(li.select(flag.alias("l_returnflag"), "l_extendedprice"), ["l_returnflag"],
+                                       "l_extendedprice", 0.5, "median_extendedprice")
 
 
 def replace_sentinel(spark, sf_dir):
@@ -262,12 +313,24 @@ def sql_view_agg(spark, sf_dir):
 
 
 def partition_stats(spark, sf_dir):
-    return ops.partition_stats(read_table(spark, sf_dir, "lineitem"), 8, "l_returnflag")
+    """Facts of a real hash repartition into 8 that hold for any hash: its
+    partitions, its rows, and keys that lie in more than one partition."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_returnflag")
+    stats = ops.partition_stats(li, 8, "l_returnflag")
+    spread = ops.partition_keys(li, 8, "l_returnflag")
+    return stats.agg(F.count(F.lit(1)).alias("partitions"), F.sum("row_count").alias("row_count")).withColumn(
+        "split_keys", spread.agg(F.count_if(F.col("n_partitions") > 1)).scalar())
 
 
 def with_event_time(spark, sf_dir):
-    ev = read_table(spark, sf_dir, "events")
-    return ev.select("event_id", fn.with_event_time("ts", ntz=True).alias("event_time"))
+    """Events whose timestamp is missing for every 50th: given ones pass
+    through, missing ones get the processing time."""
+    ev, key = read_table(spark, sf_dir, "events"), F.col("event_id")
+    gaps = ev.select("event_id", F.when(key % 50 != 0, F.col("ts")).alias("ts"))
+    timed = gaps.select("event_id", "ts", fn.with_event_time("ts", ntz=True).alias("event_time"))
+    return timed.select("event_id", F.col("event_time").eqNullSafe(F.col("ts")).alias("kept"),
+                        (F.col("ts").isNull() & (F.abs(F.timestamp_diff("SECOND", F.localtimestamp(), F.col("event_time"))) <= 3600)
+                         ).alias("is_processing_time"))
 
 
 QUERIES = {
@@ -301,6 +364,8 @@ QUERIES = {
     "null_counts": null_counts,
     "global_metrics": global_metrics,
     "winsorize_iqr": winsorize_iqr,
+    "winsorize_sketch": winsorize_sketch,
+    "avg_median_sketch": avg_median_sketch,
     "exact_quantiles": exact_quantiles,
     "exact_median_by_group": exact_median_by_group,
     "replace_sentinel": replace_sentinel,

@@ -1,25 +1,28 @@
 """Source/sink round trips over whole fixture tables.
 
-Each plan writes a table through one of the library's sinks into a fresh
-folder under the shared checkpoint folder, reads it back through the
+Each plan writes a table through one of the library's sinks into one named
+folder of the application under the shared checkpoint folder (replaced by the
+next call, so calls leave no copies behind), reads it back through the
 matching source, and returns what came back (plus, for the raw-text path, an
 analysis over the cleaned rows).
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientlens import operators as ops
-from clientlens.session import ensure_checkpoint_dir, scratch_path
+from clientlens.session import app_id, scratch_path
 from clientlens.sources import (
     clean_rows, ingest_table, load_clients, metric_rows, read_raw_rows, read_table,
     write_chunks, write_tsv,
 )
 
+def plan_path(spark, *parts: str) -> str:
+    return scratch_path(spark, "plans", app_id(spark), *parts, unique=False)
+
+
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 
 
@@ -27,36 +30,40 @@ def write_chunks_plan(spark, sf_dir):
     """Orders written as CSV files of at most 1,000 rows stamped with the
     write time, read back with a fixed schema (the stream feeder's files)."""
     od = read_table(spark, sf_dir, "orders").select(*ORDER_COLS, "o_orderdate")
-    path = scratch_path(spark, "chunks", "orders")
-    write_chunks(od, path, 1000, "event_time")
+    path = plan_path(spark, "chunks", "orders")
+    write_chunks(od, path, 1000, "event_time", mode="overwrite")
     schema = T.StructType(od.schema.fields + [T.StructField("event_time", T.TimestampType())])
     back = load_clients(spark, path, schema)
     return back.where(F.col("event_time").isNotNull()).select(*ORDER_COLS, "o_orderdate")
 
 
 def clean_rows_plan(spark, sf_dir):
-    """Orders as raw delimited text (every field a string) -> drop short
-    rows, trim, parse the price per metric -> mean price and count per
-    priority (the map/reduce job shape)."""
-    od = read_table(spark, sf_dir, "orders").select(*ORDER_COLS)
-    path = scratch_path(spark, "raw", "orders")
-    od.write.option("header", True).csv(path)
+    """Orders as raw delimited text with faults: every 89th line is cut
+    short, every 97th price is 'abc', every field is padded with spaces.
+    Short rows are dropped, fields trimmed, prices that do not parse left out
+    -> mean price and count per priority (the map/reduce job shape)."""
+    od, key = read_table(spark, sf_dir, "orders").select(*ORDER_COLS), F.col("o_orderkey")
+    price = F.when(key % 97 == 0, "abc").otherwise(F.col("o_totalprice").cast("string"))
+    fields = [price if c == "o_totalprice" else F.col(c).cast("string") for c in ORDER_COLS]
+    padded = [F.concat(F.lit(" "), f, F.lit("  ")) for f in fields]
+    line = F.when(key % 89 == 0, F.concat_ws(",", *padded[:3])).otherwise(F.concat_ws(",", *padded))
+    path = plan_path(spark, "raw", "orders")
+    od.select(line).write.mode("overwrite").text(path)
     text = T.StructType([T.StructField(c, T.StringType()) for c in ORDER_COLS])
-    clean = clean_rows(read_raw_rows(spark, path, schema=text))
+    clean = clean_rows(read_raw_rows(spark, path, schema=text, header=False))
     rows = metric_rows(clean, ["o_totalprice"], keep=["o_orderpriority"])
     return ops.avg_by_group(rows, "o_orderpriority", "o_totalprice", "avg_totalprice", "row_count",
                             scale=2)
 
 
 def ingest_table_plan(spark, sf_dir):
-    """Append the orders into a catalog table of a database (created if
-    missing, stored under the shared folder) and read the table back."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS clientlens LOCATION '{root}/clientlens/warehouse'")
-    table = f"orders_{uuid.uuid4().hex[:12]}"
+    """Load the orders into a catalog table of a database (created if
+    missing, stored under the shared folder) and read the table back. One
+    table of the application, replaced by each call."""
+    root = plan_path(spark, "warehouse")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS clientlens LOCATION '{root}'")
     od = read_table(spark, sf_dir, "orders").select(*ORDER_COLS)
-    return ingest_table(od, table, "clientlens", "append",
-                        path=f"{root}/clientlens/warehouse/{table}")
+    return ingest_table(od, "orders_ingest", "clientlens", "overwrite", path=f"{root}/orders_ingest")
 
 
 def write_tsv_plan(spark, sf_dir):
@@ -64,8 +71,8 @@ def write_tsv_plan(spark, sf_dir):
     tab-separated lines and read back."""
     agg = ops.avg_by_group(read_table(spark, sf_dir, "customer"), "c_mktsegment", "c_acctbal",
                            "avg_acctbal", "client_count", scale=2)
-    path = scratch_path(spark, "tsv", "segments")
-    write_tsv(agg, path)
+    path = plan_path(spark, "tsv", "segments")
+    write_tsv(agg, path, mode="overwrite")
     return spark.read.schema(agg.schema).option("sep", "\t").csv(path)
 
 
@@ -73,8 +80,8 @@ def load_clients_plan(spark, sf_dir):
     """Customers written as headed CSV, read back with an explicit schema
     (no inference pass over the data)."""
     cu = read_table(spark, sf_dir, "customer")
-    path = scratch_path(spark, "csv", "customer")
-    cu.write.option("header", True).csv(path)
+    path = plan_path(spark, "csv", "customer")
+    cu.write.mode("overwrite").option("header", True).csv(path)
     return load_clients(spark, path, cu.schema)
 
 

@@ -9,17 +9,23 @@ from __future__ import annotations
 # 5-year and 10-year band widths.
 _MONTH = "lower(strftime(o_orderdate, '%b'))"
 
+def _rounded(num: str, den: str, digits: int) -> str:
+    """num / den (whole numbers) rounded half away from zero to ``digits``
+    decimals, by HUGEINT arithmetic."""
+    n, d = f"CAST({num} AS HUGEINT)", f"CAST(NULLIF({den}, 0) AS HUGEINT)"
+    return (f"CASE WHEN {num} < 0 THEN -1 ELSE 1 END"
+            f" * CAST((2 * abs({n}) * {10 ** digits} + {d}) // (2 * {d}) AS DOUBLE) / {10 ** digits}")
+
+
 def _fpm(col: str, digits: int = 2, scale: int = 2) -> str:
-    """Mean summed exactly in integer units, rounded half away from zero."""
-    return (f"ROUND(CAST(SUM(CAST(ROUND({col} * CAST({10 ** scale} AS DOUBLE)) AS BIGINT))"
-            f" AS DOUBLE) * CAST({10 ** (digits - scale)} AS DOUBLE)"
-            f" / CAST(COUNT({col}) AS DOUBLE)) / CAST({10 ** digits} AS DOUBLE)")
+    """Exact decimal mean, rounded half away from zero."""
+    total = f"(SUM(CAST({col} AS DECIMAL(18,{scale}))) * {10 ** scale})"
+    return _rounded(total, f"(COUNT({col}) * {10 ** scale})", digits)
 
 
 def _pct(hits: str, total: str = "count(*)", digits: int = 2) -> str:
-    """Percentage rounded half away from zero, computed in 10^-digits units."""
-    return (f"ROUND(CAST({hits} AS DOUBLE) * CAST({10 ** (digits + 2)} AS DOUBLE)"
-            f" / CAST({total} AS DOUBLE)) / CAST({10 ** digits} AS DOUBLE)")
+    """Percentage of two counts, rounded half away from zero."""
+    return _rounded(f"(({hits}) * 100)", total, digits)
 
 
 _RATE_F = _pct("count(*) FILTER (WHERE o_orderstatus = 'F')")
@@ -40,6 +46,10 @@ _MONTHS_VALUES = ("(VALUES ('jan', 1), ('feb', 2), ('mar', 3), ('apr', 4), ('may
                   " ('nov', 11), ('dec', 12)) AS m(month, month_num)")
 
 
+_ODD_MONTHS = (f"SELECT CASE WHEN o_orderkey % 89 = 0 THEN 'zzz' WHEN o_orderkey % 97 = 0 THEN NULL ELSE {_MONTH} END AS month"
+               f" FROM orders WHERE {_MONTH} <> 'feb'")
+
+
 def _describe(col: str, scale: int) -> str:
     return (f"SELECT '{col}' AS column_name, count({col}) AS count,"
             f" {_fpm(col, 4, scale)} AS mean, ROUND(stddev_samp({col}), 4) AS stddev,"
@@ -55,6 +65,12 @@ def _nulls(cols: list[str], table: str) -> str:
 
 BATCH_SQL = {
     "total_count": "SELECT count(*) AS total_rows FROM lineitem",
+    "partition_stats": """
+        SELECT CAST(8 AS BIGINT) AS partitions, count(*) AS row_count, CAST(0 AS BIGINT) AS split_keys FROM lineitem""",
+    "avg_median_sketch": """
+        SELECT l_returnflag, count(l_extendedprice) AS row_count, true AS rank_error_ok FROM lineitem GROUP BY 1""",
+    "winsorize_sketch": """
+        SELECT count(value) AS row_count, true AS rank_error_ok, CAST(0 AS BIGINT) AS outside FROM events""",
     "preview": """
         SELECT * FROM lineitem
         ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
@@ -108,14 +124,14 @@ BATCH_SQL = {
         FROM (SELECT {_MONTH} AS month, o_orderstatus FROM orders)
         GROUP BY month ORDER BY total_contacts DESC, month LIMIT 1""",
     "monthly_trend": f"""
-        SELECT m.month, m.month_num, c.contact_volume
+        SELECT m.month, m.month_num, coalesce(c.contact_volume, 0) AS contact_volume
         FROM {_MONTHS_VALUES}
-        LEFT JOIN (SELECT {_MONTH} AS month, count(*) AS contact_volume
-                   FROM orders GROUP BY 1) c ON c.month = m.month
+        LEFT JOIN (SELECT month, count(*) AS contact_volume
+                   FROM ({_ODD_MONTHS}) GROUP BY 1) c ON c.month = m.month
         ORDER BY m.month_num""",
     "month_quarter": f"""
         SELECT DISTINCT month, {_QUARTER} AS quarter
-        FROM (SELECT {_MONTH} AS month FROM orders) ORDER BY month""",
+        FROM ({_ODD_MONTHS}) ORDER BY month""",
     "avg_by_quarter": f"""
         SELECT {_QUARTER} AS quarter, {_fpm('o_totalprice')} AS avg_totalprice
         FROM (SELECT {_MONTH} AS month, o_totalprice FROM orders)
@@ -130,7 +146,8 @@ BATCH_SQL = {
         SELECT l_returnflag,
                count(*) FILTER (WHERE l_linestatus = 'F') AS "F",
                count(*) FILTER (WHERE l_linestatus = 'O') AS "O"
-        FROM lineitem GROUP BY l_returnflag ORDER BY l_returnflag""",
+        FROM lineitem WHERE l_returnflag <> 'R' OR l_linestatus = 'F'
+        GROUP BY l_returnflag ORDER BY l_returnflag""",
     "age_band5": f"""
         SELECT {_BAND5} AS band, count(*) AS row_count FROM lineitem
         GROUP BY 1 ORDER BY 1""",
@@ -140,8 +157,8 @@ BATCH_SQL = {
         FROM lineitem WHERE l_returnflag = 'R'
         GROUP BY 1 ORDER BY avg_extendedprice DESC, band LIMIT 5""",
     "age_group": f"""
-        SELECT {_AGE_GROUP.format(c='user_id')} AS age_group, count(*) AS row_count
-        FROM events GROUP BY 1""",
+        SELECT {_AGE_GROUP.format(c='age')} AS age_group, count(*) AS row_count
+        FROM (SELECT CASE WHEN event_id % 97 <> 0 THEN user_id END AS age FROM events) GROUP BY 1""",
     "band_stats": f"""
         SELECT CAST(CAST(floor(user_id / 10) * 10 AS BIGINT) AS VARCHAR) || 's' AS band,
                {_fpm('value')} AS avg_value, count(*) AS row_count,
@@ -157,7 +174,9 @@ BATCH_SQL = {
     "describe_numeric": " UNION ALL ".join(
         _describe(c, sc) for c, sc in
         [("l_quantity", 0), ("l_extendedprice", 2), ("l_discount", 2), ("l_tax", 2)]),
-    "null_counts": _nulls(["event_id", "ts", "user_id", "event_type", "value", "props"], "events"),
+    "null_counts": _nulls(["event_id", "ts", "user_id", "event_type", "value", "props"],
+                          "(SELECT event_id, ts, CASE WHEN event_id % 89 <> 0 THEN user_id END AS user_id, event_type,"
+                          " CASE WHEN event_id % 97 <> 0 THEN value END AS value, props FROM events)"),
     "global_metrics": f"""
         SELECT {_fpm('o_totalprice')} AS avg_totalprice,
                {_RATE_F} AS finished_pct,
@@ -176,8 +195,9 @@ BATCH_SQL = {
         f"SELECT CAST({p} AS DOUBLE) AS p, quantile_disc(l_extendedprice, {p}) AS value"
         " FROM lineitem" for p in [0.1, 0.25, 0.5, 0.75, 0.9, 0.99]),
     "exact_median_by_group": """
-        SELECT l_returnflag, quantile_disc(l_extendedprice, 0.5) AS median_extendedprice
-        FROM lineitem GROUP BY l_returnflag""",
+        SELECT CASE WHEN l_orderkey % 97 <> 0 THEN l_returnflag END AS l_returnflag,
+               quantile_disc(l_extendedprice, 0.5) AS median_extendedprice
+        FROM lineitem GROUP BY 1""",
     "replace_sentinel": """
         SELECT o_orderkey, CAST(CASE WHEN g = -1 THEN 0 ELSE g END AS INTEGER) AS contact_gap
         FROM (SELECT o_orderkey,
@@ -196,22 +216,25 @@ BATCH_SQL = {
         SELECT {_AGE_GROUP.format(c='l_quantity')} AS age_group, count(*) AS row_count,
                ROUND(avg(l_extendedprice), 2) AS avg_extendedprice
         FROM lineitem GROUP BY 1 ORDER BY 1""",
-    "with_event_time": "SELECT event_id, COALESCE(ts, CAST(now() AS TIMESTAMP)) AS event_time FROM events",
+    "with_event_time": """
+        SELECT event_id, event_id % 50 <> 0 AS kept, event_id % 50 = 0 AS is_processing_time FROM events""",
 }
 
 
-def _sliding(window_s: int, slide_s: int, keys: str = "") -> str:
+def _sliding(window_s: int, slide_s: int, keys: str = "", events: str = "events", rows: str = "true") -> str:
+    """Sliding windows over a relation with ``ts``; ``rows`` filters the
+    (event, window) pairs."""
     n = window_s // slide_s
     key_sel = f"{keys}, " if keys else ""
     return f"""
         WITH w AS (
             SELECT time_bucket(INTERVAL {slide_s} SECOND, ts, TIMESTAMP '1970-01-01')
                      - k * INTERVAL {slide_s} SECOND AS window_start,
-                   {key_sel}value
-            FROM events, range({n}) AS r(k))
+                   {key_sel}value, second, watermark
+            FROM {events if events != 'events' else '(SELECT *, false AS second, NULL AS watermark FROM events)'}, range({n}) AS r(k))
         SELECT window_start, window_start + INTERVAL {window_s} SECOND AS window_end,
                {key_sel}count(*) AS event_count, {_fpm('value', 4, 2)} AS avg_value
-        FROM w GROUP BY window_start, {key_sel.rstrip(', ') + ', ' if keys else ''}2"""
+        FROM w WHERE {rows.format(end=f"window_start + INTERVAL {window_s} SECOND")} GROUP BY window_start, {key_sel.rstrip(', ') + ', ' if keys else ''}2"""
 
 
 STREAM_SQL = {
@@ -220,7 +243,13 @@ STREAM_SQL = {
         SELECT event_type, {_fpm('value')} AS avg_value, count(*) AS event_count
         FROM events GROUP BY event_type""",
     "stream_sliding": _sliding(60, 10),
-    "stream_watermark": _sliding(60, 30, "event_type"),
+    "stream_watermark": _sliding(60, 30, "event_type", """(
+        SELECT e.*, ts < third AND event_id % 20 = 0 AS second,
+               max(ts) FILTER (WHERE ts < third AND event_id % 20 <> 0) OVER () - INTERVAL 30 SECOND AS watermark
+        FROM events e, (SELECT min(ts) + (max(ts) - min(ts)) / 3 AS third FROM events))""",
+                                 "NOT second OR {end} > watermark"),
+    "stream_missing_time": """
+        SELECT event_id % 50 = 0 AS is_now, count(*) AS event_count FROM events GROUP BY 1""",
 }
 
 
@@ -230,7 +259,57 @@ _RULES = """
            l_discount AS score
     FROM lineitem"""
 
+_BUCKET = "CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 100"
+_MODEL_CLIENTS = f"""
+    SELECT o_orderkey, o_orderpriority, {_MONTH} AS month,
+           CASE WHEN o_orderkey % 97 <> 0 THEN o_totalprice END AS price, year(o_orderdate) AS yr,
+           o_custkey % 10 AS gap, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label,
+           {_BUCKET} < 80 AS train FROM orders"""
+
+
+def _slots(column: str) -> str:
+    """Known values of a category with their place (most frequent first) and
+    the sample deviation of their 0/1 slot over the training rows."""
+    return (f"(SELECT {column} AS v, row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS place,"
+            f" sqrt((count(*) - count(*) * count(*) / any_value(total)) / (any_value(total) - 1)) AS dev"
+            f" FROM c, (SELECT count(*) AS total FROM c WHERE train) WHERE train GROUP BY {column})")
+
+
 MODEL_SQL = {
+    "hash_split": f"""
+        SELECT CASE WHEN {_BUCKET} < 80 THEN 'train' ELSE 'test' END AS part, count(*) AS row_count
+        FROM orders GROUP BY 1""",
+    "feature_vectors": f"""
+        WITH c AS ({_MODEL_CLIENTS}),
+             q AS (SELECT quantile_disc(price, 0.25) AS q1, quantile_disc(price, 0.5) AS q2,
+                          quantile_disc(price, 0.75) AS q3 FROM c WHERE train),
+             n AS (SELECT c.*, least(greatest(coalesce(price, q2), q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1)) AS x
+                   FROM c, q),
+             d AS (SELECT stddev_samp(x) AS dx, stddev_samp(yr) AS dy, stddev_samp(gap) AS dg FROM n WHERE train),
+             p AS {_slots('o_orderpriority')},
+             m AS {_slots('month')},
+             pl AS (SELECT list(place ORDER BY place) AS places FROM p),
+             ml AS (SELECT list(place ORDER BY place) AS places FROM m)
+        SELECT o_orderkey, CAST(label AS INTEGER) AS label,
+               array_to_string(list_concat(
+                   list_transform(pl.places, lambda i: CASE WHEN i = p.place AND p.dev > 0 THEN CAST(round(1e6 / p.dev) AS BIGINT) ELSE 0 END),
+                   list_transform(ml.places, lambda i: CASE WHEN i = m.place AND m.dev > 0 THEN CAST(round(1e6 / m.dev) AS BIGINT) ELSE 0 END),
+                   [CAST(round(x / dx * 1e6) AS BIGINT), CAST(round(yr / dy * 1e6) AS BIGINT), CAST(round(gap / dg * 1e6) AS BIGINT)]), ',') AS features
+        FROM n LEFT JOIN p ON n.o_orderpriority = p.v LEFT JOIN m ON n.month = m.v, d, pl, ml""",
+    "score_clients": """
+        SELECT o_orderpriority, count(*) AS n_scored, count(DISTINCT o_orderkey) AS n_keys,
+               CAST(0 AS BIGINT) AS n_invalid FROM orders GROUP BY 1""",
+    "stream_score": """
+        SELECT count(*) AS n_streamed, count(*) AS n_batch, count(DISTINCT o_orderkey) AS n_keys,
+               CAST(0 AS BIGINT) AS n_different FROM orders""",
+    "tune_rf": """
+        SELECT CAST(t AS INTEGER) AS num_trees, CAST(d AS INTEGER) AS max_depth, true AS auc_in_range, true AS best_is_tested
+        FROM (VALUES (50), (100)) AS a(t), (VALUES (4), (6)) AS b(d)""",
+    "feature_importance": f"""
+        WITH c AS ({_MODEL_CLIENTS})
+        SELECT unnest(['o_orderpriority', 'month', 'o_totalprice', 'order_year', 'contact_gap']) AS feature,
+               unnest([count(DISTINCT o_orderpriority), count(DISTINCT month), 1, 1, 1]) AS n_slots,
+               true AS in_range, CAST(1 AS DOUBLE) AS total FROM c WHERE train""",
     "string_index": """
         WITH c AS (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1),
              r AS (SELECT o_orderpriority,
@@ -288,7 +367,8 @@ IO_SQL = {
     "clean_rows": f"""
         SELECT o_orderpriority, {_fpm('o_totalprice')} AS avg_totalprice,
                count(*) AS row_count
-        FROM orders WHERE o_totalprice IS NOT NULL GROUP BY o_orderpriority""",
+        FROM orders WHERE o_totalprice IS NOT NULL AND o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0
+        GROUP BY o_orderpriority""",
     "ingest_table": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
     "write_tsv": f"""

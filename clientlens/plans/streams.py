@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from clientlens import streaming as st
 from clientlens.functions.columns import fixed_point_mean
+from clientlens.session import app_id, scratch_path
 from clientlens.sources import read_table
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/events*.parquet"  # every events file in the folder
     schema = read_table(spark, sf_dir, "events").schema  # footer only, no data scan
-    return st.stream_source(spark, path, schema, "parquet", max_files_per_trigger=1)
+    return st.stream_source(spark, path, schema, "parquet")
 
 
 def _as_ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -45,17 +46,45 @@ def stream_sliding(spark, sf_dir):
     return _as_ntz(out, "window_start", "window_end")
 
 
+def _late_files(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Events in three files that arrive one after the other, a third of the
+    time range each; every 20th event of the first third comes with the last
+    file, far behind the watermark (which late rows are held against one
+    batch after it was reached)."""
+    ev = read_table(spark, sf_dir, "events")
+    low, high = ev.agg(F.min("ts"), F.max("ts")).first()
+    third = F.when(F.col("ts") < F.lit(low + (high - low) / 3), 1).when(F.col("ts") < F.lit(low + (high - low) * 2 / 3), 2).otherwise(3)
+    file = F.when((third == 1) & (F.col("event_id") % 20 == 0), 3).otherwise(third)
+    path = scratch_path(spark, "plans", app_id(spark), name, unique=False)
+    for k in (1, 2, 3):
+        ev.where(file == k).coalesce(1).write.mode("overwrite" if k == 1 else "append").parquet(path)
+    return st.stream_source(spark, path, ev.schema, "parquet", max_files_per_trigger=1)
+
+
 def stream_watermark(spark, sf_dir):
-    ev = st.event_time(_events_stream(spark, sf_dir), "ts")
+    """Watermarked windows over three micro-batches; windows that have ended
+    when the last one comes drop its late rows."""
+    ev = st.event_time(_late_files(spark, sf_dir, "late_events"), "ts")
     agg = st.stream_watermark(ev, "event_time", "event_type", "value", "1 minute",
                               "30 seconds", "30 seconds", digits=4, scale=2)
     out = st.run_available(agg, "stream_watermark", ["window_start", "event_type"], "update")
     return _as_ntz(out, "window_start", "window_end")
 
 
+def stream_missing_time(spark, sf_dir):
+    """Events that arrive without a timestamp (every 50th) get the processing
+    time: counted by whether their event time is the given one or now."""
+    ev = _events_stream(spark, sf_dir)
+    gaps = ev.withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
+    timed = st.event_time(gaps, "ts").withColumn(
+        "is_now", F.abs(F.timestamp_diff("SECOND", F.current_timestamp(), F.col("event_time"))) <= 3600)
+    agg = st.stream_group_agg(timed, "is_now", {"event_count": F.count(F.lit(1))})
+    return st.run_available(agg, "stream_missing_time", ["is_now"], "complete")
+
+
 def stream_source(spark, sf_dir):
-    """The events files read as a stream (one file per trigger) and passed
-    through to a file sink unchanged."""
+    """The events files read as a stream and passed through to a file sink
+    unchanged."""
     return st.run_append(_events_stream(spark, sf_dir), "stream_source")
 
 
@@ -64,4 +93,5 @@ QUERIES = {
     "stream_group_agg": stream_group_agg,
     "stream_sliding": stream_sliding,
     "stream_watermark": stream_watermark,
+    "stream_missing_time": stream_missing_time,
 }

@@ -30,8 +30,8 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back: later analyses read only
     the columns they need instead of re-parsing every byte of the text, and
     their lineage starts at the written table (a lost executor recomputes
-    from it, not from the text)."""
-    df.write.mode("overwrite").parquet(path)
+    from it, not from the text). A folder that is there already is an error."""
+    df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

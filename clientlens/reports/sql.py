@@ -1,7 +1,7 @@
-"""Run the SQL analyses (``client_analyses.sql``, or any file in the same
-layout) over a client-contact table registered as the view ``client_info``.
+"""Run a file of SQL analyses over a client-contact table registered as the
+view ``client_info``. (``reports.batch`` has the standard ones.)
 
-    python -m clientlens.reports.sql --input bank.csv --out report/ [--sql my.sql]
+    python -m clientlens.reports.sql --input bank.csv --out report/ --sql my.sql
 
 Statements are separated by ``-- name: <result>`` lines; each becomes one
 lazy DataFrame (Spark parses and plans the SQL text itself).
@@ -10,7 +10,6 @@ lazy DataFrame (Spark parses and plans the SQL text itself).
 from __future__ import annotations
 
 import argparse
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,6 @@ from clientlens.reports.common import (
 )
 from clientlens.sources import load_clients
 
-DEFAULT_SQL = os.path.join(os.path.dirname(os.path.abspath(__file__)), "client_analyses.sql")
 MARKER = "-- name:"
 
 
@@ -42,7 +40,7 @@ def named_statements(text: str) -> dict[str, str]:
     return out
 
 
-def sql_report(spark: SparkSession, clients: DataFrame, sql_path: str = DEFAULT_SQL,
+def sql_report(spark: SparkSession, clients: DataFrame, sql_path: str,
                view: str = "client_info") -> dict[str, DataFrame]:
     clients.createOrReplaceTempView(view)
     register_sql_functions(spark)
@@ -53,7 +51,7 @@ def sql_report(spark: SparkSession, clients: DataFrame, sql_path: str = DEFAULT_
 
 def main(argv: list[str] | None = None) -> None:
     parser = add_io_args(argparse.ArgumentParser(description=__doc__.splitlines()[0]))
-    parser.add_argument("--sql", default=DEFAULT_SQL, help="SQL file with -- name: sections")
+    parser.add_argument("--sql", required=True, help="SQL file with -- name: sections")
     args = parser.parse_args(argv)
     spark = session_from_args(args)
     clients = load_clients(spark, args.input)

@@ -4,6 +4,7 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -67,17 +68,19 @@ def cluster_conf(input_bytes: int, total_cores: int,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; only when the session has none
-    (local tests) is a scratch folder created and registered."""
+    """The shared checkpoint folder of the session. Only a local master
+    (tests, the bench) gets a scratch folder if none is set; on a cluster a
+    missing ``spark.checkpoint.dir`` is an error, since a folder of the
+    driver's disk is invisible to executors."""
     sc = _context(spark)
     root = sc.getCheckpointDir() if sc is not None else None
     if root:
         return root
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if sc is None or not re.match(r"local(\[[^,]*(,[^,]*)?\])?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="clientlens-ckpt-")
-        if sc is None:
-            spark.conf.set("spark.checkpoint.dir", conf)
     if sc is not None:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf

@@ -17,24 +17,11 @@ from clientlens.schema import client_schema, client_text_schema
 FIELD_COUNT_COL = "_n_fields"
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture table (``{sf_dir}/{name}.parquet``); column pruning and
-    filters reach the Parquet scan.
-
-    The first read of a path infers its schema (Spark runs a small job to
-    read the footer); later reads pass that schema explicitly and skip the
-    inference job.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    filters reach the Parquet scan. The schema is read from the file's footer
+    each time, so a table that was rewritten is read as it is now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load_clients(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -107,11 +94,11 @@ def register_csv_table(spark: SparkSession, table: str, path: str,
                        schema: T.StructType | None = None, header: bool = True,
                        sep: str = ",") -> DataFrame:
     """A catalog table over delimited text files with the header line
-    skipped (``CREATE TABLE ... USING csv``); the files stay where they are."""
+    skipped (``CREATE TABLE IF NOT EXISTS ... USING csv``); the files stay
+    where they are, and so does a table that has the name already."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                      for f in (schema or client_schema()).fields)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({cols}) USING csv "
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING csv "
               f"OPTIONS (path '{path}', header '{str(header).lower()}', sep '{sep}')")
     return spark.table(table)
 
@@ -137,15 +124,16 @@ def ingest_table(df: DataFrame, table: str, database: str | None = None,
 
 
 def write_chunks(df: DataFrame, path: str, rows_per_file: int,
-                 stamp_col: str | None = "event_time", fmt: str = "csv") -> None:
+                 stamp_col: str | None = "event_time", fmt: str = "csv",
+                 mode: str = "errorifexists") -> None:
     """Write ``df`` as files of at most ``rows_per_file`` rows, stamped with
     the write time (the stream feeder's chunk files; the last file keeps the
     remainder, no row is dropped)."""
     out = df.withColumn(stamp_col, F.current_timestamp()) if stamp_col else df
-    (out.write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file)
+    (out.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
      .option("header", True).format(fmt).save(path))
 
 
-def write_tsv(df: DataFrame, path: str, header: bool = False) -> None:
+def write_tsv(df: DataFrame, path: str, header: bool = False, mode: str = "errorifexists") -> None:
     """Tab-separated text output (the reducers' ``key\\tvalue`` lines)."""
-    df.write.mode("errorifexists").option("sep", "\t").option("header", header).csv(path)
+    df.write.mode(mode).option("sep", "\t").option("header", header).csv(path)

@@ -1,5 +1,5 @@
 from clientlens.streaming.streams import (  # noqa: F401
-    compact_versions, event_time, latest_versions, nonempty_batches, run_append, run_available, start_stream,
+    FILES_PER_TRIGGER, compact_versions, event_time, latest_versions, nonempty_batches, run_append, run_available, start_stream,
     stream_group_agg, stream_sliding, stream_source, stream_watermark,
     versioned_batch_writer, windowed_agg,
 )

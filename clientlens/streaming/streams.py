@@ -24,10 +24,13 @@ from clientlens.functions.columns import fixed_point_mean
 from clientlens.session import scratch_path
 
 BATCH_COL = "batch_id"
+#: Files of a micro-batch unless the caller says otherwise. With files of
+#: about 1 GB, 100 TB then take about 1,000 micro-batches.
+FILES_PER_TRIGGER = 100
 
 
 def stream_source(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                  max_files_per_trigger: int | None = 1, **options) -> DataFrame:
+                  max_files_per_trigger: int | None = FILES_PER_TRIGGER, **options) -> DataFrame:
     """Unbounded DataFrame over files arriving under ``path`` (fixed schema,
     ``max_files_per_trigger`` files per micro-batch)."""
     reader = spark.readStream.schema(schema).format(fmt)
@@ -163,8 +166,10 @@ def latest_versions(spark: SparkSession, path: str, keys: Sequence[str],
     log_schema = T.StructType(schema.fields + [T.StructField(BATCH_COL, T.IntegerType())])
     try:
         log = spark.read.schema(log_schema).format("parquet").load(path)
-    except AnalysisException:  # no batch written yet: the folder does not exist
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # no batch written yet
     # max_by is a hash aggregate with a partial step: no sort, and a key's
     # versions are reduced before the shuffle
     values = [c for c in schema.fieldNames() if c not in keys]
@@ -185,17 +190,39 @@ def compact_versions(spark: SparkSession, path: str, keys: Sequence[str],
     return spark.read.parquet(out)
 
 
+def _finish(q: StreamingQuery, name: str, timeout_s: float | None) -> None:
+    """Wait for the query; a timeout stops it and is an error, so a half
+    written output is never returned."""
+    ended = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
+    if timeout_s is not None and not ended:
+        q.stop()
+        raise TimeoutError(f"stream {name} did not finish within {timeout_s} s")
+    if q.exception() is not None:
+        raise RuntimeError(f"stream {name} failed: {q.exception()}")
+
+
 def run_available(df: DataFrame, name: str, keys: Sequence[str],
                   output_mode: str = "update", timeout_s: float | None = None) -> DataFrame:
     """Run a streaming aggregate over all input available now, through the
-    versioned sink, and return the final value per key as a batch frame."""
+    versioned sink, and return the final value per key as a batch frame.
+    In complete mode the last batch is the whole result, so only its folder
+    is read."""
     spark = df.sparkSession
     out = scratch_path(spark, "streams", name)
-    q = start_stream(df, name, output_mode, versioned_batch_writer(out),
+    written: list[int] = []
+    write = versioned_batch_writer(out)
+
+    def tracked(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        written.append(batch_id)
+
+    q = start_stream(df, name, output_mode, tracked,
                      checkpoint=f"{out}-checkpoint", trigger={"availableNow": True})
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise RuntimeError(f"stream {name} failed: {q.exception()}")
+    _finish(q, name, timeout_s)
+    if output_mode == "complete":
+        if not written:
+            return spark.createDataFrame([], df.schema)
+        return spark.read.schema(df.schema).parquet(f"{out}/{BATCH_COL}={max(written)}")
     return latest_versions(spark, out, keys, df.schema)
 
 
@@ -207,7 +234,5 @@ def run_append(df: DataFrame, name: str, fmt: str = "parquet",
     out = scratch_path(spark, "streams", name)
     q = start_stream(df, name, "append", fmt, path=out, checkpoint=f"{out}-checkpoint",
                      trigger={"availableNow": True})
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise RuntimeError(f"stream {name} failed: {q.exception()}")
+    _finish(q, name, timeout_s)
     return spark.read.schema(df.schema).format(fmt).load(out)

@@ -48,7 +48,7 @@ def test_model_and_stream_reports(spark, client_csv, tmp_dir):
     model.write().save(model_dir)
     incoming = os.path.join(tmp_dir, "incoming")
     spark.read.schema(client_schema()).option("header", True).csv(client_csv) \
-        .limit(120).coalesce(1).write.csv(incoming)  # a chunk file without header
+        .limit(120).coalesce(1).write.option("header", True).csv(incoming)
     stream_out = os.path.join(tmp_dir, "stream-out")
     streams.main(["--input-dir", incoming, "--out", stream_out, "--model", model_dir,
                   "--available-now"])
@@ -74,21 +74,21 @@ def test_batch_report_staged_equals_direct(spark, client_csv, tmp_dir):
     assert "FileScan parquet" in plan and "education" in plan
 
 
-def test_sql_report_matches_dataframe_analyses(spark, client_csv):
+def test_sql_report_runs_a_file(spark, client_csv, tmp_dir):
     from clientlens.reports import sql as sql_report
     from clientlens.sources import load_clients
+    path = os.path.join(tmp_dir, "own.sql")
+    with open(path, "w") as f:
+        f.write("-- name: by_band\nSELECT age_band5(age) AS band, COUNT(*) AS n FROM client_info GROUP BY 1;\n"
+                "-- name: young\nSELECT COUNT(*) AS n FROM client_info WHERE age < 30;\n")
     df = load_clients(spark, client_csv)
-    res = sql_report.sql_report(spark, df)
-    assert len(res) == 13
-    dfa = batch.sql_analyses(df)
-    for name in ["top5_jobs_by_balance_with_rate", "busiest_month", "balance_spread_by_education",
-                 "subscription_by_previous_outcome", "defaults_by_education", "total_clients"]:
-        a = sorted(map(tuple, res[name].collect()))
-        b = sorted(map(tuple, dfa[name].collect()))
-        assert a == b, name
-    vol = [(r["month"], r["contact_volume"]) for r in res["monthly_contact_volume"].collect()]
-    assert vol == [(r["month"], r["contact_volume"])
-                   for r in dfa["monthly_contact_volume"].collect()]
+    res = sql_report.sql_report(spark, df, path)
+    ages = [_client(i)[0] for i in range(2000)]
+    assert {r["band"]: r["n"] for r in res["by_band"].collect()} == {
+        f"{a}-{a + 4}": sum(a <= x < a + 5 for x in ages) for a in {x // 5 * 5 for x in ages}}
+    assert res["young"].first()["n"] == sum(x < 30 for x in ages)
+    with pytest.raises(SystemExit):
+        sql_report.main(["--input", client_csv, "--out", tmp_dir])
 
 
 def test_named_statements_layout():
