@@ -5,7 +5,8 @@ U+0009 to U+000D) give shingles of five; fewer words are one shingle. Each of
 ``PERMUTATIONS`` universal hash permutations of the 32-bit shingle hashes,
 run over all shingles at once in numpy, leaves its least value. The share of
 equal values of two fingerprints estimates the Jaccard likeness of their
-shingle sets.
+shingle sets. ``near_duplicates`` joins documents on bands of their
+signatures and verifies the pairs by the true Jaccard of their shingles.
 """
 
 from __future__ import annotations
@@ -151,3 +152,63 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return dealt.select("at", "id", "ghost", "text").mapInArrow(
         _neighbours, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                      "edited_fingerprint string, near_edited double, near_next double")
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) -> (id, tid, bands): a hash of the shingle sequence, equal
+    for equal words, and the hashed bands of the signature."""
+    for batch in batches:
+        for part, texts in pieces(batch, 1):
+            tid, bands = [], []
+            for text in texts:
+                hashes = shingle_hashes(text)
+                tid.append(xxhash.xxh64_intdigest(hashes.tobytes()))
+                sign = signature(hashes).reshape(BANDS, -1)
+                bands.append(np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(sign)], np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array(tid, np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64()))],
+                                             names=["id", "tid", "bands"])
+
+
+def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, texts in pieces(batch, 1):
+            sets = [np.unique(shingle_hashes(t)).view(np.int64) for t in texts]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["tid", "shingles"])
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LIKENESS) -> tuple[DataFrame, DataFrame]:
+    """(links, classes): links (a, b, jaccard), a < b, between the texts' first
+    documents for every pair of different texts that shares a signature band
+    and has a Jaccard of ``least`` or more; classes (doc_id, first_id,
+    class_id, n_links) of every document: the first with its words, the least
+    id reachable through links, and the number of links of its text.
+
+    Copies are one text before anything is joined. The band join is an inner
+    equi-join whose skewed keys Spark can split; of the bands that a pair
+    shares only the first yields it. Null texts are empty, and all texts
+    without words are one text; null ids are left out of the classes; no rows:
+    no rows.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+    signed = cut(rows.mapInArrow(_signed, "id long, tid long, bands array<long>"))
+    texts = signed.groupBy("tid").agg(F.min("id").alias("first"), F.min("bands").alias("bands"))
+    keyed = texts.select("first", "bands", F.posexplode("bands").alias("band", "key"))
+    left, right = keyed.alias("l"), keyed.alias("r")
+    earlier = F.exists(F.zip_with(F.slice("l.bands", F.lit(1), F.col("l.band")), F.slice("r.bands", F.lit(1), F.col("r.band")),
+                                  lambda x, y: x == y), lambda x: x)
+    pairs = (left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.key") == F.col("r.key")) & (F.col("l.first") < F.col("r.first")))
+             .where(~earlier).select(F.col("l.first").alias("a"), F.col("r.first").alias("b")))
+    pairs = cut(pairs)
+    some = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
+    firsts = rows.join(some, F.col("id") == F.col("k"), "left_semi").dropDuplicates(["id"])
+    sets = firsts.mapInArrow(_shingle_sets, "tid long, shingles array<long>").withColumnRenamed("tid", "k")
+    both = (pairs.join(sets.select(F.col("k").alias("a"), F.col("shingles").alias("s")), "a")
+            .join(sets.select(F.col("k").alias("b"), F.col("shingles").alias("t")), "b"))
+    same = F.size(F.array_intersect("s", "t"))
+    links = cut(both.select("a", "b", (same / (F.size("s") + F.size("t") - same)).alias("jaccard")).where(F.col("jaccard") >= least))
+    roots = connected_components(links).select(F.col("node").alias("first"), "root")
+    degree = (links.select(F.explode(F.array("a", "b")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links")))
+    classes = (signed.select("id", "tid").join(texts.select("tid", "first"), "tid").join(roots, "first", "left").join(degree, "first", "left")
+               .select(F.col("id").alias("doc_id"), F.col("first").alias("first_id"), F.coalesce("root", "first").alias("class_id"),
+                       F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return links, classes

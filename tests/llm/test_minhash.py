@@ -58,3 +58,36 @@ def test_likeness_estimates_jaccard():
         a, b = ({tuple(x[i:i + 5]) for i in range(396)} for x in (words, other))
         errors.append(minhash.likeness(*(minhash.fingerprint(" ".join(x).encode()) for x in (words, other))) - len(a & b) / len(a | b))
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.08
+
+
+def test_near_duplicates_match_all_pairs(spark):
+    r = random.Random(7)
+    rows = []
+    for i in range(40):
+        words = [f"v{r.randrange(5000)}" for _ in range(r.choice([3, 60, 200]))]
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(r.choice([0, 1, 4])):
+            other = list(words)
+            for _ in range(r.choice([0, 1, 2])):
+                other[r.randrange(len(other))] = "edit"
+            rows.append((len(rows), "\n".join(other).upper()))
+    rows += [(900, None), (901, ""), (902, "x " * 50000), (None, "lost"), (903, rows[0][1]), (903, rows[0][1])]
+    links, classes = minhash.near_duplicates(spark.createDataFrame([(d, t, 1, True, 2) for d, t in rows], SCHEMA))
+    first, sets = {}, {}
+    for d, t in rows:
+        if d is not None:
+            shingles = tuple(minhash.shingle_hashes((t or "").encode()).tolist())
+            first[shingles] = min(d, first.get(shingles, d))
+            sets[d] = shingles
+    want = {(a, b): len(set(x) & set(y)) / len(set(x) | set(y)) for x, a in first.items() for y, b in first.items() if a < b and set(x) | set(y)}
+    want = {k: v for k, v in want.items() if v >= 0.8}
+    assert {(x.a, x.b): round(x.jaccard, 9) for x in links.collect()} == {k: round(v, 9) for k, v in want.items()}
+    root = {a: a for a in first.values()}
+    for _ in root:
+        for a, b in want:
+            root[a] = root[b] = min(root[a], root[b])
+    got = classes.collect()
+    assert len(got) == sum(d is not None for d, _ in rows)
+    for x in got:
+        one = first[sets[x.doc_id]]
+        assert (x.first_id, x.class_id, x.n_links) == (one, root[one], sum(one in k for k in want))
