@@ -76,7 +76,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = sc.getCheckpointDir() if sc is not None else None
     if root:
         return root
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    conf = _conf(spark, "spark.checkpoint.dir")
     if not conf:
         if sc is None or not re.match(r"local(\[[^,]*(,[^,]*)?\])?$", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -87,6 +87,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf
 
 
+def _conf(spark: SparkSession, key: str) -> str | None:
+    return spark.conf.get(key, None)
+
+
 def _context(spark: SparkSession):
     """The SparkContext, or None for a session without one (Spark Connect)."""
     try:

@@ -124,3 +124,57 @@ def test_raw_rows_skip_any_header_per_file(spark, tmp_dir):
                 '5,may,120,1,-1,0,unknown,no\n')
     rows = clean_rows(read_raw_rows(spark, quoted)).collect()
     assert len(rows) == 1 and rows[0]["job"] == "admin., senior"
+
+
+def test_checkpoint_folder_is_required_off_local(spark, monkeypatch):
+    """No folder of the driver's own disk on a cluster."""
+    import pytest
+
+    from clientlens import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    monkeypatch.setattr(session, "_context", lambda s: Context())
+    monkeypatch.setattr(session, "_conf", lambda s, k: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(spark)
+
+
+def test_register_csv_table_keeps_an_existing_table(spark, tmp_dir):
+    spark.sql("CREATE TABLE IF NOT EXISTS clients_kept (x INT) USING parquet")
+    spark.sql("INSERT INTO clients_kept VALUES (7)")
+    register_csv_table(spark, "clients_kept", tmp_dir)
+    assert [r.x for r in spark.table("clients_kept").collect()] == [7]
+    spark.sql("DROP TABLE clients_kept")
+
+
+def test_stage_does_not_overwrite(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from clientlens.reports.common import stage
+    stage(spark.range(3), f"{tmp_dir}/s")
+    with pytest.raises(AnalysisException):
+        stage(spark.range(5), f"{tmp_dir}/s")
+
+
+def test_plans_leave_one_copy(spark):
+    """Plans that write replace their own folder instead of adding one."""
+    import os
+
+    from clientlens.plans import io
+    from clientlens.session import app_id, ensure_checkpoint_dir
+    for _ in range(2):
+        io.load_clients_plan(spark, "/root/testdata/sf0.001").collect()
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    assert len(os.listdir(f"{root}/clientlens/plans/{app_id(spark)}/csv")) == 1
+
+
+def test_overflowing_sums(spark):
+    from clientlens import functions as fn
+    df = spark.createDataFrame([(5e16,)] * 4, "v double")
+    assert df.agg(fn.fixed_point_mean("v", 2, 2)).first()[0] == 5e16

@@ -218,3 +218,14 @@ def test_console_sink_processing_time_trigger_and_stop(spark, tmp_dir):
     assert q.isActive and q.lastProgress["numInputRows"] >= 0
     q.stop()
     assert not q.isActive
+
+
+def test_timeout_is_an_error_and_stops_the_query(spark, tmp_dir):
+    import pytest
+    folder = os.path.join(tmp_dir, "slow")
+    _write_files(folder, [(f"2024-01-01 00:0{i}:00", "a", 1) for i in range(5)])
+    stream = st.stream_source(spark, folder, LATE_SCHEMA, "csv", max_files_per_trigger=1)
+    slow = st.stream_group_agg(stream, "job", {"n": F.count(F.lit(1))})
+    with pytest.raises(TimeoutError):
+        st.run_available(slow, "slow_stream", ["job"], "complete", timeout_s=0.01)
+    assert not [q for q in spark.streams.active if q.name == "slow_stream"]
