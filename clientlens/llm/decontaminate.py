@@ -98,13 +98,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         .where("item_id is not null").distinct(), slots=True)))
     literal = F.aggregate(F.slice("tokens", F.col("ipos") + 1, WINDOW), F.lit(0),
                           lambda n, t: n + F.when(F.lit(MARKS).contains(t), 0).otherwise(1))
-    wanted = cut(items.select("item_id", "vid", "tokens", F.posexplode("windows").alias("ipos", "window"))
+    wanted = cut(items.select("item_id", "vid", "tokens", F.posexplode_outer("windows").alias("ipos", "window"))
                  .where(literal >= LITERAL).select("item_id", "vid", "ipos", "window"))
     by_window = wanted.groupBy("window").agg(F.collect_list(F.struct("item_id", "vid", "ipos")).alias("of"))
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         by_window = F.broadcast(by_window)
+    # posexplode_outer: an inner one adds a filter on the array that the optimizer
+    # pushes below the steps, where it works all of them out again
     windows = _with_windows(_with_templates(_keyed(docs, id_col, text_col), slots=False)).select(
-        "did", "tid", F.posexplode("windows").alias("dpos", "window"))
+        "did", "tid", F.posexplode_outer("windows").alias("dpos", "window"))
     pairs = (windows.join(by_window, "window").select("did", "tid", "dpos", F.explode("of").alias("at"))
              .select("did", "tid", "at.item_id", "at.vid", "at.ipos", (F.col("dpos") - F.col("at.ipos")).alias("shift")).distinct())
     slots = items.select("item_id", "vid", F.explode("slots").alias("s"))
@@ -129,8 +131,8 @@ def _inconsistent(docs: DataFrame, pairs: DataFrame, slots: DataFrame, id_col: s
     some = wanted.select(F.col("did").alias("k"), F.col("tid").alias("t")).distinct()
     rows = _keyed(docs, id_col, text_col)
     rows = rows.join(some, rows["did"].eqNullSafe(some["k"]) & (rows["tid"] == some["t"]), "left_semi").dropDuplicates(["did", "tid"])
-    filled = (_with_templates(rows, slots=True).select(F.col("did").alias("k"), F.col("tid").alias("t"), F.explode("slots").alias("s"))
-              .select("k", "t", F.col("s.pos").alias("at"), F.col("s.value").alias("filled")))
+    filled = (_with_templates(rows, slots=True).select(F.col("did").alias("k"), F.col("tid").alias("t"), F.explode_outer("slots").alias("s"))
+              .where("s is not null").select("k", "t", F.col("s.pos").alias("at"), F.col("s.value").alias("filled")))
     both = wanted.join(filled, wanted["did"].eqNullSafe(filled["k"]) & (wanted["tid"] == filled["t"]) & (wanted["dpos"] == filled["at"]))
     counts = both.groupBy("did", "tid", "item_id", "vid", "shift").agg(
         F.countDistinct("kind", "value", "filled").alias("both"), F.countDistinct("kind", "value").alias("left"),
