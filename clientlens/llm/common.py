@@ -39,6 +39,11 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def as_text(values: list[bytes]) -> pa.Array:
+    """Bytes as a string column; bytes that are not UTF-8 stay as they came."""
+    return pa.compute.cast(pa.array(values, pa.binary()), options=pa.compute.CastOptions(pa.string(), allow_invalid_utf8=True))
+
+
 def pieces(batch: pa.RecordBatch, column: int, most: int = PIECE, field: str | None = None) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of a batch of about ``most`` bytes of text (one row at least),
     each with its texts; ``field``: the text's name in a struct column."""

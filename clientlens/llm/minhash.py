@@ -88,10 +88,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for at, doc, ghost, raw in zip(*(part.column(i).to_pylist() for i in range(3)), texts, strict=True):
                 if ghost and (held is None or held[0] != at):
                     continue  # a second first document with the same id
-                text, own = raw.decode(), fingerprint(raw)
+                text, own = raw.decode("utf-8", "surrogateescape"), fingerprint(raw)
                 if held is not None:
                     before, n = held[2], len(held[2])
-                    edited = (before[:n - n // 2] + text[:n // 2]).encode()
+                    edited = (before[:n - n // 2] + text[:n // 2]).encode("utf-8", "surrogateescape")
                     changed = fingerprint(edited)
                     out.append((held[1], n, hashlib.sha256(edited).hexdigest(), held[3].hex(), changed.hex(),
                                 likeness(held[3], changed), likeness(held[3], own)))
