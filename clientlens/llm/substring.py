@@ -8,9 +8,11 @@ cover:
 
 0. a document whose whole text an earlier one has is a copy: all its windows
    repeat, so it takes no part;
-1. anchors are dealt by the hash of their prefix words; those whose prefix is
-   alone are dropped, since nothing repeats around them;
-2. the others bring their words along. Rows with one prefix form a subtree
+1. anchors are dealt by the hash of their prefix words, one row for all that a
+   document has of a prefix; prefixes of one place are dropped, since nothing
+   repeats around them;
+2. the others bring their words along (but not those that repeat an earlier
+   place of their own document word for word). Rows with one prefix form a subtree
    (runs of over ``GROUP`` places of one prefix are cut into several). Sorted
    suffixes and their longest common prefixes give the nodes of the tree, and
    so do the reversed words before the anchors. Two windows are equal if they
@@ -32,11 +34,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientlens.llm.common import cut, pieces
+from clientlens.llm.common import as_text, cut, pieces
 
 WINDOW = 20
 PREFIX = 8
-GROUP = 50_000
+GROUP = 20_000
 #: Low bits of an anchor's packed place: offsets of its first and last window.
 OFFSET_BITS = 8
 _POS = 28
@@ -98,59 +100,94 @@ def _batch(names: str, *columns) -> pa.RecordBatch:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], window: int, text_col: str) -> Iterator[pa.RecordBatch]:
-    """(did, tid, row) -> (key, did, tid, place)."""
+    """(did, tid, row) -> (key, did, tid, place, more): a document's anchors
+    of one prefix, the first as ``place``, others packed into ``more``."""
     for batch in batches:
         for part, texts in pieces(batch, 2, field=text_col):
             owner, key, place = anchors(texts, window)
-            did, tid = (part.column(i).to_numpy(zero_copy_only=False)[owner] for i in (0, 1))
-            yield _batch("key did tid place", key, did, tid, place)
+            if not len(owner):
+                continue
+            order = np.lexsort((place, key, owner))
+            owner, key, place = owner[order], key[order], place[order]
+            begin = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])]))
+            end = np.concatenate([begin[1:], [len(owner)]])
+            more = [place[b + 1:e].tobytes() if e - b > 1 else None for b, e in zip(begin.tolist(), end.tolist(), strict=True)]
+            did, tid = (part.column(i).to_numpy(zero_copy_only=False)[owner[begin]] for i in (0, 1))
+            yield _batch("key did tid place more", key[begin], did, tid, place[begin], pa.array(more, pa.binary()))
 
 
 def _shared_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: those whose key another row has too, with the group
-    of up to GROUP of them that they fall in."""
-    held, last, count = None, None, 0  # the only row so far of the last key
+    """Rows sorted by key: the places whose key has another place too, with
+    their group: -1, or the part of GROUP places they fall in if the key has
+    more. Places of one key are held until it is known to be cut."""
+    names = "key grp did tid place"
+    held: list[np.ndarray] | None = None  # places of the last key, none of them passed on yet
+    last, passed = None, 0  # places of the last key that were passed on (it is cut then)
     for batch in batches:
-        rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        more = [np.frombuffer(x, np.int64) if x else None for x in batch.column(4).to_pylist()]
+        times = np.fromiter((1 if m is None else 1 + len(m) for m in more), np.int64, len(more))
+        rows = [np.repeat(batch.column(i).to_numpy(zero_copy_only=False), times) for i in range(4)]
         if not len(rows[0]):
             continue
+        first = np.cumsum(times) - times
+        for i in np.flatnonzero(times > 1).tolist():
+            rows[3][first[i] + 1:first[i] + times[i]] = more[i]
         if held is not None:
             rows = [np.concatenate([h, r]) for h, r in zip(held, rows, strict=True)]
-            count = 0
         key = rows[0]
         begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.concatenate([begin, [len(key)]]))
         before = np.zeros(len(begin), np.int64)
-        if last is not None and held is None and key[0] == last:
-            before[0] = count
-        ordinal = np.arange(len(key)) - np.repeat(begin - before, size)
-        shared = np.repeat(size + before > 1, size)
-        last, count = key[-1], int(size[-1] + before[-1])
-        held = [r[-1:] for r in rows] if count == 1 else None
-        out = np.flatnonzero(shared)
+        if key[0] == last:
+            before[0] = passed
+        total = size + before
+        group = np.where(np.repeat(total > GROUP, size), (np.arange(len(key)) - np.repeat(begin - before, size)) // GROUP, -1)
+        out = np.repeat(total > 1, size)
+        last, passed, held = key[-1], 0, None
+        if total[-1] > GROUP:
+            passed = int(total[-1])
+        else:
+            held = [r[begin[-1]:].copy() for r in rows]
+            out[begin[-1]:] = False
+        out = np.flatnonzero(out)
         if len(out):
-            yield _batch("key grp did tid place", key[out], ordinal[out] // GROUP, *(r[out] for r in rows[1:]))
+            yield _batch(names, key[out], group[out], *(r[out] for r in rows[1:]))
+    if held is not None and len(held[0]) > 1:
+        yield _batch(names, held[0], np.full(len(held[0]), -1), *held[1:])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], window: int, text_col: str) -> Iterator[pa.RecordBatch]:
     """(did, tid, row, anchors) -> a row for each anchor with the words that
-    its windows cover."""
+    its windows cover. An anchor with the words of an earlier one of the same
+    document and prefix only has repeats: its row has their mask instead and
+    a key of the document's own."""
     for batch in batches:
         for part, texts in pieces(batch, 2, field=text_col):
             lists = part.column(3)
             offsets = lists.offsets.to_numpy().tolist()
             child = lists.values
             key, grp, place = (child.field(n).to_numpy(zero_copy_only=False) for n in ("key", "grp", "place"))
-            pos, far, near = _unpack(place)
-            low, high = (pos - far).tolist(), (pos - near + window).tolist()
             for i, text in enumerate(texts):
                 words = text.split()
-                a, b = offsets[i], offsets[i + 1]
-                for j in range(a, b, 4096):
-                    k = min(b, j + 4096)
-                    context = [b" ".join(words[low[x]:high[x]]) for x in range(j, k)]
-                    did, tid = (pa.array([part.column(c)[i].as_py()] * (k - j), pa.int64()) for c in (0, 1))
-                    yield _batch("key grp did tid place ctx", key[j:k], grp[j:k], did, tid, place[j:k], pa.array(context, pa.binary()))
+                did, tid = (part.column(c)[i].as_py() for c in (0, 1))
+                mine = np.arange(offsets[i], offsets[i + 1])
+                mine = mine[np.argsort(place[mine])]
+                pos, far, near = _unpack(place[mine])
+                seen: set[tuple[int, int, bytes]] = set()
+                for j in range(0, len(mine), 4096):
+                    at = mine[j:j + 4096]
+                    context: list[bytes | None] = []
+                    own_key, mask = key[at].copy(), np.zeros(len(at), np.int64)
+                    for n, (k, p, f, e) in enumerate(zip(own_key.tolist(), *(x[j:j + 4096].tolist() for x in (pos, far, near)), strict=True)):
+                        ctx = b" ".join(words[p - f:p - e + window])
+                        if (k, f, ctx) in seen:
+                            own_key[n], mask[n] = did ^ tid, (1 << f + 1) - (1 << e)
+                            context.append(None)
+                        else:
+                            seen.add((k, f, ctx))
+                            context.append(ctx)
+                    yield _batch("key grp did tid place ctx mask", own_key, np.where(mask == 0, grp[at], -1), np.full(len(at), did), np.full(len(at), tid),
+                                 place[at], pa.array(context, pa.binary()), mask)
 
 
 def _tree_nodes(group: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,66 +241,56 @@ def repeated(group: np.ndarray, where: np.ndarray, place: np.ndarray, contexts:
 def _subtrees(batches: Iterator[pa.RecordBatch], window: int, last: bool) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, grp, did, tid, place) -> (did, tid, place, mask,
     ctx): the windows that repeat an earlier one of their group and, with
-    their words, the first windows of prefixes that were cut (``last``: none;
-    rows that have a mask already are passed on).
+    their words, the first windows of the parts of a cut prefix (``last``: none).
+    Rows that have a mask already are passed on.
 
     Of a group that goes on in the next batch only the rows that own a window
     are kept, so that many copies of one passage take no memory."""
     names = "did tid place mask ctx"
     held: list | None = None  # columns of the owners of the last group
-    held_group, seen = None, 0
     for batch in batches:
-        if last:
-            done = batch.filter(pa.compute.not_equal(batch.column(6), 0))
-            if done.num_rows:
-                yield pa.RecordBatch.from_arrays([done.column(i) for i in (2, 3, 4, 6, 5)], names=names.split())
-            batch = batch.filter(pa.compute.equal(batch.column(6), 0))
+        done = batch.filter(pa.compute.not_equal(batch.column(6), 0))
+        if done.num_rows:
+            yield pa.RecordBatch.from_arrays([done.column(i) for i in (2, 3, 4, 6, 5)], names=names.split())
+        batch = batch.filter(pa.compute.equal(batch.column(6), 0))
         if not batch.num_rows:
             continue
-        fresh = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
         contexts = batch.column(5).to_pylist()
         n = 0
-        if held is not None and (fresh[0][0], fresh[1][0]) == held_group:
+        if held is not None and (cols[0][0], cols[1][0]) == (held[0][0], held[1][0]):
             n = len(held[0])
-            cols = [np.concatenate([h, f]) for h, f in zip(held[:5], fresh, strict=True)]
+            cols = [np.concatenate([h, c]) for h, c in zip(held[:5], cols, strict=True)]
             contexts = held[5] + contexts
-        else:
-            if held is not None and not last:
-                yield from _owned(held, held_group, seen, window)
-            cols, seen = fresh, 0
+        elif held is not None and not last:
+            yield from _owned(held, window)
         key, grp, did, tid, place = cols
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (grp[1:] != grp[:-1])])
-        group = np.cumsum(new)
         pos = place >> 2 * OFFSET_BITS
         where = np.cumsum(np.concatenate([[True], new[1:] | (did[1:] != did[:-1]) | (tid[1:] != tid[:-1]) | (pos[1:] != pos[:-1])]))
-        again, first = repeated(group, where, place, contexts, window)
+        again, first = repeated(np.cumsum(new), where, place, contexts, window)
         hit = np.flatnonzero(again[n:] != 0) + n
         if len(hit):
             yield _batch(names, did[hit], tid[hit], place[hit], again[hit], pa.nulls(len(hit), pa.binary()))
         starts = np.flatnonzero(new)
-        sizes = np.diff(np.concatenate([starts, [len(key)]]))
+
+        def owners(a: int, b: int, cols=cols, contexts=contexts, first=first) -> list:
+            rows = a + np.flatnonzero(first[a:b])
+            return [*(c[rows] for c in cols), [contexts[r] for r in rows], first[rows]]
+
         if not last:
-            sized = sizes.copy()
-            sized[0] += seen - n
-            for i in np.flatnonzero((sized >= GROUP) | (grp[starts] > 0)).tolist():
-                if i < len(starts) - 1:
-                    rows = starts[i] + np.flatnonzero(first[starts[i]:starts[i] + sizes[i]])
-                    yield from _owned([*(c[rows] for c in cols), [contexts[r] for r in rows], first[rows]],
-                                      (key[starts[i]], grp[starts[i]]), GROUP, window)
-        tail = starts[-1]
-        seen = int(sizes[-1]) + (seen - n if len(starts) == 1 else 0)
-        rows = tail + np.flatnonzero(first[tail:])
-        held = [*(c[rows] for c in cols), [contexts[r] for r in rows], first[rows]]
-        held_group = (key[-1], grp[-1])
+            for i in np.flatnonzero(grp[starts[:-1]] >= 0).tolist():
+                yield from _owned(owners(starts[i], starts[i + 1]), window)
+        held = owners(starts[-1], len(key))
     if held is not None and not last:
-        yield from _owned(held, held_group, seen, window)
+        yield from _owned(held, window)
 
 
-def _owned(held: list, group: tuple, seen: int, window: int) -> Iterator[pa.RecordBatch]:
-    """The first windows of a group of a prefix that was cut, one row each."""
-    if group[1] == 0 and seen < GROUP:
+def _owned(held: list, window: int) -> Iterator[pa.RecordBatch]:
+    """The first windows of a part of a prefix that was cut, one row each."""
+    _, grp, did, tid, place, contexts, first = held
+    if not len(grp) or grp[0] < 0:
         return
-    _, _, did, tid, place, contexts, first = held
     pos, far, _ = _unpack(place)
     for i, context in enumerate(contexts):
         words = context.split()
@@ -299,7 +326,7 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int, text_col: str) -> Iter
                 removed.append(totals[-1] - len(words))
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()),
-                                              pa.array(kept, pa.binary()).cast(pa.string())], names=["row", "n_words", "n_removed", "kept"])
+                                              as_text(kept)], names=["row", "n_words", "n_removed", "kept"])
 
 
 def _copies(base: DataFrame, text_col: str) -> DataFrame:
@@ -333,18 +360,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         F.xxhash64(F.coalesce(F.col("row")[text_col], F.lit(""))).alias("tid"))
     copies = cut(_copies(base, text_col))
     anchors_ = (base.join(copies.where("not copy").select(*of), of).select("did", "tid", "row")
-                .mapInArrow(lambda it: _anchor_rows(it, window, text_col), "key long, did long, tid long, place long")
+                .mapInArrow(lambda it: _anchor_rows(it, window, text_col), "key long, did long, tid long, place long, more binary")
                 .repartition("key").sortWithinPartitions("key", "did", "tid", "place")
                 .mapInArrow(_shared_prefixes, "key long, grp long, did long, tid long, place long"))
     shared = anchors_.groupBy(*of).agg(F.collect_set(F.struct("key", "grp", "place")).alias("anchors"))
-    schema = "key long, grp long, did long, tid long, place long, ctx binary"
+    schema = "key long, grp long, did long, tid long, place long, ctx binary, mask long"
     contexts = (base.join(shared, of).select("did", "tid", "row", "anchors")
                 .mapInArrow(lambda it: _contexts(it, window, text_col), schema)
                 .repartition("key", "grp").sortWithinPartitions("key", "grp", "did", "tid", "place"))
     marks = "did long, tid long, place long, mask long, ctx binary"
     once = contexts.mapInArrow(lambda it: _subtrees(it, window, False), marks)
     twice = (once.select(F.when(F.col("ctx").isNull(), F.xxhash64("did", "tid")).otherwise(F.xxhash64("ctx")).alias("key"),
-                     F.lit(0).cast("long").alias("grp"), "did", "tid", "place", "ctx", "mask")
+                     F.lit(-1).cast("long").alias("grp"), "did", "tid", "place", "ctx", "mask")
              .repartition("key").sortWithinPartitions("key", "did", "tid", "place")
              .mapInArrow(lambda it: _subtrees(it, window, True), marks))
     found = twice.groupBy(*of).agg(F.collect_list(F.struct("place", "mask")).alias("marks"))
