@@ -147,11 +147,12 @@ def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             same = same[_distance(fp[same], fp[same + gap]) <= MAX_BITS]
             near.append(np.column_stack([same, same + gap]))
         found = np.concatenate(near) if near else np.zeros((0, 2), np.int64)
-        if len(found):
-            start = np.searchsorted(key, key[found[:, 0]], "left")
-            for first in np.unique(start).tolist():
-                of = found[start == first] - first if len(found) < 4096 else found[np.flatnonzero(start == first)] - first
-                yield from _forest(fp[first:first + BUCKET].tolist(), of.tolist())
+        start = np.searchsorted(key, key[found[:, 0]], "left")  # of each link's bucket
+        order = np.argsort(start, kind="stable")
+        for of in np.split(found[order], np.flatnonzero(np.diff(start[order])) + 1):
+            if len(of):
+                first = int(np.searchsorted(key, key[of[0, 0]], "left"))
+                yield from _forest(fp[first:first + BUCKET].tolist(), (of - first).tolist())
 
     def table(rows: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["a", "b"])
