@@ -29,7 +29,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 LIMIT = 2.0
 #: Documents of a source that meet in one group; residuals per group above.
-LEAF = 20_000
+LEAF = 2_000
 FAN = 64
 
 
