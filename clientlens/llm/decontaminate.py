@@ -6,13 +6,16 @@ join documents with benchmark items, so a question that was only given other
 numbers or names still meets its original. Matched windows are held together
 by their offset between document and item; where the item has placeholders,
 the values filled in must map one to one along an offset, or its windows do
-not count. A document is contaminated by an item if it has two fifths of its
+not count. An item's window is found as well by its plain lower-cased words
+and numbers, so a copy in other case, where names cannot be told from other
+words, is met too; a plain window at an offset that does not count does not
+count either. A document is contaminated by an item if it has two fifths of its
 windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientlens.llm.common import cut
@@ -35,13 +38,16 @@ UNITS = (
     "percent degrees mph kmh watts volts").split()
 UNIT = rf"({NUMBER_MARK}[ ]+)({'|'.join(sorted(UNITS, key=len, reverse=True))})([^\p{{L}}\p{{M}}]|$)"
 BETWEEN = r"[^\p{L}\p{M}\x01-\x03]+"
+SPACE = r"[\s\p{Z}]+"
+WORD = rf"({NUMBER}|[\p{{L}}\p{{M}}]+)"
 
 
 def _with_templates(df: DataFrame, slots: bool) -> DataFrame:
-    """(..., text) -> (..., tokens) and, with ``slots``, (..., slots: array of
-    (pos, kind, value)). Each step is a column of its own, so nothing is
-    worked out twice."""
-    df = df.withColumn("text", F.translate(F.coalesce("text", F.lit("")), MARKS, "   "))
+    """(..., text) -> (..., tokens, words: the plain lower-cased words and
+    numbers) and, with ``slots``, (..., slots: array of (pos, kind, value)).
+    Each step is a column of its own, so nothing is worked out twice."""
+    df = df.withColumn("text", F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), MARKS, "   "), SPACE, " "))
+    df = df.withColumn("words", F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(1)))
     df = df.withColumn("named", F.regexp_replace("text", NAME, f"$1 {NAME_MARK} "))
     df = df.withColumn("low", F.lower(F.regexp_replace("named", NUMBER, f" {NUMBER_MARK} ")))
     df = df.withColumn("tokens", F.array_remove(F.split(F.regexp_replace("low", UNIT, f"$1 {UNIT_MARK} $3"), BETWEEN), ""))
@@ -76,6 +82,52 @@ def _with_windows(df: DataFrame) -> DataFrame:
         "one", "two", "four", "five")
 
 
+def _with_levels(df: DataFrame, longest: int) -> DataFrame:
+    """(..., words) -> (..., levels): hashes of each run of 1, 2, 4, ... words,
+    up to ``longest`` of them."""
+    names = ["level0"]
+    df = df.withColumn("level0", F.transform("words", lambda w: F.xxhash64(w)))
+    for k in range(1, longest.bit_length()):
+        last = names[-1]
+        df = df.withColumn(f"level{k}", F.zip_with(last, F.slice(last, (1 << (k - 1)) + 1, F.greatest(F.size(last), F.lit(1))),
+                                                   lambda x, y: F.when(y.isNotNull(), F.xxhash64(x, y))))
+        names.append(f"level{k}")
+    return df.withColumn("levels", F.array(*names)).drop(*names)
+
+
+def _level(n: Column) -> Column:
+    """The level of the longest runs that fit into ``n`` words."""
+    return F.length(F.bin(n.cast("long"))) - 1
+
+
+def _whole(n: Column) -> Column:
+    """The words of those runs."""
+    return F.call_function("shiftleft", F.lit(1), _level(n))
+
+
+def _places(df: DataFrame) -> DataFrame:
+    """(key, tokens, slots, words) -> (key, pos, first, last): where the
+    characters of each token begin and end among the words. A name can be
+    several words or a part of one."""
+    slots = df.select(F.col("key").alias("k"), F.explode("slots").alias("s")).select("k", F.col("s.pos").alias("at"), F.col("s.value").alias("value"))
+    tokens = df.select("key", F.posexplode("tokens").alias("pos", "token"))
+    tokens = (tokens.join(slots, (tokens["key"] == slots["k"]) & (tokens["pos"] == slots["at"]), "left")
+              .select("key", "pos", F.length(F.regexp_replace(F.coalesce("value", "token"), " ", "")).alias("n")))
+    words = df.select("key", F.posexplode("words").alias("pos", "word")).select("key", "pos", F.length("word").alias("n"))
+    end = F.sum("n").over(Window.partitionBy("key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    tokens, words = tokens.withColumn("end", end), words.withColumn("end", end)
+    none = F.lit(None).cast("int")
+    marks = (words.select("key", (F.col("end") - F.col("n")).alias("x"), F.lit(0).alias("kind"), F.col("pos").alias("word"), none.alias("pos"))
+             .unionByName(tokens.select("key", (F.col("end") - F.col("n")).alias("x"), F.lit(1).alias("kind"), none.alias("word"), "pos"))
+             .unionByName(tokens.select("key", (F.col("end") - 1).alias("x"), F.lit(2).alias("kind"), none.alias("word"), "pos")))
+    marks = marks.withColumn("word", F.last("word", ignorenulls=True).over(Window.partitionBy("key").orderBy("x", "kind")))
+    return marks.where("kind > 0").groupBy("key", "pos").agg(F.min("word").alias("first"), F.max("word").alias("last"))
+
+
+def _key(*columns: str) -> Column:
+    return F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns)).alias("key")
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("did"), F.xxhash64(text_col).alias("tid"),
                        F.col(text_col).cast("string").alias("text"))
@@ -86,6 +138,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     benchmark item of which it has ``SHARE`` of the windows or more. tid is a
     hash of the text: documents are told apart by id and text, so a null id
     and rows that share one are fine; exact repeats of a row are one.
+    n_windows counts the windows found by templates where these alone reach
+    ``SHARE``, else those found by templates or plain words.
 
     Null or empty texts have no windows and match nothing, and so do items
     under five tokens. Items with equal windows are each reported. Benchmark
@@ -100,27 +154,73 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                           lambda n, t: n + F.when(F.lit(MARKS).contains(t), 0).otherwise(1))
     wanted = cut(items.select("item_id", "vid", "tokens", F.posexplode_outer("windows").alias("ipos", "window"))
                  .where(literal >= LITERAL).select("item_id", "vid", "ipos", "window"))
-    by_window = wanted.groupBy("window").agg(F.collect_list(F.struct("item_id", "vid", "ipos")).alias("of"))
-    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    spans = cut(_spans(items, wanted))
+    lengths = sorted(r.n for r in spans.select("n").distinct().collect())
+    longest = max(lengths, default=1)
+    run = F.get(F.col("levels"), _level(F.col("n")))
+    plain = (_with_levels(items.select("item_id", "vid", "words"), longest).join(spans, ["item_id", "vid"])
+             .select("item_id", "vid", "ipos", "first", "n", F.xxhash64(
+                 F.get(run, F.col("first")), F.get(run, (F.col("first") + F.col("n") - _whole(F.col("n"))))).alias("window")))
+    sought = (wanted.select(F.lit(0).alias("n"), "window", "item_id", "vid", "ipos", F.col("ipos").alias("start"))
+              .unionByName(plain.select("n", "window", "item_id", "vid", "ipos", F.col("first").alias("start"))))
+    by_window = cut(sought.groupBy("n", "window").agg(F.collect_list(F.struct("item_id", "vid", "ipos", "start")).alias("of")))
+    if sought.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         by_window = F.broadcast(by_window)
     # posexplode_outer: an inner one adds a filter on the array that the optimizer
     # pushes below the steps, where it works all of them out again
-    windows = _with_windows(_with_templates(_keyed(docs, id_col, text_col), slots=False)).select(
-        "did", "tid", F.posexplode_outer("windows").alias("dpos", "window"))
-    pairs = (windows.join(by_window, "window").select("did", "tid", "dpos", F.explode("of").alias("at"))
-             .select("did", "tid", "at.item_id", "at.vid", "at.ipos", (F.col("dpos") - F.col("at.ipos")).alias("shift")).distinct())
+    texts = _with_levels(_with_windows(_with_templates(_keyed(docs, id_col, text_col), slots=False)), longest)
+    texts = texts.select("did", "tid", F.size("words").alias("size"), "windows", "levels", F.explode(F.array(*(F.lit(n) for n in (0, *lengths)))).alias("n"))
+    level = F.get(F.col("levels"), _level(F.greatest("n", F.lit(1))))
+    shift = F.col("n") - _whole(F.greatest("n", F.lit(1)))
+    # the tail, where a run does not fit, has nulls, which join with nothing
+    runs = F.zip_with(level, F.slice(level, F.greatest(shift, F.lit(0)) + 1, F.greatest(F.size(level), F.lit(1))),
+                      lambda x, y: F.when(x.isNotNull() & y.isNotNull(), F.xxhash64(x, y)))
+    windows = texts.select("did", "tid", "n", F.posexplode_outer(F.when(F.col("n") == 0, F.col("windows")).otherwise(runs)).alias("dpos", "window"))
+    found = cut(windows.join(by_window, ["n", "window"]).select("did", "tid", "n", "dpos", F.explode("of").alias("at"))
+                .select("did", "tid", "at.item_id", "at.vid", "at.ipos", (F.col("n") > 0).alias("plain"), (F.col("dpos") - F.col("at.start")).alias("shift")).distinct())
     slots = items.select("item_id", "vid", F.explode("slots").alias("s"))
+    pairs = found.where("not plain").drop("plain")
+    verbatim = found.where("plain").drop("plain")
     if not slots.isEmpty():
-        pairs = cut(pairs)
-        pairs = pairs.join(_inconsistent(docs, pairs, slots, id_col, text_col),
-                           [pairs[c].eqNullSafe(F.col(f"x_{c}")) for c in ("did", "tid", "item_id", "vid", "shift")], "left_anti")
+        names = ("did", "tid", "item_id", "vid", "shift")
+        bad = cut(_inconsistent(docs, pairs, slots, id_col, text_col))
+        verbatim = verbatim.join(_plain_shifts(docs, pairs, bad, spans, id_col, text_col),
+                                 [verbatim[c].eqNullSafe(F.col(f"x_{c}")) for c in names], "left_anti")
+        pairs = pairs.join(bad, [pairs[c].eqNullSafe(F.col(f"x_{c}")) for c in names], "left_anti")
     total = wanted.groupBy("item_id", "vid").agg(F.count("*").alias("total"))
-    found = pairs.groupBy("did", "tid", "item_id", "vid").agg(F.countDistinct("ipos").alias("n_windows"))
-    return (found.join(total, ["item_id", "vid"]).withColumn("share", F.col("n_windows") / F.col("total")).where(F.col("share") >= SHARE)
+    both = pairs.withColumn("template", F.col("ipos")).unionByName(verbatim.withColumn("template", F.lit(None).cast("int")))
+    found = both.groupBy("did", "tid", "item_id", "vid").agg(F.countDistinct("template").alias("templates"), F.countDistinct("ipos").alias("either"))
+    found = found.join(total, ["item_id", "vid"]).withColumn(
+        "n_windows", F.when(F.col("templates") / F.col("total") >= SHARE, F.col("templates")).otherwise(F.col("either")))
+    return (found.withColumn("share", F.col("n_windows") / F.col("total")).where(F.col("share") >= SHARE)
             .groupBy("did", "tid", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("share").alias("share"))
             .select(F.col("did").alias("doc_id"), "tid", "item_id", "n_windows", "share"))
 
 
+def _spans(items: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(item_id, vid, ipos, first, n): the run of plain words of each wanted window."""
+    places = cut(_places(items.select(_key("item_id", "vid"), "tokens", "slots", "words")))
+    keyed = wanted.select("item_id", "vid", "ipos", _key("item_id", "vid"))
+    begin = places.select("key", F.col("pos").alias("ipos"), "first")
+    end = places.select("key", (F.col("pos") - (WINDOW - 1)).alias("ipos"), "last")
+    return (keyed.join(begin, ["key", "ipos"]).join(end, ["key", "ipos"])
+            .select("item_id", "vid", "ipos", "first", (F.col("last") - F.col("first") + 1).alias("n")))
+
+
+def _plain_shifts(docs: DataFrame, pairs: DataFrame, bad: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The ``bad`` offsets, between the plain words instead of the tokens."""
+    names = ("did", "tid", "item_id", "vid", "shift")
+    windows = pairs.join(bad, [pairs[c].eqNullSafe(F.col(f"x_{c}")) for c in names], "left_semi")
+    windows = (windows.join(spans, ["item_id", "vid", "ipos"])
+               .select("did", "tid", "item_id", "vid", "first", _key("did", "tid"), (F.col("ipos") + F.col("shift")).alias("pos")))
+    rows = _keyed(docs, id_col, text_col).withColumn("key", _key("did", "tid"))
+    rows = rows.join(windows.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    places = _places(cut(_with_templates(rows, slots=True).select("key", "tokens", "slots", "words"))).select(
+        "key", "pos", F.col("first").alias("begin"))
+    return windows.join(places, ["key", "pos"]).select(
+        *(F.col(c).alias(f"x_{c}") for c in names[:-1]), (F.col("begin") - F.col("first")).alias("x_shift")).distinct()
+
+
 def _inconsistent(docs: DataFrame, pairs: DataFrame, slots: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Offsets along which the values of the item's placeholders and those of
     the document do not map one to one. Only documents that match an item

@@ -78,3 +78,15 @@ def test_main_path_is_native(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     plan = decontaminate.leaks(docs, spark.createDataFrame([(1, "a b")], "item_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+NAMED = "The teacher told Hans, who met Greta near the bridge, that Otto and Clara saw Fritz before Emma left for Berlin with Karl."
+
+
+def test_copies_in_other_case_or_reflowed(spark):
+    long = NAMED.replace("Hans", "Mary Ann Lee").replace("Otto", "McDonald")
+    docs = [(1, NAMED.lower()), (2, "intro. " + NAMED.upper() + " OUTRO"), (3, NAMED.replace(" ", "  ")), (4, NAMED.replace(" ", "\r\n")),
+            (5, long.upper()), (6, "Nothing of the kind."), (None, NAMED.upper())]
+    assert found(spark, docs, [(1, NAMED), (2, long)]) >= {(d, 1) for d in (1, 2, 3, 4, None)} | {(5, 2)}
+    assert not any(d == 6 for d, _ in found(spark, docs, [(1, NAMED), (2, long)]))
+    assert found(spark, [(1, NAMED)], [(1, NAMED.lower())]) == {(1, 1)}
