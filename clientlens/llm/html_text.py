@@ -8,7 +8,10 @@ region to extract is the container that holds the clusters: from the root,
 down into the child that has nearly all of their text, to an article or main
 element at the latest. All lines of that region are kept, short ones too,
 except menus and other furniture, which elements and their class, id or role
-name.
+name. Outside it, headings and the cluster lines that are not links alone are
+kept as well, clustered once more without the region, whose long lines would
+raise the threshold; outside an article or main, only those of other such
+elements.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ BLOCK = frozenset(
     "summary table tbody td tfoot th thead tr ul".split())
 CONTAINER = frozenset("article body center div html main section table tbody td tr".split())
 LEAF_REGION = frozenset(("article", "main"))
+HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 DROPPED = frozenset(
     "aside audio button canvas datalist dialog footer form head header iframe input menu nav noscript object script "
     "search select style svg template textarea title video".split())
@@ -49,26 +53,28 @@ CLASS_WORD = re.compile(r"[a-z0-9]+")
 
 
 class _Lines(HTMLParser):
-    """Parser events -> lines: [text parts, tags, container]."""
+    """Parser events -> lines: [text, tags, container, heading, links alone]."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # element, dropped, container
+        self.open: list[tuple[str, bool, int, bool, bool]] = []  # element, dropped, container, heading, link
         self.parents, self.kinds = [-1], ["root"]
         self.lines: list[list] = []
         self.parts: list[str] = []
         self.tags = 0
+        self.linked = True  # all of the parts so far
 
-    def here(self) -> tuple[bool, int]:
-        return self.open[-1][1:] if self.open else (False, 0)
+    def here(self) -> tuple[bool, int, bool, bool]:
+        return self.open[-1][1:] if self.open else (False, 0, False, False)
 
     def end_line(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append([text, self.tags, self.here()[1]])
+                _, container, heading, _ = self.here()
+                self.lines.append([text, self.tags, container, heading, self.linked])
                 self.tags = 0
-            self.parts = []
+            self.parts, self.linked = [], True
 
     def close_implied(self, tag: str) -> None:
         """A block ends an open paragraph; an item or cell ends its sibling."""
@@ -88,13 +94,13 @@ class _Lines(HTMLParser):
             self.close_implied(tag)
         if tag in VOID:
             return
-        dropped, container = self.here()
+        dropped, container, heading, link = self.here()
         dropped = dropped or self.furniture(tag, attrs)
         if tag in CONTAINER and not dropped:
             self.parents.append(container)
             self.kinds.append(tag)
             container = len(self.kinds) - 1
-        self.open.append((tag, dropped, container))
+        self.open.append((tag, dropped, container, heading or tag in HEADING, link or tag == "a"))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -110,8 +116,11 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self.here()[0]:
+        dropped, _, _, link = self.here()
+        if not dropped:
             self.parts.append(data)
+            if not link and self.linked and not data.isspace():
+                self.linked = False
 
     @staticmethod
     def furniture(tag: str, attrs: list) -> bool:
@@ -138,6 +147,12 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, weights / weights.sum())[reach:len(ratios) + reach]
 
 
+def clustered(ratios: np.ndarray) -> np.ndarray:
+    """Which lines, by their ratios, belong to a content cluster."""
+    ratio = smoothed(ratios)
+    return ratio >= min(ratio.std(), ratio.max())
+
+
 def main_text(html: str) -> str:
     parser = _Lines()
     parser.feed(html)
@@ -147,8 +162,8 @@ def main_text(html: str) -> str:
     if not lines:
         return ""
     length = np.array([len(x[0]) for x in lines], float)
-    ratio = smoothed(length / np.maximum(1, [x[1] for x in lines]))
-    content = ratio >= min(ratio.std(), ratio.max())
+    plain = length / np.maximum(1, [x[1] for x in lines])
+    content = clustered(plain)
     # text of the clusters under each container; children have larger numbers
     mass = np.zeros(len(parser.kinds))
     np.add.at(mass, [x[2] for x in lines], length * content)
@@ -162,11 +177,19 @@ def main_text(html: str) -> str:
         if best is None or mass[best] < HOLDS * mass[region]:
             break
         region = best
-    inside = {region}
-    for c in range(region + 1, len(mass)):
+    inside, leaves = {region}, set()
+    for c in range(1, len(mass)):
         if parser.parents[c] in inside:
             inside.add(c)
-    return " ".join(x[0] for x in lines if x[2] in inside)
+        if parser.kinds[c] in LEAF_REGION or parser.parents[c] in leaves:
+            leaves.add(c)
+    outside = leaves if parser.kinds[region] in LEAF_REGION else range(len(mass))
+    kept = np.array([x[2] in inside for x in lines])
+    rest = np.flatnonzero([x[2] in outside and x[2] not in inside for x in lines])
+    if len(rest):
+        again = content[rest] | clustered(plain[rest])
+        kept[rest] = [lines[i][3] or of_cluster and not lines[i][4] for i, of_cluster in zip(rest.tolist(), again.tolist(), strict=True)]
+    return " ".join(x[0] for x, k in zip(lines, kept.tolist(), strict=True) if k)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -51,3 +51,14 @@ def test_edges(spark):
     assert sorted(((r.page_id, r.url, len(r.text)) for r in out), key=str) == sorted(
         [(1, "u", 0), (2, None, 1), (None, "u", 1), (2, None, 1), (3, "u", 399999)], key=str)
     assert html_text.extract_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<body><h1>Title</h1><div>The lead of it.</div><div>" + LONG * 30 + "</div></body>", ["Title", "The lead of it.", *[LONG.strip()] * 30]),
+    ("<body><div id=c><h1>Title</h1><p>" + LONG + "</p><section><p>" + LONG * 40 + "</p></section><section><h2>More</h2><p>" + LONG + "</p></section></div></body>",
+     ["Title", LONG.strip(), *[LONG.strip()] * 40, "More", LONG.strip()]),
+    ("<body><div><div><p>" + LONG * 40 + "</p></div><p>" + LONG + "</p></div><div><ul><li><a>x</a><li><a>y</a></ul></div></body>", [LONG.strip()] * 41),
+    ("<body><article><p>" + LONG * 40 + "</p></article><article><h2>Next</h2><p>" + LONG + "</p></article></body>", [*[LONG.strip()] * 40, "Next", LONG.strip()]),
+])
+def test_text_beside_a_dominant_block_stays(page, text):
+    assert html_text.main_text(page) == " ".join(text)
