@@ -44,6 +44,9 @@ PRIOR_GOOD = 0.8
 PSEUDO = 20.0
 #: Fewer words are too few for most labellers.
 ENOUGH = 6
+#: Words of a block in which distinct ones are counted; fewer than FEW all count as distinct.
+BLOCK = 3000
+FEW = 30
 
 _SHAPES = bytes(88 if 65 <= b <= 90 else 120 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256))
 _PLAIN = re.compile(rb"[\"'(+]*(X?x|X|Xx[Xx-]*|x-x|0[0.,:/()-]*)[.,;:?!\"')]?")
@@ -67,7 +70,8 @@ def profile(text: bytes) -> tuple[int, int, Counter]:
 
 
 def votes(text: bytes, known: tuple[int, int, Counter] | None = None) -> tuple[int, ...]:
-    """One vote of each labeller."""
+    """One vote of each labeller. Distinct words are counted over all of the
+    text, block by block, so that the share of a long text means the same."""
     n, again, forms = known or profile(text)
     if not n:
         return (NONE,) * len(LABELLERS)
@@ -76,7 +80,8 @@ def votes(text: bytes, known: tuple[int, int, Counter] | None = None) -> tuple[i
     bars = text.count(b"|") + text.count("•".encode()) + text.count("»".encode())
     plain = sum(c for x, c in forms.items() if _PLAIN.fullmatch(x))
     small = sum(c for x, c in forms.items() if _SMALL.fullmatch(x))
-    distinct = len(set(text.split())) if 30 <= n <= 3000 else n
+    words = text.split() if n >= FEW else []
+    distinct = sum(len(set(words[i:i + BLOCK])) for i in range(0, n, BLOCK)) if words else n
 
     def vote(bad: bool, good: bool, enough: bool = n >= ENOUGH) -> int:
         return NONE if not enough else BAD if bad else GOOD if good else NONE

@@ -49,3 +49,13 @@ def test_edges(spark):
     assert not any(r.keep for r in out if r.row.doc_id in range(40, 50))
     assert quality.good_documents(docs).schema == docs.schema
     assert quality.classify(docs.limit(0)).collect() == []
+
+
+def test_vocabulary_of_long_texts():
+    r = np.random.default_rng(4)
+    vocabulary = quality.LABELLERS.index("vocabulary")
+    for n in (3000, 3001, 9000, 100_000):
+        loop = " ".join(f"word{i % 40}" for i in range(n))
+        prose = " ".join(f"word{i}" for i in r.integers(0, 5000, n))
+        assert quality.votes(loop.encode())[vocabulary] == quality.BAD
+        assert quality.votes(prose.encode())[vocabulary] == quality.GOOD
