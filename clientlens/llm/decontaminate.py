@@ -39,6 +39,8 @@ UNITS = (
 UNIT = rf"({NUMBER_MARK}[ ]+)({'|'.join(sorted(UNITS, key=len, reverse=True))})([^\p{{L}}\p{{M}}]|$)"
 BETWEEN = r"[^\p{L}\p{M}\x01-\x03]+"
 SPACE = r"[\s\p{Z}]+"
+#: Characters of scripts without spaces, each a token of its own.
+UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]\p{M}*)"
 WORD = rf"({NUMBER}|[\p{{L}}\p{{M}}]+)"
 
 
@@ -46,7 +48,8 @@ def _with_templates(df: DataFrame, slots: bool) -> DataFrame:
     """(..., text) -> (..., tokens, words: the plain lower-cased words and
     numbers) and, with ``slots``, (..., slots: array of (pos, kind, value)).
     Each step is a column of its own, so nothing is worked out twice."""
-    df = df.withColumn("text", F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), MARKS, "   "), SPACE, " "))
+    df = df.withColumn("text", F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), MARKS, "   "), UNSPACED, " $1 "))
+    df = df.withColumn("text", F.regexp_replace("text", SPACE, " "))
     df = df.withColumn("words", F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(1)))
     df = df.withColumn("named", F.regexp_replace("text", NAME, f"$1 {NAME_MARK} "))
     df = df.withColumn("low", F.lower(F.regexp_replace("named", NUMBER, f" {NUMBER_MARK} ")))
@@ -141,8 +144,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     n_windows counts the windows found by templates where these alone reach
     ``SHARE``, else those found by templates or plain words.
 
-    Null or empty texts have no windows and match nothing, and so do items
-    under five tokens. Items with equal windows are each reported. Benchmark
+    Null or empty texts have no windows and match nothing. An item without a
+    window of LITERAL literal tokens, as one of few words, is looked for as a
+    whole, by its plain words and numbers. Items with equal windows are each reported. Benchmark
     rows with a null id are left out; rows that repeat an item's id with
     another text are versions of it, each looked for. Either table empty: no
     rows.
@@ -154,7 +158,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                           lambda n, t: n + F.when(F.lit(MARKS).contains(t), 0).otherwise(1))
     wanted = cut(items.select("item_id", "vid", "tokens", F.posexplode_outer("windows").alias("ipos", "window"))
                  .where(literal >= LITERAL).select("item_id", "vid", "ipos", "window"))
-    spans = cut(_spans(items, wanted))
+    whole = cut(items.join(wanted.select("item_id", "vid").distinct(), ["item_id", "vid"], "left_anti").where(F.size("words") > 0)
+                .select("item_id", "vid", F.lit(0).alias("ipos"), F.lit(0).alias("first"), F.size("words").alias("n")))
+    spans = cut(_spans(items, wanted).unionByName(whole))
     lengths = sorted(r.n for r in spans.select("n").distinct().collect())
     longest = max(lengths, default=1)
     run = F.get(F.col("levels"), _level(F.col("n")))
@@ -187,7 +193,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         verbatim = verbatim.join(_plain_shifts(docs, pairs, bad, spans, id_col, text_col),
                                  [verbatim[c].eqNullSafe(F.col(f"x_{c}")) for c in names], "left_anti")
         pairs = pairs.join(bad, [pairs[c].eqNullSafe(F.col(f"x_{c}")) for c in names], "left_anti")
-    total = wanted.groupBy("item_id", "vid").agg(F.count("*").alias("total"))
+    total = wanted.select("item_id", "vid").unionByName(whole.select("item_id", "vid")).groupBy("item_id", "vid").agg(F.count("*").alias("total"))
     both = pairs.withColumn("template", F.col("ipos")).unionByName(verbatim.withColumn("template", F.lit(None).cast("int")))
     found = both.groupBy("did", "tid", "item_id", "vid").agg(F.countDistinct("template").alias("templates"), F.countDistinct("ipos").alias("either"))
     found = found.join(total, ["item_id", "vid"]).withColumn(

@@ -90,3 +90,10 @@ def test_copies_in_other_case_or_reflowed(spark):
     assert found(spark, docs, [(1, NAMED), (2, long)]) >= {(d, 1) for d in (1, 2, 3, 4, None)} | {(5, 2)}
     assert not any(d == 6 for d, _ in found(spark, docs, [(1, NAMED), (2, long)]))
     assert found(spark, [(1, NAMED)], [(1, NAMED.lower())]) == {(1, 1)}
+
+
+def test_items_without_a_usable_window(spark):
+    items = [(1, "Who wrote Hamlet?"), (2, "Compute 3 + 4 * 5"), (3, "中国的首都是哪里"), (4, "7 8 9 10 11 12")]
+    docs = [(1, "Quiz. Who wrote Hamlet? Nobody knows."), (2, "Please compute 3 + 4 * 5 now."), (3, "问题:中国的首都是哪里?答案"), (4, "so 7 8 9 10 11 12 it is"),
+            (5, "Who wrote Faust?"), (6, "Compute 3 + 4 * 6"), (7, "中国很大"), (8, None)]
+    assert found(spark, docs, items) == {(1, 1), (2, 2), (3, 3), (4, 4)}
