@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientlens.llm import (
-    decontaminate, html_text, licenses, minhash, mixing, quality, simhash, substring, toxicity, urls,
+    decontaminate, html_text, licenses, minhash, mixing, periods, quality, simhash, spelling, substring, toxicity, urls, wavelet,
 )
 from clientlens.llm.common import read
+from clientlens.session import scratch_path
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,9 +58,38 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.word_counts(read(spark, sf_dir, "documents"), slips=True))
+
+
+def op12_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_shards")
+    wavelet.write_shards(read(spark, sf_dir, "documents"), path, public_tokenizer("word_bpe_49k.json"), end_id=1)
+    return wavelet.read_documents(spark, path)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periods.with_loops(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.col("best")
+    line = F.concat_ws("", F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))))
+    return periods.periodic_runs(docs).withColumn("best", periods.best_run(F.col("runs"))).select(
+        F.col("row.doc_id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), *(best[c].alias(c) for c in ("start", "length", "period")),
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"), F.sha2(line, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def public_tokenizer(name: str) -> str:
+    """The JSON of a public tokenizer file, read on the driver and sent with the job."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_toxicity, op3_quality, op4_html_text, op5_decontaminate, op6_url_filter,
-    op7_simhash_neardup, op8_mix_sources, op9_minhash_fingerprint, op10_substring_dedup)}
+    op7_simhash_neardup, op8_mix_sources, op9_minhash_fingerprint, op10_substring_dedup,
+    op11_spelling_variants, op12_token_shards, op13_periodic_runs)}
 
 #: Steps from (of, id, text) to the tokens of templates, for documents and items alike.
 _TEMPLATES = r"""
