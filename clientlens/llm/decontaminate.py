@@ -5,12 +5,17 @@ text's tokens are its words and placeholders. Hashes of windows of five tokens
 join documents with benchmark items, so a question that was only given other
 numbers or names still meets its original. Matched windows are held together
 by their offset between document and item; where the item has placeholders,
-the values filled in must map one to one along an offset, or its windows do
-not count. An item's window is found as well by its plain lower-cased words
-and numbers, so a copy in other case, where names cannot be told from other
-words, is met too; a plain window at an offset that does not count does not
-count either. A document is contaminated by an item if it has two fifths of its
-windows.
+the values filled in must map one to one along an offset, and windows that
+hold a value that does not are not counted.
+
+Copies in other case, where names cannot be told from other words, are met by
+plain windows: rows of five lower-cased words and numbers. The item alone knows
+which plain windows a template window covers; it counts as well if the document
+has all of those at one offset. An item without a window of LITERAL literal
+tokens is one window, all its words: of five or more by the same plain windows,
+of two to four by those of two words, and an item of one word is only met by a
+text that has no other word. A document is contaminated by an item if it has
+two fifths of its windows.
 """
 
 from __future__ import annotations
@@ -24,6 +29,8 @@ WINDOW = 5
 #: Literal tokens that a benchmark window needs; emptier templates fit anything.
 LITERAL = 3
 SHARE = 0.4
+#: Words of the plain windows; a run of words is looked for by the longest that fit.
+PLAIN = (WINDOW, 2, 1)
 #: Benchmark windows up to which they are broadcast (24 bytes each); more are shuffled.
 BROADCAST_ROWS = 2_000_000
 NUMBER_MARK, NAME_MARK, UNIT_MARK = "\x01", "\x02", "\x03"
@@ -38,9 +45,10 @@ UNITS = (
     "percent degrees mph kmh watts volts").split()
 UNIT = rf"({NUMBER_MARK}[ ]+)({'|'.join(sorted(UNITS, key=len, reverse=True))})([^\p{{L}}\p{{M}}]|$)"
 BETWEEN = r"[^\p{L}\p{M}\x01-\x03]+"
-SPACE = r"[\s\p{Z}]+"
+SPACE = r"[\x09-\x0D\x20\p{Z}]+"
 #: Characters of scripts without spaces, each a token of its own.
-UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]\p{M}*)"
+SCRIPTS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+UNSPACED = "([" + "".join(rf"\p{{Is{s}}}" for s in SCRIPTS) + r"]\p{M}*)"
 WORD = rf"({NUMBER}|[\p{{L}}\p{{M}}]+)"
 
 
@@ -71,41 +79,21 @@ def _with_templates(df: DataFrame, slots: bool) -> DataFrame:
     return df.drop("text", "named", "low")
 
 
-def _with_windows(df: DataFrame) -> DataFrame:
-    """(..., tokens) -> (..., windows): hashes of each run of WINDOW tokens,
-    from hashes of one, two and four."""
+def _with_runs(df: DataFrame, source: str, name: str, kind: int, size: int) -> DataFrame:
+    """(..., name): hashes of each run of ``size`` (1, 2 or 5) elements of the
+    ``source``, each step from hashes of the one before; kinds never share one."""
     def joined(a: str, b: str, shift: int) -> Column:
         return F.zip_with(a, F.slice(b, F.lit(shift + 1), F.greatest(F.size(b) - shift, F.lit(0))), lambda x, y: F.xxhash64(x, y))
 
-    df = df.withColumn("one", F.transform("tokens", lambda t: F.xxhash64(t)))
-    df = df.withColumn("two", joined("one", "one", 1))
-    df = df.withColumn("four", joined("two", "two", 2))
-    df = df.withColumn("five", joined("four", "one", 4))
-    return df.withColumn("windows", F.slice("five", F.lit(1), F.greatest(F.size("tokens") - (WINDOW - 1), F.lit(0)))).drop(
-        "one", "two", "four", "five")
-
-
-def _with_levels(df: DataFrame, longest: int) -> DataFrame:
-    """(..., words) -> (..., levels): hashes of each run of 1, 2, 4, ... words,
-    up to ``longest`` of them."""
-    names = ["level0"]
-    df = df.withColumn("level0", F.transform("words", lambda w: F.xxhash64(w)))
-    for k in range(1, longest.bit_length()):
-        last = names[-1]
-        df = df.withColumn(f"level{k}", F.zip_with(last, F.slice(last, (1 << (k - 1)) + 1, F.greatest(F.size(last), F.lit(1))),
-                                                   lambda x, y: F.when(y.isNotNull(), F.xxhash64(x, y))))
-        names.append(f"level{k}")
-    return df.withColumn("levels", F.array(*names)).drop(*names)
-
-
-def _level(n: Column) -> Column:
-    """The level of the longest runs that fit into ``n`` words."""
-    return F.length(F.bin(n.cast("long"))) - 1
-
-
-def _whole(n: Column) -> Column:
-    """The words of those runs."""
-    return F.call_function("shiftleft", F.lit(1), _level(n))
+    df = df.withColumn("one", F.transform(source, lambda t: F.xxhash64(t, F.lit(kind))))
+    last = "one"
+    if size > 1:
+        df, last = df.withColumn("two", joined("one", "one", 1)), "two"
+    if size > 2:
+        df, last = df.withColumn("four", joined("two", "two", 2)), "five"
+        df = df.withColumn("five", joined("four", "one", 4))
+    whole = F.slice(last, F.lit(1), F.greatest(F.size(source) - (size - 1), F.lit(0)))
+    return df.withColumn(name, whole).drop("one", "two", "four", "five")
 
 
 def _places(df: DataFrame) -> DataFrame:
@@ -141,63 +129,46 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     benchmark item of which it has ``SHARE`` of the windows or more. tid is a
     hash of the text: documents are told apart by id and text, so a null id
     and rows that share one are fine; exact repeats of a row are one.
-    n_windows counts the windows found by templates where these alone reach
-    ``SHARE``, else those found by templates or plain words.
-
-    Null or empty texts have no windows and match nothing. An item without a
-    window of LITERAL literal tokens, as one of few words, is looked for as a
-    whole, by its plain words and numbers. Items with equal windows are each reported. Benchmark
-    rows with a null id are left out; rows that repeat an item's id with
-    another text are versions of it, each looked for. Either table empty: no
-    rows.
+    n_windows counts the item's windows found by their template or their words.
+
+    Null or empty texts have no windows and match nothing. Items with equal
+    windows are each reported. Benchmark rows with a null id are left out; rows
+    that repeat an item's id with another text are versions of it, each looked
+    for. Either table empty: no rows.
     """
-    items = cut(_with_windows(_with_templates(
+    items = cut(_with_runs(_with_templates(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("vid"), F.col("text").cast("string").alias("text"))
-        .where("item_id is not null").distinct(), slots=True)))
+        .where("item_id is not null").distinct(), slots=True), "tokens", "windows", 0, WINDOW))
     literal = F.aggregate(F.slice("tokens", F.col("ipos") + 1, WINDOW), F.lit(0),
                           lambda n, t: n + F.when(F.lit(MARKS).contains(t), 0).otherwise(1))
     wanted = cut(items.select("item_id", "vid", "tokens", F.posexplode_outer("windows").alias("ipos", "window"))
                  .where(literal >= LITERAL).select("item_id", "vid", "ipos", "window"))
-    whole = cut(items.join(wanted.select("item_id", "vid").distinct(), ["item_id", "vid"], "left_anti").where(F.size("words") > 0)
-                .select("item_id", "vid", F.lit(0).alias("ipos"), F.lit(0).alias("first"), F.size("words").alias("n")))
-    spans = cut(_spans(items, wanted).unionByName(whole))
-    lengths = sorted(r.n for r in spans.select("n").distinct().collect())
-    longest = max(lengths, default=1)
-    run = F.get(F.col("levels"), _level(F.col("n")))
-    plain = (_with_levels(items.select("item_id", "vid", "words"), longest).join(spans, ["item_id", "vid"])
-             .select("item_id", "vid", "ipos", "first", "n", F.xxhash64(
-                 F.get(run, F.col("first")), F.get(run, (F.col("first") + F.col("n") - _whole(F.col("n"))))).alias("window")))
-    sought = (wanted.select(F.lit(0).alias("n"), "window", "item_id", "vid", "ipos", F.col("ipos").alias("start"))
-              .unionByName(plain.select("n", "window", "item_id", "vid", "ipos", F.col("first").alias("start"))))
-    by_window = cut(sought.groupBy("n", "window").agg(F.collect_list(F.struct("item_id", "vid", "ipos", "start")).alias("of")))
+    whole = items.join(wanted.select("item_id", "vid").distinct(), ["item_id", "vid"], "left_anti").where(F.size("words") > 0).select(
+        "item_id", "vid", F.lit(0).alias("ipos"), F.lit(0).alias("first"), F.size("words").alias("n"))
+    parts = cut(_plain_parts(_spans(items, wanted).unionByName(whole)))
+    kinds = sorted(r.kind for r in parts.select("kind").distinct().collect())  # of PLAIN
+    plain = items.select("item_id", "vid", "words")
+    for kind in kinds:
+        plain = _with_runs(plain, "words", f"plain{kind}", kind, kind)
+    plain = (parts.select("item_id", "vid", "kind", "at").distinct().join(plain, ["item_id", "vid"])
+             .select("item_id", "vid", "kind", "at", F.get(F.coalesce(*(F.when(F.col("kind") == k, F.col(f"plain{k}")) for k in kinds)), F.col("at")).alias("window"))
+             if kinds else wanted.select("item_id", "vid", F.lit(0).alias("kind"), F.col("ipos").alias("at"), "window").where("false"))
+    sought = cut(wanted.select("window", F.lit(0).alias("kind"), "item_id", "vid", F.col("ipos").alias("at")).unionByName(plain))
     if sought.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        by_window = F.broadcast(by_window)
-    # posexplode_outer: an inner one adds a filter on the array that the optimizer
-    # pushes below the steps, where it works all of them out again
-    texts = _with_levels(_with_windows(_with_templates(_keyed(docs, id_col, text_col), slots=False)), longest)
-    texts = texts.select("did", "tid", F.size("words").alias("size"), "windows", "levels", F.explode(F.array(*(F.lit(n) for n in (0, *lengths)))).alias("n"))
-    level = F.get(F.col("levels"), _level(F.greatest("n", F.lit(1))))
-    shift = F.col("n") - _whole(F.greatest("n", F.lit(1)))
-    # the tail, where a run does not fit, has nulls, which join with nothing
-    runs = F.zip_with(level, F.slice(level, F.greatest(shift, F.lit(0)) + 1, F.greatest(F.size(level), F.lit(1))),
-                      lambda x, y: F.when(x.isNotNull() & y.isNotNull(), F.xxhash64(x, y)))
-    windows = texts.select("did", "tid", "n", F.posexplode_outer(F.when(F.col("n") == 0, F.col("windows")).otherwise(runs)).alias("dpos", "window"))
-    found = cut(windows.join(by_window, ["n", "window"]).select("did", "tid", "n", "dpos", F.explode("of").alias("at"))
-                .select("did", "tid", "at.item_id", "at.vid", "at.ipos", (F.col("n") > 0).alias("plain"), (F.col("dpos") - F.col("at.start")).alias("shift")).distinct())
+        sought = F.broadcast(sought)
+    found = cut(_matches(docs, sought, kinds, id_col, text_col))
     slots = items.select("item_id", "vid", F.explode("slots").alias("s"))
-    pairs = found.where("not plain").drop("plain")
-    verbatim = found.where("plain").drop("plain")
+    pairs = found.where("kind = 0").select("did", "tid", "item_id", "vid", F.col("at").alias("ipos"), "shift")
+    same = found.where("kind > 0").join(parts, ["item_id", "vid", "kind", "at"]).groupBy("did", "tid", "item_id", "vid", "shift", "ipos", "need").agg(
+        F.count("*").alias("has")).where("has = need")
     if not slots.isEmpty():
-        names = ("did", "tid", "item_id", "vid", "shift")
-        bad = cut(_inconsistent(docs, pairs, slots, id_col, text_col))
-        verbatim = verbatim.join(_plain_shifts(docs, pairs, bad, spans, id_col, text_col),
-                                 [verbatim[c].eqNullSafe(F.col(f"x_{c}")) for c in names], "left_anti")
+        bad = _inconsistent(docs, pairs, slots, id_col, text_col)
+        names = ("did", "tid", "item_id", "vid", "shift", "ipos")
+        bad = cut(bad.select(*bad.columns[:-1], F.explode(F.sequence(F.col("x_pos") - (WINDOW - 1), F.col("x_pos"))).alias("x_ipos")).distinct())
         pairs = pairs.join(bad, [pairs[c].eqNullSafe(F.col(f"x_{c}")) for c in names], "left_anti")
     total = wanted.select("item_id", "vid").unionByName(whole.select("item_id", "vid")).groupBy("item_id", "vid").agg(F.count("*").alias("total"))
-    both = pairs.withColumn("template", F.col("ipos")).unionByName(verbatim.withColumn("template", F.lit(None).cast("int")))
-    found = both.groupBy("did", "tid", "item_id", "vid").agg(F.countDistinct("template").alias("templates"), F.countDistinct("ipos").alias("either"))
-    found = found.join(total, ["item_id", "vid"]).withColumn(
-        "n_windows", F.when(F.col("templates") / F.col("total") >= SHARE, F.col("templates")).otherwise(F.col("either")))
+    both = pairs.select("did", "tid", "item_id", "vid", "ipos").unionByName(same.select("did", "tid", "item_id", "vid", "ipos"))
+    found = both.groupBy("did", "tid", "item_id", "vid").agg(F.countDistinct("ipos").alias("n_windows")).join(total, ["item_id", "vid"])
     return (found.withColumn("share", F.col("n_windows") / F.col("total")).where(F.col("share") >= SHARE)
             .groupBy("did", "tid", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("share").alias("share"))
             .select(F.col("did").alias("doc_id"), "tid", "item_id", "n_windows", "share"))
@@ -213,40 +184,63 @@ def _spans(items: DataFrame, wanted: DataFrame) -> DataFrame:
             .select("item_id", "vid", "ipos", "first", (F.col("last") - F.col("first") + 1).alias("n")))
 
 
-def _plain_shifts(docs: DataFrame, pairs: DataFrame, bad: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The ``bad`` offsets, between the plain words instead of the tokens."""
-    names = ("did", "tid", "item_id", "vid", "shift")
-    windows = pairs.join(bad, [pairs[c].eqNullSafe(F.col(f"x_{c}")) for c in names], "left_semi")
-    windows = (windows.join(spans, ["item_id", "vid", "ipos"])
-               .select("did", "tid", "item_id", "vid", "first", _key("did", "tid"), (F.col("ipos") + F.col("shift")).alias("pos")))
-    rows = _keyed(docs, id_col, text_col).withColumn("key", _key("did", "tid"))
-    rows = rows.join(windows.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
-    places = _places(cut(_with_templates(rows, slots=True).select("key", "tokens", "slots", "words"))).select(
-        "key", "pos", F.col("first").alias("begin"))
-    return windows.join(places, ["key", "pos"]).select(
-        *(F.col(c).alias(f"x_{c}") for c in names[:-1]), (F.col("begin") - F.col("first")).alias("x_shift")).distinct()
+def _plain_parts(spans: DataFrame) -> DataFrame:
+    """(item_id, vid, ipos, kind, at, need): the plain windows that make up
+    each run of words, of the greatest of PLAIN words that fit into it."""
+    kind = F.coalesce(*(F.when(F.col("n") >= k, F.lit(k)) for k in PLAIN))
+    spans = spans.withColumn("kind", kind).withColumn("need", (F.col("n") - F.col("kind") + 1).cast("long"))
+    return spans.select("item_id", "vid", "ipos", "kind", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("need").cast("int") - 1)).alias("at"), "need")
+
+
+def _matches(docs: DataFrame, sought: DataFrame, kinds: list[int], id_col: str, text_col: str) -> DataFrame:
+    """(did, tid, item_id, vid, kind, at, shift): the documents' windows that are
+    sought. All windows of a document go through one array, so it is read once."""
+    texts = _with_runs(_with_templates(_keyed(docs, id_col, text_col), slots=False), "tokens", "windows", 0, WINDOW)
+    ends, arrays, begin = [F.size("windows")], [F.col("windows")], F.when(F.col("kind") == 0, F.lit(0))
+    for k in kinds:
+        texts = _with_runs(texts, "words", f"plain{k}", k, k)
+        of = F.col(f"plain{k}")
+        arrays.append(F.when(F.size("words") == 1, of).otherwise(F.slice(of, 1, 0)) if k == 1 else of)
+    texts = texts.select("did", "tid", *(x.alias(f"a{i}") for i, x in enumerate(arrays)))
+    texts = texts.select("did", "tid", F.concat(*(F.col(f"a{i}") for i in range(len(arrays)))).alias("all"),
+                         *(F.size(f"a{i}").alias(f"n{i}") for i in range(len(arrays) - 1)))
+    ends = F.lit(0)
+    for i, k in enumerate(kinds):
+        ends = ends + F.col(f"n{i}")
+        begin = begin.when(F.col("kind") == k, ends)
+    # posexplode_outer: an inner one adds a filter on the array that the optimizer
+    # pushes below the steps, where it works all of them out again
+    windows = texts.select("did", "tid", *(f"n{i}" for i in range(len(arrays) - 1)), F.posexplode_outer("all").alias("pos", "window"))
+    return windows.join(sought, "window").select(
+        "did", "tid", "item_id", "vid", "kind", "at", (F.col("pos") - begin - F.col("at")).alias("shift")).distinct()
 
 
 def _inconsistent(docs: DataFrame, pairs: DataFrame, slots: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Offsets along which the values of the item's placeholders and those of
-    the document do not map one to one. Only documents that match an item
-    with placeholders are read again."""
+    """(x_did, x_tid, x_item_id, x_vid, x_shift, x_pos): placeholders of the
+    item whose value and the document's do not map one to one along an
+    offset. Only documents that match an item with placeholders are read again."""
+    of = ["did", "tid", "item_id", "vid", "shift"]
     slots = slots.select("item_id", "vid", F.col("s.pos").alias("pos"), F.col("s.kind").alias("kind"), F.col("s.value").alias("value"))
     windows = pairs.join(slots, ["item_id", "vid"]).where("pos >= ipos and pos < ipos + " + str(WINDOW))
-    wanted = windows.select("did", "tid", "item_id", "vid", "shift", (F.col("pos") + F.col("shift")).alias("dpos"), "kind", "value").distinct()
+    wanted = windows.select(*of, "pos", "kind", "value").distinct()
     some = wanted.select(F.col("did").alias("k"), F.col("tid").alias("t")).distinct()
     rows = _keyed(docs, id_col, text_col)
     rows = rows.join(some, rows["did"].eqNullSafe(some["k"]) & (rows["tid"] == some["t"]), "left_semi").dropDuplicates(["did", "tid"])
     filled = (_with_templates(rows, slots=True).select(F.col("did").alias("k"), F.col("tid").alias("t"), F.explode_outer("slots").alias("s"))
               .where("s is not null").select("k", "t", F.col("s.pos").alias("at"), F.col("s.value").alias("filled")))
-    both = wanted.join(filled, wanted["did"].eqNullSafe(filled["k"]) & (wanted["tid"] == filled["t"]) & (wanted["dpos"] == filled["at"]))
-    counts = both.groupBy("did", "tid", "item_id", "vid", "shift").agg(
-        F.countDistinct("kind", "value", "filled").alias("both"), F.countDistinct("kind", "value").alias("left"),
-        F.countDistinct("kind", "filled").alias("right"))
-    return counts.where("both > left or both > right").select(*(F.col(c).alias(f"x_{c}") for c in ("did", "tid", "item_id", "vid", "shift")))
+    both = cut(wanted.join(filled, wanted["did"].eqNullSafe(filled["k"]) & (wanted["tid"] == filled["t"])
+                           & (wanted["pos"] + wanted["shift"] == filled["at"])).select(*of, "pos", "kind", "value", "filled"))
+    key = F.xxhash64(*(F.coalesce(F.col(c), F.lit(0)) for c in of), F.col("kind"))
+    marked = []
+    for one, other in (("value", "filled"), ("filled", "value")):
+        twice = both.groupBy(key.alias("key"), F.col(one).alias("of")).agg(F.countDistinct(other).alias("n")).where("n > 1")
+        marked.append(both.withColumn("own", key).join(twice, (F.col("own") == twice["key"]) & (F.col(one) == twice["of"]), "left_semi").select(*of, "pos"))
+    return marked[0].unionByName(marked[1]).distinct().select(*(F.col(c).alias(f"x_{c}") for c in (*of, "pos")))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents (all columns) that no benchmark item contaminates."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("__did"), F.col("tid").alias("__tid")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__did")) & (F.xxhash64(docs["text"]) == F.col("__tid")), "left_anti")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("did"), F.xxhash64("text").alias("tid"))
+    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("bad_did"), F.col("tid").alias("bad_tid")).distinct()
+    rows = rows.join(bad, rows["did"].eqNullSafe(F.col("bad_did")) & (rows["tid"] == F.col("bad_tid")), "left_anti")
+    return rows.select("row.*")

@@ -91,40 +91,70 @@ QUERIES = {f.__name__: f for f in (
     op7_simhash_neardup, op8_mix_sources, op9_minhash_fingerprint, op10_substring_dedup,
     op11_spelling_variants, op12_token_shards, op13_periodic_runs)}
 
-#: Steps from (of, id, text) to the tokens of templates, for documents and items alike.
+#: From texts to tokens of templates, values of placeholders and plain words, for documents and items alike.
 _TEMPLATES = r"""
-        raw AS (SELECT 'd' AS side, row_number() OVER () AS n, doc_id AS id, text FROM documents
-                UNION ALL SELECT 'b', row_number() OVER (), item_id, text FROM benchmark),
-        a AS (SELECT side, n, id, translate(coalesce(text, ''), chr(1) || chr(2) || chr(3), '   ') AS text FROM raw),
+        raw AS (SELECT 'd' AS side, row_number() OVER () AS n, id, text FROM (SELECT DISTINCT doc_id AS id, text FROM documents)
+                UNION ALL SELECT 'b', row_number() OVER (), id, text
+                FROM (SELECT DISTINCT item_id AS id, text FROM benchmark WHERE item_id IS NOT NULL)),
+        spaced AS (SELECT side, n, id, regexp_replace(translate(coalesce(text, ''), chr(1) || chr(2) || chr(3), '   '), '{unspaced}', ' \1 ', 'g') AS text FROM raw),
+        a AS (SELECT side, n, id, regexp_replace(text, '{space}', ' ', 'g') AS text FROM spaced),
         b AS (SELECT *, regexp_replace(text, '{name}', '\1 ' || chr(2) || ' ', 'g') AS named FROM a),
         c AS (SELECT *, lower(regexp_replace(named, '{number}', ' ' || chr(1) || ' ', 'g')) AS low FROM b),
-        t AS (SELECT side, n, id,
+        t AS (SELECT side, n, id, regexp_extract_all(lower(text), '{word}') AS words,
                      regexp_extract_all(regexp_replace(low, '{unit}', '\1 ' || chr(3) || ' \3', 'g'), '[\p{{L}}\p{{M}}\x01-\x03]+') AS tokens,
                      regexp_extract_all(named, '{number}') AS numbers,
                      list_transform(regexp_extract_all(text, '{name}', 2), lambda x: lower(x)) AS names,
                      regexp_extract_all(low, '{unit}', 2) AS units FROM c)""".format(
-    name=decontaminate.NAME, number=decontaminate.NUMBER, unit=decontaminate.UNIT.replace(decontaminate.NUMBER_MARK, r"\x01"))
+    name=decontaminate.NAME, number=decontaminate.NUMBER, unit=decontaminate.UNIT.replace(decontaminate.NUMBER_MARK, r"\x01"),
+    word=decontaminate.WORD, space=decontaminate.SPACE, unspaced=decontaminate.UNSPACED.replace("{Is", "{"))
 
 SQL: dict[str, str] = {
     "op5_decontaminate": "WITH" + _TEMPLATES + r""",
-        words AS (SELECT side, n, id, i AS pos, tokens[i] AS tok, numbers, names, units FROM t, unnest(range(1, len(tokens) + 1)) AS u(i)),
+        toks AS (SELECT side, n, i AS pos, tokens[i] AS tok, numbers, names, units FROM t, unnest(range(1, len(tokens) + 1)) AS u(i)),
         slots AS (SELECT side, n, pos, ascii(tok) AS kind,
                          CASE ascii(tok) WHEN 1 THEN numbers[k] WHEN 2 THEN names[k] ELSE units[k] END AS value
-                  FROM (SELECT *, row_number() OVER (PARTITION BY side, n, tok ORDER BY pos) AS k FROM words
+                  FROM (SELECT *, row_number() OVER (PARTITION BY side, n, tok ORDER BY pos) AS k FROM toks
                         WHERE tok IN (chr(1), chr(2), chr(3)))),
+        -- templates: five tokens; the item's with three literal ones or more
         w AS (SELECT side, n, id, i AS pos, array_to_string(list_slice(tokens, i, i + 4), ' ') AS k,
                      len(list_filter(list_slice(tokens, i, i + 4), lambda x: x NOT IN (chr(1), chr(2), chr(3)))) AS literal
               FROM t, unnest(range(1, len(tokens) - 3)) AS u(i)),
-        pairs AS (SELECT d.n AS dn, d.id AS doc_id, b.n AS bn, b.id AS item_id, b.pos AS ipos, d.pos - b.pos AS shift
-                  FROM w d JOIN w b ON d.k = b.k AND d.side = 'd' AND b.side = 'b' AND b.literal >= 3),
+        wanted AS (SELECT n AS bn, id AS item_id, pos AS ipos, k FROM w WHERE side = 'b' AND literal >= 3),
+        pairs AS (SELECT d.n AS dn, bn, ipos, d.pos - ipos AS shift FROM w d JOIN wanted USING (k) WHERE d.side = 'd'),
         filled AS (SELECT DISTINCT dn, bn, shift, s.pos, s.kind, s.value, f.value AS other
                    FROM pairs JOIN slots s ON s.side = 'b' AND s.n = bn AND s.pos BETWEEN ipos AND ipos + 4
                    JOIN slots f ON f.side = 'd' AND f.n = dn AND f.pos = s.pos + shift),
-        bad AS (SELECT dn, bn, shift FROM filled GROUP BY ALL
-                HAVING count(DISTINCT (kind, value, other)) > least(count(DISTINCT (kind, value)), count(DISTINCT (kind, other)))),
-        found AS (SELECT dn, doc_id, bn, item_id, count(DISTINCT ipos) AS n_windows FROM pairs ANTI JOIN bad USING (dn, bn, shift) GROUP BY ALL),
-        total AS (SELECT n AS bn, count(*) AS total FROM w WHERE side = 'b' AND literal >= 3 GROUP BY n)
-        SELECT doc_id, item_id, n_windows, n_windows / total AS share FROM found JOIN total USING (bn) WHERE n_windows / total >= 0.4""",
+        bad AS (SELECT dn, bn, shift, pos FROM filled
+                WINDOW v AS (PARTITION BY dn, bn, shift, kind, value), o AS (PARTITION BY dn, bn, shift, kind, other)
+                QUALIFY min(other) OVER v <> max(other) OVER v OR min(value) OVER o <> max(value) OVER o),
+        good AS (SELECT dn, bn, ipos FROM pairs p WHERE NOT EXISTS (
+                 SELECT 1 FROM bad x WHERE x.dn = p.dn AND x.bn = p.bn AND x.shift = p.shift AND x.pos BETWEEN p.ipos AND p.ipos + 4)),
+        -- plain words: where each token of an item lies among its words, by characters
+        tc AS (SELECT n, pos, sum(len) OVER (PARTITION BY n ORDER BY pos) AS stop, len FROM (
+               SELECT k.n, k.pos, length(replace(coalesce(value, tok), ' ', '')) AS len
+               FROM toks k LEFT JOIN slots s ON s.side = 'b' AND s.n = k.n AND s.pos = k.pos WHERE k.side = 'b')),
+        wc AS (SELECT n, i AS pos, length(words[i]) AS len, sum(length(words[i])) OVER (PARTITION BY n ORDER BY i) AS stop
+               FROM t, unnest(range(1, len(words) + 1)) AS u(i) WHERE side = 'b'),
+        place AS (SELECT tc.n, tc.pos, min(wc.pos) AS first, max(wc.pos) AS last FROM tc JOIN wc
+                  ON tc.n = wc.n AND wc.stop > tc.stop - tc.len AND wc.stop - wc.len < tc.stop GROUP BY ALL),
+        whole AS (SELECT n AS bn, len(words) AS m FROM t WHERE side = 'b' AND len(words) > 0 AND n NOT IN (SELECT bn FROM wanted)),
+        spans AS (SELECT bn, ipos, x.first, y.last - x.first + 1 AS m FROM wanted
+                  JOIN place x ON x.n = bn AND x.pos = ipos JOIN place y ON y.n = bn AND y.pos = ipos + 4
+                  UNION ALL SELECT bn, 0, 1, m FROM whole),
+        sized AS (SELECT *, CASE WHEN m >= 5 THEN 5 WHEN m >= 2 THEN 2 ELSE 1 END AS size FROM spans),
+        parts AS (SELECT bn, ipos, size, i AS pos, m - size + 1 AS need FROM sized, unnest(range(first, first + m - size + 1)) AS u(i)),
+        p AS (SELECT side, n, size, i AS pos, array_to_string(list_slice(words, i, i + size - 1), ' ') AS k
+              FROM t, unnest([5, 2, 1]) AS z(size), unnest(range(1, len(words) - size + 2)) AS u(i)
+              WHERE side = 'b' OR size > 1 OR len(words) = 1),
+        met AS (SELECT DISTINCT d.n AS dn, b.n AS bn, size, b.pos, d.pos - b.pos AS shift
+                FROM p d JOIN p b USING (size, k) JOIN (SELECT DISTINCT bn, size, pos FROM parts) s ON s.bn = b.n AND s.size = d.size AND s.pos = b.pos
+                WHERE d.side = 'd' AND b.side = 'b'),
+        same AS (SELECT dn, bn, ipos FROM met JOIN parts USING (bn, size, pos) GROUP BY dn, bn, shift, ipos, need HAVING count(*) = need),
+        found AS (SELECT dn, bn, count(DISTINCT ipos) AS n_windows FROM (FROM good UNION ALL FROM same) GROUP BY ALL),
+        total AS (SELECT bn, count(*) AS total FROM (SELECT bn FROM wanted UNION ALL SELECT bn FROM whole) GROUP BY bn)
+        SELECT d.id AS doc_id, b.id AS item_id, max(n_windows) AS n_windows, max(n_windows / total) AS share
+        FROM found JOIN total USING (bn) JOIN t d ON d.side = 'd' AND d.n = dn JOIN t b ON b.side = 'b' AND b.n = bn
+        WHERE n_windows / total >= 0.4 GROUP BY dn, d.id, b.id""",
     "op6_url_filter": r"""
         WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
                    FROM pages),
