@@ -12,6 +12,14 @@ name. Outside it, headings and the cluster lines that are not links alone are
 kept as well, clustered once more without the region, whose long lines would
 raise the threshold; outside an article or main, only those of other such
 elements.
+
+A form, or an element of which only a part of a name says furniture (such as
+``social-science``), is dropped unless it has nearly all of the text of a page
+without article and main; an element that holds the page's only article or main is
+never dropped.
+A header goes with its headings, also inside an article: what a page calls
+its header is no part of the main text here. The parser's work is linear in
+the page, however deep and unclosed its elements are.
 """
 
 from __future__ import annotations
@@ -40,7 +48,7 @@ CONTAINER = frozenset("article body center div html main section table tbody td
 LEAF_REGION = frozenset(("article", "main"))
 HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 DROPPED = frozenset(
-    "aside audio button canvas datalist dialog footer form head header iframe input menu nav noscript object script "
+    "aside audio button canvas datalist dialog footer head header iframe input menu nav noscript object script "
     "search select style svg template textarea title video".split())
 KEPT = frozenset(("html", "body", "main"))
 # Words of class, id and role that name furniture.
@@ -53,38 +61,60 @@ CLASS_WORD = re.compile(r"[a-z0-9]+")
 
 
 class _Lines(HTMLParser):
-    """Parser events -> lines: [text, tags, container, heading, links alone]."""
+    """Parser events -> lines: [text, tags, container, heading, links alone, suspect]."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int, bool, bool]] = []  # element, dropped, container, heading, link
+        self.open: list[tuple[str, bool, int, bool, bool, int]] = []  # element, dropped, container, heading, link, suspect
+        self.places: dict[str, list[int]] = {}  # of the open elements of a name
+        self.blocks: list[int] = []  # places of the open block elements
         self.parents, self.kinds = [-1], ["root"]
+        #: Elements that may be furniture: the one around it, whether a part of
+        #: a name or a form says so, and whether an article or main is inside.
+        self.suspects: list[list] = [[-1, False, False]]
+        self.free = False  # an article or main outside all of them
+        self.regions = False  # an article or main at all
         self.lines: list[list] = []
         self.parts: list[str] = []
         self.tags = 0
         self.linked = True  # all of the parts so far
 
-    def here(self) -> tuple[bool, int, bool, bool]:
-        return self.open[-1][1:] if self.open else (False, 0, False, False)
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A marked section of no known kind is skipped up to its end."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.rawdata.find(">", i) + 1 or len(self.rawdata)
+
+    def here(self) -> tuple[bool, int, bool, bool, int]:
+        return self.open[-1][1:] if self.open else (False, 0, False, False, 0)
 
     def end_line(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                _, container, heading, _ = self.here()
-                self.lines.append([text, self.tags, container, heading, self.linked])
+                _, container, heading, _, suspect = self.here()
+                self.lines.append([text, self.tags, container, heading, self.linked, suspect])
                 self.tags = 0
             self.parts, self.linked = [], True
 
+    def close_from(self, place: int) -> None:
+        """Close the open elements from this place on."""
+        for name, *_ in self.open[place:]:
+            self.places[name].pop()
+        del self.open[place:]
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
+
     def close_implied(self, tag: str) -> None:
         """A block ends an open paragraph; an item or cell ends its sibling."""
         ends = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                 "th": ("td", "th"), "option": ("option",)}.get(tag, ())
-        for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i][0]
-            if name == "p" and tag not in ("br",) or name in ends:
-                del self.open[i:]
-            elif name in BLOCK:
+        while self.blocks:
+            name = self.open[self.blocks[-1]][0]
+            if name == "p" and tag != "br" or name in ends:
+                self.close_from(self.blocks[-1])
+            else:
                 return
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -94,13 +124,28 @@ class _Lines(HTMLParser):
             self.close_implied(tag)
         if tag in VOID:
             return
-        dropped, container, heading, link = self.here()
-        dropped = dropped or self.furniture(tag, attrs)
+        dropped, container, heading, link, suspect = self.here()
+        dropped = dropped or self.hidden(tag, attrs)
+        if not dropped:
+            doubt = self.furniture(tag, attrs)
+            if doubt is not None:
+                self.suspects.append([suspect, doubt, False])
+                suspect = len(self.suspects) - 1
+            elif tag in LEAF_REGION:
+                self.regions = True
+                self.free = self.free or not suspect
+                around = suspect
+                while around and not self.suspects[around][2]:
+                    self.suspects[around][2] = True
+                    around = self.suspects[around][0]
         if tag in CONTAINER and not dropped:
             self.parents.append(container)
             self.kinds.append(tag)
             container = len(self.kinds) - 1
-        self.open.append((tag, dropped, container, heading or tag in HEADING, link or tag == "a"))
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCK:
+            self.blocks.append(len(self.open))
+        self.open.append((tag, dropped, container, heading or tag in HEADING, link or tag == "a", suspect))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -110,34 +155,48 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self.end_line()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                return
+        if self.places.get(tag):
+            self.close_from(self.places[tag][-1])
 
     def handle_data(self, data: str) -> None:
-        dropped, _, _, link = self.here()
+        dropped, _, _, link, _ = self.here()
         if not dropped:
             self.parts.append(data)
             if not link and self.linked and not data.isspace():
                 self.linked = False
 
     @staticmethod
-    def furniture(tag: str, attrs: list) -> bool:
-        if tag in DROPPED:
-            return True
-        if tag in KEPT or not attrs:
+    def hidden(tag: str, attrs: list) -> bool:
+        return tag in DROPPED or any(
+            name == "hidden" or name == "aria-hidden" and value == "true"
+            or name == "style" and value and "display:none" in value.replace(" ", "").lower() for name, value in attrs if tag not in KEPT)
+
+    @staticmethod
+    def furniture(tag: str, attrs: list) -> bool | None:
+        """None: not furniture. Else whether that is in doubt: a form, or only a
+        part of a name says so (of an article, such a part says nothing)."""
+        if tag in KEPT:
+            return None
+        names = [token for name, value in attrs if value and name in ("class", "id", "role") for token in value.lower().split()
+                 if not token.startswith(("has-", "no-", "with-"))]
+        if not FURNITURE.isdisjoint(names):
             return False
-        for name, value in attrs:
-            if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
-            if value and name == "style" and "display:none" in value.replace(" ", "").lower():
-                return True
-            if value and name in ("class", "id", "role"):
-                for token in value.lower().split():
-                    if not token.startswith(("has-", "no-", "with-")) and not FURNITURE.isdisjoint(CLASS_WORD.findall(token)):
-                        return True
-        return False
+        parts = tag != "article" and any(not FURNITURE.isdisjoint(CLASS_WORD.findall(token)) for token in names)
+        return True if parts or tag == "form" else None
+
+    def kept_lines(self) -> list[list]:
+        """The lines outside furniture."""
+        mass = [0] * len(self.suspects)
+        for line in self.lines:
+            mass[line[5]] += len(line[0])
+        total = sum(mass)
+        for k in range(len(mass) - 1, 0, -1):  # inner elements have larger numbers
+            mass[self.suspects[k][0]] += mass[k]
+        gone = [False] * len(mass)
+        for k in range(1, len(mass)):
+            around, doubt, holds = self.suspects[k]
+            gone[k] = gone[around] or not (holds and not self.free or doubt and not self.regions and mass[k] >= HOLDS * total)
+        return [line for line in self.lines if not gone[line[5]]]
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -158,7 +217,7 @@ def main_text(html: str) -> str:
     parser.feed(html)
     parser.close()
     parser.end_line()
-    lines = parser.lines
+    lines = parser.kept_lines()
     if not lines:
         return ""
     length = np.array([len(x[0]) for x in lines], float)

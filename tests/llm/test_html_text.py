@@ -1,6 +1,8 @@
 """Main text of pages: the fixture's articles and hand-written pages."""
 import html
+import random
 import re
+import time
 
 import pytest
 
@@ -62,3 +64,38 @@ def test_edges(spark):
 ])
 def test_text_beside_a_dominant_block_stays(page, text):
     assert html_text.main_text(page) == " ".join(text)
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<p>x</p><![foo[bar]]><p>y", "x y"),
+    ("<p>x</p><![foo", "x <![foo"),
+    ("<p>x</p><![CDATA[c]]><p>y", "x y"),
+    ("<article class='comments-open'><p>a</p></article>", "a"),
+    ("<article class='post social-science'><p>a</p><div class='comments'>c</div></article>", "a"),
+    ("<form id=aspnetForm><div class=menu>m</div><div><p>" + LONG * 3 + "</p></div></form>", " ".join([LONG.strip()] * 3)),
+    ("<div class=social-science><main><p>a</p></main></div>", "a"),
+    ("<div class=notice-board><article><p>a</p></article></div><div class=footer-links>" + "f " * 500 + "</div>", "a"),
+    ("<article><p>short</p></article><section class=comment-list><article class=x><p>" + LONG * 5 + "</p></article></section>", "short"),
+    ("<div><p>" + LONG + "</p></div><div id=comments><p>" + LONG * 2 + "</p></div>", LONG.strip()),
+    ("<article><header><h1>T</h1></header><p>a</p></article>", "a"),
+])
+def test_names_that_are_no_furniture(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("tag", ["<b>", "<div>", "<p>", "<li>", "<option>", "</i><i>", "<b></u>", "<form class=a-form>"])
+def test_deep_and_unclosed_pages_take_linear_time(tag):
+    start = time.process_time()
+    assert html_text.main_text(tag * 100_000 + "x") in ("x", "")
+    assert time.process_time() - start < 8
+
+
+def test_div_pages_by_brute_force():
+    """Pages of divs with long paragraphs and menus of links, against the page as it was made."""
+    r = random.Random(5)
+    for _ in range(60):
+        paragraphs = [" ".join(r.choice(["word", "text", "longer", "and"]) for _ in range(r.randint(25, 60))) for _ in range(r.randint(4, 12))]
+        menu = "<ul class=menu>" + "".join(f"<li><a href=#>{i}</a>" for i in range(r.randint(3, 20))) + "</ul>"
+        body = "".join(f"<p>{x}</p>" if r.random() < 0.7 else f"<div>{x}</div>" for x in paragraphs)
+        page = f"<body>{menu}<div class=page>{body}</div><div id=sidebar>{menu}</div><footer>{menu}</footer></body>"
+        assert html_text.main_text(page) == " ".join(paragraphs)
