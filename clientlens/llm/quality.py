@@ -44,9 +44,8 @@ PRIOR_GOOD = 0.8
 PSEUDO = 20.0
 #: Fewer words are too few for most labellers.
 ENOUGH = 6
-#: Words of a block in which distinct ones are counted; fewer than FEW all count as distinct.
+#: Words of a block in which distinct ones are counted.
 BLOCK = 3000
-FEW = 30
 
 _SHAPES = bytes(88 if 65 <= b <= 90 else 120 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256))
 _PLAIN = re.compile(rb"[\"'(+]*(X?x|X|Xx[Xx-]*|x-x|0[0.,:/()-]*)[.,;:?!\"')]?")
@@ -80,8 +79,8 @@ def votes(text: bytes, known: tuple[int, int, Counter] | None = None) -> tuple[i
     bars = text.count(b"|") + text.count("•".encode()) + text.count("»".encode())
     plain = sum(c for x, c in forms.items() if _PLAIN.fullmatch(x))
     small = sum(c for x, c in forms.items() if _SMALL.fullmatch(x))
-    words = text.split() if n >= FEW else []
-    distinct = sum(len(set(words[i:i + BLOCK])) for i in range(0, n, BLOCK)) if words else n
+    words = text.split()
+    distinct = sum(len(set(words[i:i + BLOCK])) for i in range(0, n, BLOCK))
 
     def vote(bad: bool, good: bool, enough: bool = n >= ENOUGH) -> int:
         return NONE if not enough else BAD if bad else GOOD if good else NONE
@@ -187,15 +186,19 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> Scorer
 
 
 def vote_patterns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pattern) of every document."""
+    """(id, tid: a hash of the text, pattern) of every document."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces(batch, 1):
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([pattern(votes(t)) for t in texts], pa.int64())], names=["id", "pattern"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([pattern(votes(t)) for t in texts], pa.int64())], names=["id", "tid", "pattern"])
+
+    return _keyed(docs, id_col, text_col).mapInArrow(task, "id long, tid long, pattern long")
+
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(task, "id long, pattern long")
+    return rows.withColumn("tid", F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[LabelModel, Scorer]:
@@ -205,7 +208,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     patterns = cut(vote_patterns(docs, id_col, text_col))
     counted = patterns.groupBy("pattern").count().orderBy("pattern").collect()
     model = estimate(np.array([r.pattern for r in counted], np.int64), np.array([r["count"] for r in counted], float))
-    picked = (patterns.where("id is not null").dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(SAMPLE))
+    picked = patterns.where("id is not null").distinct().orderBy(F.xxhash64("id"), "id", F.xxhash64("tid"), "tid").limit(SAMPLE)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,10 +217,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([i.tobytes() for i, _ in found], pa.binary()),
                                                   pa.array([s.tobytes() for _, s in found], pa.binary())], names=["id", "pattern", "at", "shares"])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = (texts.join(F.broadcast(picked), "id").select("id", "pattern", "text")
+    # repeats of a row are one, so no more than SAMPLE features reach the driver
+    rows = (_keyed(docs, id_col, text_col).join(F.broadcast(picked), ["id", "tid"]).dropDuplicates(["id", "tid"]).select("id", "pattern", "text")
             .mapInArrow(task, "id long, pattern long, at binary, shares binary").collect())
-    rows = sorted(rows, key=lambda r: (r.id, r.at, r.shares))[:SAMPLE]
+    rows = sorted(rows, key=lambda r: (r.id, r.at, r.shares))
     target = model.posterior(np.array([r.pattern for r in rows], np.int64)) if rows else np.zeros(0)
     return model, fit([(np.frombuffer(r.at, np.int32), np.frombuffer(r.shares, float)) for r in rows], target)
 

@@ -162,8 +162,8 @@ def threshold(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> flo
 def learning_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[list, list, float]:
     """Feature arrays of the positives and the unlabelled, and the prior, all
     from rows that are not held out. At most POSITIVES + UNLABELLED ids are
-    picked (and so broadcast) by a hash of the id, and the driver gets the
-    features of those documents alone."""
+    picked (and so broadcast) by a hash of the id. Of what rows they have, by a
+    hash of id and text, at most POSITIVES and UNLABELLED texts go to the driver as features."""
     known = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"))
              .where(~held_out(F.col("id")) & F.col("toxic").isNotNull()).groupBy("id").agg(F.max("toxic").alias("toxic")))
     prior = known.agg(F.avg("toxic")).first()[0] or 0.0
@@ -173,7 +173,7 @@ def learning_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         return rows.select("id").orderBy(F.xxhash64("id"), "id").limit(most)
 
     picked = (first(known.where("toxic = 1"), POSITIVES).select("id", F.lit(1).alias("side"))
-              .unionByName(first(ids, UNLABELLED).select("id", F.lit(0).alias("side"))))
+              .unionByName(first(ids.distinct(), UNLABELLED).select("id", F.lit(0).alias("side"))))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,10 +182,15 @@ def learning_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.binary())], names=["id", "side", "features"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = (texts.join(F.broadcast(picked.distinct()), "id").select("id", "side", "text")
-            .mapInArrow(task, "id long, side int, features binary").collect())
-    rows.sort(key=lambda x: (x.id, x.features))
-    sides = [[np.frombuffer(x.features, np.int32) for x in rows if x.side == side][:most] for side, most in ((1, POSITIVES), (0, UNLABELLED))]
+    # an id may have many rows: of a side's texts, the first of a hash are taken, once each
+    rows = texts.join(F.broadcast(picked), "id").select("id", "side", "text").withColumn("tid", F.xxhash64(F.coalesce("text", F.lit(""))))
+    places = rows.select("id", "side", "tid").distinct()
+    order = [F.xxhash64("id", "tid"), "id", "tid"]
+    chosen = F.broadcast(places.where("side = 1").orderBy(*order).limit(POSITIVES).unionByName(places.where("side = 0").orderBy(*order).limit(UNLABELLED)))
+    found = (rows.join(chosen, ["id", "side", "tid"]).dropDuplicates(["id", "side", "tid"]).select("id", "side", "text")
+             .mapInArrow(task, "id long, side int, features binary").collect())
+    found.sort(key=lambda x: (x.id, x.features))
+    sides = [[np.frombuffer(x.features, np.int32) for x in found if x.side == side] for side in (1, 0)]
     return sides[0], sides[1], prior
 
 

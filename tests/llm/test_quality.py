@@ -59,3 +59,17 @@ def test_vocabulary_of_long_texts():
         prose = " ".join(f"word{i}" for i in r.integers(0, 5000, n))
         assert quality.votes(loop.encode())[vocabulary] == quality.BAD
         assert quality.votes(prose.encode())[vocabulary] == quality.GOOD
+
+
+def test_the_driver_gets_no_more_than_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 10)
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, target, f=quality.fit: seen.append(len(rows)) or f(rows, target))
+    docs = spark.range(5000).selectExpr("id % 3 as doc_id", "concat('some text of the number ', id) as text", "id as tid", "id as pattern")
+    assert quality.classify(docs).count() == 5000
+    assert seen == [10]
+
+
+def test_a_short_loop_is_judged_like_a_long_one():
+    for times in (14, 15, 3000):
+        assert quality.votes(b"buy now " * times)[-1] == quality.BAD

@@ -84,3 +84,15 @@ def test_query_on_fixture(spark):
     assert np.mean([rows[d].predicted for d in clear]) > 0.9
     clean = [d for d, t in labels.items() if not t]
     assert np.mean([rows[d].predicted for d in clean]) < 0.03
+
+
+def test_the_driver_gets_no_more_than_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "POSITIVES", 5)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 5)
+    learn = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:3]
+    docs = spark.range(5000).selectExpr(f"element_at(array({learn[0]}L, {learn[1]}L, {learn[2]}L), cast(id % 3 + 1 as int)) as doc_id",
+                                        "concat('text number ', id) as text", "id as side", "id as tid")
+    labels = spark.createDataFrame([(i, 1) for i in learn], "doc_id long, toxic int")
+    positive, unlabelled, _ = toxicity.learning_sample(docs, labels, "doc_id", "text")
+    assert (len(positive), len(unlabelled)) == (5, 5)
+    assert toxicity.toxicity(docs, labels).count() == 5000
