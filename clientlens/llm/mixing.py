@@ -125,24 +125,25 @@ def _settle(batches: Iterator[pa.RecordBatch], level: int, last: bool) -> Iterat
         yield pa.RecordBatch.from_pylist([closing(held)], schema=schema)
 
 
-def mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
+def mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT, keys: tuple[str, ...] = ()) -> DataFrame:
     """(id: long, source, size) rows -> the same rows with source_size, target
     and copies (0 to ``limit``), the number of times the mix takes them.
+    ``keys``: further long columns that belong to the id.
 
     Each source's words taken are its target up to one document. Rows of size
     0 are never drawn (0 copies). Null sources are one source, the last in
     order; null ids and repeated rows are documents of their own. Reruns
     agree, whatever the partitions. No rows: no rows.
     """
-    sizes = cut(sizes.select(F.col("id").cast("long").alias("id"), F.col("source").cast("string").alias("source"),
+    sizes = cut(sizes.select(F.col("id").cast("long").alias("id"), *keys, F.col("source").cast("string").alias("source"),
                              F.col("size").cast("long").alias("size")))
     targets = source_targets(sizes, weights, share, limit).withColumnRenamed("source", "of")
     wanted = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = (sizes.join(targets, F.col("source").eqNullSafe(F.col("of")))
             .withColumn("whole", F.floor(wanted)).withColumn("p", wanted - F.col("whole"))
-            .withColumn("h", F.xxhash64("id", "sid", "size"))
+            .withColumn("h", F.xxhash64("id", *keys, "sid", "size"))
             .withColumn("grp", F.pmod(F.xxhash64("h"), F.ceil(F.col("docs") / LEAF)))
-            .select("id", "source", "size", "sid", "docs", "source_size", "target", "whole", "p", "h", "grp"))
+            .select("id", *keys, "source", "size", "sid", "docs", "source_size", "target", "whole", "p", "h", "grp"))
     settled, level = None, 0
     groups = -(-(sizes.groupBy("source").count().agg(F.max("count")).first()[0] or 0) // LEAF)
     while True:
@@ -152,7 +153,7 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHA
                  .mapInArrow(lambda it, args=args: _settle(it, *args), rows.schema))
         if last:
             settled = dealt if settled is None else settled.unionByName(dealt)
-            return settled.select("id", "source", "size", "source_size", "target",
+            return settled.select("id", *keys, "source", "size", "source_size", "target",
                                   (F.col("whole") + F.col("p").cast("long")).alias("copies"))
         dealt = cut(dealt)
         whole = dealt.where("p = 0 or p = 1")
@@ -167,8 +168,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     are drawn once and get the same copies. Columns of these names that the
     documents already have are replaced."""
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
-    docs = docs.select(*own, F.xxhash64("doc_id", "source", "text").alias("__key"))
-    counted = word_counts(docs.select("__key", "source", "text")).select("row.__key", "row.source", "size").dropDuplicates(["__key"])
-    mixed = mix(counted.withColumnRenamed("__key", "id")).where("copies > 0").select(
-        F.col("id").alias("__key"), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
-    return docs.join(mixed, "__key").drop("__key")
+    # a document is known by two hashes of its id, source and text
+    of = ("of.doc_id", "of.source", "of.text")
+    rows = docs.select(F.struct("doc_id", "source", "text").alias("of"), F.struct(*own).alias("row")).select(
+        "row", F.xxhash64(*of).alias("h1"), F.xxhash64(F.lit(1), *of[::-1]).alias("h2"))
+    sizes = word_counts(rows.select("h1", "h2", F.col("row.source").alias("source"), F.col("row.text").alias("text"))).select("row.*", "size")
+    mixed = mix(sizes.dropDuplicates(["h1", "h2"]).withColumnRenamed("h1", "id"), keys=("h2",)).where("copies > 0").select(
+        F.col("id").alias("h1"), "h2", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return rows.join(mixed, ["h1", "h2"]).select("row.*", "size", "source_size", "target", "copies", "taken")

@@ -94,7 +94,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[p
     for batch in batches:
         for part, texts in pieces(batch, 1):
             values = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values)], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values), part.column(2)], names=["id", "fp", "tid"])
 
 
 def _bucket_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,8 +205,10 @@ def simhash_links(fps: DataFrame) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       shingle: int = 3) -> DataFrame:
-    """One row per document: (doc_id, fingerprint, component_id).
+                       shingle: int = 3, keys: bool = False) -> DataFrame:
+    """One row per document: (doc_id, fingerprint, component_id); with ``keys``
+    also tid, a hash of the text that tells documents of one id apart, and
+    root, a fingerprint that tells components apart which share their least id.
 
     Documents are linked when their fingerprints differ in 2 bits or fewer;
     component_id is the least id reachable, the document's own included.
@@ -216,24 +218,30 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     (component_id is null only if the whole component has no id). No rows:
     no rows. Other columns are ignored, whatever their names.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    fps = cut(rows.mapInArrow(lambda it: _fingerprints(it, shingle), "id long, fp long"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), _tid(text_col).alias("tid"))
+    fps = cut(rows.mapInArrow(lambda it: _fingerprints(it, shingle), "id long, fp long, tid long"))
     distinct = fps.groupBy("fp").agg(F.min("id").alias("first"))
     roots = connected_components(simhash_links(distinct))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "component_id", "root")
     return fps.join(named, "fp").select(
-        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *(["tid", "root"] if keys else []))
+
+
+def _tid(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
-    """The documents (all columns) without those that have a near copy with a
-    smaller doc_id: one stays of each component, exact repeats of a row
-    included. Rows with a null doc_id cannot be named and stay."""
-    classes = simhash_components(docs)
-    stay = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
-    named = docs.where("doc_id is not null")
-    kept = named.join(stay, named["doc_id"] == stay["__stay"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """The documents (all columns) of which one stays of each component: the
+    one with the smallest doc_id and, of texts that share it, the smallest hash;
+    of rows that repeat an id and text one. Unrelated texts that share an id
+    are in different components, so each stays. Rows with a null doc_id cannot
+    be named and stay."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("did"), _tid("text").alias("own"))
+    stay = (simhash_components(docs, keys=True).where("doc_id is not null").groupBy("root")
+            .agg(F.min(F.struct("doc_id", "tid")).alias("first")).select(F.col("first.doc_id").alias("did"), F.col("first.tid").alias("own")))
+    kept = rows.where("did is not null").join(stay, ["did", "own"], "left_semi").dropDuplicates(["did", "own"])
+    return kept.select("row.*").unionByName(docs.where("doc_id is null"))

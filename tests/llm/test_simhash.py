@@ -121,3 +121,15 @@ def test_one_document_of_each_group_stays(spark):
     want = sorted({d for d, _, c in brute(rows) if d is not None and d == c})
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == want
     assert kept.where(F.col("doc_id").isNull()).count() == 2
+
+
+def test_unrelated_documents_that_share_an_id_stay(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in ("a", "b", "c"))
+    docs = [(7, one, "x"), (7, two, "y"), (8, one, "z"), (7, one, "x"), (9, three, "r"), (None, one, "n"), (3, two + " more", "q")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, row string").withColumn("did", F.col("doc_id"))
+    kept = simhash.one_per_component(frame)
+    assert kept.columns == frame.columns
+    rows = {(r.doc_id, r.text, r.row) for r in kept.collect()}
+    near = bin(simhash.fingerprint(two.encode(), 3) ^ simhash.fingerprint((two + " more").encode(), 3)).count("1") <= 2
+    assert rows == {(7, one, "x"), (9, three, "r"), (None, one, "n"), (3, two + " more", "q")} | (set() if near else {(7, two, "y")})
+    assert kept.count() == len(rows)
