@@ -27,10 +27,11 @@ from __future__ import annotations
 import json
 import re
 import struct
+import sys
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ BLOCK = 1 << 17
 #: A shard is closed when it has so many ids; a document is never split.
 SHARD = 1 << 21
 #: Words whose ids are remembered; beyond, all are forgotten.
-KNOWN = 400_000
+KNOWN = 800_000
 
 
 class WaveletMatrix:
@@ -253,9 +254,19 @@ class Encoder:
         return out, counts
 
 
+def _worker_encoder(tokenizer: str, end_id: int) -> Encoder:
+    """The encoder of this worker process: it outlives a task, so the next one
+    neither reads the tokenizer again nor starts without words."""
+    kept = vars(sys.modules.setdefault("token_encoders", ModuleType("token_encoders")))
+    key = f"{zlib.crc32(tokenizer.encode())}-{len(tokenizer)}-{end_id}"
+    if key not in kept:
+        kept[key] = Encoder(tokenizer, end_id)
+    return kept[key]
+
+
 def _shards(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, size: int) -> Iterator[pa.RecordBatch]:
     """Sorted (id, text) rows of a partition -> (content): its shard files."""
-    encoder, part, shard = Encoder(tokenizer, end_id), TaskContext.get().partitionId(), 0
+    encoder, part, shard = _worker_encoder(tokenizer, end_id), TaskContext.get().partitionId(), 0
     ids: list[np.ndarray] = []
     names: list[int | None] = []
     tokens: list[int] = []
