@@ -49,6 +49,10 @@ SPACE = r"[\x09-\x0D\x20\p{Z}]+"
 #: Characters of scripts without spaces, each a token of its own.
 SCRIPTS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
 UNSPACED = "([" + "".join(rf"\p{{Is{s}}}" for s in SCRIPTS) + r"]\p{M}*)"
+#: Characters from the first of those scripts on; a text without them has none to part.
+LATER = r"[^\x00-\u0DFF]"
+#: SPACE without lone spaces, which would be replaced by themselves.
+UNEVEN = r"(?:[\x09-\x0D\p{Z}&&[^\x20]]|\x20(?=[\x09-\x0D\p{Z}]))[\x09-\x0D\p{Z}]*"
 WORD = rf"({NUMBER}|[\p{{L}}\p{{M}}]+)"
 
 
@@ -56,8 +60,11 @@ def _with_templates(df: DataFrame, slots: bool) -> DataFrame:
     """(..., text) -> (..., tokens, words: the plain lower-cased words and
     numbers) and, with ``slots``, (..., slots: array of (pos, kind, value)).
     Each step is a column of its own, so nothing is worked out twice."""
-    df = df.withColumn("text", F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), MARKS, "   "), UNSPACED, " $1 "))
-    df = df.withColumn("text", F.regexp_replace("text", SPACE, " "))
+    df = df.withColumn("text", F.coalesce("text", F.lit("")))
+    marked = F.contains("text", F.lit(NUMBER_MARK)) | F.contains("text", F.lit(NAME_MARK)) | F.contains("text", F.lit(UNIT_MARK))
+    df = df.withColumn("text", F.when(marked, F.translate("text", MARKS, "   ")).otherwise(F.col("text")))
+    df = df.withColumn("text", F.when(F.col("text").rlike(LATER), F.regexp_replace("text", UNSPACED, " $1 ")).otherwise(F.col("text")))
+    df = df.withColumn("text", F.regexp_replace("text", UNEVEN, " "))
     df = df.withColumn("words", F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(1)))
     df = df.withColumn("named", F.regexp_replace("text", NAME, f"$1 {NAME_MARK} "))
     df = df.withColumn("low", F.lower(F.regexp_replace("named", NUMBER, f" {NUMBER_MARK} ")))
