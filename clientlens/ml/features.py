@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from clientlens.functions.columns import replace_sentinel
 from clientlens.operators.quantiles import exact_quantiles
+from clientlens.session import ensure_checkpoint_dir
 
 PREPARED = "_prepared"
 
@@ -107,6 +108,33 @@ def string_indexer(cols: Sequence[str], out_cols: Sequence[str] | None = None,
                          stringOrderType=order, handleInvalid=handle_invalid)
 
 
+def dictionary(df: DataFrame, column: str, index_col: str = "index") -> DataFrame:
+    """(column, index_col): each known value with its place, most frequent
+    first, ties by value, as ``string_indexer`` numbers them, but found by a
+    distributed sort: the driver gets one row count per sorted partition, never
+    the values. NULL is no value."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    ensure_checkpoint_dir(df.sparkSession)
+    # the place is the partition's number, then the row's within it
+    placed = counts.orderBy(F.desc("__n"), column).select(column, F.monotonically_increasing_id().alias("__at")).checkpoint()
+    part = F.shiftright("__at", 33)
+    before, total = [], 0
+    for r in sorted(placed.groupBy(part.alias("part")).count().collect()):
+        before.append((r["part"], total))
+        total += r["count"]
+    offsets = df.sparkSession.createDataFrame(before, "__part long, __before long")
+    return placed.join(offsets, part == F.col("__part")).select(
+        column, (F.col("__before") + F.col("__at") - F.shiftleft("__part", 33)).cast("double").alias(index_col))
+
+
+def dictionary_index(df: DataFrame, column: str, known: DataFrame, index_col: str = "index") -> DataFrame:
+    """``df`` with the place of its value in a ``dictionary``; a value that is
+    not there, NULL included, gets the number of known values."""
+    rest = known.agg(F.count(F.lit(1)).cast("double")).scalar()
+    values = known.select(F.col(column).alias("__value"), F.col(index_col).alias("__index"))
+    return df.join(values, df[column] == F.col("__value"), "left").select(*[df[c] for c in df.columns], F.coalesce("__index", rest).alias(index_col))
+
+
 def feature_pipeline(cat_cols: Sequence[str], num_cols: Sequence[str],
                      label_col: str | None = "y", classifier=None,
                      preparation: Preparation | None = None) -> Pipeline:
@@ -125,8 +153,9 @@ def feature_pipeline(cat_cols: Sequence[str], num_cols: Sequence[str],
     ohe = [f"{c}_ohe" for c in cat_cols]
     numbers = [f"{c}{PREPARED}" if preparation else c for c in num_cols]
     stages = [preparation.stage()] if preparation else []
-    stages += [string_indexer(cat_cols, idx),
-               OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="error", dropLast=True)]
+    if idx:
+        stages += [string_indexer(cat_cols, idx),
+                   OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="error", dropLast=True)]
     if label_col:
         # labels must be known (no extra "unseen" class); scoring drops the
         # label column, so rows without one are still scored

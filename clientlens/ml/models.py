@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from clientlens.ml.features import feature_pipeline, fit_preparation, hash_bucket, slot_names
 
-#: Partitions of the training rows (see ``layout``).
-TREE_PARTITIONS = 8
+#: Training rows of a partition, and partitions at most (see ``layout``).
+TREE_ROWS = 20_000
+MOST_PARTITIONS = 20_000
 
 
 def random_forest(num_trees: int = 100, max_depth: int = 5, seed: int = 42) -> RandomForestClassifier:
@@ -25,20 +26,26 @@ def random_forest(num_trees: int = 100, max_depth: int = 5, seed: int = 42) -> R
                                   numTrees=num_trees, maxDepth=max_depth, seed=seed)
 
 
-def layout(df: DataFrame, partitions: int = TREE_PARTITIONS, key: str | None = None) -> DataFrame:
+def tree_partitions(rows: int) -> int:
+    """Partitions for so many training rows: they follow the data alone."""
+    return min(MOST_PARTITIONS, max(1, -(-rows // TREE_ROWS)))
+
+
+def layout(df: DataFrame, partitions: int | None = None, key: str | None = None) -> DataFrame:
     """Rows in ``partitions`` partitions by a hash of the key (default: of all
     columns), sorted within each. Trees sample rows by partition and place,
     so the same rows give the same forest whatever files, cores or
-    partitions they came from. Set ``partitions`` to a few times the cores of
-    the cluster; it is a parameter of the model."""
+    partitions they came from. By default the rows are counted and
+    ``tree_partitions`` of them made, so that the tasks grow with the table."""
     k = F.col(key) if key else F.xxhash64(*df.columns)
+    partitions = partitions or tree_partitions(df.count())
     return (df.withColumn("__layout", k).repartition(partitions, "__layout")
             .sortWithinPartitions("__layout").drop("__layout"))
 
 
 def train_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
              label_col: str = "y", num_trees: int = 100, max_depth: int = 5,
-             seed: int = 42, partitions: int = TREE_PARTITIONS, key: str | None = None,
+             seed: int = 42, partitions: int | None = None, key: str | None = None,
              clip_cols: Sequence[str] = (), sentinel_cols: Sequence[str] = ()) -> tuple[PipelineModel, float]:
     """Fit preparation, features and forest; returns the model, which takes
     raw rows, and the fit wall time (s)."""
@@ -69,15 +76,19 @@ class TunedModel:
 def tune_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
             label_col: str = "y", num_trees: Sequence[int] = (50, 100),
             max_depth: Sequence[int] = (4, 6), folds: int = 3, seed: int = 42,
-            parallelism: int = 4, partitions: int = TREE_PARTITIONS, key: str | None = None,
+            parallelism: int = 4, partitions: int | None = None, key: str | None = None,
             clip_cols: Sequence[str] = (), sentinel_cols: Sequence[str] = ()) -> TunedModel:
     """Grid search with k-fold cross validation on AUC.
 
     Folds are hash buckets of the row key, so they do not depend on
     partitioning. Preparation, indexers and scaler are fitted once per fold,
-    on its training rows only; the grid points then train side by side on the
-    fold's cached vectors."""
+    on its training rows only; the forests then train side by side on the
+    fold's cached vectors. Tree counts are nested: the trees of a smaller
+    point are part of the next one's, whose votes are added to theirs, so a
+    fold grows as many trees per depth as its largest point has."""
     grid = [{"numTrees": t, "maxDepth": d} for t in num_trees for d in max_depth]
+    counts = sorted(set(num_trees))
+    steps = [(d, i, t - before) for d in sorted(set(max_depth)) for i, (before, t) in enumerate(zip([0, *counts], counts))]
     fold_key = F.col(key) if key else F.xxhash64(*train.columns)
     data = train.withColumn("__fold", hash_bucket(fold_key, folds, salt="fold:"))
     aucs: list[list[float]] = []
@@ -89,11 +100,21 @@ def tune_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
         fit_on = features.transform(layout(inside, partitions, key)).select("label", "features").persist()
         check_on = features.transform(outside).select("label", "features").persist()
 
-        def auc(point: dict[str, int], fit_on=fit_on, check_on=check_on) -> float:
-            model = random_forest(point["numTrees"], point["maxDepth"], seed).fit(fit_on)
-            return auc_roc(model.transform(check_on))
+        def fit(step: tuple[int, int, int], fit_on=fit_on):
+            depth, i, trees = step
+            return random_forest(trees, depth, seed + i).fit(fit_on)
+
+        def auc(point: dict[str, int], check_on=check_on) -> float:
+            scored, votes = check_on, F.lit(0.0)
+            for depth, i, _ in steps:
+                if depth == point["maxDepth"] and counts[i] <= point["numTrees"]:
+                    model = forests[depth, i].setRawPredictionCol(f"raw{i}").setProbabilityCol("").setPredictionCol("")
+                    scored = model.transform(scored)
+                    votes = votes + vector_to_array(f"raw{i}")[1]
+            return auc_roc(scored.select("label", votes.alias("votes")), "votes")
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            forests = dict(zip([s[:2] for s in steps], pool.map(fit, steps)))
             aucs.append(list(pool.map(auc, grid)))
         fit_on.unpersist()
         check_on.unpersist()

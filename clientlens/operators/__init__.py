@@ -12,3 +12,6 @@ from clientlens.operators.profile import (  # noqa: F401
 from clientlens.operators.quantiles import (  # noqa: F401,E402
     exact_quantiles, quantile_by_group_exact,
 )
+from clientlens.operators.sketches import (  # noqa: F401,E402
+    merge_sketches, quantile_sketches, sketch_quantiles,
+)

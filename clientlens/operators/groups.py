@@ -86,7 +86,10 @@ def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str
     along, so the median is read off the cumulative counts and the mean off
     the summed parts; with many distinct values per group use another mode.
     ``median="exact"`` is exact for any column (``quantile_by_group_exact``: a
-    few passes of per-group binning). NULL keys are a group in every mode.
+    few passes of per-group binning). ``median="kll"`` is a sketch as well,
+    salted by map task and merged in a second stage, for groups whose
+    per-task sketches are too many for one reducer. NULL keys are a group in
+    every mode.
     """
     ks = _keys(keys)
     avg_name = avg_name or f"avg_{avg_col}"
@@ -94,12 +97,16 @@ def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str
     if median == "histogram":
         out = _avg_median_histogram(df, ks, avg_col, median_col, avg_name, median_name,
                                     count_name, digits, scale)
-    elif median == "exact":
+    elif median in ("exact", "kll"):
         from clientlens.operators.quantiles import quantile_by_group_exact
+        from clientlens.operators.sketches import merge_sketches, quantile_sketches, sketch_quantiles
         aggs = [mean(avg_col, digits, scale).alias(avg_name)]
         if count_name:
             aggs.append(F.count(F.lit(1)).alias(count_name))
-        med = quantile_by_group_exact(df, ks, median_col, 0.5, median_name)
+        if median == "exact":
+            med = quantile_by_group_exact(df, ks, median_col, 0.5, median_name)
+        else:
+            med = sketch_quantiles(merge_sketches(quantile_sketches(df, ks, median_col), ks), [0.5], [median_name])
         med = med.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(ks)], median_name)
         agg = df.groupBy(*ks).agg(*aggs)
         same = F.lit(True)
@@ -113,7 +120,7 @@ def avg_median_by_group(df: DataFrame, keys: Cols, avg_col: str, median_col: str
             aggs.append(F.count(F.lit(1)).alias(count_name))
         out = df.groupBy(*ks).agg(*aggs)
     else:
-        raise ValueError("median must be 'sketch', 'histogram' or 'exact'")
+        raise ValueError("median must be 'sketch', 'histogram', 'exact' or 'kll'")
     return out.orderBy(F.desc_nulls_last(avg_name), *ks)
 
 

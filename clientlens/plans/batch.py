@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from clientlens import functions as fn
 from clientlens import operators as ops
+from clientlens.session import scratch_path
 from clientlens.sources import read_table
 
 
@@ -226,8 +227,11 @@ def _rank_errors(df: DataFrame, keys: list[str], value: str, found: DataFrame, p
     """Per group: rows and whether the sketch's answer is within 0.01 of the
     wanted rank (ranks of its ties included), counted in one pass."""
     v, q = F.col(value), F.col(quantile)
-    joined = df.join(found, keys) if keys else df.crossJoin(F.broadcast(found))  # found: one row
-    out = joined.groupBy(*keys).agg(F.count(v).alias("n"), F.count_if(v < q).alias("below"), F.count_if(v <= q).alias("upto"))
+    own = found.select(*[F.col(k).alias(f"__{k}") for k in keys], quantile)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    out = df.join(own, same).groupBy(*keys).agg(F.count(v).alias("n"), F.count_if(v < q).alias("below"), F.count_if(v <= q).alias("upto"))
     near = (F.col("below") <= (p + 0.01) * F.col("n")) & (F.col("upto") >= (p - 0.01) * F.col("n"))
     return out.select(*keys, F.col("n").alias("row_count"), near.alias("rank_error_ok"))
 
@@ -240,6 +244,19 @@ def avg_median_sketch(spark, sf_dir):
     return _rank_errors(li, ["l_returnflag"], "l_extendedprice", found.select("l_returnflag", "median_price"), 0.5, "median_price")
 
 
+def kll_quantiles(spark, sf_dir):
+    """Stored sketches: one table of KLL sketches per flag, status and salt,
+    written, read and merged to flags; number, least and greatest value, and
+    the rank of the median."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_extendedprice")
+    path = scratch_path(spark, "kll_sketches")
+    ops.quantile_sketches(li, ["l_returnflag", "l_linestatus"], "l_extendedprice").write.parquet(path)
+    found = ops.sketch_quantiles(ops.merge_sketches(spark.read.parquet(path), ["l_returnflag"]), [0, 0.5, 1],
+                                 ["min_price", "median_price", "max_price"], "sketched")
+    ranks = _rank_errors(li, ["l_returnflag"], "l_extendedprice", found, 0.5, "median_price")
+    return ranks.join(found.drop("median_price"), "l_returnflag")
+
+
 def winsorize_sketch(spark, sf_dir):
     """IQR fences and clipping from ``approxQuantile`` with rank error 0.01
     (the default): the quartiles' ranks, and that nothing lies outside."""
@@ -366,6 +383,7 @@ QUERIES = {
     "winsorize_iqr": winsorize_iqr,
     "winsorize_sketch": winsorize_sketch,
     "avg_median_sketch": avg_median_sketch,
+    "kll_quantiles": kll_quantiles,
     "exact_quantiles": exact_quantiles,
     "exact_median_by_group": exact_median_by_group,
     "replace_sentinel": replace_sentinel,

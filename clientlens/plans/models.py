@@ -65,6 +65,28 @@ def string_index(spark, sf_dir):
     return model.transform(od)
 
 
+def dictionary_index(spark, sf_dir):
+    """Many-valued category encoded by a distributed dictionary, fitted on
+    four fifths of the orders; values that only the rest has get the extra index."""
+    od = read_table(spark, sf_dir, "orders").select(KEY, F.pmod(F.col("o_custkey"), F.lit(1000)).alias("o_clerk_group"))
+    known = ml.dictionary(od.where(F.col(KEY) % 5 > 0), "o_clerk_group", "clerk_index")
+    return ml.dictionary_index(od, "o_clerk_group", known, "clerk_index")
+
+
+def tree_split(spark, sf_dir):
+    """One tree of one split on all training rows, year and gap as features:
+    prediction and confidence of every order, which SQL works out by trying
+    each threshold. 'yes' is seven in ten order keys from 1998 on, two before
+    (a split whose sides predict the same would be pruned)."""
+    orders = clients(read_table(spark, sf_dir, "orders")).withColumn("y", F.when(
+        F.col(KEY) % 10 < F.when(F.col("order_year") >= 1998, 7).otherwise(2), "yes").otherwise("no"))
+    train, _ = ml.hash_split(orders, KEY)
+    prep = ml.fit_preparation(train, NUM_COLS[1:], sentinel_cols=FIT["sentinel_cols"])
+    tree = ml.random_forest(1, 1).setBootstrap(False).setFeatureSubsetStrategy("all")
+    model = ml.feature_pipeline([], NUM_COLS[1:], "y", tree, prep).fit(ml.layout(train, key=KEY))
+    return ml.score(model, orders, keep=[KEY], digits=6)
+
+
 def standard_scale(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     vec = VectorAssembler(inputCols=["l_quantity"], outputCol="v").transform(li)
@@ -170,6 +192,8 @@ def binary_metrics(spark, sf_dir):
 
 QUERIES = {
     "string_index": string_index,
+    "dictionary_index": dictionary_index,
+    "tree_split": tree_split,
     "standard_scale": standard_scale,
     "confusion_matrix": confusion_matrix,
     "class_metrics": class_metrics,

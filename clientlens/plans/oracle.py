@@ -69,6 +69,10 @@ BATCH_SQL = {
         SELECT CAST(8 AS BIGINT) AS partitions, count(*) AS row_count, CAST(0 AS BIGINT) AS split_keys FROM lineitem""",
     "avg_median_sketch": """
         SELECT l_returnflag, count(l_extendedprice) AS row_count, true AS rank_error_ok FROM lineitem GROUP BY 1""",
+    "kll_quantiles": """
+        SELECT l_returnflag, count(l_extendedprice) AS row_count, true AS rank_error_ok, count(l_extendedprice) AS sketched,
+               CAST(min(l_extendedprice) AS DOUBLE) AS min_price, CAST(max(l_extendedprice) AS DOUBLE) AS max_price
+        FROM lineitem GROUP BY 1""",
     "winsorize_sketch": """
         SELECT count(value) AS row_count, true AS rank_error_ok, CAST(0 AS BIGINT) AS outside FROM events""",
     "preview": """
@@ -318,6 +322,23 @@ MODEL_SQL = {
                    FROM c)
         SELECT o.o_orderkey, o.o_orderpriority, r.priority_index
         FROM orders o JOIN r ON o.o_orderpriority = r.o_orderpriority""",
+    "dictionary_index": """
+        WITH c AS (SELECT o_clerk_group, count(*) AS n FROM (SELECT o_custkey % 1000 AS o_clerk_group FROM orders WHERE o_orderkey % 5 > 0) GROUP BY 1),
+             r AS (SELECT o_clerk_group, CAST(row_number() OVER (ORDER BY n DESC, o_clerk_group) - 1 AS DOUBLE) AS clerk_index FROM c)
+        SELECT o_orderkey, o_custkey % 1000 AS o_clerk_group, coalesce(clerk_index, (SELECT CAST(count(*) AS DOUBLE) FROM c)) AS clerk_index
+        FROM orders LEFT JOIN r ON o_custkey % 1000 = r.o_clerk_group""",
+    "tree_split": f"""
+        WITH c AS (SELECT * REPLACE (CASE WHEN o_orderkey % 10 < CASE WHEN yr >= 1998 THEN 7 ELSE 2 END THEN 1 ELSE 0 END AS label)
+                   FROM ({_MODEL_CLIENTS})),
+             f AS (SELECT yr AS x, label, 'yr' AS of FROM c WHERE train UNION ALL SELECT gap, label, 'gap' FROM c WHERE train),
+             v AS (SELECT of, x, lead(x) OVER (PARTITION BY of ORDER BY x) AS nx FROM (SELECT DISTINCT of, x FROM f)),
+             s AS (SELECT v.of, (v.x + nx) / 2.0 AS cut, count(*) FILTER (f.x <= v.x) AS nl, sum(label) FILTER (f.x <= v.x) AS pl,
+                          count(*) FILTER (f.x > v.x) AS nr, sum(label) FILTER (f.x > v.x) AS pr
+                   FROM v JOIN f USING (of) WHERE nx IS NOT NULL GROUP BY ALL),
+             b AS (SELECT *, pl / nl AS low, pr / nr AS high FROM s
+                   ORDER BY 2 * pl * (nl - pl) / nl + 2 * pr * (nr - pr) / nr LIMIT 1),
+             l AS (SELECT o_orderkey, CASE WHEN (CASE of WHEN 'yr' THEN yr ELSE gap END) <= cut THEN low ELSE high END AS p FROM c, b)
+        SELECT o_orderkey, CAST(p > 0.5 AS INTEGER) AS prediction, round(p, 6) AS confidence FROM l""",
     "standard_scale": """
         SELECT l_orderkey, l_linenumber,
                ROUND(l_quantity / (SELECT stddev_samp(l_quantity) FROM lineitem), 6)

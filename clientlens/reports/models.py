@@ -32,7 +32,7 @@ def with_key(df: DataFrame) -> DataFrame:
 
 
 def model_report(spark: SparkSession, path: str, num_trees: int = 100, max_depth: int = 5,
-                 tune: bool = False, partitions: int = ml.TREE_PARTITIONS, staged: bool = True,
+                 tune: bool = False, partitions: int | None = None, staged: bool = True,
                  stage_dir: str | None = None) -> tuple[dict[str, DataFrame], PipelineModel]:
     df = with_key(load_clients(spark, path))
     if staged:  # the fit scans the data many times: read Parquet, not text
@@ -65,8 +65,8 @@ def model_report(spark: SparkSession, path: str, num_trees: int = 100, max_depth
 def main(argv: list[str] | None = None) -> None:
     parser = add_io_args(argparse.ArgumentParser(description=__doc__.splitlines()[0]))
     parser.add_argument("--tune", action="store_true", help="also run the 2x2 grid, 3-fold CV")
-    parser.add_argument("--tree-partitions", type=int, default=ml.TREE_PARTITIONS,
-                        help="partitions of the training rows; the forest depends on it")
+    parser.add_argument("--tree-partitions", type=int, default=None,
+                        help="partitions of the training rows; the forest depends on it (default: by their number)")
     parser.add_argument("--model-out", default=None, help="save the fitted pipeline here")
     args = parser.parse_args(argv)
     spark = session_from_args(args)

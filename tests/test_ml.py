@@ -165,3 +165,46 @@ def test_seeded_training_is_repeatable(spark, clients):
         runs.append(model.stages[-1].featureImportances.toArray().tolist())
     assert runs[0] == runs[1]
     train.unpersist()
+
+
+def test_layout_follows_the_rows_alone(spark, clients, monkeypatch):
+    monkeypatch.setattr(ml.models, "TREE_ROWS", 60)
+    train, _ = ml.hash_split(clients, "id")
+    want = ml.tree_partitions(train.count())
+    assert want > 1 and (ml.tree_partitions(0), ml.tree_partitions(10**12)) == (1, ml.models.MOST_PARTITIONS)
+    forests = []
+    for parts in (1, 8, 40):
+        rows = train.repartition(parts)
+        assert ml.layout(rows, key="id").rdd.getNumPartitions() == want
+        model, _ = ml.train_rf(rows, ["job"], ["balance"], "y", num_trees=5, max_depth=3, key="id")
+        forests.append(model.stages[-1].toDebugString.split("\n", 1)[1])
+    assert forests[0] == forests[1] == forests[2]
+
+
+def test_nested_grid_agrees_with_separate_forests(spark, clients):
+    """The smallest point of a nested grid is a forest of its own; the next
+    one's AUC is that of as many trees grown in one go, up to sampling."""
+    train, _ = ml.hash_split(clients, "id")
+    args = (["job", "month"], ["balance", "pdays"], "y")
+    nested = ml.tune_rf(train, *args, num_trees=(20, 40), max_depth=(1, 4), folds=2, parallelism=4, key="id")
+    single = {}
+    for trees in (20, 40):
+        cv = ml.tune_rf(train, *args, num_trees=(trees,), max_depth=(1, 4), folds=2, parallelism=2, key="id")
+        single |= {(p["numTrees"], p["maxDepth"]): a for p, a in zip(cv.grid, cv.avg_metrics)}
+    for point, auc in zip(nested.grid, nested.avg_metrics):
+        other = single[point["numTrees"], point["maxDepth"]]
+        assert auc == other if point["numTrees"] == 20 else abs(auc - other) < 0.05
+
+
+def test_dictionary_equals_string_indexer(spark):
+    rows = [(i, v) for i, v in enumerate(["b", "a", "a", None, "c", "b", "zz", "a", "é", ""])]
+    df = spark.createDataFrame(rows, "id int, v string")
+    known = ml.dictionary(df.where("v <> 'zz'"), "v")
+    got = {r.id: r["index"] for r in ml.dictionary_index(df, "v", known).collect()}
+    model = ml.string_indexer(["v"], ["index"]).fit(df.where("v <> 'zz'"))
+    assert got == {r.id: r["index"] for r in model.transform(df).collect()}
+    many = spark.range(30_000).selectExpr("cast(id % 10007 as string) as v")
+    places = ml.dictionary(many, "v").toPandas()["index"]
+    assert sorted(places) == list(range(10_007))
+    empty = ml.dictionary(df.where("false"), "v")
+    assert {r["index"] for r in ml.dictionary_index(df, "v", empty).collect()} == {0.0}
