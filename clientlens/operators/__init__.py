@@ -15,3 +15,4 @@ from clientlens.operators.quantiles import (  # noqa: F401,E402
 from clientlens.operators.sketches import (  # noqa: F401,E402
     merge_sketches, quantile_sketches, sketch_quantiles,
 )
+from clientlens.operators.shared import shared_scan  # noqa: F401,E402

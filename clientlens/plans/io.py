@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 
 from clientlens import operators as ops
 from clientlens.session import app_id, scratch_path
+from clientlens.functions.columns import fixed_point_mean
 from clientlens.sources import (
-    clean_rows, ingest_table, load_clients, metric_rows, read_raw_rows, read_table,
-    write_chunks, write_tsv,
+    append_bucketed, clean_rows, ingest_table, load_clients, metric_rows, observed_write,
+    read_raw_rows, read_table, table_metrics, write_chunks, write_tsv,
 )
 
 def plan_path(spark, *parts: str) -> str:
@@ -58,12 +59,51 @@ def clean_rows_plan(spark, sf_dir):
 
 def ingest_table_plan(spark, sf_dir):
     """Load the orders into a catalog table of a database (created if
-    missing, stored under the shared folder) and read the table back. One
-    table of the application, replaced by each call."""
+    missing, stored under the shared folder) in two loads, the second appended
+    to the first, and read the table back. One table of the application,
+    replaced by each call."""
     root = plan_path(spark, "warehouse")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS clientlens LOCATION '{root}'")
     od = read_table(spark, sf_dir, "orders").select(*ORDER_COLS)
-    return ingest_table(od, "orders_ingest", "clientlens", "overwrite", path=f"{root}/orders_ingest")
+    first = F.col("o_orderkey") % 3 != 0
+    ingest_table(od.where(first), "orders_ingest", "clientlens", "overwrite", path=f"{root}/orders_ingest")
+    return ingest_table(od.where(~first), "orders_ingest", "clientlens")
+
+
+def bucketed_group_plan(spark, sf_dir):
+    """Orders appended in two loads to a table bucketed and sorted by client,
+    then mean price and count per client, which need no exchange. Each call
+    has a table of its own."""
+    od = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    path = scratch_path(spark, "plans", app_id(spark), "orders_bucketed")
+    name = "orders_bucketed_" + path.rsplit("-", 1)[1]
+    for part in (F.col("o_orderkey") % 3 != 0, F.col("o_orderkey") % 3 == 0):
+        table = append_bucketed(od.where(part), name, ["o_custkey"], 16, files_per_bucket=2, path=path)
+    return table.groupBy("o_custkey").agg(fixed_point_mean("o_totalprice", 2, 2).alias("avg_totalprice"),
+                                          F.count(F.lit(1)).alias("order_count"))
+
+
+def observed_write_plan(spark, sf_dir):
+    """Row count, null counts and mean price of the orders, seen while they
+    are written (every 50th priority is missing)."""
+    od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    gaps = od.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderpriority")))
+    seen = observed_write(gaps, plan_path(spark, "observed", "orders"),
+                          table_metrics(gaps, {"avg_totalprice": fixed_point_mean("o_totalprice", 2, 2)}), mode="overwrite")
+    return spark.createDataFrame(
+        [seen], "row_count long, null_o_orderkey long, null_o_totalprice long, null_o_orderpriority long, avg_totalprice double")
+
+
+def shared_scan_plan(spark, sf_dir):
+    """Two report groups over one persisted scan of the orders: counts by
+    priority and by status."""
+    od, out = read_table(spark, sf_dir, "orders"), plan_path(spark, "shared")
+    keys = {"priority": "o_orderpriority", "status": "o_orderstatus"}
+    with ops.shared_scan(od, list(keys.values())) as rows:
+        for name, key in keys.items():
+            (ops.count_by(rows, key, "row_count").select(F.lit(name).alias("report"), F.col(key).alias("key"), "row_count")
+             .write.mode("overwrite").parquet(f"{out}/report={name}"))
+    return spark.read.schema("key string, row_count long, report string").parquet(out)
 
 
 def write_tsv_plan(spark, sf_dir):
@@ -90,5 +130,8 @@ QUERIES = {
     "write_chunks": write_chunks_plan,
     "clean_rows": clean_rows_plan,
     "ingest_table": ingest_table_plan,
+    "bucketed_group": bucketed_group_plan,
+    "observed_write": observed_write_plan,
+    "shared_scan": shared_scan_plan,
     "write_tsv": write_tsv_plan,
 }

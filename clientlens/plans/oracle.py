@@ -254,6 +254,17 @@ STREAM_SQL = {
                                  "NOT second OR {end} > watermark"),
     "stream_missing_time": """
         SELECT event_id % 50 = 0 AS is_now, count(*) AS event_count FROM events GROUP BY 1""",
+    "stream_state": """
+        WITH e AS (SELECT *, max(ts) OVER () - INTERVAL 30 SECOND AS watermark FROM events),
+        w AS (SELECT time_bucket(INTERVAL 30 SECOND, ts, TIMESTAMP '1970-01-01') - k * INTERVAL 30 SECOND AS window_start,
+                     event_type, watermark
+              FROM e, range(2) AS r(k))
+        SELECT window_start, window_start + INTERVAL 60 SECOND AS window_end, event_type, count(*) AS event_count
+        FROM w WHERE window_start + INTERVAL 60 SECOND > watermark GROUP BY window_start, event_type, watermark""",
+    "stream_upsert": """
+        SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "stream_feed": """
+        SELECT *, (row_number() OVER (ORDER BY s_suppkey) - 1) // 50 AS batch FROM supplier""",
 }
 
 
@@ -392,6 +403,18 @@ IO_SQL = {
         GROUP BY o_orderpriority""",
     "ingest_table": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
+    "bucketed_group": f"""
+        SELECT o_custkey, {_fpm('o_totalprice')} AS avg_totalprice, count(*) AS order_count
+        FROM orders GROUP BY o_custkey""",
+    "observed_write": f"""
+        SELECT count(*) AS row_count, count(*) FILTER (WHERE o_orderkey IS NULL) AS null_o_orderkey,
+               count(*) FILTER (WHERE o_totalprice IS NULL) AS null_o_totalprice,
+               count(*) FILTER (WHERE o_orderpriority IS NULL OR o_orderkey % 50 = 0) AS null_o_orderpriority,
+               {_fpm('o_totalprice')} AS avg_totalprice
+        FROM orders""",
+    "shared_scan": """
+        SELECT 'priority' AS report, o_orderpriority AS key, count(*) AS row_count FROM orders GROUP BY 2
+        UNION ALL SELECT 'status', o_orderstatus, count(*) FROM orders GROUP BY 2""",
     "write_tsv": f"""
         SELECT c_mktsegment, {_fpm('c_acctbal')} AS avg_acctbal, count(*) AS client_count
         FROM customer WHERE c_acctbal IS NOT NULL GROUP BY c_mktsegment""",

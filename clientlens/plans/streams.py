@@ -88,10 +88,48 @@ def stream_source(spark, sf_dir):
     return st.run_append(_events_stream(spark, sf_dir), "stream_source")
 
 
+def stream_state(spark, sf_dir):
+    """Windows per event type that are still open after the last batch, read
+    from the query's RocksDB state."""
+    own = st.rocksdb_session(spark)
+    ev = st.event_time(_late_files(own, sf_dir, "late_events_state"), "ts")
+    agg = st.windowed_agg(ev, "event_time", {"event_count": F.count(F.lit(1))}, "1 minute", "30 seconds",
+                          "30 seconds", keys=["event_type"])
+    out = scratch_path(spark, "streams", "stream_state")
+    q = st.start_stream(agg, "stream_state", "update", st.versioned_batch_writer(out),
+                        checkpoint=f"{out}-checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    rows = st.open_windows(spark, f"{out}-checkpoint")
+    count = rows.schema["value"].dataType.fieldNames()[0]
+    rows = rows.select("window_start", "window_end", "event_type", F.col(f"value.`{count}`").alias("event_count"))
+    return _as_ntz(rows, "window_start", "window_end")
+
+
+def stream_upsert(spark, sf_dir):
+    """The newest event of each user over three micro-batches, the last of
+    which brings events of the first third late."""
+    ev = _late_files(spark, sf_dir, "late_events_upsert")
+    out = scratch_path(spark, "streams", "stream_upsert")
+    keys, order = ["user_id"], ["ts", "event_id"]
+    q = st.start_stream(ev, "stream_upsert", "append", st.upsert_writer(out, keys, order),
+                        checkpoint=f"{out}-checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    return st.upserted(spark, out, keys, order, ev.schema)
+
+
+def stream_feed(spark, sf_dir):
+    """Suppliers replayed 50 rows a micro-batch in the order of their key."""
+    su = read_table(spark, sf_dir, "supplier")
+    return st.run_feed(su, "stream_feed", ["s_suppkey"], 50)
+
+
 QUERIES = {
     "stream_source": stream_source,
     "stream_group_agg": stream_group_agg,
     "stream_sliding": stream_sliding,
     "stream_watermark": stream_watermark,
     "stream_missing_time": stream_missing_time,
+    "stream_state": stream_state,
+    "stream_upsert": stream_upsert,
+    "stream_feed": stream_feed,
 }

@@ -42,7 +42,7 @@ def _rows(pdf):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ["customer", "orders", "lineitem", "events"]:
+    for t in ["customer", "orders", "lineitem", "events", "supplier"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
 
@@ -72,7 +72,8 @@ EXECUTING = {"tune_rf", "train_rf", "score_clients", "feature_importance", "feat
              "stream_score", "write_chunks", "clean_rows", "ingest_table", "write_tsv",
              "load_clients", "stream_source", "stream_group_agg", "stream_sliding",
              "stream_watermark", "winsorize_iqr", "binary_metrics", "string_index",
-             "standard_scale", "exact_median_by_group", "stream_missing_time", "winsorize_sketch"}
+             "standard_scale", "exact_median_by_group", "stream_missing_time", "winsorize_sketch", "bucketed_group",
+             "observed_write", "shared_scan", "stream_state", "stream_upsert", "stream_feed"}
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - EXECUTING))
