@@ -6,7 +6,7 @@ from clientlens.operators.groups import (  # noqa: F401
     topk_rate,
 )
 from clientlens.operators.profile import (  # noqa: F401
-    approx_fences, corr, describe_numeric, iqr_fences, null_counts, partition_keys, partition_stats, preview,
+    approx_fences, corr, describe_numeric, iqr_fences, null_counts, partition_keys, partition_rows, partition_stats, preview,
     spread_by_group, total_count, winsorize_iqr,
 )
 from clientlens.operators.quantiles import (  # noqa: F401,E402

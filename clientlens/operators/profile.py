@@ -184,9 +184,20 @@ def partition_stats(df: DataFrame, num_partitions: int, *keys: str,
     """
     slim = df.select(*keys)
     parts = slim.repartition(num_partitions, *keys) if keys else slim.repartition(num_partitions)
+    return _rows_by_partition(parts, num_partitions, count_name)
+
+
+def partition_rows(df: DataFrame, num_partitions: int, at: Column, count_name: str = "row_count") -> DataFrame:
+    """Rows per partition when ``at`` names each row's partition (modulo their
+    number; NULL: partition 0), empty partitions included."""
+    parts = df.select(F.coalesce(at.cast("int"), F.lit(0)).alias("__at")).repartitionById(num_partitions, "__at")
+    return _rows_by_partition(parts, num_partitions, count_name)
+
+
+def _rows_by_partition(parts: DataFrame, num_partitions: int, count_name: str) -> DataFrame:
     counts = parts.groupBy(F.spark_partition_id().alias("partition_id")).agg(
         F.count(F.lit(1)).alias(count_name))
-    ids = df.sparkSession.range(num_partitions).select(F.col("id").cast("int").alias("partition_id"))
+    ids = parts.sparkSession.range(num_partitions).select(F.col("id").cast("int").alias("partition_id"))
     return (ids.join(counts, "partition_id", "left")
             .select("partition_id", F.coalesce(count_name, F.lit(0)).alias(count_name))
             .orderBy("partition_id"))

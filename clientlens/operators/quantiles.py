@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from clientlens.session import ensure_checkpoint_dir
 
 BINS = 1024
-#: Shares that a group's rows are dealt into for the join with the group's range.
-SALTS = 16
+#: Rows of a group in one share; a larger group is dealt into as many shares as it takes.
+SHARE_ROWS = 1_000_000
 
 
 def _numbers(df: DataFrame, value: str) -> Column:
@@ -107,26 +107,30 @@ def _narrowed(bins: list, rank: int) -> tuple:
 
 
 def quantile_by_group_exact(df: DataFrame, keys: Sequence[str], value: str, p: float = 0.5,
-                            name: str | None = None) -> DataFrame:
+                            name: str | None = None, share_rows: int = SHARE_ROWS) -> DataFrame:
     """Exact ``p``-quantile of ``value`` per group, one row per group that has
     a value (a NULL key is a group like any other).
 
     The groups' ranges are a table of one row per group, joined to the rows
-    of groups that are still open. Rows are dealt by key and a salt of their
-    value, with the range copied to each salt, so the rows of a hot group
-    spread over ``SALTS`` tasks; counts per (group, bin) are pre-aggregated
-    there. The state is checkpointed each pass in the shared folder."""
+    of groups that are still open. A group of over ``share_rows`` rows is dealt
+    into shares of about that size by a hash of the whole row (``df``'s other
+    columns included), not of the value, so a group that has one value nearly
+    everywhere spreads as well; its range is copied to each share, and counts
+    per (group, bin) are pre-aggregated there. Groups that large are few: one
+    row for each ``share_rows`` rows of the table at most. The state is
+    checkpointed each pass in the shared folder."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     name = name or f"q{int(round(p * 100))}_{value}"
     ks = list(keys)
     v = F.col("__v")
     kind = df.select(_numbers(df, value).alias("v")).schema["v"].dataType
-    data = (df.select(*ks, _numbers(df, value).alias("__v")).where(_usable(v, kind))
-            .withColumn("__salt", F.pmod(F.xxhash64(v), F.lit(SALTS)).cast("int")))
+    data = df.select(*ks, _numbers(df, value).alias("__v"), F.xxhash64(*df.columns).alias("__row")).where(_usable(v, kind))
     state = (data.groupBy(*ks).agg(F.count(F.lit(1)).alias("__n"), F.min(v).alias("__lo"), F.max(v).alias("__hi"))
-             .select(*ks, "__lo", "__hi", F.greatest(F.lit(1), F.ceil(F.col("__n") * F.lit(p))).cast("long").alias("__rank"))
+             .select(*ks, "__lo", "__hi", F.greatest(F.lit(1), F.ceil(F.col("__n") * F.lit(p))).cast("long").alias("__rank"),
+                     F.ceil(F.col("__n") / F.lit(share_rows)).cast("int").alias("__shares"))
              .checkpoint())
+    data = _dealt(data, state, ks)
     closed = F.col("__lo") == F.col("__hi")
     done = state.where(closed)
     while True:
@@ -137,18 +141,29 @@ def quantile_by_group_exact(df: DataFrame, keys: Sequence[str], value: str, p: f
         done = done.unionByName(state.where(closed))
 
 
+def _dealt(data: DataFrame, state: DataFrame, ks: list[str]) -> DataFrame:
+    """Rows with their share of the group: 0 unless the group has several."""
+    large = state.where("__shares > 1").select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(ks)], "__shares")
+    same = F.lit(True)
+    for i, k in enumerate(ks):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    share = F.coalesce(F.pmod(F.col("__row"), F.col("__shares")), F.lit(0)).cast("int")
+    return data.join(large, same, "left").select(*ks, "__v", share.alias("__salt"))
+
+
 def _narrow_groups(data: DataFrame, active: DataFrame, ks: list[str], kind: T.DataType) -> DataFrame:
     v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
-    ranges = active.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(ks)], "__lo", "__hi", "__rank",
-                           F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__at"))
+    ranges = active.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(ks)], "__lo", "__hi", "__rank", "__shares",
+                           F.explode(F.sequence(F.lit(0), F.col("__shares") - 1)).alias("__at"))
     same = F.col("__salt") == F.col("__at")
     for i, k in enumerate(ks):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
     joined = data.join(ranges, same).where((v >= lo) & (v <= hi))
-    counts = (joined.groupBy(*ks, _split_ends(_bin(v, lo, hi, kind), v, lo, hi).alias("__bin"), "__rank")
+    counts = (joined.groupBy(*ks, _split_ends(_bin(v, lo, hi, kind), v, lo, hi).alias("__bin"), "__rank", "__shares")
               .agg(F.count(F.lit(1)).alias("__c"), F.min(v).alias("__blo"), F.max(v).alias("__bhi")))
     upto = Window.partitionBy(*ks).orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0)
     cum = counts.withColumn("__cum", F.sum("__c").over(upto)).where(F.col("__cum") >= F.col("__rank"))
-    first = cum.groupBy(*ks).agg(F.min_by(F.struct("__rank", "__c", "__cum", "__blo", "__bhi"), F.col("__bin")).alias("__h"))
+    first = cum.groupBy(*ks).agg(F.min_by(F.struct("__rank", "__c", "__cum", "__blo", "__bhi", "__shares"), F.col("__bin")).alias("__h"))
     return first.select(*ks, F.col("__h.__blo").alias("__lo"), F.col("__h.__bhi").alias("__hi"),
-                        (F.col("__h.__rank") - (F.col("__h.__cum") - F.col("__h.__c"))).alias("__rank"))
+                        (F.col("__h.__rank") - (F.col("__h.__cum") - F.col("__h.__c"))).alias("__rank"),
+                        F.col("__h.__shares").alias("__shares"))

@@ -17,7 +17,7 @@ from clientlens.session import app_id, scratch_path
 from clientlens.functions.columns import fixed_point_mean
 from clientlens.sources import (
     append_bucketed, clean_rows, ingest_table, load_clients, metric_rows, observed_write,
-    read_raw_rows, read_table, table_metrics, write_chunks, write_tsv,
+    read_raw_rows, read_table, register_csv_table, table_metrics, write_chunks, write_tsv,
 )
 
 def plan_path(spark, *parts: str) -> str:
@@ -116,6 +116,25 @@ def write_tsv_plan(spark, sf_dir):
     return spark.read.schema(agg.schema).option("sep", "\t").csv(path)
 
 
+def csv_table_plan(spark, sf_dir):
+    """A catalog table over headed text files that stay where they are,
+    queried by SQL."""
+    od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    path = scratch_path(spark, "plans", app_id(spark), "csv_orders")
+    od.write.option("header", True).option("sep", ";").csv(path)
+    name = "csv_orders_" + path.rsplit("-", 1)[1]
+    register_csv_table(spark, name, path, od.schema, sep=";")
+    return spark.sql(f"SELECT o_orderstatus, count(*) AS row_count, min(o_orderkey) AS first_key FROM {name} GROUP BY o_orderstatus")
+
+
+def load_renamed_plan(spark, sf_dir):
+    """Customers read back from CSV under other column names."""
+    cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    path = plan_path(spark, "csv", "renamed")
+    cu.write.mode("overwrite").option("header", True).csv(path)
+    return load_clients(spark, path, cu.schema, renames={"c_custkey": "client_id", "c_mktsegment": "job"})
+
+
 def load_clients_plan(spark, sf_dir):
     """Customers written as headed CSV, read back with an explicit schema
     (no inference pass over the data)."""
@@ -134,4 +153,6 @@ QUERIES = {
     "observed_write": observed_write_plan,
     "shared_scan": shared_scan_plan,
     "write_tsv": write_tsv_plan,
+    "csv_table": csv_table_plan,
+    "load_renamed": load_renamed_plan,
 }

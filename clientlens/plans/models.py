@@ -73,20 +73,40 @@ def dictionary_index(spark, sf_dir):
     return ml.dictionary_index(od, "o_clerk_group", known, "clerk_index")
 
 
-def tree_split(spark, sf_dir):
-    """One tree of one split on all training rows, year and gap as features:
-    prediction and confidence of every order, which SQL works out by trying
-    each threshold. 'yes' is seven in ten order keys from 1998 on, two before
+def _one_split(spark, sf_dir):
+    """Labelled orders and a model of one tree of one split on all training
+    rows, year and gap as features. 'yes' is seven in ten order keys from 1998 on, two before
     (a split whose sides predict the same would be pruned)."""
     orders = clients(read_table(spark, sf_dir, "orders")).withColumn("y", F.when(
         F.col(KEY) % 10 < F.when(F.col("order_year") >= 1998, 7).otherwise(2), "yes").otherwise("no"))
     train, _ = ml.hash_split(orders, KEY)
     prep = ml.fit_preparation(train, NUM_COLS[1:], sentinel_cols=FIT["sentinel_cols"])
     tree = ml.random_forest(1, 1).setBootstrap(False).setFeatureSubsetStrategy("all")
-    model = ml.feature_pipeline([], NUM_COLS[1:], "y", tree, prep).fit(ml.layout(train, key=KEY))
+    return orders, ml.feature_pipeline([], NUM_COLS[1:], "y", tree, prep).fit(ml.layout(train, key=KEY))
+
+
+def tree_split(spark, sf_dir):
+    """Prediction and confidence of every order by the tree of one split,
+    which SQL works out by trying each threshold."""
+    orders, model = _one_split(spark, sf_dir)
     return ml.score(model, orders, keep=[KEY], digits=6)
 
 
+def tree_split_stream(spark, sf_dir):
+    """The same scores of orders that arrive as a file stream."""
+    _, model = _one_split(spark, sf_dir)
+    schema = read_table(spark, sf_dir, "orders").schema
+    stream = st.stream_source(spark, f"{sf_dir.rstrip('/')}/orders*.parquet", schema)
+    return st.run_append(ml.score(model, clients(stream).drop("y"), keep=[KEY], digits=6), "tree_split_stream")
+
+
+def tree_importance(spark, sf_dir):
+    """Importance of each feature in the tree of one split: all of it is the
+    split feature's, which SQL finds by trying each threshold."""
+    orders, model = _one_split(spark, sf_dir)
+    return ml.feature_importance(model, model.transform(orders), top=2)
+
+
 def standard_scale(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     vec = VectorAssembler(inputCols=["l_quantity"], outputCol="v").transform(li)
@@ -194,6 +214,8 @@ QUERIES = {
     "string_index": string_index,
     "dictionary_index": dictionary_index,
     "tree_split": tree_split,
+    "tree_split_stream": tree_split_stream,
+    "tree_importance": tree_importance,
     "standard_scale": standard_scale,
     "confusion_matrix": confusion_matrix,
     "class_metrics": class_metrics,

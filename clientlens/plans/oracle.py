@@ -46,8 +46,8 @@ _MONTHS_VALUES = ("(VALUES ('jan', 1), ('feb', 2), ('mar', 3), ('apr', 4), ('may
                   " ('nov', 11), ('dec', 12)) AS m(month, month_num)")
 
 
-_ODD_MONTHS = (f"SELECT CASE WHEN o_orderkey % 89 = 0 THEN 'zzz' WHEN o_orderkey % 97 = 0 THEN NULL ELSE {_MONTH} END AS month"
-               f" FROM orders WHERE {_MONTH} <> 'feb'")
+_ODD_MONTHS = (f"SELECT CASE WHEN o_orderkey % 89 = 0 OR {_MONTH} = 'feb' THEN 'zzz' WHEN o_orderkey % 97 = 0 THEN NULL ELSE {_MONTH} END AS month"
+               " FROM orders")
 
 
 def _describe(col: str, scale: int) -> str:
@@ -128,7 +128,7 @@ BATCH_SQL = {
         FROM (SELECT {_MONTH} AS month, o_orderstatus FROM orders)
         GROUP BY month ORDER BY total_contacts DESC, month LIMIT 1""",
     "monthly_trend": f"""
-        SELECT m.month, m.month_num, coalesce(c.contact_volume, 0) AS contact_volume
+        SELECT m.month, m.month_num, coalesce(c.contact_volume, 0) AS contact_volume, c.month IS NULL AS is_absent
         FROM {_MONTHS_VALUES}
         LEFT JOIN (SELECT month, count(*) AS contact_volume
                    FROM ({_ODD_MONTHS}) GROUP BY 1) c ON c.month = m.month
@@ -150,8 +150,11 @@ BATCH_SQL = {
         SELECT l_returnflag,
                count(*) FILTER (WHERE l_linestatus = 'F') AS "F",
                count(*) FILTER (WHERE l_linestatus = 'O') AS "O"
-        FROM lineitem WHERE l_returnflag <> 'R' OR l_linestatus = 'F'
+        FROM (SELECT l_returnflag, CASE WHEN l_returnflag = 'R' THEN 'F' ELSE l_linestatus END AS l_linestatus FROM lineitem)
         GROUP BY l_returnflag ORDER BY l_returnflag""",
+    "partition_rows": """
+        SELECT CAST(p AS INTEGER) AS partition_id, count(l_linenumber) AS row_count
+        FROM range(10) AS r(p) LEFT JOIN lineitem ON l_linenumber % 10 = p GROUP BY p""",
     "age_band5": f"""
         SELECT {_BAND5} AS band, count(*) AS row_count FROM lineitem
         GROUP BY 1 ORDER BY 1""",
@@ -265,6 +268,11 @@ STREAM_SQL = {
         SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_feed": """
         SELECT *, (row_number() OVER (ORDER BY s_suppkey) - 1) // 50 AS batch FROM supplier""",
+    "stream_memory": """
+        SELECT event_type, count(*) AS event_count FROM events GROUP BY 1""",
+    "stream_concurrent": """
+        SELECT unnest(['job_aggregation', 'window_analysis', 'watermark_query']) AS query,
+               unnest([count(*), 6 * count(*), 2 * count(*)]) AS events, true AS stopped FROM events""",
 }
 
 
@@ -290,6 +298,22 @@ def _slots(column: str) -> str:
             f" FROM c, (SELECT count(*) AS total FROM c WHERE train) WHERE train GROUP BY {column})")
 
 
+_TREE = f"""
+        WITH c AS (SELECT * REPLACE (CASE WHEN o_orderkey % 10 < CASE WHEN yr >= 1998 THEN 7 ELSE 2 END THEN 1 ELSE 0 END AS label)
+                   FROM ({_MODEL_CLIENTS})),
+             f AS (SELECT yr AS x, label, 'yr' AS of FROM c WHERE train UNION ALL SELECT gap, label, 'gap' FROM c WHERE train),
+             v AS (SELECT of, x, lead(x) OVER (PARTITION BY of ORDER BY x) AS nx FROM (SELECT DISTINCT of, x FROM f)),
+             s AS (SELECT v.of, (v.x + nx) / 2.0 AS cut, count(*) FILTER (f.x <= v.x) AS nl, sum(label) FILTER (f.x <= v.x) AS pl,
+                          count(*) FILTER (f.x > v.x) AS nr, sum(label) FILTER (f.x > v.x) AS pr
+                   FROM v JOIN f USING (of) WHERE nx IS NOT NULL GROUP BY ALL),
+             b AS (SELECT *, pl / nl AS low, pr / nr AS high FROM s
+                   ORDER BY 2 * pl * (nl - pl) / nl + 2 * pr * (nr - pr) / nr LIMIT 1)"""
+
+_TREE_SCORES = f"""{_TREE},
+             l AS (SELECT o_orderkey, CASE WHEN (CASE of WHEN 'yr' THEN yr ELSE gap END) <= cut THEN low ELSE high END AS p FROM c, b)
+        SELECT o_orderkey, CAST(p > 0.5 AS INTEGER) AS prediction, round(p, 6) AS confidence FROM l"""
+
+
 MODEL_SQL = {
     "hash_split": f"""
         SELECT CASE WHEN {_BUCKET} < 80 THEN 'train' ELSE 'test' END AS part, count(*) AS row_count
@@ -338,18 +362,12 @@ MODEL_SQL = {
              r AS (SELECT o_clerk_group, CAST(row_number() OVER (ORDER BY n DESC, o_clerk_group) - 1 AS DOUBLE) AS clerk_index FROM c)
         SELECT o_orderkey, o_custkey % 1000 AS o_clerk_group, coalesce(clerk_index, (SELECT CAST(count(*) AS DOUBLE) FROM c)) AS clerk_index
         FROM orders LEFT JOIN r ON o_custkey % 1000 = r.o_clerk_group""",
-    "tree_split": f"""
-        WITH c AS (SELECT * REPLACE (CASE WHEN o_orderkey % 10 < CASE WHEN yr >= 1998 THEN 7 ELSE 2 END THEN 1 ELSE 0 END AS label)
-                   FROM ({_MODEL_CLIENTS})),
-             f AS (SELECT yr AS x, label, 'yr' AS of FROM c WHERE train UNION ALL SELECT gap, label, 'gap' FROM c WHERE train),
-             v AS (SELECT of, x, lead(x) OVER (PARTITION BY of ORDER BY x) AS nx FROM (SELECT DISTINCT of, x FROM f)),
-             s AS (SELECT v.of, (v.x + nx) / 2.0 AS cut, count(*) FILTER (f.x <= v.x) AS nl, sum(label) FILTER (f.x <= v.x) AS pl,
-                          count(*) FILTER (f.x > v.x) AS nr, sum(label) FILTER (f.x > v.x) AS pr
-                   FROM v JOIN f USING (of) WHERE nx IS NOT NULL GROUP BY ALL),
-             b AS (SELECT *, pl / nl AS low, pr / nr AS high FROM s
-                   ORDER BY 2 * pl * (nl - pl) / nl + 2 * pr * (nr - pr) / nr LIMIT 1),
-             l AS (SELECT o_orderkey, CASE WHEN (CASE of WHEN 'yr' THEN yr ELSE gap END) <= cut THEN low ELSE high END AS p FROM c, b)
-        SELECT o_orderkey, CAST(p > 0.5 AS INTEGER) AS prediction, round(p, 6) AS confidence FROM l""",
+    "tree_split": _TREE_SCORES,
+    "tree_split_stream": _TREE_SCORES,
+    "tree_importance": f"""{_TREE}
+        SELECT n.feature, CAST(CASE WHEN n.of = b.of THEN 1 ELSE 0 END AS DOUBLE) AS importance,
+               CAST(row_number() OVER (ORDER BY n.of = b.of DESC, n.feature) AS INTEGER) AS rank
+        FROM (VALUES ('order_year', 'yr'), ('contact_gap', 'gap')) AS n(feature, of), b""",
     "standard_scale": """
         SELECT l_orderkey, l_linenumber,
                ROUND(l_quantity / (SELECT stddev_samp(l_quantity) FROM lineitem), 6)
@@ -415,6 +433,9 @@ IO_SQL = {
     "shared_scan": """
         SELECT 'priority' AS report, o_orderpriority AS key, count(*) AS row_count FROM orders GROUP BY 2
         UNION ALL SELECT 'status', o_orderstatus, count(*) FROM orders GROUP BY 2""",
+    "csv_table": "SELECT o_orderstatus, count(*) AS row_count, min(o_orderkey) AS first_key FROM orders GROUP BY 1",
+    "load_renamed": """
+        SELECT c_custkey AS client_id, c_mktsegment AS job, c_acctbal FROM customer""",
     "write_tsv": f"""
         SELECT c_mktsegment, {_fpm('c_acctbal')} AS avg_acctbal, count(*) AS client_count
         FROM customer WHERE c_acctbal IS NOT NULL GROUP BY c_mktsegment""",

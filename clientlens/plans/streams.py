@@ -11,6 +11,8 @@ engine to engine.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,6 +119,41 @@ def stream_upsert(spark, sf_dir):
     return st.upserted(spark, out, keys, order, ev.schema)
 
 
+def stream_memory(spark, sf_dir):
+    """Running counts in a memory table, read by SQL (a row per event type)."""
+    agg = st.stream_group_agg(_events_stream(spark, sf_dir), "event_type", {"event_count": F.count(F.lit(1))})
+    name = "stream_memory_" + uuid.uuid4().hex[:12]
+    st.start_stream(agg, name, "complete", "memory", trigger={"availableNow": True}).awaitTermination()
+    return spark.sql(f"SELECT event_type, event_count FROM {name}")
+
+
+def stream_concurrent(spark, sf_dir):
+    """The job's named queries side by side over the events until all that has
+    arrived is in, then stopped: events counted by each (a sliding window
+    counts an event once a window)."""
+    ev = _events_stream(spark, sf_dir).select(
+        F.col("event_type").alias("job"), F.col("value").alias("balance"), F.col("value").alias("duration"),
+        F.col("ts").alias("event_time"))
+    root = scratch_path(spark, "streams", "stream_concurrent")
+    counted = {"job_aggregation": ("transaction_count", ["job"]), "window_analysis": ("event_count", ["window_start"]),
+               "watermark_query": ("event_count", ["window_start", "job"])}
+    running = st.start_contact_streams(ev, root)
+    try:
+        for q in running.values():
+            q.processAllAvailable()
+    finally:
+        for q in running.values():
+            q.stop()
+    out = None
+    for name, (count, keys) in counted.items():
+        # the newest batch of a key; a running total's newest batch is all of it
+        log = spark.read.option("mergeSchema", False).parquet(f"{root}/{name}")
+        last = log.groupBy(*keys).agg(F.max_by(count, st.streams.BATCH_COL).alias("n"))
+        row = last.agg(F.sum("n").alias("events")).select(F.lit(name).alias("query"), "events", F.lit(not running[name].isActive).alias("stopped"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def stream_feed(spark, sf_dir):
     """Suppliers replayed 50 rows a micro-batch in the order of their key."""
     su = read_table(spark, sf_dir, "supplier")
@@ -132,4 +169,6 @@ QUERIES = {
     "stream_state": stream_state,
     "stream_upsert": stream_upsert,
     "stream_feed": stream_feed,
+    "stream_memory": stream_memory,
+    "stream_concurrent": stream_concurrent,
 }

@@ -73,7 +73,8 @@ EXECUTING = {"tune_rf", "train_rf", "score_clients", "feature_importance", "feat
              "load_clients", "stream_source", "stream_group_agg", "stream_sliding",
              "stream_watermark", "winsorize_iqr", "binary_metrics", "string_index",
              "standard_scale", "exact_median_by_group", "stream_missing_time", "winsorize_sketch", "bucketed_group",
-             "observed_write", "shared_scan", "stream_state", "stream_upsert", "stream_feed"}
+             "observed_write", "shared_scan", "stream_state", "stream_upsert", "stream_feed", "stream_memory", "stream_concurrent", "csv_table", "load_renamed",
+             "tree_split", "tree_split_stream", "tree_importance"}
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - EXECUTING))

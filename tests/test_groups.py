@@ -132,3 +132,24 @@ def test_pivot_counts_discovers_values(spark):
     assert out.columns == ["education", "no", "yes"]
     assert [tuple(r) for r in out.collect()] == [("primary", 1, 1), ("secondary", 0, 2),
                                                   ("tertiary", 1, 0)]
+
+
+def test_hot_group_with_one_value_is_dealt_by_row(spark):
+    from clientlens.operators import quantiles
+    rows = [(None if i % 3 else "b", i, 7.0 if i % 10 else float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, id long, v double")
+    got = {r.k: r.m for r in quantiles.quantile_by_group_exact(df, ["k"], "v", 0.95, "m", share_rows=100).collect()}
+    for key in (None, "b"):
+        values = sorted(v for k, _, v in rows if k == key)
+        assert got[key] == values[-(-95 * len(values) // 100) - 1]
+    state = spark.createDataFrame([(None, 20), ("b", 1)], "k string, __shares int")
+    data = df.select("k", df.v.alias("__v"), F.xxhash64("k", "id", "v").alias("__row"))
+    shares = quantiles._dealt(data, state, ["k"]).where("__v = 7").groupBy("k", "__salt").count().collect()
+    assert len([r for r in shares if r.k is None]) == 20 and [r["__salt"] for r in shares if r.k == "b"] == [0]
+    assert max(r["count"] for r in shares if r.k is None) < 200
+
+
+def test_rows_by_named_partition(spark):
+    from clientlens import operators as ops
+    df = spark.createDataFrame([(1,), (1,), (13,), (None,)], "p int")
+    assert [tuple(r) for r in ops.partition_rows(df, 5, F.col("p")).collect()] == [(0, 1), (1, 2), (2, 0), (3, 1), (4, 0)]
