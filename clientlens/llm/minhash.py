@@ -148,7 +148,7 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     dealt = (rows.withColumn("place", placed("o"))
              .withColumn("to", F.explode(F.when(F.col("place.ahead") >= 0, F.array(own, other)).otherwise(F.array(own))))
              .select("to.at", "id", "to.ghost", "text", "o")
-             .repartition(count, "at").sortWithinPartitions("at", "ghost", F.desc("o"), "text"))
+             .repartitionById(count, "at").sortWithinPartitions("at", "ghost", F.desc("o"), "text"))
     return dealt.select("at", "id", "ghost", "text").mapInArrow(
         _neighbours, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                      "edited_fingerprint string, near_edited double, near_next double")
