@@ -8,18 +8,21 @@ cover:
 
 0. a document whose whole text an earlier one has is a copy: all its windows
    repeat, so it takes no part;
-1. anchors are dealt by the hash of their prefix words, one row for all that a
-   document has of a prefix; prefixes of one place are dropped, since nothing
-   repeats around them;
-2. the others bring their words along (but not those that repeat an earlier
-   place of their own document word for word). Rows with one prefix form a subtree
-   (runs of over ``GROUP`` places of one prefix are cut into several). Sorted
-   suffixes and their longest common prefixes give the nodes of the tree, and
-   so do the reversed words before the anchors. Two windows are equal if they
-   lie under the same node of depth WINDOW - offset after the anchor and of
-   depth offset before it; the earliest place under a node keeps its words;
-3. the first places of a prefix that was cut meet once more under a longer
-   prefix, the whole window, so no group outgrows a task's memory.
+1. the places of each prefix are counted, partially before the shuffle;
+   prefixes of one place are dropped, since nothing repeats around them. A
+   prefix of over ``GROUP`` places grows by half of what its windows have left:
+   to the right for windows that start near the anchor, to the left for the
+   others. The longer prefixes are counted as well, and one that is still over
+   ``GROUP`` is dealt into parts by a hash of the document;
+2. the places bring their words along (but not those that repeat an earlier
+   place of their own document word for word). Rows with one prefix (and part)
+   form a subtree. Sorted suffixes and their longest common prefixes give the
+   nodes of the tree, and so do the reversed words before the anchors. Two
+   windows are equal if they lie under the same node of depth WINDOW - offset
+   after the anchor and of depth offset before it; the earliest place under a
+   node keeps its words;
+3. the first places of a prefix that was dealt into parts meet once more under
+   the longest prefix, the whole window, so no group outgrows a task's memory.
 
 Words are compared themselves; hashes only deal rows out.
 """
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientlens.llm.common import as_text, cut, pieces
@@ -116,44 +119,48 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], window: int, text_col: str)
             yield _batch("key did tid place more", key[begin], did, tid, place[begin], pa.array(more, pa.binary()))
 
 
-def _shared_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: the places whose key has another place too, with
-    their group: -1, or the part of GROUP places they fall in if the key has
-    more. Places of one key are held until it is known to be cut."""
-    names = "key grp did tid place"
-    held: list[np.ndarray] | None = None  # places of the last key, none of them passed on yet
-    last, passed = None, 0  # places of the last key that were passed on (it is cut then)
+def _places(anchors: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lists of anchors -> where the places of each list begin (and the last
+    ends), and key, grp and place of all of them."""
+    offsets = anchors.offsets.to_numpy()
+    child = anchors.values.slice(offsets[0], offsets[-1] - offsets[0])
+    more = [np.frombuffer(x, np.int64) if x else None for x in child.field("more").to_pylist()]
+    times = np.fromiter((1 if m is None else 1 + len(m) for m in more), np.int64, len(more))
+    begin = np.concatenate([[0], np.cumsum(times)])
+    key, grp, place = (np.repeat(child.field(n).to_numpy(zero_copy_only=False), times) for n in ("key", "grp", "place"))
+    for i in np.flatnonzero(times > 1).tolist():
+        place[begin[i] + 1:begin[i + 1]] = more[i]
+    return begin[offsets - offsets[0]], key, grp, place
+
+
+def _longer_prefixes(batches: Iterator[pa.RecordBatch], window: int, text_col: str) -> Iterator[pa.RecordBatch]:
+    """(did, tid, row, anchors) -> (key, did, tid, place): the places under
+    longer prefixes. A window that starts up to ``near_end`` words before its
+    anchor has all words of the prefix grown to the right; any other one has
+    those of the prefix grown to the left."""
+    grow = (window - PREFIX) // 2
+    near_end = window - PREFIX - grow
+    digest = xxhash.xxh64_intdigest
     for batch in batches:
-        more = [np.frombuffer(x, np.int64) if x else None for x in batch.column(4).to_pylist()]
-        times = np.fromiter((1 if m is None else 1 + len(m) for m in more), np.int64, len(more))
-        rows = [np.repeat(batch.column(i).to_numpy(zero_copy_only=False), times) for i in range(4)]
-        if not len(rows[0]):
-            continue
-        first = np.cumsum(times) - times
-        for i in np.flatnonzero(times > 1).tolist():
-            rows[3][first[i] + 1:first[i] + times[i]] = more[i]
-        if held is not None:
-            rows = [np.concatenate([h, r]) for h, r in zip(held, rows, strict=True)]
-        key = rows[0]
-        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.concatenate([begin, [len(key)]]))
-        before = np.zeros(len(begin), np.int64)
-        if key[0] == last:
-            before[0] = passed
-        total = size + before
-        group = np.where(np.repeat(total > GROUP, size), (np.arange(len(key)) - np.repeat(begin - before, size)) // GROUP, -1)
-        out = np.repeat(total > 1, size)
-        last, passed, held = key[-1], 0, None
-        if total[-1] > GROUP:
-            passed = int(total[-1])
-        else:
-            held = [r[begin[-1]:].copy() for r in rows]
-            out[begin[-1]:] = False
-        out = np.flatnonzero(out)
-        if len(out):
-            yield _batch(names, key[out], group[out], *(r[out] for r in rows[1:]))
-    if held is not None and len(held[0]) > 1:
-        yield _batch(names, held[0], np.full(len(held[0]), -1), *held[1:])
+        for part, texts in pieces(batch, 2, field=text_col):
+            begin, _, _, place = _places(part.column(3))
+            did, tid = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            keys, owner, out = [], [], []
+            for i, text in enumerate(texts):
+                words = text.split()
+                mine = place[begin[i]:begin[i + 1]]
+                for p, far, near in zip(*(x.tolist() for x in _unpack(mine)), strict=True):
+                    if near <= near_end:
+                        keys.append(digest(b" ".join(words[p:p + PREFIX + grow])))
+                        out.append((p, min(far, near_end), near))
+                        owner.append(i)
+                    if far > near_end:
+                        keys.append(digest(b" ".join(words[p - near_end - 1:p + PREFIX]), 1))
+                        out.append((p, far, max(near, near_end + 1)))
+                        owner.append(i)
+            if keys:
+                yield _batch("key did tid place", np.array(keys, np.uint64).view(np.int64), did[owner], tid[owner],
+                             _pack(*np.array(out, np.int64).T))
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], window: int, text_col: str) -> Iterator[pa.RecordBatch]:
@@ -163,14 +170,11 @@ def _contexts(batches: Iterator[pa.RecordBatch], window: int, text_col: str) ->
     a key of the document's own."""
     for batch in batches:
         for part, texts in pieces(batch, 2, field=text_col):
-            lists = part.column(3)
-            offsets = lists.offsets.to_numpy().tolist()
-            child = lists.values
-            key, grp, place = (child.field(n).to_numpy(zero_copy_only=False) for n in ("key", "grp", "place"))
+            begin, key, grp, place = _places(part.column(3))
             for i, text in enumerate(texts):
                 words = text.split()
                 did, tid = (part.column(c)[i].as_py() for c in (0, 1))
-                mine = np.arange(offsets[i], offsets[i + 1])
+                mine = np.arange(begin[i], begin[i + 1])
                 mine = mine[np.argsort(place[mine])]
                 pos, far, near = _unpack(place[mine])
                 seen: set[tuple[int, int, bytes]] = set()
@@ -336,6 +340,13 @@ def _copies(base: DataFrame, text_col: str) -> DataFrame:
     return ids.join(first, "sha").select("did", "tid", (F.struct("did", "tid") > F.col("first")).alias("copy"))
 
 
+def _with_size(places: DataFrame, times: Column) -> DataFrame:
+    """The rows whose key has another place too, with the number of its places.
+    Both sides are ordinary exchanges, so a hot key's rows can be split."""
+    size = places.groupBy("key").agg(F.sum(times).cast("long").alias("size")).where(F.col("size") > 1)
+    return places.join(size.hint("merge"), "key")
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents -> (row: all their columns as a struct, n_words, n_removed,
     kept: the kept words joined by one space).
@@ -359,11 +370,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         "row", F.coalesce(F.col("row")[id_col].cast("long"), null).alias("did"),
         F.xxhash64(F.coalesce(F.col("row")[text_col], F.lit(""))).alias("tid"))
     copies = cut(_copies(base, text_col))
-    anchors_ = (base.join(copies.where("not copy").select(*of), of).select("did", "tid", "row")
-                .mapInArrow(lambda it: _anchor_rows(it, window, text_col), "key long, did long, tid long, place long, more binary")
-                .repartition("key").sortWithinPartitions("key", "did", "tid", "place")
-                .mapInArrow(_shared_prefixes, "key long, grp long, did long, tid long, place long"))
-    shared = anchors_.groupBy(*of).agg(F.collect_set(F.struct("key", "grp", "place")).alias("anchors"))
+    short = (base.join(copies.where("not copy").select(*of), of).select("did", "tid", "row")
+             .mapInArrow(lambda it: _anchor_rows(it, window, text_col), "key long, did long, tid long, place long, more binary"))
+    short = _with_size(short, F.lit(1) + F.coalesce(F.octet_length("more"), F.lit(0)) / 8)
+    crowded = (short.where(F.col("size") > GROUP).groupBy(*of)
+               .agg(F.collect_set(F.struct("key", F.lit(-1).cast("long").alias("grp"), "place", "more")).alias("anchors")))
+    grown = _with_size(base.join(crowded, of).select("did", "tid", "row", "anchors")
+                       .mapInArrow(lambda it: _longer_prefixes(it, window, text_col), "key long, did long, tid long, place long"), F.lit(1))
+    part = F.when(F.col("size") > GROUP, F.pmod(F.xxhash64("did", "tid"), F.ceil(F.col("size") / GROUP))).otherwise(-1)
+    anchors_ = (short.where(F.col("size") <= GROUP).select(*of, "key", F.lit(-1).cast("long").alias("grp"), "place", "more")
+                .unionByName(grown.select(*of, "key", part.cast("long").alias("grp"), "place", F.lit(None).cast("binary").alias("more"))))
+    shared = anchors_.groupBy(*of).agg(F.collect_set(F.struct("key", "grp", "place", "more")).alias("anchors"))
     schema = "key long, grp long, did long, tid long, place long, ctx binary, mask long"
     contexts = (base.join(shared, of).select("did", "tid", "row", "anchors")
                 .mapInArrow(lambda it: _contexts(it, window, text_col), schema)

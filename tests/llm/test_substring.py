@@ -73,6 +73,31 @@ def test_cut_prefixes_give_the_same(spark, monkeypatch, group):
     assert result(spark, rows) == brute(rows)
 
 
+def test_crowded_prefixes_grow_before_they_are_dealt(spark, monkeypatch):
+    """One phrase of 40 words in every document: its prefixes are cut into
+    parts of the wanted number; a crowded phrase of eight words before
+    different words is not, since longer prefixes tell its places apart."""
+    monkeypatch.setattr(substring, "GROUP", 10)
+    shared, phrase = [f"s{i}" for i in range(40)], [f"p{i}" for i in range(8)]
+    rows = [(i, " ".join([*(f"a{i}_{j}" for j in range(30)), *shared, *(f"b{i}_{j}" for j in range(30)), *phrase,
+                          *(f"c{i}_{j}" for j in range(30))])) for i in range(45)]
+    assert result(spark, rows) == brute(rows)
+    parts: dict[int, set[int]] = {}
+    texts = frame(spark, rows).select(F.struct("*").alias("row")).withColumn("did", F.col("row.doc_id")).withColumn("tid", F.lit(0).cast("long"))
+    short = texts.select("did", "tid", "row").mapInArrow(lambda it: substring._anchor_rows(it, 20, "text"),
+                                                        "key long, did long, tid long, place long, more binary")
+    sized = substring._with_size(short, F.lit(1)).where("size > 10")
+    lists = sized.groupBy("did", "tid").agg(F.collect_list(F.struct("key", F.lit(-1).cast("long").alias("grp"), "place", "more")).alias("anchors"))
+    longer = (texts.join(lists, ["did", "tid"]).select("did", "tid", "row", "anchors")
+              .mapInArrow(lambda it: substring._longer_prefixes(it, 20, "text"), "key long, did long, tid long, place long"))
+    for r in longer.collect():
+        pos, far, near = (int(x) for x in substring._unpack(r.place))
+        assert 0 <= near <= far <= 12 and (far <= 6 or near >= 7)
+        parts.setdefault(r.key, set()).add(r.did)
+    sizes = {len(v) for v in parts.values()}
+    assert 45 in sizes and sizes <= {1, 45}
+
+
 def test_groups_over_several_batches(spark, monkeypatch):
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
