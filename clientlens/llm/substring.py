@@ -342,9 +342,14 @@ def _copies(base: DataFrame, text_col: str) -> DataFrame:
 
 def _with_size(places: DataFrame, times: Column) -> DataFrame:
     """The rows whose key has another place too, with the number of its places.
-    Both sides are ordinary exchanges, so a hot key's rows can be split."""
+
+    The counts are joined by another hash than the one that they were summed
+    by: both sides of the join are plain exchanges then, the only form in
+    which Spark splits a hot key's rows among tasks.
+    """
     size = places.groupBy("key").agg(F.sum(times).cast("long").alias("size")).where(F.col("size") > 1)
-    return places.join(size.hint("merge"), "key")
+    turned = size.select(F.bitwise_not("key").alias("turned"), "size")
+    return places.join(turned.hint("merge"), F.bitwise_not("key") == F.col("turned")).drop("turned")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

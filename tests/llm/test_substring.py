@@ -98,6 +98,29 @@ def test_crowded_prefixes_grow_before_they_are_dealt(spark, monkeypatch):
     assert 45 in sizes and sizes <= {1, 45}
 
 
+def test_a_hot_prefix_is_split(spark):
+    """A prefix that most rows have is read by several tasks once it is large
+    (here: 64 KB), and every row keeps its count."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    places = spark.range(0, 60000, 1, 8).select(F.when(F.col("id") % 10 < 7, -5).otherwise(F.col("id") % 9000).alias("key"),
+                                                F.col("id").alias("did"), F.xxhash64("id").alias("tid"), F.col("id").alias("place"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sized = substring._with_size(places, F.lit(1))
+        got = {r.key: (r["size"], r.n) for r in sized.groupBy("key", "size").agg(F.count("*").alias("n")).collect()}
+        frame_ = sized.groupBy("did").agg(F.max("size").alias("size"))
+        frame_.collect()
+        assert "skew=true" in frame_._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = {r.key: (r.n, r.n) for r in places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").collect()}
+    assert got == want
+
+
 def test_groups_over_several_batches(spark, monkeypatch):
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
