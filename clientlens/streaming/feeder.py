@@ -41,7 +41,8 @@ def numbered(df: DataFrame, order: Sequence[str]) -> DataFrame:
 def feed(spark: SparkSession, table: DataFrame, rows_per_batch: int) -> DataFrame:
     """Stream over a ``numbered`` table, ``rows_per_batch`` rows a micro-batch
     (the last one has the rest; later ones are empty)."""
-    ticks = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).load()
+    ticks = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch)
+             .option("numPartitions", max(1, rows_per_batch // FILED)).load()
              .select(F.col("value").alias(ROW), F.floor(F.col("value") / FILED).alias("__folder")))
     return table.join(F.broadcast(ticks), [ROW, "__folder"])  # one batch of numbers: rows_per_batch rows
 
@@ -50,7 +51,8 @@ def run_feed(df: DataFrame, name: str, order: Sequence[str], rows_per_batch: int
              timeout_s: float = 3600) -> DataFrame:
     """Replay the whole of ``df`` through a file sink and return what it wrote:
     every row once, with the micro-batch it came in as ``batch``. Ends after
-    the batch with the last row; no rows: no batch."""
+    the batch with the last row; no rows: no batch. ``timeout_s`` bounds the wait
+    for the next batch, not that for all: their number follows the table."""
     spark = df.sparkSession
     root = scratch_path(spark, "streams", name)
     numbered(df, order).withColumn("__folder", F.floor(F.col(ROW) / FILED)).write.partitionBy("__folder").parquet(f"{root}/table")
@@ -64,14 +66,18 @@ def run_feed(df: DataFrame, name: str, order: Sequence[str], rows_per_batch: int
     if batches:
         q = start_stream(out, name, "append", "parquet", path=f"{root}/out",
                          checkpoint=f"{root}/checkpoint", trigger={"processingTime": "0 seconds"})
-        deadline = time.monotonic() + timeout_s
+        done, deadline = -1, time.monotonic() + timeout_s
         try:
-            while not (q.lastProgress and q.lastProgress.batchId >= batches - 1):
+            while done < batches - 1:
                 if q.exception() is not None:
                     raise RuntimeError(f"stream {name} failed: {q.exception()}")
-                if time.monotonic() > deadline:
-                    raise TimeoutError(f"stream {name} did not finish within {timeout_s} s")
-                time.sleep(0.05)
+                progress = q.lastProgress
+                if progress and progress.batchId > done:
+                    done, deadline = progress.batchId, time.monotonic() + timeout_s
+                elif time.monotonic() > deadline:
+                    raise TimeoutError(f"stream {name}: no batch after {done} within {timeout_s} s")
+                else:
+                    time.sleep(0.05)
         finally:
             q.stop()
         return spark.read.schema(out.schema).parquet(f"{root}/out")

@@ -105,6 +105,12 @@ def test_feeder_gives_every_row_once_in_order(spark):
     assert st.run_feed(df.where("false"), "feeder_empty", ["a"], 25).collect() == []
 
 
+def test_feeder_waits_for_each_batch_not_for_all(spark):
+    df = spark.range(120).toDF("a")
+    got = st.run_feed(df, "feeder_long", ["a"], 1, timeout_s=12)  # all 120 take longer
+    assert sorted((r.a, r.batch) for r in got.collect()) == [(i, i) for i in range(120)]
+
+
 def test_shared_scan_is_read_once_and_released(spark):
     read = spark.sparkContext.accumulator(0)
 
