@@ -125,7 +125,7 @@ def hash_split(spark, sf_dir):
 def train_rf(spark, sf_dir):
     train, test = split(spark, sf_dir)
     model, _ = ml.train_rf(train, CAT_COLS, NUM_COLS, "y", seed=42, **FIT)
-    scored = model.transform(test).select("label", "prediction", "rawPrediction").persist()
+    scored = model.transform(ml.layout(test, key=KEY)).select("label", "prediction", "rawPrediction").persist()
     metrics = ml.class_metrics(scored).first()  # one row
     auc = ml.auc_roc(scored)
     scored.unpersist()
@@ -141,7 +141,8 @@ def score_clients(spark, sf_dir):
     rows, distinct keys, and rows whose prediction and confidence disagree or
     are out of range."""
     model = fitted_model(spark, sf_dir)
-    scored = ml.score(model, clients(read_table(spark, sf_dir, "orders")), keep=[KEY, "o_orderpriority"], digits=6)
+    orders = ml.layout(clients(read_table(spark, sf_dir, "orders")), key=KEY)
+    scored = ml.score(model, orders, keep=[KEY, "o_orderpriority"], digits=6)
     sure = F.col("confidence")
     bad = (~sure.between(0, 1) | ~F.col("prediction").isin(0, 1) | sure.isNull()
            | ((F.col("prediction") == 1) & (sure < 0.499999)) | ((F.col("prediction") == 0) & (sure > 0.500001)))

@@ -181,6 +181,25 @@ def test_layout_follows_the_rows_alone(spark, clients, monkeypatch):
     assert forests[0] == forests[1] == forests[2]
 
 
+def counted_reads(spark, df):
+    """``df`` and an accumulator of the rows read from it."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(count, df.schema), read
+
+
+def test_training_reads_its_rows_twice(spark, clients):
+    train, _ = ml.hash_split(clients, "id")
+    rows, read = counted_reads(spark, train)
+    ml.train_rf(rows, ["job"], ["balance"], "y", num_trees=3, max_depth=2, key="id", clip_cols=["balance"])
+    assert read.value == 2 * train.count()  # count and layout
+
+
 def test_nested_grid_agrees_with_separate_forests(spark, clients):
     """The smallest point of a nested grid is a forest of its own; the next
     one's AUC is that of as many trees grown in one go, up to sampling."""
