@@ -88,14 +88,16 @@ def tune_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
     Folds are hash buckets of the row key, so they do not depend on
     partitioning. Preparation, indexers and scaler are fitted once per fold,
     on its training rows only; the forests then train side by side on the
-    fold's cached vectors. Tree counts are nested: the trees of a smaller
-    point are part of the next one's, whose votes are added to theirs, so a
-    fold grows as many trees per depth as its largest point has."""
+    fold's cached vectors. Folds are parts of one kept layout, so the source is
+    read twice, and each forest scores a fold's rows once. Tree counts are
+    nested: the trees of a smaller point are part of the next one's, whose votes
+    are added to theirs, so a fold grows as many trees per depth as its largest
+    point has."""
     grid = [{"numTrees": t, "maxDepth": d} for t in num_trees for d in max_depth]
     counts = sorted(set(num_trees))
     steps = [(d, i, t - before) for d in sorted(set(max_depth)) for i, (before, t) in enumerate(zip([0, *counts], counts))]
     fold_key = F.col(key) if key else F.xxhash64(*train.columns)
-    data = train.withColumn("__fold", hash_bucket(fold_key, folds, salt="fold:"))
+    data = layout(train, partitions, key).withColumn("__fold", hash_bucket(fold_key, folds, salt="fold:")).persist()
     aucs: list[list[float]] = []
     for fold in range(folds):
         inside = data.where(F.col("__fold") != fold).drop("__fold")
@@ -109,24 +111,26 @@ def tune_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
             depth, i, trees = step
             return random_forest(trees, depth, seed + i).fit(fit_on)
 
-        def auc(point: dict[str, int], check_on=check_on) -> float:
-            scored, votes = check_on, F.lit(0.0)
-            for depth, i, _ in steps:
-                if depth == point["maxDepth"] and counts[i] <= point["numTrees"]:
-                    model = forests[depth, i].setRawPredictionCol(f"raw{i}").setProbabilityCol("").setPredictionCol("")
-                    scored = model.transform(scored)
-                    votes = votes + vector_to_array(f"raw{i}")[1]
-            return auc_roc(scored.select("label", votes.alias("votes")), "votes")
-
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             forests = dict(zip([s[:2] for s in steps], pool.map(fit, steps)))
-            aucs.append(list(pool.map(auc, grid)))
+            scored = check_on
+            for (depth, i), forest in forests.items():
+                scored = (forest.setRawPredictionCol(f"raw_{depth}_{i}").setProbabilityCol("").setPredictionCol("")
+                          .transform(scored))
+            votes = scored.select("label", *[
+                sum((vector_to_array(f"raw_{p['maxDepth']}_{i}")[1] for i, t in enumerate(counts) if t <= p["numTrees"]),
+                    F.lit(0.0)).alias(f"votes_{n}") for n, p in enumerate(grid)]).persist()
+            votes.count()  # the points' curves share the scores
+            aucs.append(list(pool.map(lambda n, votes=votes: auc_roc(votes.select("label", f"votes_{n}"), f"votes_{n}"),
+                                      range(len(grid)))))
+        votes.unpersist()
         fit_on.unpersist()
         check_on.unpersist()
     mean = [sum(a) / folds for a in zip(*aucs)]
     best = grid[mean.index(max(mean))]
-    model, _ = train_rf(train, cat_cols, num_cols, label_col, best["numTrees"], best["maxDepth"],
+    model, _ = train_rf(data.drop("__fold"), cat_cols, num_cols, label_col, best["numTrees"], best["maxDepth"],
                         seed, partitions, key, clip_cols, sentinel_cols)
+    data.unpersist()
     return TunedModel(grid, mean, model)
 
 

@@ -155,7 +155,7 @@ def tune_rf(spark, sf_dir):
     the test part: the grid's shape and whether its figures are sound."""
     train, test = split(spark, sf_dir)
     tuned = ml.tune_rf(train, CAT_COLS, NUM_COLS, "y", folds=3, seed=42, parallelism=4, **FIT)
-    grid = ml.grid_results(spark, tuned, test)
+    grid = ml.grid_results(spark, tuned, ml.layout(test, key=KEY))
     return grid.select("num_trees", "max_depth", F.col("avg_auc").between(0, 1).alias("auc_in_range"),
                        (F.col("is_best") == F.col("test_auc").isNotNull()).alias("best_is_tested"))
 

@@ -200,6 +200,13 @@ def test_training_reads_its_rows_twice(spark, clients):
     assert read.value == 2 * train.count()  # count and layout
 
 
+def test_tuning_reads_its_rows_twice(spark, clients):
+    train, _ = ml.hash_split(clients, "id")
+    rows, read = counted_reads(spark, train)
+    ml.tune_rf(rows, ["job"], ["balance"], "y", num_trees=(2, 4), max_depth=(1, 2), folds=2, key="id")
+    assert read.value == 2 * train.count()
+
+
 def test_nested_grid_agrees_with_separate_forests(spark, clients):
     """The smallest point of a nested grid is a forest of its own; the next
     one's AUC is that of as many trees grown in one go, up to sampling."""
