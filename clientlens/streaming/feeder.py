@@ -9,16 +9,43 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clientlens.session import ensure_checkpoint_dir, scratch_path
 from clientlens.streaming.streams import start_stream
 
 ROW = "__row"
-#: Width of the folders that row numbers are filed under, for partition pruning.
-FILED = 1_000_000
+INTERVAL = "spark.sql.streaming.fileSink.log.compactInterval"
+#: Settings of the feed's own session. A micro-batch is so small that what it
+#: costs is its bookkeeping: one exchange of a batch's numbers is nothing to
+#: re-plan, and the sink's log, which nobody reads before the end, is folded
+#: (each time as a whole) and listed less often.
+FEED_CONF = {
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.ui.explainMode": "simple",
+    INTERVAL: "100",
+    "spark.sql.streaming.fileSink.log.cleanupDelay": "1s",
+}
+#: On a local file system each rename through Hadoop's FileContext starts
+#: processes (``readlink``), for every log entry of every batch; a FileSystem
+#: renames by itself. Elsewhere Spark's choice stays.
+LOCAL_LOG = "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+
+
+def feed_session(spark: SparkSession, root: str) -> SparkSession:
+    """A session of the same application for a feed that keeps its logs under
+    ``root``. The given session's settings stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    for key, value in FEED_CONF.items():
+        own.conf.set(key, value)
+    if urlsplit(root).scheme in ("", "file"):
+        own.conf.set("spark.sql.streaming.checkpointFileManagerClass", LOCAL_LOG)
+    return own
 
 
 def numbered(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -42,9 +69,19 @@ def feed(spark: SparkSession, table: DataFrame, rows_per_batch: int) -> DataFram
     """Stream over a ``numbered`` table, ``rows_per_batch`` rows a micro-batch
     (the last one has the rest; later ones are empty)."""
     ticks = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch)
-             .option("numPartitions", max(1, rows_per_batch // FILED)).load()
-             .select(F.col("value").alias(ROW), F.floor(F.col("value") / FILED).alias("__folder")))
-    return table.join(F.broadcast(ticks), [ROW, "__folder"])  # one batch of numbers: rows_per_batch rows
+             .option("numPartitions", max(1, rows_per_batch // 1_000_000)).load().select(F.col("value").alias(ROW)))
+    return table.join(F.broadcast(ticks), ROW)  # one batch of numbers: rows_per_batch rows
+
+
+def _sink_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What the feed's sink has committed. Its log is read here, once, and must
+    be read with the interval it was written with."""
+    before = spark.conf.get(INTERVAL, None)
+    spark.conf.set(INTERVAL, FEED_CONF[INTERVAL])
+    try:
+        return spark.read.schema(schema).parquet(path)
+    finally:
+        spark.conf.unset(INTERVAL) if before is None else spark.conf.set(INTERVAL, before)
 
 
 def run_feed(df: DataFrame, name: str, order: Sequence[str], rows_per_batch: int,
@@ -55,13 +92,14 @@ def run_feed(df: DataFrame, name: str, order: Sequence[str], rows_per_batch: int
     for the next batch, not that for all: their number follows the table."""
     spark = df.sparkSession
     root = scratch_path(spark, "streams", name)
-    numbered(df, order).withColumn("__folder", F.floor(F.col(ROW) / FILED)).write.partitionBy("__folder").parquet(f"{root}/table")
-    table = spark.read.schema(f"{ROW} long, __folder long").parquet(f"{root}/table")
-    total = table.count()
+    own = feed_session(spark, root)
+    numbered(df, order).write.parquet(f"{root}/table")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    full = spark.read.schema(f"{schema}, {ROW} long, __folder long").parquet(f"{root}/table")
+    # kept in columns by the executors: a batch opens no file of the table
+    table = own.read.schema(f"{schema}, {ROW} long").parquet(f"{root}/table").persist()
+    total = table.count()
     batches = -(-total // rows_per_batch)
-    out = feed(spark, full, rows_per_batch).select(
+    out = feed(own, table, rows_per_batch).select(
         *df.columns, F.floor(F.col(ROW) / rows_per_batch).alias("batch"))
     if batches:
         q = start_stream(out, name, "append", "parquet", path=f"{root}/out",
@@ -77,8 +115,9 @@ def run_feed(df: DataFrame, name: str, order: Sequence[str], rows_per_batch: int
                 elif time.monotonic() > deadline:
                     raise TimeoutError(f"stream {name}: no batch after {done} within {timeout_s} s")
                 else:
-                    time.sleep(0.05)
+                    time.sleep(0.2)
         finally:
             q.stop()
-        return spark.read.schema(out.schema).parquet(f"{root}/out")
+            table.unpersist()
+        return _sink_rows(spark, f"{root}/out", out.schema)
     return spark.createDataFrame([], out.schema)

@@ -111,6 +111,18 @@ def test_feeder_waits_for_each_batch_not_for_all(spark):
     assert sorted((r.a, r.batch) for r in got.collect()) == [(i, i) for i in range(120)]
 
 
+def test_feed_session_spares_the_logs_and_leaves_the_callers(spark):
+    from clientlens.streaming import feeder
+    key = "spark.sql.streaming.checkpointFileManagerClass"
+    kept = [spark.conf.get(k, None) for k in (key, *feeder.FEED_CONF)]
+    assert feeder.feed_session(spark, "file:///tmp/x").conf.get(key) == feeder.LOCAL_LOG
+    assert feeder.feed_session(spark, "hdfs://host/x").conf.get(key, None) != feeder.LOCAL_LOG
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    st.run_feed(spark.range(30).toDF("a"), "feeder_conf", ["a"], 10)
+    assert [spark.conf.get(k, None) for k in (key, *feeder.FEED_CONF)] == kept
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
+
+
 def test_shared_scan_is_read_once_and_released(spark):
     read = spark.sparkContext.accumulator(0)
 
