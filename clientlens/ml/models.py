@@ -15,10 +15,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clientlens.ml.features import feature_pipeline, fit_preparation, hash_bucket, slot_names
+from clientlens.ml.forest import COUNT, CountedRows, grow
+from clientlens.session import parallelism as session_parallelism
 
 #: Training rows of a partition, and partitions at most (see ``layout``).
 TREE_ROWS = 20_000
 MOST_PARTITIONS = 20_000
+#: Partitions of training rows that a task counts before the counts of all meet.
+COUNT_PARTS = 25
 
 
 def random_forest(num_trees: int = 100, max_depth: int = 5, seed: int = 42) -> RandomForestClassifier:
@@ -86,52 +90,44 @@ def tune_rf(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
     """Grid search with k-fold cross validation on AUC.
 
     Folds are hash buckets of the row key, so they do not depend on
-    partitioning. Preparation, indexers and scaler are fitted once per fold,
-    on its training rows only; the forests then train side by side on the
-    fold's cached vectors. Folds are parts of one kept layout, so the source is
-    read twice, and each forest scores a fold's rows once. Tree counts are
-    nested: the trees of a smaller point are part of the next one's, whose votes
-    are added to theirs, so a fold grows as many trees per depth as its largest
-    point has."""
+    partitioning, and parts of one kept layout, so the source is read twice.
+    Preparation, indexers and scaler are fitted once per fold, on its training
+    rows only. A fold grows one forest for all points, with the most trees and to
+    the largest depth (``forest``): a point's trees are its first ones, cut off at
+    the point's depth, and ``parallelism`` points are evaluated side by side. The
+    rows left out are scored once per kind of row, which weighs as many as it has."""
     grid = [{"numTrees": t, "maxDepth": d} for t in num_trees for d in max_depth]
-    counts = sorted(set(num_trees))
-    steps = [(d, i, t - before) for d in sorted(set(max_depth)) for i, (before, t) in enumerate(zip([0, *counts], counts))]
+    points = [(p["numTrees"], p["maxDepth"]) for p in grid]
     fold_key = F.col(key) if key else F.xxhash64(*train.columns)
-    data = layout(train, partitions, key).withColumn("__fold", hash_bucket(fold_key, folds, salt="fold:")).persist()
+    parts = partitions or tree_partitions(train.count())
+    data = layout(train, parts, key).withColumn("__fold", hash_bucket(fold_key, folds, salt="fold:")).persist()
+    tasks = min(parts, max(session_parallelism(train.sparkSession), parts // COUNT_PARTS))
+
+    def grown(rows: DataFrame, trees: int, depth: int):
+        prep = fit_preparation(rows, num_cols, clip_cols, sentinel_cols)
+        stages = feature_pipeline(cat_cols, num_cols, label_col, preparation=prep).fit(rows)
+        counted = CountedRows.of(rows, stages, prep, cat_cols, num_cols, label_col)
+        return counted, grow(rows, counted, layout, tree_partitions, tasks, trees, depth, seed, "sqrt" if max(num_trees) > 1 else "all")
+
     aucs: list[list[float]] = []
-    for fold in range(folds):
-        inside = data.where(F.col("__fold") != fold).drop("__fold")
-        outside = data.where(F.col("__fold") == fold).drop("__fold")
-        prep = fit_preparation(inside, num_cols, clip_cols, sentinel_cols)
-        features = feature_pipeline(cat_cols, num_cols, label_col, preparation=prep).fit(inside)
-        fit_on = features.transform(layout(inside, partitions, key)).select("label", "features").persist()
-        check_on = features.transform(outside).select("label", "features").persist()
-
-        def fit(step: tuple[int, int, int], fit_on=fit_on):
-            depth, i, trees = step
-            return random_forest(trees, depth, seed + i).fit(fit_on)
-
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            forests = dict(zip([s[:2] for s in steps], pool.map(fit, steps)))
-            scored = check_on
-            for (depth, i), forest in forests.items():
-                scored = (forest.setRawPredictionCol(f"raw_{depth}_{i}").setProbabilityCol("").setPredictionCol("")
-                          .transform(scored))
-            votes = scored.select("label", *[
-                sum((vector_to_array(f"raw_{p['maxDepth']}_{i}")[1] for i, t in enumerate(counts) if t <= p["numTrees"]),
-                    F.lit(0.0)).alias(f"votes_{n}") for n, p in enumerate(grid)]).persist()
+    try:
+        for fold in range(folds):
+            counted, forest = grown(data.where(F.col("__fold") != fold).drop("__fold"), max(num_trees), max(max_depth))
+            outside = data.where(F.col("__fold") == fold).drop("__fold").coalesce(tasks)
+            votes = forest.votes(counted.vectors(counted.groups(outside)), points).persist()
             votes.count()  # the points' curves share the scores
-            aucs.append(list(pool.map(lambda n, votes=votes: auc_roc(votes.select("label", f"votes_{n}"), f"votes_{n}"),
-                                      range(len(grid)))))
-        votes.unpersist()
-        fit_on.unpersist()
-        check_on.unpersist()
-    mean = [sum(a) / folds for a in zip(*aucs)]
-    best = grid[mean.index(max(mean))]
-    model, _ = train_rf(data.drop("__fold"), cat_cols, num_cols, label_col, best["numTrees"], best["maxDepth"],
-                        seed, partitions, key, clip_cols, sentinel_cols)
-    data.unpersist()
-    return TunedModel(grid, mean, model)
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                aucs.append(list(pool.map(lambda n, votes=votes: auc_roc(votes, f"votes_{n}", COUNT), range(len(grid)))))
+            votes.unpersist()
+        mean = [sum(a) / folds for a in zip(*aucs)]
+        best = grid[mean.index(max(mean))]
+        counted, forest = grown(data.drop("__fold"), best["numTrees"], best["maxDepth"])
+    finally:
+        data.unpersist()
+    model = forest.model(train.sparkSession, best["numTrees"], best["maxDepth"])
+    random_forest(best["numTrees"], best["maxDepth"], seed)._copyValues(model)
+    model._transfer_params_to_java()
+    return TunedModel(grid, mean, PipelineModel(stages=[*counted.stages.stages, model]))
 
 
 def grid_results(spark: SparkSession, tuned: TunedModel,
@@ -147,9 +143,11 @@ def grid_results(spark: SparkSession, tuned: TunedModel,
         rows, "num_trees int, max_depth int, avg_auc double, is_best boolean, test_auc double")
 
 
-def auc_roc(df: DataFrame, score: str = "rawPrediction") -> float:
-    """Exact area under the ROC curve (ties count one half)."""
-    return auc_evaluator(score).evaluate(df)
+def auc_roc(df: DataFrame, score: str = "rawPrediction", weight: str | None = None) -> float:
+    """Exact area under the ROC curve (ties count one half); ``weight``: a
+    column with the number of rows that a row stands for."""
+    evaluator = auc_evaluator(score)
+    return (evaluator.setWeightCol(weight) if weight else evaluator).evaluate(df)
 
 
 def feature_importance(model: PipelineModel, transformed: DataFrame, top: int = 10,

@@ -222,6 +222,90 @@ def test_nested_grid_agrees_with_separate_forests(spark, clients):
         assert auc == other if point["numTrees"] == 20 else abs(auc - other) < 0.05
 
 
+def _grown(train, cat, num, trees, depth, tasks=4, **args):
+    from clientlens.ml import forest
+    prep = ml.fit_preparation(train, num)
+    stages = ml.feature_pipeline(cat, num, "y", preparation=prep).fit(train)
+    counted = forest.CountedRows.of(train, stages, prep, cat, num, "y")
+    return stages, counted, forest.grow(train, counted, ml.layout, ml.tree_partitions, tasks, trees, depth, **args)
+
+
+def _patterned(spark, n=6000):
+    """Rows of few kinds with a label that follows them, with noise."""
+    return spark.range(n).selectExpr(
+        "id", "elt(1 + pmod(hash(id), 4), 'a', 'b', 'c', 'd') AS job", "pmod(hash(id, 1), 20) AS balance", "pmod(hash(id, 2), 300) / 7 AS pdays") \
+        .selectExpr("*", "IF(pmod(hash(id, 3), 10) < CASE WHEN job = 'a' THEN 8 WHEN balance > 12 AND pdays < 20 THEN 7"
+                    " WHEN balance < 3 THEN 6 ELSE 2 END, 'yes', 'no') AS y")
+
+
+def test_counted_tree_is_sparks_tree(spark):
+    """Without a bootstrap and with all features at each node the tree is the
+    one that Spark grows on the rows one by one, at each depth."""
+    from pyspark.ml.classification import RandomForestClassifier
+    train = _patterned(spark).where("pdays * 7 % 10 = 0").cache()  # 30 values: all middles are cuts
+    stages, _, grown = _grown(train, ["job"], ["balance", "pdays"], 1, 6, subset="all", bootstrap=False)
+    rows = stages.transform(train)
+    for depth in (0, 1, 3, 4, 6):
+        want = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=1, maxDepth=depth, bootstrap=False,
+                                      featureSubsetStrategy="all", seed=1).fit(rows)
+        got = grown.model(spark, 1, depth)
+        assert got.toDebugString.split("\n", 1)[1] == want.toDebugString.split("\n", 1)[1], depth
+        assert abs(got.featureImportances.toArray() - want.featureImportances.toArray()).max() < 1e-9
+    assert got.trees[0].depth == 6
+    train.unpersist()
+
+
+def test_counted_forest_is_as_good_as_sparks(spark):
+    from pyspark.ml.functions import vector_to_array
+    train, test = ml.hash_split(_patterned(spark), "id")
+    model, _ = ml.train_rf(train, ["job"], ["balance", "pdays"], "y", num_trees=40, max_depth=5, key="id")
+    stages, counted, grown = _grown(train, ["job"], ["balance", "pdays"], 40, 5)
+    forest = grown.model(spark, 40, 5)
+    scored = forest.transform(stages.transform(test))
+    assert abs(ml.auc_roc(scored) - ml.auc_roc(model.transform(test))) < 0.015 and ml.auc_roc(scored) > 0.7
+    # kinds of rows, weighed, give the curve of the rows one by one; so does a smaller point
+    votes = grown.votes(counted.vectors(counted.groups(test)), [(40, 5), (10, 2)])
+    assert votes.agg(F.sum("__n")).first()[0] == test.count() and votes.count() < test.count()
+    small = grown.model(spark, 10, 2).transform(stages.transform(test))
+    assert abs(ml.auc_roc(votes, "votes_0", "__n") - ml.auc_roc(scored)) < 1e-9
+    assert abs(ml.auc_roc(votes, "votes_1", "__n") - ml.auc_roc(small)) < 1e-9
+    assert {round(v, 9) for r in votes.collect() for v in [r.votes_0]} == {
+        round(r.v, 9) for r in scored.select(vector_to_array("rawPrediction")[1].alias("v")).collect()}
+
+
+def test_counted_forest_follows_the_rows_alone(spark, monkeypatch):
+    monkeypatch.setattr(ml.models, "TREE_ROWS", 500)
+    rows = _patterned(spark)
+    forests = []
+    for parts in (1, 7):
+        forest = _grown(ml.layout(rows.repartition(parts), key="id"), ["job"], ["balance"], 6, 4, tasks=parts)[2]
+        forests.append(forest.model(spark, 6, 4).toDebugString.split("\n", 1)[1])
+    assert forests[0] == forests[1]
+    # as many draws as rows, up to chance
+    kept = _grown(rows, ["job"], ["balance"], 30, 1)[2].counts[:, 0].sum(axis=1)
+    assert abs(kept.mean() - 6000) < 60 and 40 < kept.std() < 120
+
+
+def test_counting_shrinks_rows_a_tree_cannot_tell_apart(spark, clients):
+    """The growth works on kinds of rows: a table twice as large has no more."""
+    _, counted, _ = _grown(_patterned(spark), ["job"], ["balance"], 1, 1)
+    one, two = counted.groups(_patterned(spark)), counted.groups(_patterned(spark).unionByName(_patterned(spark)))
+    assert one.count() == two.count() <= 4 * 20 * 2
+    assert two.agg(F.sum("__n")).first()[0] == 12_000
+
+
+def test_tuned_model_can_be_saved(spark, clients, tmp_dir):
+    from pyspark.ml import PipelineModel
+    train, test = ml.hash_split(clients, "id")
+    best = ml.tune_rf(train, ["job"], ["balance", "pdays"], "y", num_trees=(3, 6), max_depth=(2, 3), folds=2, key="id",
+                      clip_cols=["balance"], sentinel_cols=["pdays"]).best_model
+    best.write().save(f"{tmp_dir}/tuned")
+    loaded = PipelineModel.load(f"{tmp_dir}/tuned")
+    assert ml.score(loaded, test, ["id"]).collect() == ml.score(best, test, ["id"]).collect()
+    forest = best.stages[-1]
+    assert len(forest.trees) == forest.getNumTrees in (3, 6) and forest.getMaxDepth() in (2, 3)
+
+
 def test_dictionary_equals_string_indexer(spark):
     rows = [(i, v) for i, v in enumerate(["b", "a", "a", None, "c", "b", "zz", "a", "é", ""])]
     df = spark.createDataFrame(rows, "id int, v string")
